@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,3 +17,15 @@ def settled(df: DataFrame, *columns: str) -> DataFrame:
     """
     others = [F.col(c) for c in df.columns if c not in columns]
     return df.select(*others, F.inline(F.array(F.struct(*columns))))
+
+
+def exploded(df: DataFrame, array: Column, names: Sequence[str], *keep: str) -> DataFrame:
+    """One row per element of ``array`` with its position, next to the columns ``keep``.
+
+    The optimiser puts a filter for non-empty arrays below an inner generator, which evaluates the
+    array twice. An outer generator has no such filter; its row for an empty array is dropped here.
+    """
+    position, value = names
+    return df.select(*keep, F.posexplode_outer(array).alias(position, value)).filter(
+        F.col(position).isNotNull()
+    )

@@ -69,7 +69,8 @@ def entity_mentions(
     lengths = [r["n"] for r in counted.collect() if r["n"] > 0]  # distinct word counts only
     if not lengths:
         raise ValueError("the dictionary holds no name")
-    runs = docs.select(key, F.inline(word_runs(F.col(text), lengths)))
+    runs = docs.select(key, F.inline_outer(word_runs(F.col(text), lengths)))
+    runs = runs.filter(F.col("name").isNotNull())
     if fits(names, broadcast_rows):
         found = runs.join(F.broadcast(names), "name")
     else:

@@ -151,15 +151,15 @@ def _by_grid(
     left = questions.select(
         "question_id",
         "embedding",
-        F.pmod(F.xxhash64("question_id"), F.lit(groups)).alias("_group"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("_shard"),
+        F.pmod(F.xxhash64("question_id"), F.lit(groups)).cast("int").alias("_group"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"),
     )
     right = chunks.select(
         space,
         "chunk_id",
         "embedding",
-        F.pmod(F.xxhash64("chunk_id"), F.lit(shards)).alias("_shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long").alias("_group"),
+        F.pmod(F.xxhash64("chunk_id"), F.lit(shards)).cast("int").alias("_shard"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_group"),
     )
 
     def search(asked: pa.Table, stored: pa.Table) -> pa.Table:

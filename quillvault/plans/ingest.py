@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillvault.functions.barrier import exploded
 from quillvault.functions.chunking import recursive_chunks
 from quillvault.functions.embedding import Embedder
 from quillvault.functions.integrity import decrypt, encrypt, seal
@@ -50,10 +51,8 @@ def chunk_rows(
     documents: DataFrame, text: Column, settings: Settings, splitter: Splitter = recursive_chunks
 ) -> DataFrame:
     """One row per chunk, numbered from 0 in text order."""
-    return (
-        documents.withColumn("_chunks", splitter(text, settings.chunk_size, settings.chunk_overlap))
-        .select("doc_sha256", F.posexplode("_chunks").alias("chunk_index", "content"))
-    )
+    pieces = splitter(text, settings.chunk_size, settings.chunk_overlap)
+    return exploded(documents, pieces, ("chunk_index", "content"), "doc_sha256")
 
 
 def sealed_chunks(chunks: DataFrame, model: Embedder, keys: Keys, settings: Settings) -> DataFrame:

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from quillvault.queries import corpus, retrieval
+from quillvault.queries import corpus, logs, retrieval
 
-REGISTRY = {**corpus.QUERIES, **retrieval.QUERIES}
+REGISTRY = {**corpus.QUERIES, **retrieval.QUERIES, **logs.QUERIES}

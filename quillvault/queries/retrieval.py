@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillvault import fixed_values as fv
+from quillvault.functions.barrier import exploded
 from quillvault.functions.chunking import char_windows
 from quillvault.functions.embedding import (
     cosine,
@@ -207,9 +208,8 @@ def integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = char_windows(F.col("text"), SETTINGS.chunk_size, OVERLAP)
-    return documents(spark, sf_dir).select(
-        "doc_id", F.posexplode(windows).alias("chunk_index", "content")
-    ).withColumn("chunk_id", F.col("doc_id") * 100_000 + F.col("chunk_index"))
+    chunks = exploded(documents(spark, sf_dir), windows, ("chunk_index", "content"), "doc_id")
+    return chunks.withColumn("chunk_id", F.col("doc_id") * 100_000 + F.col("chunk_index"))
 
 
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,9 +381,14 @@ def tokens_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of all answers and pages that are not the address of any page."""
     pages = table(spark, sf_dir, "pages")
+    texts = pages.select(F.col("html").alias("text")).unionByName(
+        answers(spark, sf_dir).select(F.col("answer").alias("text"))
+    )
     mentioned = (
-        pages.select(F.explode(text_urls(F.col("html"))).alias("url"))
+        texts.select(F.explode_outer(text_urls(F.col("text"))).alias("url"))
+        .filter(F.col("url").isNotNull())
         .groupBy("url")
         .agg(F.count("*").alias("n"))
         .groupBy(canonical_url(F.col("url")).alias("url"))
@@ -687,7 +692,8 @@ QUERIES = {
     ),
     "url_antijoin": (
         url_antijoin,
-        f"""WITH u AS (SELECT unnest(regexp_extract_all(html, '{sql.URL}')) AS u FROM pages),
+        f"""WITH {ANSWERS_SQL}, u AS (SELECT unnest(regexp_extract_all(html, '{sql.URL}')) AS u
+          FROM pages UNION ALL SELECT unnest(regexp_extract_all(answer, '{sql.URL}')) FROM a),
         c AS (SELECT {_CANONICAL.format("u")} AS url FROM u)
         SELECT url, count(*) AS mentions FROM c WHERE url NOT IN
           (SELECT {_CANONICAL.format("url")} FROM pages) GROUP BY url""",
