@@ -31,7 +31,7 @@ PHONE = (
     rf"){_ENDS}"
 )
 ISO_DATE = rf"^\p{{Nd}}{{4}}[{WS}.\-]\p{{Nd}}{{2}}[{WS}.\-]\p{{Nd}}{{2}}$"
-URL = rf"https?://[^{WS}<>\"')\]]+"
+URL = rf"https?://[^{WS}<>\x22\x27)\]]+"
 URL_NOMINATIVE = (
     rf"(?iu)(?:/(?:users?|profiles?|accounts?|members?|people|author)s?/[^/{WS}?]+"
     rf"|/~[^/{WS}?]+"
@@ -49,7 +49,10 @@ URL_NEUTRALISED = "[URL_NEUTRALISEE]"
 URL_TRAILING = ".,;:!?"
 
 # --- injection guard ---------------------------------------------------------------------
-INVISIBLE = "(?![\\x00-\\x7F])[\\u200b-\\u200f\\u2060\\ufeff\\u00ad\\u202a-\\u202e\\u2066-\\u2069]"
+INVISIBLE = (
+    r"(?![\x00-\x7F])[\x{200B}-\x{200F}\x{2060}\x{FEFF}\x{AD}"
+    r"\x{202A}-\x{202E}\x{2066}-\x{2069}]"
+)
 INVISIBLE_WEIGHT = 0.4
 _SPACES = rf"[{WS}]"
 INJECTION_PATTERNS = (

@@ -15,8 +15,8 @@ def settled(df: DataFrame, *columns: str) -> DataFrame:
     For a chain of costly steps that repeats the whole chain, several times over. A filter on a
     generated column stays above the generator; filters on other columns still reach the scan.
     """
-    others = [F.col(c) for c in df.columns if c not in columns]
-    return df.select(*others, F.inline(F.array(F.struct(*columns))))
+    others = [f"`{c}`" for c in df.columns if c not in columns]
+    return df.selectExpr(*others, f"inline(array(struct({', '.join(columns)})))")
 
 
 def exploded(df: DataFrame, array: Column, names: Sequence[str], *keep: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillvault import fixed_values as fv
@@ -27,11 +25,10 @@ _HINTS = {
 _ODD_LETTERS = ("ı", "İ")
 
 
-def _hinted(name: str) -> Column:
-    hints = [F.contains(F.col("_lower"), F.lit(hint)) for hint in _HINTS.get(name, ())]
-    if not hints:
-        return F.lit(True)
-    return reduce(Column.__or__, hints) | F.col("_odd")
+def _flag(name: str, pattern: str) -> str:
+    found = f"rlike(_clean, r'{pattern}')"
+    hints = [f"contains(_lower, '{hint}')" for hint in _HINTS.get(name, ())]
+    return f"({' OR '.join([*hints, '_odd'])}) AND {found}" if hints else found
 
 
 def with_injection_score(
@@ -42,48 +39,34 @@ def with_injection_score(
     Invisible characters are counted on the text as given; the patterns look at its NFKC form
     without them, so that neither full-width letters nor split words hide a phrase.
     """
-    body = F.col(text)
-    names = [f"_is_{name}" for name, _, _ in fv.INJECTION_PATTERNS]
-    df = df.withColumn(
-        "_invisible",
-        F.when(body.rlike(fv.INVISIBLE), F.regexp_count(body, F.lit(fv.INVISIBLE))).otherwise(0),
+    given = [f"`{c}`" for c in df.columns]
+    df = df.withColumn("_folded", nfkc(F.col(text))).selectExpr(
+        "*",
+        f"CASE WHEN rlike({text}, r'{fv.INVISIBLE}') "
+        f"THEN regexp_count({text}, r'{fv.INVISIBLE}') ELSE 0 END AS _invisible",
     )
-    df = df.withColumn("_folded", nfkc(body))
-    df = df.withColumn(
-        "_clean",
-        F.when(
-            F.col("_invisible") > 0, F.regexp_replace(F.col("_folded"), fv.INVISIBLE, "")
-        ).otherwise(F.col("_folded")),
+    df = df.selectExpr(
+        "*",
+        f"CASE WHEN _invisible > 0 THEN regexp_replace(_folded, r'{fv.INVISIBLE}', '') "
+        "ELSE _folded END AS _clean",
     )
-    df = df.withColumns(
-        {
-            "_lower": F.lower(F.col("_clean")),
-            "_odd": reduce(
-                Column.__or__, [F.contains(F.col("_clean"), F.lit(ch)) for ch in _ODD_LETTERS]
-            ),
-        }
+    odd = " OR ".join(f"contains(_clean, '{ch}')" for ch in _ODD_LETTERS)
+    df = df.selectExpr("*", "lower(_clean) AS _lower", f"{odd} AS _odd")
+    df = df.selectExpr(
+        *given,
+        "_invisible",
+        *[f"{_flag(name, pattern)} AS _is_{name}" for name, _, pattern in fv.INJECTION_PATTERNS],
     )
-    df = df.withColumns(
-        {
-            column: _hinted(name) & F.col("_clean").rlike(pattern)
-            for column, (name, _, pattern) in zip(names, fv.INJECTION_PATTERNS)
-        }
+    total = f"CASE WHEN _invisible > 0 THEN {fv.INVISIBLE_WEIGHT}D ELSE 0D END" + "".join(
+        f" + CASE WHEN _is_{name} THEN {weight}D ELSE 0D END"
+        for name, weight, _ in fv.INJECTION_PATTERNS
     )
-
-    total = F.when(F.col("_invisible") > 0, F.lit(fv.INVISIBLE_WEIGHT)).otherwise(F.lit(0.0))
-    labels = [
-        F.when(
-            F.col("_invisible") > 0,
-            F.concat(F.lit("invisible_chars:"), F.col("_invisible").cast("string")),
-        )
+    labels = ["CASE WHEN _invisible > 0 THEN concat('invisible_chars:', _invisible) END"] + [
+        f"CASE WHEN _is_{name} THEN '{name}' END" for name, _, _ in fv.INJECTION_PATTERNS
     ]
-    for column, (name, weight, _) in zip(names, fv.INJECTION_PATTERNS):
-        total = total + F.when(F.col(column), F.lit(weight)).otherwise(F.lit(0.0))
-        labels.append(F.when(F.col(column), F.lit(name)))
-    df = df.withColumns(
-        {
-            score: F.least(F.lit(1.0), F.round(total, 6)),
-            reasons: F.array_compact(F.array(*labels)),
-        }
-    ).drop("_invisible", "_folded", "_clean", "_lower", "_odd", *names)
+    df = df.selectExpr(
+        *given,
+        f"least(1.0D, round({total}, 6)) AS {score}",
+        f"array_compact(array({', '.join(labels)})) AS {reasons}",
+    )
     return settled(df, score, reasons)

@@ -1,22 +1,24 @@
 """Personal-data spans, pseudonym tokens and answer masking as native column expressions.
 
 A span is ``struct<start:int, end:int, category:string, value:string>`` with 0-based character
-offsets. All work stays inside one row, so none of it shuffles.
+offsets. All work stays inside one row, so none of it shuffles. The expressions are SQL text over
+column names; the names of columns to work on must be plain identifiers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillvault import fixed_values as fv
 from quillvault.functions.barrier import settled
-from quillvault.functions.text import canonical_url, strip
+from quillvault.functions.text import canonical_url
 
 SPANS = "array<struct<start:int,end:int,category:string,value:string>>"
-EDITS = "array<struct<start:int,end:int,token:string>>"
+NO_SPANS = f"cast(array() AS {SPANS})"
+NO_STRINGS = "cast(array() AS array<string>)"
 
 _PATTERNS = {
     "URL": fv.URL,
@@ -28,77 +30,50 @@ _PATTERNS = {
 # What a text must hold before a pattern can match: spares the regex on most texts.
 _HAS_DIGIT = r"(?![ A-Za-z])\p{Nd}"
 _REQUIRED = {
-    "URL": lambda text: F.contains(text, F.lit("://")),
-    "EMAIL": lambda text: F.contains(text, F.lit("@")),
-    "IBAN": lambda text: text.rlike(_HAS_DIGIT),
-    "IP": lambda text: text.rlike(_HAS_DIGIT),
-    "PHONE": lambda text: text.rlike(_HAS_DIGIT),
+    "URL": "contains({0}, '://')",
+    "EMAIL": "contains({0}, '@')",
+    "IBAN": f"rlike({{0}}, r'{_HAS_DIGIT.replace('{', '{{').replace('}', '}}')}')",
+    "IP": f"rlike({{0}}, r'{_HAS_DIGIT.replace('{', '{{').replace('}', '}}')}')",
+    "PHONE": f"rlike({{0}}, r'{_HAS_DIGIT.replace('{', '{{').replace('}', '}}')}')",
+}
+# What a match must satisfy beyond its pattern.
+_PLAUSIBLE = {
+    "URL": f"rlike(s.value, r'{fv.URL_NOMINATIVE}')",
+    "IP": r"forall(split(s.value, r'\.'), o -> coalesce(try_cast(o AS int) <= 255, true))",
+    "PHONE": f"NOT rlike(s.value, r'{fv.ISO_DATE}') AND regexp_count(s.value, r'\\p{{Nd}}') "
+    f"BETWEEN {fv.PHONE_DIGITS[0]} AND {fv.PHONE_DIGITS[1]}",
 }
 
 
-def no_spans() -> Column:
-    return F.array().cast(SPANS)
+def matches_sql(text: str, pattern: str) -> str:
+    """All non-overlapping matches, left to right."""
+    return f"regexp_extract_all({text}, r'{pattern}', 0)"
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """All non-overlapping matches, left to right."""
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def match_spans(text: Column, pattern: str, found: Column, category: str) -> Column:
+def match_spans_sql(text: str, pattern: str, found: str, category: str) -> str:
     """Spans of ``found`` (the matches of ``pattern``), from the lengths of the text between."""
-    between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    steps = F.zip_with(
-        between, found, lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value"))
-    )
+    return f"""CASE WHEN size({found}) > 0 THEN aggregate(
+        zip_with(slice(split({text}, r'{pattern}', -1), 1, size({found})), {found},
+            (gap, value) -> named_struct('gap', length(gap), 'value', value)),
+        named_struct('pos', 0, 'out', {NO_SPANS}),
+        (acc, x) -> named_struct(
+            'pos', acc.pos + x.gap + length(x.value),
+            'out', array_append(acc.out, named_struct(
+                'start', acc.pos + x.gap, 'end', acc.pos + x.gap + length(x.value),
+                'category', '{category}', 'value', x.value))),
+        acc -> acc.out) ELSE {NO_SPANS} END"""
 
-    def advance(acc: Column, step: Column) -> Column:
-        start = acc["pos"] + step["gap"]
-        end = start + F.length(step["value"])
-        span = F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            F.lit(category).alias("category"),
-            step["value"].alias("value"),
-        )
-        return F.struct(end.alias("pos"), F.array_append(acc["out"], span).alias("out"))
-
-    start = F.struct(F.lit(0).alias("pos"), no_spans().alias("out"))
-    spans = F.aggregate(steps, start, advance, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, spans).otherwise(no_spans())
 
+def overlaps_sql(span: str, others: str) -> str:
+    return f"exists({others}, other -> {span}.start < other.end AND {span}.end > other.start)"
 
-def _plausible_ip(value: Column) -> Column:
-    return F.forall(
-        F.split(value, r"\."), lambda octet: F.coalesce(octet.try_cast("int") <= 255, F.lit(True))
-    )
-
-
-def _plausible_phone(value: Column) -> Column:
-    low, high = fv.PHONE_DIGITS
-    digits = F.regexp_count(value, F.lit(r"\p{Nd}"))
-    return ~value.rlike(fv.ISO_DATE) & digits.between(low, high)
-
-
-_PLAUSIBLE = {
-    "URL": lambda value: value.rlike(fv.URL_NOMINATIVE),
-    "IP": _plausible_ip,
-    "PHONE": _plausible_phone,
-}
-
-
-def overlapping(span: Column, others: Column) -> Column:
-    return F.exists(
-        others, lambda other: (span["start"] < other["end"]) & (span["end"] > other["start"])
-    )
 
-
-def _on_value(plausible: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda span: plausible(span["value"])
-
-
-def _clear_of(others: Column) -> Callable[[Column], Column]:
-    return lambda span: ~overlapping(span, others)
+def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
 def with_pii_spans(
@@ -114,90 +89,63 @@ def with_pii_spans(
     kept span overlaps it. ``entities`` names a column of further spans, tried last.
     """
     chosen = [c for c in fv.PII_PRIORITY if c in categories]
-    body = F.col(text)
-
-    found = {}
-    for category in chosen:
-        hits = matches(body, _PATTERNS[category])
-        found[f"_found_{category}"] = F.when(_REQUIRED[category](body), hits).otherwise(
-            F.array().cast("array<string>")
+    given = df.columns
+    df = _add(
+        df,
+        {
+            f"_found_{c}": f"CASE WHEN {_REQUIRED[c].format(text)} "
+            f"THEN {matches_sql(text, _PATTERNS[c])} ELSE {NO_STRINGS} END"
+            for c in chosen
+        },
+    )
+    located = {}
+    for c in chosen:
+        spans = match_spans_sql(text, _PATTERNS[c], f"_found_{c}", c)
+        located[f"_spans_{c}"] = (
+            f"filter({spans}, s -> {_PLAUSIBLE[c]})" if c in _PLAUSIBLE else spans
         )
-    df = df.withColumns(found)
+    df = _add(df, located)
 
-    located = {}
-    for category in chosen:
-        spans = match_spans(body, _PATTERNS[category], F.col(f"_found_{category}"), category)
-        plausible = _PLAUSIBLE.get(category)
-        if plausible:
-            spans = F.filter(spans, _on_value(plausible))
-        located[f"_spans_{category}"] = spans
-    df = df.withColumns(located).drop(*found)
-
-    layers = [f"_spans_{c}" for c in chosen] + ([entities] if entities else [])
-    kept = "_kept_0"
-    df = df.withColumn(kept, F.col(layers[0]) if layers else no_spans())
+    layers = [*located, *([entities] if entities else [])]
+    kept = layers[0] if layers else NO_SPANS
     for depth, layer in enumerate(layers[1:], start=1):
-        fresh = F.filter(F.col(layer), _clear_of(F.col(kept)))
-        df = df.withColumn(f"_kept_{depth}", F.concat(F.col(kept), fresh)).drop(kept)
+        fresh = f"filter({layer}, s -> NOT {overlaps_sql('s', kept)})"
+        df = _add(df, {f"_kept_{depth}": f"concat({kept}, {fresh})"})
         kept = f"_kept_{depth}"
-    return settled(df.withColumn(out, F.array_sort(F.col(kept))).drop(kept, *located), out)
+    df = df.selectExpr(*[f"`{c}`" for c in given], f"array_sort({kept}) AS {out}")
+    return settled(df, out)
 
 
-def splice(text: Column, edits: Column) -> Column:
+def splice_sql(text: str, edits: str) -> str:
     """Replace ``edits`` (sorted, non-overlapping ``start, end, token``) in ``text``."""
+    return f"""CASE WHEN size({edits}) > 0 THEN concat(
+        array_join(transform({edits}, (e, i) -> concat(
+            substr({text}, coalesce(get({edits}, i - 1).end, 0) + 1,
+                e.start - coalesce(get({edits}, i - 1).end, 0)),
+            e.token)), ''),
+        substr({text}, element_at({edits}, -1).end + 1)) ELSE {text} END"""
 
-    def piece(edit: Column, i: Column) -> Column:
-        previous_end = F.coalesce(F.get(edits, i - 1)["end"], F.lit(0))
-        gap = F.substr(text, previous_end + 1, edit["start"] - previous_end)
-        return F.concat(gap, edit["token"])
-
-    tail = F.substr(text, F.element_at(edits, -1)["end"] + 1, F.length(text))
-    return F.when(
-        F.size(edits) > 0, F.concat(F.array_join(F.transform(edits, piece), ""), tail)
-    ).otherwise(text)
-
-
-def _value_key(span: Column) -> Column:
-    value = strip(span["value"])
-    return F.when(span["category"] == "EMAIL", F.lower(value)).otherwise(value)
-
-
-def numbered_spans(spans: Column) -> Column:
-    """Spans with the key of their value; equal keys share a number within their category."""
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            s["category"].alias("category"),
-            _value_key(s).alias("key"),
-        ),
-    )
 
-
-def _tokens(keyed: Column, vocabulary: Column) -> Column:
-    """Edits whose token number is the place of the key among first appearances."""
-
-    def edit(s: Column) -> Column:
-        same = F.transform(
-            F.filter(vocabulary, lambda v: v["category"] == s["category"]), lambda v: v["key"]
-        )
-        number = F.array_position(same, s["key"])
-        token = F.concat(F.lit("["), s["category"], F.lit("_"), number.cast("string"), F.lit("]"))
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), token.alias("token"))
-
-    return F.transform(keyed, edit)
-
-
-def category_counts(spans: Column) -> Column:
+def category_counts_sql(spans: str) -> str:
     """Occurrences per category as ``map<string,int>``."""
-    present = F.array_distinct(F.transform(spans, lambda s: s["category"]))
-    return F.map_from_entries(
-        F.transform(
-            present,
-            lambda c: F.struct(c, F.size(F.filter(spans, lambda s: s["category"] == c))),
-        )
-    ).cast("map<string,int>")
+    return f"""cast(map_from_entries(transform(
+        array_distinct(transform({spans}, s -> s.category)),
+        c -> struct(c, size(filter({spans}, s -> s.category = c))))) AS map<string,int>)"""
+
+
+_STRIPPED = f"regexp_replace(s.value, r'^[{fv.WS}]+|[{fv.WS}]+\\z', '')"
+# Equal keys share a token; the case of an e-mail address does not matter.
+_KEYED = f"""transform(_spans, s -> named_struct('start', s.start, 'end', s.end,
+    'category', s.category,
+    'key', CASE WHEN s.category = 'EMAIL' THEN lower({_STRIPPED}) ELSE {_STRIPPED} END))"""
+_VOCABULARY = (
+    "array_distinct(transform(_keyed, s -> named_struct('category', s.category, 'key', s.key)))"
+)
+# The number of a token is the place of its key among first appearances in its category.
+_NUMBERED = """transform(_keyed, s -> named_struct('start', s.start, 'end', s.end,
+    'token', concat('[', s.category, '_', cast(array_position(
+        transform(filter(_vocabulary, v -> v.category = s.category), v -> v.key), s.key)
+        AS string), ']')))"""
 
 
 def pseudonymise(
@@ -209,24 +157,16 @@ def pseudonymise(
     entities: str | None = None,
 ) -> DataFrame:
     """Replace personal data by numbered tokens and count occurrences; not reversible."""
+    given = [f"`{c}`" for c in df.columns]
     df = with_pii_spans(df, text, "_spans", categories, entities)
-    df = df.withColumn("_keyed", numbered_spans(F.col("_spans")))
-    df = df.withColumn(
-        "_vocabulary",
-        F.array_distinct(
-            F.transform(
-                F.col("_keyed"),
-                lambda s: F.struct(s["category"].alias("category"), s["key"].alias("key")),
-            )
-        ),
+    df = _add(df, {"_keyed": _KEYED})
+    df = _add(df, {"_vocabulary": _VOCABULARY})
+    df = _add(df, {"_edits": _NUMBERED})
+    df = df.selectExpr(
+        *given,
+        f"{splice_sql(text, '_edits')} AS {out}",
+        f"{category_counts_sql('_spans')} AS {stats}",
     )
-    df = df.withColumn("_edits", _tokens(F.col("_keyed"), F.col("_vocabulary")))
-    df = df.withColumns(
-        {
-            out: splice(F.col(text), F.col("_edits")),
-            stats: category_counts(F.col("_spans")),
-        }
-    ).drop("_spans", "_keyed", "_vocabulary", "_edits")
     return settled(df, out, stats)
 
 
@@ -260,58 +200,49 @@ def filter_answers(
     Adds ``out``, ``masked``, ``urls_neutralized``, ``tokens_passed`` and ``has_masking``. A URL
     that overlaps a masked span is left as it is around the mask; ``strict`` neutralises it.
     """
+    given = [f"`{c}`" for c in df.columns]
     body = F.col(text)
     df = with_pii_spans(df, text, "_spans", categories)
-    df = df.withColumn("_urls", text_urls(body))
-    df = df.withColumn("_url_spans", match_spans(body, fv.URL, F.col("_urls"), "URL"))
+    df = df.withColumns(
+        {
+            "_urls": text_urls(body),
+            "_tokens": tokens_passed(body),
+            "_allowed": F.transform(
+                F.coalesce(F.col(allowed), F.array().cast("array<string>")), canonical_url
+            ),
+        }
+    )
+    df = _add(df, {"_url_spans": match_spans_sql(text, fv.URL, "_urls", "URL")})
     df = df.withColumn(
-        "_allowed",
-        F.transform(
-            F.coalesce(F.col(allowed), F.array().cast("array<string>")), lambda u: canonical_url(u)
+        "_foreign",
+        F.filter(
+            F.col("_url_spans"),
+            lambda s: ~F.array_contains(F.col("_allowed"), canonical_url(s["value"])),
         ),
     )
-
-    def foreign(span: Column) -> Column:
-        return ~F.array_contains(F.col("_allowed"), canonical_url(span["value"]))
-
     if strict:
-        df = df.withColumn("_foreign", F.filter(F.col("_url_spans"), foreign))
-        df = df.withColumn(
-            "_masked_spans", F.filter(F.col("_spans"), lambda s: ~overlapping(s, F.col("_foreign")))
-        )
+        cuts = "_foreign"
+        masks = f"filter(_spans, s -> NOT {overlaps_sql('s', '_foreign')})"
     else:
-        df = df.withColumn(
-            "_foreign",
-            F.filter(
-                F.col("_url_spans"), lambda s: ~overlapping(s, F.col("_spans")) & foreign(s)
-            ),
-        ).withColumn("_masked_spans", F.col("_spans"))
-
-    masks = F.transform(
-        F.col("_masked_spans"),
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            F.concat(F.lit("["), s["category"], F.lit(fv.MASK_SUFFIX)).alias("token"),
-        ),
-    )
-    cuts = F.transform(
-        F.col("_foreign"),
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            F.lit(fv.URL_NEUTRALISED).alias("token"),
-        ),
-    )
-    df = df.withColumn("_edits", F.array_sort(F.concat(masks, cuts)))
-    df = df.withColumns(
+        cuts = f"filter(_foreign, s -> NOT {overlaps_sql('s', '_spans')})"
+        masks = "_spans"
+    df = _add(df, {"_masks": masks, "_cuts": cuts})
+    df = _add(
+        df,
         {
-            out: splice(body, F.col("_edits")),
-            "masked": category_counts(F.col("_masked_spans")),
-            "urls_neutralized": F.size(F.col("_foreign")),
-            "tokens_passed": tokens_passed(body),
-            "has_masking": F.size(F.col("_edits")) > 0,
-        }
+            "_edits": f"""array_sort(concat(
+                transform(_masks, s -> named_struct('start', s.start, 'end', s.end,
+                    'token', concat('[', s.category, '{fv.MASK_SUFFIX}'))),
+                transform(_cuts, s -> named_struct('start', s.start, 'end', s.end,
+                    'token', '{fv.URL_NEUTRALISED}'))))"""
+        },
+    )
+    df = df.selectExpr(
+        *given,
+        f"{splice_sql(text, '_edits')} AS {out}",
+        f"{category_counts_sql('_masks')} AS masked",
+        "size(_cuts) AS urls_neutralized",
+        "_tokens AS tokens_passed",
+        "size(_edits) > 0 AS has_masking",
     )
-    df = df.drop("_spans", "_urls", "_url_spans", "_allowed", "_foreign", "_masked_spans", "_edits")
     return settled(df, out, "masked", "urls_neutralized", "tokens_passed", "has_masking")

@@ -15,11 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillvault.operators.retrieval import best_of, found_schema, matrix, ranked
-from quillvault.plans.joins import fits
 from quillvault.sources.shared import staged
 
 TRAINING_ROWS = 200_000
@@ -75,58 +74,81 @@ def filed(spark: SparkSession, chunks: DataFrame, centroids: np.ndarray) -> Data
 
 
 def visits(
-    questions: DataFrame, centroids: np.ndarray, radii: dict[int, float]
+    questions: DataFrame,
+    centroids: np.ndarray,
+    radii: dict[int, float],
+    probes: int,
+    beyond: bool = False,
 ) -> DataFrame:
-    """Question, cell, place of the cell by angle, and the best similarity the cell could hold."""
-    spark = questions.sparkSession
-    cells = np.array(sorted(radii))
-    shared = spark.sparkContext.broadcast(
+    """``question_id, cell`` pairs worth a search.
+
+    Without ``beyond`` these are the ``probes`` nearest cells. With it, they are the other cells
+    that may hold a chunk better than the question's ``least`` similarity so far; a null ``least``
+    admits every cell.
+    """
+    cells = np.array(sorted(radii), dtype=np.int32)
+    shared = questions.sparkSession.sparkContext.broadcast(
         (cells, centroids[cells], np.array([radii[c] for c in cells]))
     )
 
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, centres, widths = shared.value
         for batch in batches:
-            angles = np.arccos(np.clip(matrix(batch["embedding"]) @ centres.T, -1.0, 1.0))
-            if not len(angles):
+            if not len(batch):
                 continue
+            angles = np.arccos(np.clip(matrix(batch["embedding"]) @ centres.T, -1.0, 1.0))
             places = np.argsort(np.argsort(angles, axis=1, kind="stable"), axis=1)
-            bounds = np.cos(np.maximum(0.0, angles - widths - _SLACK))
-            n, m = angles.shape
+            wanted = places < probes
+            if beyond:
+                least = batch["least"].to_numpy(zero_copy_only=False).astype(np.float64)
+                bounds = np.cos(np.maximum(0.0, angles - widths - _SLACK))
+                hopeless = bounds < np.nan_to_num(least, nan=-np.inf)[:, None]
+                wanted = ~wanted & ~hopeless
+            row, column = np.nonzero(wanted & ~np.isnan(angles))
+            ids = np.asarray(batch["question_id"])
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(np.asarray(batch["question_id"]), m)),
-                    pa.array(np.tile(known.astype(np.int32), n)),
-                    pa.array(places.ravel().astype(np.int32)),
-                    pa.array(bounds.ravel()),
-                ],
-                ["question_id", "cell", "place", "bound"],
+                [pa.array(ids[row]), pa.array(known[column])], ["question_id", "cell"]
             )
 
-    return questions.select("question_id", "embedding").mapInArrow(
-        rank, "question_id bigint, cell int, place int, bound double"
-    )
+    columns = ["question_id", "embedding"] + (["least"] if beyond else [])
+    return questions.select(*columns).mapInArrow(choose, "question_id bigint, cell int")
 
 
 def _search(
-    questions: DataFrame, wanted: DataFrame, index: DataFrame, blocks: DataFrame, k: int
+    questions: DataFrame, wanted: DataFrame, index: DataFrame, stats: DataFrame, k: int, block: int
 ) -> DataFrame:
-    """Best ``k`` chunks of each wanted (question, cell), found block by block.
+    """Best ``k`` chunks of each wanted (question, cell).
 
-    A cell is cut into blocks of bounded size, so a cell that holds a third of all vectors is
-    searched by many tasks.
+    The chunks of a cell and the questions that visit it are both cut into parts of bounded size,
+    so a cell that holds a third of all vectors, or that every question visits, is searched by
+    many tasks.
     """
+    parts = (
+        wanted.groupBy("cell")
+        .agg(F.count("*").alias("visitors"))
+        .join(F.broadcast(stats), "cell")
+        .select(
+            "cell",
+            F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks"),
+            F.ceil(F.col("visitors") / F.lit(block)).cast("int").alias("groups"),
+        )
+    )  # one row per cell
+
+    def part(key: str, number: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.col(number).cast("long")).cast("int")
+
     asked = (
         wanted.join(questions.select("question_id", "embedding"), "question_id")
-        .join(F.broadcast(blocks), "cell")
+        .join(F.broadcast(parts), "cell")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("question_id", "embedding", "cell", "block")
+        .select(
+            "question_id", "embedding", "cell", "block", part("question_id", "groups").alias("group")
+        )
     )
-    stored = index.join(F.broadcast(blocks), "cell").select(
-        "chunk_id",
-        "embedding",
-        "cell",
-        F.pmod(F.xxhash64("chunk_id"), F.col("blocks").cast("long")).cast("int").alias("block"),
+    stored = (
+        index.join(F.broadcast(parts), "cell")
+        .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+        .select("chunk_id", "embedding", "cell", part("chunk_id", "blocks").alias("block"), "group")
     )
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -151,8 +173,8 @@ def _search(
         return best.append_column("cell", pa.array([cell] * len(best), pa.int32()))
 
     return (
-        asked.groupBy("cell", "block")
-        .cogroup(stored.groupBy("cell", "block"))
+        asked.groupBy("cell", "block", "group")
+        .cogroup(stored.groupBy("cell", "block", "group"))
         .applyInArrow(search, found_schema(index, "cell"))
     )
 
@@ -176,23 +198,20 @@ def nearest_by_cells(
     centroids = train_centroids(chunks, cells, seed)
     index = staged(filed(spark, chunks, centroids), "cells")
     stats = index.groupBy("cell").agg(F.max("angle").alias("radius"), F.count("*").alias("n"))
+    stats = staged(stats, "stats")
     radii = {r["cell"]: r["radius"] for r in stats.collect()}  # one row per cell
-    blocks = stats.select("cell", F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("blocks"))
 
-    plan = staged(visits(questions, centroids, radii), "visits")
-    near = plan.filter(F.col("place") < probes).select("question_id", "cell")
-    first = staged(ranked(_search(questions, near, index, blocks, k), k).drop("cell"), "probed")
+    near = visits(questions, centroids, radii, probes)
+    found = ranked(_search(questions, near, index, stats, k, block_rows), k).drop("cell")
     if not exact:
-        return first
-    reached = first.groupBy("question_id").agg(
-        F.count("*").alias("n"), F.min("similarity").alias("least")
+        return found
+    first = staged(found, "probed")
+    reached = first.filter(F.col("rank") == k).select(
+        "question_id", F.col("similarity").alias("least")
     )
-    reached = F.broadcast(reached) if fits(reached) else reached
-    rest = (
-        plan.filter(F.col("place") >= probes)
-        .join(reached, "question_id", "left")
-        .filter((F.coalesce("n", F.lit(0)) < k) | (F.col("bound") >= F.col("least")))
-        .select("question_id", "cell")
+    open_questions = questions.select("question_id", "embedding").join(
+        reached, "question_id", "left"
     )
-    more = _search(questions, rest, index, blocks, k).drop("cell")
+    rest = visits(open_questions, centroids, radii, probes, beyond=True)
+    more = _search(questions, rest, index, stats, k, block_rows).drop("cell")
     return ranked(first.drop("rank").unionByName(more), k)

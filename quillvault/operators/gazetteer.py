@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillvault.functions.pii import SPANS, no_spans, overlapping
+from quillvault.functions.pii import NO_SPANS, SPANS, overlaps_sql
 from quillvault.plans.joins import BROADCAST_ROWS, HOT_ROWS, attach, fits
 
 _WORD = re.compile(r"[\w#&'.\-]*\w")
@@ -91,27 +91,20 @@ def entity_mentions(
 
 def entity_spans(mentions: DataFrame, key: str, out: str = "entities") -> DataFrame:
     """Non-overlapping mentions per document: the leftmost first, the longer one at a tie."""
-    ordered = F.array_sort(
-        F.collect_list(
-            F.struct("start", (-F.col("end")).alias("neg_end"), "end", "category", "value")
-        )
-    )
-    plain = F.transform(
-        ordered,
-        lambda m: F.struct(
-            m["start"].alias("start"),
-            m["end"].alias("end"),
-            m["category"].alias("category"),
-            m["value"].alias("value"),
-        ),
+    ordered = mentions.groupBy(key).agg(
+        F.array_sort(
+            F.collect_list(
+                F.struct("start", (-F.col("end")).alias("neg_end"), "end", "category", "value")
+            )
+        ).alias("_ordered")
     )
-
-    def take(kept: Column, span: Column) -> Column:
-        latest = F.slice(kept, F.greatest(F.size(kept), F.lit(1)), F.lit(1))
-        return F.when(overlapping(span, latest), kept).otherwise(F.array_append(kept, span))
-
-    return mentions.groupBy(key).agg(
-        F.aggregate(plain, no_spans(), take).cast(SPANS).alias(out)
+    plain = """transform(_ordered, m -> named_struct('start', m.start, 'end', m.end,
+        'category', m.category, 'value', m.value))"""
+    latest = "slice(kept, greatest(size(kept), 1), 1)"
+    return ordered.selectExpr(
+        f"`{key}`",
+        f"""cast(aggregate({plain}, {NO_SPANS}, (kept, s) -> CASE WHEN {overlaps_sql('s', latest)}
+            THEN kept ELSE array_append(kept, s) END) AS {SPANS}) AS {out}""",
     )
 
 
@@ -120,4 +113,4 @@ def with_entities(
 ) -> DataFrame:
     """Add the entity spans of every document, an empty array where none is named."""
     spans = entity_spans(entity_mentions(docs, key, text, names), key, out)
-    return docs.join(spans, key, "left").withColumn(out, F.coalesce(out, no_spans()))
+    return docs.join(spans, key, "left").withColumn(out, F.coalesce(out, F.expr(NO_SPANS)))

@@ -20,7 +20,8 @@ from quillvault.functions.text import neutralise_frames, strip
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 SHARD_ROWS = 65_536
-TILE = 512
+TILE = 512  # questions and
+BLOCK = 8192  # chunks per matrix product, which bounds its memory
 DIGITS = 9
 
 
@@ -48,27 +49,37 @@ def best_of(
     ids, vectors = ids[order], vectors[order]
     tables = []
     for at in range(0, len(question_ids), TILE):
-        scores = np.round(questions[at : at + TILE] @ vectors.T, DIGITS)
-        scores[np.isnan(scores)] = -np.inf
-        keep = min(k, scores.shape[1])
-        limit = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1 : keep]
-        above = scores > limit
-        tied = scores == limit
-        room = keep - above.sum(axis=1, keepdims=True)
-        chosen = (above | (tied & (np.cumsum(tied, axis=1) <= room))) & np.isfinite(scores)
-        row, column = np.nonzero(chosen)
-        tables.append(
-            pa.table(
-                {
-                    "question_id": question_ids[at : at + TILE][row],
-                    "chunk_id": ids[column],
-                    "similarity": scores[row, column],
-                }
-            )
-        )
+        asked = question_ids[at : at + TILE]
+        found = [
+            _tile(asked, questions[at : at + TILE], ids[b : b + BLOCK], vectors[b : b + BLOCK], k)
+            for b in range(0, len(ids), BLOCK)
+        ]
+        tables.append(found[0] if len(found) == 1 else _keep_best(found, k))
     return pa.concat_tables(tables)
 
 
+def _tile(
+    question_ids: np.ndarray, questions: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
+) -> pa.Table:
+    """One block of scores; ``ids`` ascend, so among equal scores the leftmost ones win."""
+    scores = np.round(questions @ vectors.T, DIGITS)
+    scores[np.isnan(scores)] = -np.inf
+    keep = min(k, scores.shape[1])
+    limit = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1 : keep]
+    above = scores > limit
+    tied = scores == limit
+    room = keep - above.sum(axis=1, keepdims=True)
+    chosen = (above | (tied & (np.cumsum(tied, axis=1) <= room))) & np.isfinite(scores)
+    row, column = np.nonzero(chosen)
+    return pa.table(
+        {
+            "question_id": question_ids[row],
+            "chunk_id": ids[column],
+            "similarity": scores[row, column],
+        }
+    )
+
+
 def _keep_best(found: list[pa.Table], k: int) -> pa.Table:
     rows = pa.concat_tables(found).to_pandas()
     rows = rows.sort_values(["question_id", "similarity", "chunk_id"], ascending=[True, False, True])

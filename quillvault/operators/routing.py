@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from quillvault import fixed_values as fv
 from quillvault.functions.injection import with_injection_score
 from quillvault.functions.pii import pseudonymise
 from quillvault.functions.text import strip, with_content_hash
-from quillvault.plans.joins import BROADCAST_ROWS, HOT_ROWS, attach
+from quillvault.plans.joins import BROADCAST_ROWS, HOT_ROWS, attach, fits
+from quillvault.sources.shared import staged
 
 
 def prepared(
@@ -34,49 +36,83 @@ def prepared(
     )
 
 
-def statuses(
+@dataclass(frozen=True)
+class Verdicts:
+    """What routing needs to know per content hash; narrow tables, staged."""
+
+    repeats: DataFrame  # hashes on several rows: first passing order and number of rows
+    stored: DataFrame | None  # hashes already stored, with their number of new rows
+    order: str
+    threshold: float
+    broadcast_rows: int
+    hot_rows: int
+
+    def apply(self, rows: DataFrame) -> DataFrame:
+        """Add ``status`` to prepared rows, or to any part of them."""
+
+        def looked_up(left: DataFrame, right: DataFrame) -> DataFrame:
+            return attach(
+                left,
+                right,
+                "doc_sha256",
+                weight="_rows",
+                tie=self.order,
+                broadcast_rows=self.broadcast_rows,
+                hot_rows=self.hot_rows,
+            )
+
+        out = looked_up(rows, self.repeats)
+        duplicate = F.coalesce(F.col("_first") < F.col(self.order), F.lit(False))
+        if self.stored is not None:
+            out = looked_up(out, self.stored)
+            duplicate = duplicate | F.col("_hit").isNotNull()
+        status = (
+            F.when(duplicate, "duplicate")
+            .when(F.col("score") >= self.threshold, "quarantined")
+            .when(F.col("is_empty"), "empty")
+            .otherwise("ingested")
+        )
+        return out.withColumn("status", status).drop("_first", "_hit")
+
+
+def verdicts(
     rows: DataFrame,
     threshold: float,
     order: str = "ord",
     known: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Add ``status`` to prepared rows.
+) -> Verdicts:
+    """Find repeated and stored hashes among prepared rows.
 
     A row is a duplicate when a passing row of the same hash comes before it or is stored already.
     Copies of quarantined or empty rows are therefore not duplicates. "Comes before" needs only
     the smallest passing ``order`` per hash, which partial aggregation finds without bringing the
-    copies of a text together. ``rows`` is read twice: pass a staged table.
+    copies of a text together. ``rows`` is read more than once: pass a staged table.
     """
-    repeats = (
-        rows.groupBy("doc_sha256")
-        .agg(
-            F.min(F.when(F.col("passing"), F.col(order))).alias("_first"),
-            F.count("*").alias("_rows"),
-        )
-        .filter((F.col("_rows") > 1) & F.col("_first").isNotNull())
+    per_hash = rows.groupBy("doc_sha256").agg(
+        F.min(F.when(F.col("passing"), F.col(order))).alias("_first"),
+        F.count("*").alias("_rows"),
     )
-    out = attach(
-        rows,
-        repeats,
-        "doc_sha256",
-        weight="_rows",
-        tie=order,
-        broadcast_rows=broadcast_rows,
-        hot_rows=hot_rows,
-    )
-    stored: Column = F.lit(False)
+    repeats = per_hash.filter((F.col("_rows") > 1) & F.col("_first").isNotNull())
+    stored = None
     if known is not None:
-        out = with_stored_flag(out, known, order, broadcast_rows=broadcast_rows, hot_rows=hot_rows)
-        stored = F.col("_stored")
-    status = (
-        F.when(stored | F.coalesce(F.col("_first") < F.col(order), F.lit(False)), "duplicate")
-        .when(F.col("score") >= threshold, "quarantined")
-        .when(F.col("is_empty"), "empty")
-        .otherwise("ingested")
+        stored = staged(stored_keys(rows, known, "doc_sha256", broadcast_rows), "stored")
+    return Verdicts(
+        staged(repeats, "repeats"), stored, order, threshold, broadcast_rows, hot_rows
     )
-    return out.withColumn("status", status).drop("_first", "_stored")
+
+
+def statuses(
+    rows: DataFrame,
+    threshold: float,
+    order: str = "ord",
+    known: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Add ``status`` to staged prepared rows."""
+    return verdicts(rows, threshold, order, known, broadcast_rows, hot_rows).apply(rows)
 
 
 def first_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -84,36 +120,27 @@ def first_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min(order).alias(order), F.count("*").alias("copies"))
 
 
-def with_stored_flag(
-    rows: DataFrame,
-    known: DataFrame,
-    tie: str,
-    key: str = "doc_sha256",
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+def stored_keys(
+    rows: DataFrame, known: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Add ``_stored``: whether the key of the row occurs in ``known``."""
-    seen = (
-        rows.groupBy(key)
-        .agg(F.count("*").alias("_rows"))
-        .join(known.select(key).distinct(), key, "left_semi")
-        .withColumn("_hit", F.lit(True))
-    )
-    flagged = attach(
-        rows,
-        seen,
-        key,
-        weight="_rows",
-        tie=tie,
-        broadcast_rows=broadcast_rows,
-        hot_rows=hot_rows,
-    )
-    return flagged.withColumn("_stored", F.col("_hit").isNotNull()).drop("_hit")
+    """Keys of ``rows`` that occur in ``known``, with their number of rows.
+
+    A batch with few keys is looked up by scanning the known keys once without a shuffle.
+    """
+    keys = rows.groupBy(key).agg(F.count("*").alias("_rows"))
+    if fits(keys, broadcast_rows):
+        hits = known.select(key).join(F.broadcast(keys.select(key)), key, "left_semi").distinct()
+        found = keys.join(F.broadcast(hits), key, "left_semi")
+    else:
+        found = keys.join(known.select(key), key, "left_semi")
+    return found.withColumn("_hit", F.lit(True))
 
 
 def new_rows(rows: DataFrame, known: DataFrame, tie: str, key: str = "doc_sha256") -> DataFrame:
     """Rows whose key is not stored yet."""
-    return with_stored_flag(rows, known, tie, key).filter(~F.col("_stored")).drop("_stored")
+    seen = stored_keys(rows, known, key)
+    flagged = attach(rows, seen, key, weight="_rows", tie=tie)
+    return flagged.filter(F.col("_hit").isNull()).drop("_hit")
 
 
 def status_rollup(rows: DataFrame, chunks: str = "n_chunks") -> DataFrame:

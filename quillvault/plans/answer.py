@@ -53,7 +53,7 @@ def retrieve(
     ``questions`` has ``question_id, question`` and optionally ``k``. Ranking reads vectors only;
     texts are fetched and decrypted for the chunks that survive the threshold.
     """
-    chunks = store.read("chunks")
+    chunks = store.visible_chunks()
     if not require_one_space(space_verdict(chunks, settings.embed_model_tag)):
         nothing = questions.sparkSession.createDataFrame(
             [], "question_id bigint, chunk_id string, similarity double, rank int"
@@ -80,10 +80,10 @@ def retrieve(
     )
     largest = asked.agg(F.coalesce(F.max("k"), F.lit(settings.top_k))).first()[0]
     documents = store.read("documents").select("doc_sha256", "source_ref")
-    visible = chunks.join(documents, "doc_sha256", "left_semi").select(
+    vectors = chunks.select(
         chunk_key(F.col("doc_sha256"), F.col("chunk_index")).alias("chunk_id"), "embedding"
     )
-    found = nearest_chunks(asked.select("question_id", "embedding"), visible, largest)
+    found = nearest_chunks(asked.select("question_id", "embedding"), vectors, largest)
     found = staged(
         found.join(asked.select("question_id", "k"), "question_id")
         .filter(F.col("rank") <= F.col("k"))
@@ -91,14 +91,12 @@ def retrieve(
         "found",
     )
     kept = above_threshold(found, settings.sim_threshold)
-    kept = F.broadcast(kept) if fits(kept) else kept
+    few = fits(kept)
+    stored = chunks.withColumn("chunk_id", chunk_key(F.col("doc_sha256"), F.col("chunk_index")))
     opened = with_seal_check(
-        chunks.withColumn("chunk_id", chunk_key(F.col("doc_sha256"), F.col("chunk_index"))).join(
-            kept, "chunk_id"
-        ),
-        keys.seal,
-        keys.cipher,
-    ).join(documents, "doc_sha256")
+        stored.join(F.broadcast(kept) if few else kept, "chunk_id"), keys.seal, keys.cipher
+    )
+    opened = documents.join(F.broadcast(opened) if few else opened, "doc_sha256")
     opened = opened.select(
         "question_id",
         "chunk_id",

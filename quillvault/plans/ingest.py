@@ -18,11 +18,11 @@ from quillvault.operators.routing import (
     log_operation,
     prepared,
     status_rollup,
-    statuses,
+    verdicts,
 )
 from quillvault.plans.joins import fits
 from quillvault.settings import Settings
-from quillvault.sources.shared import spread, staged
+from quillvault.sources.shared import staged
 from quillvault.sources.store import Store
 
 Splitter = Callable[[Column, int, int], Column]
@@ -95,43 +95,36 @@ def ingest(
     Returns documents and chunks per status. The costly pass over the texts happens once; its
     result is staged encrypted, and every later step reads only the columns it needs. A document
     with a chunk the model could not embed is left out as a whole and counted under ``errors``.
+    The documents are written last; until then readers ignore the batch.
     """
     spark = rows.sparkSession
     ready = prepared(
-        spread(rows), "context", settings.injection_threshold, entities=entities
+        rows, "context", settings.injection_threshold, entities=entities
     ).withColumn("content_enc", encrypt(spark, F.col("text_pseudo"), keys.cipher))
     columns = (
         "ord source_ref doc_sha256 pii_stats score reasons is_empty passing content_enc".split()
     )
     ready = staged(ready.select(*columns), "ready")
-    routed = staged(
-        statuses(
-            ready.drop("content_enc"),
-            settings.injection_threshold,
-            known=store.known_hashes(batch),
-        ),
-        "routed",
-    )
+    found = verdicts(ready, settings.injection_threshold, known=store.known_hashes(batch))
+    routed = staged(found.apply(ready.drop("content_enc")), "routed")
 
-    accepted = routed.filter(F.col("status") == "ingested").select("ord", "doc_sha256")
-    held = routed.filter(F.col("status") == "quarantined").select(
-        "ord", "source_ref", "score", "reasons"
-    )
-    contents = ready.select("ord", "content_enc")
-    to_chunk = accepted.join(contents, "ord")
+    accepted = found.apply(ready.filter("passing")).filter(F.col("status") == "ingested")
     texts = decrypt(spark, F.col("content_enc"), keys.cipher)
-    chunks = staged(
-        sealed_chunks(chunk_rows(to_chunk, texts, settings, splitter), model, keys, settings),
-        "chunks",
-    )
-
-    sizes = chunks.groupBy("doc_sha256").agg(
-        F.count("*").alias("n_chunks"), F.max(F.col("embedding").isNull()).alias("failed")
+    pieces = chunk_rows(accepted, texts, settings, splitter)
+    store.write("chunks", sealed_chunks(pieces, model, keys, settings), batch)
+    chunks = store.read("chunks").filter(F.col("batch") == batch)
+    sizes = staged(
+        chunks.groupBy("doc_sha256").agg(
+            F.count("*").alias("n_chunks"), F.max(F.col("embedding").isNull()).alias("failed")
+        ),
+        "sizes",
     )
     failed = sizes.filter("failed").select("doc_sha256")
-    good_chunks = chunks.join(
-        F.broadcast(failed) if fits(failed) else failed, "doc_sha256", "left_anti"
-    )
+    if not failed.isEmpty():
+        failed = F.broadcast(failed) if fits(failed) else failed
+        whole = staged(chunks.join(failed, "doc_sha256", "left_anti").drop("batch"), "whole")
+        store.write("chunks", whole, batch)
+
     accepted_sizes = (
         routed.filter(F.col("status") == "ingested")
         .select("ord", "doc_sha256")
@@ -148,7 +141,20 @@ def ingest(
     )
     final = staged(final.drop("failed"), "final")
 
-    store.write("chunks", good_chunks, batch)
+    suspicious = ready.filter(F.col("score") >= settings.injection_threshold)
+    held = found.apply(suspicious).filter(F.col("status") == "quarantined")
+    store.write(
+        "quarantine",
+        held.select(
+            "source_ref",
+            F.array_join("reasons", ", ").alias("reason"),
+            F.col("score").cast("float").alias("score"),
+            "content_enc",
+            F.current_timestamp().alias("detected_at"),
+        ),
+        batch,
+    )
+    store.write("ingest_log", ingest_log(final), batch)
     store.write(
         "documents",
         final.filter(F.col("status") == "ingested").select(
@@ -161,18 +167,6 @@ def ingest(
         ),
         batch,
     )
-    store.write(
-        "quarantine",
-        held.join(contents, "ord").select(
-            "source_ref",
-            F.array_join("reasons", ", ").alias("reason"),
-            F.col("score").cast("float").alias("score"),
-            "content_enc",
-            F.current_timestamp().alias("detected_at"),
-        ),
-        batch,
-    )
-    store.write("ingest_log", ingest_log(final), batch)
     return status_rollup(final)
 
 

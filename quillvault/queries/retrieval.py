@@ -268,23 +268,24 @@ def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items with the document that shares most sentences with them."""
+    """Benchmark items with the first document that holds their longest shared sentence."""
 
     def sentences(df: DataFrame, key: str) -> DataFrame:
         cut = df.select(key, F.explode(F.split("text", r"\.")).alias("s"))
-        return cut.select(key, F.trim("s").alias("s")).filter(F.length("s") > 0).distinct()
+        return cut.select(key, F.trim("s").alias("s")).filter(F.length("s") > 0)
 
-    shared = (
-        sentences(table(spark, sf_dir, "benchmark"), "item_id")
-        .join(sentences(documents(spark, sf_dir), "doc_id"), "s")
-        .groupBy("item_id", "doc_id")
-        .agg(F.count("*").alias("n"))
+    first_holder = (
+        sentences(documents(spark, sf_dir), "doc_id").groupBy("s").agg(F.min("doc_id").alias("doc_id"))
+    )
+    asked = sentences(table(spark, sf_dir, "benchmark"), "item_id").distinct()
+    truth = (
+        asked.join(first_holder, "s")
         .groupBy("item_id")
-        .agg(F.max_by("doc_id", F.struct(F.col("n"), -F.col("doc_id"))).alias("doc_id"))
+        .agg(F.max_by("doc_id", F.struct(F.length("s"), F.col("s"))).alias("doc_id"))
     )
     return (
         _asked(spark, sf_dir)
-        .join(shared.withColumnRenamed("item_id", "question_id"), "question_id")
+        .join(truth.withColumnRenamed("item_id", "question_id"), "question_id")
         .withColumn("doc_sha256", F.sha2(F.col("doc_id").cast("string"), 256))
         .drop("doc_id")
     )
@@ -547,11 +548,10 @@ _HITS_SQL = f"""{PLAIN_SQL}, sizes AS (SELECT * FROM (VALUES (1, 500), (2, 1000)
   {_dense("cv", sql.hashed_vectors("w", "doc_id, size, chunk_index", "content", "search_document: ", 64),
           ("doc_id", "size", "chunk_index"))},
   sb AS (SELECT DISTINCT item_id, trim(unnest(string_split(text, '.')), ' ') AS s FROM benchmark),
-  sd AS (SELECT DISTINCT doc_id, trim(unnest(string_split(text, '.')), ' ') AS s FROM documents),
-  shared AS (SELECT item_id, doc_id, count(*) AS n FROM sb JOIN sd USING (s) WHERE s <> ''
-    GROUP BY item_id, doc_id),
-  truth AS (SELECT item_id, doc_id AS truth_id FROM shared
-    QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY n DESC, doc_id) = 1),
+  sd AS (SELECT doc_id, trim(unnest(string_split(text, '.')), ' ') AS s FROM documents),
+  holder AS (SELECT s, min(doc_id) AS doc_id FROM sd WHERE s <> '' GROUP BY s),
+  truth AS (SELECT item_id, doc_id AS truth_id FROM sb JOIN holder USING (s)
+    QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY length(s) DESC, s DESC) = 1),
   qs AS (SELECT item_id, text FROM benchmark WHERE item_id IN (SELECT item_id FROM truth)),
   {_dense("qv", sql.hashed_vectors("qs", "item_id", "text", "search_query: ", 64), ("item_id",))},
   found AS (SELECT q.item_id, c.doc_id, c.size, {_cosine_sql("q.e", "c.e")} AS s,

@@ -39,9 +39,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for row-wise work on an input that arrives in fewer partitions.
+    """Use every core for row-wise work on a plain scan that arrives in fewer partitions.
 
-    Large inputs already have more splits than cores and are returned as they are.
+    Large inputs already have more splits than cores and are returned as they are. Only for plain
+    scans: counting the partitions of a plan with a shuffle would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -1,8 +1,8 @@
 """The stored tables of a corpus: documents, chunks, quarantine and ingest log.
 
 Every batch writes its own ``batch=<id>`` folder and replaces it when it is run again, so a
-repeated or interrupted batch leaves no second copy. Chunks are written before the documents that
-make them visible.
+repeated or interrupted batch leaves no second copy. A batch counts once its documents are there:
+they are written last, and readers skip the chunks of other batches by partition pruning.
 """
 
 from __future__ import annotations
@@ -50,6 +50,11 @@ class Store:
         documents = self.read("documents").filter(F.col("batch") != except_batch)
         return documents.select("doc_sha256")
 
+    def visible_chunks(self) -> DataFrame:
+        """Chunks of finished batches."""
+        finished = [r["batch"] for r in self.read("documents").select("batch").distinct().collect()]
+        return self.read("chunks").filter(F.col("batch").isin(finished))  # one value per batch
+
     # Read access by role: an auditor sees metadata only, a reader never sees the quarantine.
     def audit_documents(self) -> DataFrame:
         return self.read("documents").select("pii_stats", "source_ref", "ingested_at")
