@@ -21,8 +21,10 @@ from quillvault.streaming.jobs import new_content, run_to_table, stream_ingest,
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = log_events(spark, sf_dir)
+    # The table has no time zone; its times are UTC.
+    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
     line = event_line(
-        F.col("ts"),
+        instant,
         F.col("event"),
         F.lit("query"),
         F.struct(F.lit("rag").alias("mode"), "n_chunks", "duration_s"),

@@ -32,10 +32,14 @@ def event_line(
     request_id: Column | None = None,
     level: Column | None = None,
 ) -> Column:
-    """One event as a JSON line; a null or empty request id leaves its field out."""
+    """One event as a JSON line; ``ts`` is a timestamp, written in UTC.
+
+    A null or empty request id leaves its field out.
+    """
+    utc = F.to_utc_timestamp(ts, F.current_timezone())
     request = F.nullif(request_id, F.lit("")) if request_id is not None else None
     fields = [
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'").alias("ts"),
+        F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'").alias("ts"),
         (level if level is not None else event_level(event)).alias("level"),
         event.alias("event"),
         component.alias("component"),
