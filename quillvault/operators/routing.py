@@ -44,27 +44,28 @@ class Verdicts:
     stored: DataFrame | None  # hashes already stored, with their number of new rows
     order: str
     threshold: float
-    broadcast_rows: int
     hot_rows: int
+    few_repeats: bool
+    few_stored: bool
 
     def apply(self, rows: DataFrame) -> DataFrame:
         """Add ``status`` to prepared rows, or to any part of them."""
 
-        def looked_up(left: DataFrame, right: DataFrame) -> DataFrame:
+        def looked_up(left: DataFrame, right: DataFrame, few: bool) -> DataFrame:
             return attach(
                 left,
                 right,
                 "doc_sha256",
                 weight="_rows",
                 tie=self.order,
-                broadcast_rows=self.broadcast_rows,
                 hot_rows=self.hot_rows,
+                few=few,
             )
 
-        out = looked_up(rows, self.repeats)
+        out = looked_up(rows, self.repeats, self.few_repeats)
         duplicate = F.coalesce(F.col("_first") < F.col(self.order), F.lit(False))
         if self.stored is not None:
-            out = looked_up(out, self.stored)
+            out = looked_up(out, self.stored, self.few_stored)
             duplicate = duplicate | F.col("_hit").isNotNull()
         status = (
             F.when(duplicate, "duplicate")
@@ -95,11 +96,18 @@ def verdicts(
         F.count("*").alias("_rows"),
     )
     repeats = per_hash.filter((F.col("_rows") > 1) & F.col("_first").isNotNull())
+    repeats = staged(repeats, "repeats")
     stored = None
     if known is not None:
         stored = staged(stored_keys(rows, known, "doc_sha256", broadcast_rows), "stored")
     return Verdicts(
-        staged(repeats, "repeats"), stored, order, threshold, broadcast_rows, hot_rows
+        repeats,
+        stored,
+        order,
+        threshold,
+        hot_rows,
+        few_repeats=fits(repeats, broadcast_rows),
+        few_stored=stored is not None and fits(stored, broadcast_rows),
     )
 
 

@@ -125,21 +125,20 @@ def ingest(
         whole = staged(chunks.join(failed, "doc_sha256", "left_anti").drop("batch"), "whole")
         store.write("chunks", whole, batch)
 
-    accepted_sizes = (
-        routed.filter(F.col("status") == "ingested")
-        .select("ord", "doc_sha256")
+    none = F.lit(0).cast("long")
+    others = routed.filter(F.col("status") != "ingested").withColumn("n_chunks", none)
+    ingested = (
+        routed.filter(F.col("status") == "ingested")  # one row per hash
         .join(sizes, "doc_sha256", "left")
-        .select("ord", "n_chunks", "failed")
+        .withColumns(
+            {
+                "status": F.when(F.col("failed"), "errors").otherwise(F.col("status")),
+                "n_chunks": F.when(F.col("failed"), none).otherwise(F.coalesce("n_chunks", none)),
+            }
+        )
+        .drop("failed")
     )
-    final = routed.join(accepted_sizes, "ord", "left").withColumns(
-        {
-            "status": F.when(F.col("failed"), "errors").otherwise(F.col("status")),
-            "n_chunks": F.when(
-                F.col("failed") | (F.col("status") != "ingested"), F.lit(0)
-            ).otherwise(F.coalesce("n_chunks", F.lit(0))),
-        }
-    )
-    final = staged(final.drop("failed"), "final")
+    final = staged(ingested.unionByName(others), "final")
 
     suspicious = ready.filter(F.col("score") >= settings.injection_threshold)
     held = found.apply(suspicious).filter(F.col("status") == "quarantined")

@@ -24,15 +24,19 @@ def attach(
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    few: bool | None = None,
 ) -> DataFrame:
     """Join ``right`` (one narrow row per key) to every row of ``left``.
 
     ``right[weight]`` is the number of left rows of the key and ``tie`` a left column that varies
     within a key. A right side of checked size is broadcast. Otherwise both sides are shuffled,
     and the rows of a key above ``hot_rows`` go to several tasks: at most ``rows / hot_rows`` keys
-    are that heavy, so their list is small enough to broadcast whatever the data.
+    are that heavy, so their list is small enough to broadcast whatever the data. ``few`` tells
+    the outcome of the size check where the caller has made it already.
     """
-    if fits(right, broadcast_rows):
+    if few is None:
+        few = fits(right, broadcast_rows)
+    if few:
         return left.join(F.broadcast(right.drop(weight)), key, how)
     copies = F.ceil(F.col(weight) / F.lit(hot_rows)).cast("int")
     hot = right.filter(F.col(weight) > hot_rows).select(key, copies.alias("_copies"))
