@@ -97,6 +97,12 @@ def with_seal_check(
 def integrity_report(chunks: DataFrame, seal_key: bytes, cipher_key: str) -> DataFrame:
     """Chunks and broken seals per document."""
     checked = with_seal_check(chunks, seal_key, cipher_key)
-    return checked.groupBy("document_id").agg(
-        F.count("*").alias("n_chunks"), F.count_if(~F.col("seal_ok")).alias("n_broken")
+    return (
+        checked.groupBy("doc_sha256")
+        .agg(
+            F.min("document_id").alias("document_id"),
+            F.count("*").alias("n_chunks"),
+            F.count_if(~F.col("seal_ok")).alias("n_broken"),
+        )
+        .drop("doc_sha256")
     )

@@ -96,7 +96,10 @@ def retrieve(
     opened = with_seal_check(
         stored.join(F.broadcast(kept) if few else kept, "chunk_id"), keys.seal, keys.cipher
     )
-    opened = documents.join(F.broadcast(opened) if few else opened, "doc_sha256")
+    # Only references of documents found are joined: a narrow table, at most one row per chunk kept.
+    hashes = kept.select(F.substring_index("chunk_id", ":", 1).alias("doc_sha256")).distinct()
+    refs = documents.join(F.broadcast(hashes) if few else hashes, "doc_sha256", "left_semi")
+    opened = opened.join(F.broadcast(refs) if few else refs, "doc_sha256")
     opened = opened.select(
         "question_id",
         "chunk_id",

@@ -26,7 +26,7 @@ def attach(
     hot_rows: int = HOT_ROWS,
     few: bool | None = None,
 ) -> DataFrame:
-    """Join ``right`` (one narrow row per key) to every row of ``left``.
+    """Join ``right`` (few narrow rows per key) to every row of ``left``.
 
     ``right[weight]`` is the number of left rows of the key and ``tie`` a left column that varies
     within a key. A right side of checked size is broadcast. Otherwise both sides are shuffled,
@@ -39,7 +39,7 @@ def attach(
     if few:
         return left.join(F.broadcast(right.drop(weight)), key, how)
     copies = F.ceil(F.col(weight) / F.lit(hot_rows)).cast("int")
-    hot = right.filter(F.col(weight) > hot_rows).select(key, copies.alias("_copies"))
+    hot = right.filter(F.col(weight) > hot_rows).select(key, copies.alias("_copies")).distinct()
     salted_left = (
         left.join(F.broadcast(hot), key, "left")
         .withColumn(

@@ -65,5 +65,11 @@ class Store:
     def audit_log(self) -> DataFrame:
         return self.read("ingest_log").select("ts", "operation", "detail", "ref_sha256")
 
+    def register_audit_views(self) -> None:
+        """Make the auditor's columns available to SQL as temporary views."""
+        self.audit_documents().createOrReplaceTempView("audit_documents")
+        self.audit_quarantine().createOrReplaceTempView("audit_quarantine")
+        self.audit_log().createOrReplaceTempView("audit_ingest_log")
+
     def reader_tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in ("documents", "chunks", "ingest_log")}

@@ -81,6 +81,20 @@ def test_attach_spreads_a_hot_key(spark):
     assert "_salt" in plan
 
 
+def test_attach_with_two_rows_per_key(spark):
+    left = spark.range(600).select("id", F.lit("k").alias("name"))
+    right = spark.createDataFrame(
+        [("k", "A", 600), ("k", "B", 600), ("z", "A", 0)], "name string, category string, n long"
+    )
+    out = attach(
+        left, right, "name", weight="n", tie="id", how="inner", broadcast_rows=0, hot_rows=50
+    )
+    assert {r.category: r["count"] for r in out.groupBy("category").count().collect()} == {
+        "A": 600,
+        "B": 600,
+    }
+
+
 def test_new_rows(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "i int, doc_sha256 string")
     known = spark.createDataFrame([("b",)], "doc_sha256 string")
@@ -158,6 +172,9 @@ def test_stored_text_is_encrypted_and_free_of_personal_data(filled):
     assert stats["rag12000:5"] == {"EMAIL": 1, "PHONE": 1}
     assert set(store.audit_quarantine().columns) == {"source_ref", "reason", "score", "detected_at"}
     assert "quarantine" not in store.reader_tables()
+    store.register_audit_views()
+    sql = store.spark.sql("SELECT count(source_ref) AS n FROM audit_quarantine WHERE score >= 0.5")
+    assert sql.first().n == store.read("quarantine").count()
 
 
 def test_seals_hold_and_break(filled):
