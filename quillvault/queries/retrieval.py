@@ -39,6 +39,7 @@ from quillvault.operators.retrieval import (
 )
 from quillvault.plans.answer import build_prompts, retrieve
 from quillvault.plans.ingest import ingest
+from quillvault.plans.joins import fits
 from quillvault.queries import sql
 from quillvault.queries.corpus import KEYS, SETTINGS
 from quillvault.queries.inputs import ANSWERS_SQL, PLAIN_SQL, answers, documents, table
@@ -230,7 +231,8 @@ def _context(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
     found = above_threshold(nearest_chunks(asked, vectors, K), 0.85)
     found = staged(found, "found")
-    context = chunks.join(F.broadcast(found), "chunk_id").withColumn(
+    found = F.broadcast(found) if fits(found) else found
+    context = chunks.join(found, "chunk_id").withColumn(
         "source_ref", source_ref(F.col("doc_id"))
     )
     return questions, context

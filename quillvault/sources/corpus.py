@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from quillvault import fixed_values as fv
 from quillvault.functions.text import source_ref
 from quillvault.plans.joins import fits
+from quillvault.sources.shared import staged
 
 CORPUS_SCHEMA = T.StructType(
     [
@@ -92,15 +93,39 @@ def shuffle_key(seed: int, identifier: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}:"), identifier.cast("string")), 256)
 
 
-def seeded_sample(df: DataFrame, identifier: str, n: int, seed: int) -> DataFrame:
-    """The first ``n`` rows in seeded order, with their 0-based place as ``sample_ord``."""
-    picked = (
-        df.withColumn("_key", shuffle_key(seed, F.col(identifier)))
+def seeded_sample(
+    df: DataFrame, identifier: str, n: int, seed: int, one_task: int = 100_000
+) -> DataFrame:
+    """The first ``n`` rows in seeded order, with their 0-based place as ``sample_ord``.
+
+    ``identifier`` is unique. A sample above ``one_task`` rows is numbered by a distributed sort
+    of the ids alone, which the rows then join.
+    """
+    key = shuffle_key(seed, F.col(identifier))
+    if n <= one_task:
+        picked = df.withColumn("_key", key).orderBy("_key", identifier).limit(n)
+        place = F.row_number().over(Window.orderBy("_key", identifier)) - 1
+        return picked.withColumn("sample_ord", place.cast("long")).drop("_key")
+    ordered = staged(
+        df.select(identifier, key.alias("_key"))
         .orderBy("_key", identifier)
-        .limit(n)
+        .select(
+            identifier,
+            F.spark_partition_id().alias("_part"),
+            F.monotonically_increasing_id().alias("_place"),
+        ),
+        "order",
+    )
+    parts = ordered.groupBy("_part").agg(
+        F.min("_place").alias("_first"), F.count("*").alias("_rows")
+    )
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    shift = parts.select("_part", (F.col("_before") - F.col("_first")).alias("_shift"))
+    places = ordered.join(F.broadcast(shift), "_part").select(  # one row per sort partition
+        identifier, (F.col("_place") + F.col("_shift")).alias("sample_ord")
     )
-    place = F.row_number().over(Window.orderBy("_key", identifier)) - 1
-    return picked.withColumn("sample_ord", place.cast("long")).drop("_key")
+    return df.join(places.filter(F.col("sample_ord") < n), identifier)
 
 
 def write_extract(df: DataFrame, path: str, n: int, seed: int, identifier: str) -> None:

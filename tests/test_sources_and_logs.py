@@ -66,6 +66,8 @@ def test_sample_depends_on_seed_only(spark):
     other = [r.source_id for r in seeded_sample(df, "source_id", 20, 43).collect()]
     assert one == two and len(one) == 20 and set(one) != set(other)
     assert seeded_sample(df, "source_id", 1000, 1).count() == 500
+    spread = seeded_sample(df.repartition(5), "source_id", 20, 42, one_task=5)
+    assert [r.source_id for r in spread.orderBy("sample_ord").collect()] == one
 
 
 def test_extract(spark):
