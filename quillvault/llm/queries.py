@@ -6,8 +6,40 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillvault.llm.bpe import encoding_digests
+from quillvault.llm.decontaminate import contaminated
+from quillvault.llm.embeddings import near_duplicates
+from quillvault.llm.pii import personal_data
+from quillvault.llm.quality import quality_scores
+from quillvault.llm.simhash import near_copies
 from quillvault.llm.tables import read
 from quillvault.llm.token_counts import count_tokens
+from quillvault.llm.warc import archived
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(read(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(spark, read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+     f AS (SELECT payload_digest, min(page_id) AS first_id FROM p
+           WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,14 +48,32 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read(spark, sf_dir, "documents"))
+
+
 #: name -> (query, equivalent SQL or None)
 QUERIES = {
+    "op1_quality": (op1_quality, None),
+    "op2_simhash": (op2_simhash, None),
+    "op4_warc": (op4_warc, OP4_SQL),
     "op5_bpe_codec": (op5_bpe_codec, None),
+    "op6_decontamination": (op6_decontamination, None),
+    "op7_embeddings": (op7_embeddings, None),
     "op8_token_counts": (op8_token_counts, None),
+    "op9_personal_data": (op9_personal_data, None),
 }
