@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from quillvault.llm.bpe import encoding_digests
 from quillvault.llm.decontaminate import contaminated
 from quillvault.llm.embeddings import near_duplicates
+from quillvault.llm.licences import licence_scan
 from quillvault.llm.pii import personal_data
 from quillvault.llm.quality import quality_scores
+from quillvault.llm.repeats import remove_repeats
 from quillvault.llm.simhash import near_copies
 from quillvault.llm.tables import read
 from quillvault.llm.token_counts import count_tokens
@@ -24,6 +26,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(read(spark, sf_dir, "documents"))
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(read(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(spark, read(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -66,14 +72,20 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read(spark, sf_dir, "documents"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
 #: name -> (query, equivalent SQL or None)
 QUERIES = {
     "op1_quality": (op1_quality, None),
     "op2_simhash": (op2_simhash, None),
+    "op3_licences": (op3_licences, None),
     "op4_warc": (op4_warc, OP4_SQL),
     "op5_bpe_codec": (op5_bpe_codec, None),
     "op6_decontamination": (op6_decontamination, None),
     "op7_embeddings": (op7_embeddings, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_personal_data": (op9_personal_data, None),
+    "op10_repeats": (op10_repeats, None),
 }
