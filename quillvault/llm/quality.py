@@ -187,7 +187,7 @@ def fit(rows: DataFrame, passes: int = PASSES) -> Model:
         mean_p = s["positive"] / n_p
         risk = (
             prior * (plus_p / n_p - mean_p @ weights)
-            + max(0.0, negative)
+            + abs(negative)
             + 0.5 * (ridge * weights) @ weights
         )
         if best is not None and risk > best[0] + 1e-12 and size > 1 / 64:
