@@ -199,7 +199,8 @@ class Benchmark:
         for i, e in index.within(prints):
             item_id, wanted, _ = entries[e]
             share = similarity(shingles(words[first + i : first + i + n]), wanted)
-            if share >= SIMILARITY and (item_id not in found or share > found[item_id][0]):
+            best, at = found.get(item_id, (0.0, 0))
+            if share >= SIMILARITY and (share, at) > (best, first + i):
                 found[item_id] = (share, first + i)
 
 

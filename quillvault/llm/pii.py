@@ -185,13 +185,14 @@ def context_totals(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     A filter of constant size keeps most other contexts from being shuffled; what it lets through
     by chance falls out in the join.
     """
-    slots = wanted.select(F.pmod(F.crc32(F.col("pattern").cast("binary")), F.lit(BITS)).alias("s"))
+    # The bitmap functions count from 1.
+    slot_of = F.pmod(F.crc32(F.col("pattern").cast("binary")), F.lit(BITS)) + 1
+    slots = wanted.select(slot_of.alias("s"))
     filled = (
         slots.groupBy(F.bitmap_bucket_number("s").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
         .collect()  # at most BITS / 32768 rows of 4 KB
     )
-    # Positions of a bucket run from 0; bucket numbers run from 1, with slot 0 in bucket 0.
     bits = {row["bucket"]: bytes(row["bits"]) for row in filled}
 
     def make():
