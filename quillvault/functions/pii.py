@@ -1,16 +1,24 @@
 """Personal-data spans, pseudonym tokens and answer masking as native column expressions.
 
 A span is ``struct<start:int, end:int, category:string, value:string>`` with 0-based character
-offsets. All work stays inside one row, so none of it shuffles. The expressions are SQL text over
+offsets. All work stays inside one row, so none of it shuffles, and all of it is linear in the
+spans of a text (but for sorting them). Built-in functions find and check the matches. Running
+sums, numbering and cutting have no built-in that is linear, so these go through Arrow batches,
+with null in place of every text and list that has no span. The expressions are SQL text over
 column names; the names of columns to work on must be plain identifiers.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillvault import fixed_values as fv
 from quillvault.functions.barrier import settled
@@ -54,22 +62,108 @@ def matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def match_spans_sql(text: str, pattern: str, found: str, category: str) -> str:
-    """Spans of ``found`` (the matches of ``pattern``), from the lengths of the text between."""
-    return f"""CASE WHEN size({found}) > 0 THEN aggregate(
-        zip_with(slice(split({text}, r'{pattern}', -1), 1, size({found})), {found},
-            (gap, value) -> named_struct('gap', length(gap), 'value', value)),
-        named_struct('pos', 0, 'out', {NO_SPANS}),
-        (acc, x) -> named_struct(
-            'pos', acc.pos + x.gap + length(x.value),
-            'out', array_append(acc.out, named_struct(
-                'start', acc.pos + x.gap, 'end', acc.pos + x.gap + length(x.value),
-                'category', '{category}', 'value', x.value))),
-        acc -> acc.out) ELSE {NO_SPANS} END"""
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def match_starts(gaps: pa.Array, lengths: pa.Array) -> pa.Array:
+    """Where every match starts, from the lengths of the text between and of the matches."""
+    counts = pc.fill_null(pc.list_value_length(gaps), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    between = gaps.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    matched = lengths.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(between + matched)])
+    starts = ends[1:] - matched - np.repeat(ends[offsets[:-1]], counts)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(starts.astype(np.int32)))
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def free_spans(layers: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+    """Places of the spans that overlap no kept span of an earlier layer."""
+    return pa.array(
+        [
+            None if layer is None else _free(layer, start, end)
+            for layer, start, end in zip(
+                layers.to_pylist(), starts.to_pylist(), ends.to_pylist(), strict=True
+            )
+        ],
+        pa.list_(pa.int32()),
+    )
+
 
+def _free(layers: list[int], starts: list[int], ends: list[int]) -> list[int]:
+    kept: list[int] = []
+    taken: list[tuple[int, int]] = []  # of earlier layers, sorted; none overlaps another
+    fresh: list[tuple[int, int]] = []
+    now = None
+    for i in sorted(range(len(layers)), key=layers.__getitem__):
+        if layers[i] != now:
+            for span in fresh:
+                insort(taken, span)
+            fresh, now = [], layers[i]
+        before = bisect_left(taken, (ends[i], -1))
+        if not before or taken[before - 1][1] <= starts[i]:
+            kept.append(i)
+            fresh.append((starts[i], ends[i]))
+    return kept
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def numbered_tokens(categories: pa.Array, keys: pa.Array) -> pa.Array:
+    """``[CATEGORY_n]``: n is the place of the key among first appearances in its category."""
+    out = []
+    for row, names in zip(categories.to_pylist(), keys.to_pylist(), strict=True):
+        if row is None:
+            out.append(None)
+            continue
+        known: dict[str, dict[str, int]] = {}
+        tokens = []
+        for category, key in zip(row, names, strict=True):
+            numbers = known.setdefault(category, {})
+            tokens.append(f"[{category}_{numbers.setdefault(key, len(numbers) + 1)}]")
+        out.append(tokens)
+    return pa.array(out, pa.list_(pa.string()))
+
+
+@F.arrow_udf(T.StringType())
+def spliced(texts: pa.Array, starts: pa.Array, ends: pa.Array, tokens: pa.Array) -> pa.Array:
+    """Texts with their sorted, non-overlapping spans replaced by tokens."""
+    out = []
+    for i, text in enumerate(texts.to_pylist()):
+        if text is None:
+            out.append(None)
+            continue
+        parts, at = [], 0
+        for start, end, token in zip(
+            starts[i].as_py(), ends[i].as_py(), tokens[i].as_py(), strict=True
+        ):
+            parts += [text[at:start], token]
+            at = end
+        out.append("".join([*parts, text[at:]]))
+    return pa.array(out, pa.string())
+
+
+def with_match_spans(
+    df: DataFrame, text: str, found: dict[str, tuple[str, str]], prefix: str = "_spans_"
+) -> DataFrame:
+    """Add ``<prefix><category>``: spans of the matches in column ``found[category]``.
 
-def overlaps_sql(span: str, others: str) -> str:
-    return f"exists({others}, other -> {span}.start < other.end AND {span}.end > other.start)"
+    ``found`` gives per category the pattern and the column that holds its matches.
+    """
+    sizes, starts, spans = {}, {}, {}
+    for c, (pattern, column) in found.items():
+        sizes[f"_gaps_{c}"] = (
+            f"CASE WHEN size({column}) > 0 THEN transform(slice(split({text}, r'{pattern}', -1), "
+            f"1, size({column})), g -> length(g)) END"
+        )
+        sizes[f"_lengths_{c}"] = (
+            f"CASE WHEN size({column}) > 0 THEN transform({column}, v -> length(v)) END"
+        )
+        starts[f"_starts_{c}"] = match_starts(F.col(f"_gaps_{c}"), F.col(f"_lengths_{c}"))
+        spans[f"{prefix}{c}"] = (
+            f"CASE WHEN size({column}) > 0 THEN zip_with(_starts_{c}, {column}, (s, v) -> "
+            f"named_struct('start', s, 'end', s + length(v), 'category', '{c}', 'value', v)) "
+            f"ELSE {NO_SPANS} END"
+        )
+    df = _add(df, sizes).withColumns(starts)
+    return _add(df, spans).drop(*sizes, *starts)
 
 
 def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -98,32 +192,50 @@ def with_pii_spans(
             for c in chosen
         },
     )
-    located = {}
-    for c in chosen:
-        spans = match_spans_sql(text, _PATTERNS[c], f"_found_{c}", c)
-        located[f"_spans_{c}"] = (
-            f"filter({spans}, s -> {_PLAUSIBLE[c]})" if c in _PLAUSIBLE else spans
-        )
-    df = _add(df, located)
-
-    layers = [*located, *([entities] if entities else [])]
-    kept = layers[0] if layers else NO_SPANS
-    for depth, layer in enumerate(layers[1:], start=1):
-        fresh = f"filter({layer}, s -> NOT {overlaps_sql('s', kept)})"
-        df = _add(df, {f"_kept_{depth}": f"concat({kept}, {fresh})"})
-        kept = f"_kept_{depth}"
-    df = df.selectExpr(*[f"`{c}`" for c in given], f"array_sort({kept}) AS {out}")
+    df = with_match_spans(df, text, {c: (_PATTERNS[c], f"_found_{c}") for c in chosen})
+    layers = [
+        f"filter(_spans_{c}, s -> {_PLAUSIBLE[c]})" if c in _PLAUSIBLE else f"_spans_{c}"
+        for c in chosen
+    ] + ([f"coalesce({entities}, {NO_SPANS})"] if entities else [])
+    if not layers:
+        return df.selectExpr(*[f"`{c}`" for c in given], f"{NO_SPANS} AS {out}")
+    df = with_free_spans(df, {str(i): layer for i, layer in enumerate(layers)}, "_kept")
+    spans = "array_sort(transform(_kept, k -> k.span))"
+    df = df.selectExpr(*[f"`{c}`" for c in given], f"{spans} AS {out}")
     return settled(df, out)
 
 
-def splice_sql(text: str, edits: str) -> str:
-    """Replace ``edits`` (sorted, non-overlapping ``start, end, token``) in ``text``."""
-    return f"""CASE WHEN size({edits}) > 0 THEN concat(
-        array_join(transform({edits}, (e, i) -> concat(
-            substr({text}, coalesce(get({edits}, i - 1).end, 0) + 1,
-                e.start - coalesce(get({edits}, i - 1).end, 0)),
-            e.token)), ''),
-        substr({text}, element_at({edits}, -1).end + 1)) ELSE {text} END"""
+def with_free_spans(df: DataFrame, layers: dict[str, str], out: str) -> DataFrame:
+    """Add ``out``: the spans of all ``layers`` (name -> list) that overlap none kept before.
+
+    An earlier layer goes first. Elements are ``struct<layer:string, span>``.
+    """
+    ranked = ", ".join(
+        f"transform({sql}, s -> named_struct('layer', '{name}', 'depth', {depth}, 'span', s))"
+        for depth, (name, sql) in enumerate(layers.items())
+    )
+    given = df.columns
+    df = settled(_add(df, {"_every": f"concat({ranked})"}), "_every")
+
+    def part(field: str) -> Column:
+        return F.expr(f"CASE WHEN size(_every) > 0 THEN _every.{field} END")
+
+    df = df.withColumn("_free", free_spans(part("depth"), part("span.start"), part("span.end")))
+    kept = "transform(coalesce(_free, cast(array() AS array<int>)), i -> _every[i])"
+    return df.selectExpr(*[f"`{c}`" for c in given], f"{kept} AS {out}")
+
+
+def with_edits_made(df: DataFrame, text: str, edits: str, out: str) -> DataFrame:
+    """Add ``out``: ``text`` with ``edits`` (sorted, non-overlapping ``start, end, token``) made."""
+
+    def part(field: str) -> Column:
+        return F.expr(f"CASE WHEN size({edits}) > 0 THEN {edits}.{field} END")
+
+    edited = F.expr(f"CASE WHEN size({edits}) > 0 THEN {text} END")
+    made = spliced(edited, part("start"), part("end"), part("token"))
+    return df.withColumn("_made", made).withColumn(
+        out, F.when(F.expr(f"size({edits}) > 0"), F.col("_made")).otherwise(F.col(text))
+    ).drop("_made")
 
 
 def category_counts_sql(spans: str) -> str:
@@ -135,17 +247,8 @@ def category_counts_sql(spans: str) -> str:
 
 _STRIPPED = f"regexp_replace(s.value, r'^[{fv.WS}]+|[{fv.WS}]+\\z', '')"
 # Equal keys share a token; the case of an e-mail address does not matter.
-_KEYED = f"""transform(_spans, s -> named_struct('start', s.start, 'end', s.end,
-    'category', s.category,
-    'key', CASE WHEN s.category = 'EMAIL' THEN lower({_STRIPPED}) ELSE {_STRIPPED} END))"""
-_VOCABULARY = (
-    "array_distinct(transform(_keyed, s -> named_struct('category', s.category, 'key', s.key)))"
-)
-# The number of a token is the place of its key among first appearances in its category.
-_NUMBERED = """transform(_keyed, s -> named_struct('start', s.start, 'end', s.end,
-    'token', concat('[', s.category, '_', cast(array_position(
-        transform(filter(_vocabulary, v -> v.category = s.category), v -> v.key), s.key)
-        AS string), ']')))"""
+_KEYS = f"""CASE WHEN size(_spans) > 0 THEN transform(_spans, s ->
+    CASE WHEN s.category = 'EMAIL' THEN lower({_STRIPPED}) ELSE {_STRIPPED} END) END"""
 
 
 def pseudonymise(
@@ -159,14 +262,17 @@ def pseudonymise(
     """Replace personal data by numbered tokens and count occurrences; not reversible."""
     given = [f"`{c}`" for c in df.columns]
     df = with_pii_spans(df, text, "_spans", categories, entities)
-    df = _add(df, {"_keyed": _KEYED})
-    df = _add(df, {"_vocabulary": _VOCABULARY})
-    df = _add(df, {"_edits": _NUMBERED})
-    df = df.selectExpr(
-        *given,
-        f"{splice_sql(text, '_edits')} AS {out}",
-        f"{category_counts_sql('_spans')} AS {stats}",
+    categories_found = F.expr("CASE WHEN size(_spans) > 0 THEN _spans.category END")
+    df = df.withColumn("_tokens", numbered_tokens(categories_found, F.expr(_KEYS)))
+    df = _add(
+        df,
+        {
+            "_edits": """CASE WHEN size(_spans) > 0 THEN zip_with(_spans, _tokens, (s, t) ->
+                named_struct('start', s.start, 'end', s.end, 'token', t)) END"""
+        },
     )
+    df = with_edits_made(settled(df, "_edits"), text, "_edits", out)
+    df = df.selectExpr(*given, out, f"{category_counts_sql('_spans')} AS {stats}")
     return settled(df, out, stats)
 
 
@@ -212,7 +318,8 @@ def filter_answers(
             ),
         }
     )
-    df = _add(df, {"_url_spans": match_spans_sql(text, fv.URL, "_urls", "URL")})
+    df = with_match_spans(df, text, {"URL": (fv.URL, "_urls")}, prefix="_url_spans_")
+    df = df.withColumnRenamed("_url_spans_URL", "_url_spans")
     df = df.withColumn(
         "_foreign",
         F.filter(
@@ -220,26 +327,24 @@ def filter_answers(
             lambda s: ~F.array_contains(F.col("_allowed"), canonical_url(s["value"])),
         ),
     )
-    if strict:
-        cuts = "_foreign"
-        masks = f"filter(_spans, s -> NOT {overlaps_sql('s', '_foreign')})"
-    else:
-        cuts = f"filter(_foreign, s -> NOT {overlaps_sql('s', '_spans')})"
-        masks = "_spans"
-    df = _add(df, {"_masks": masks, "_cuts": cuts})
+    first, second = ("cut", "mask") if strict else ("mask", "cut")
+    found = {"mask": "_spans", "cut": "_foreign"}
+    df = with_free_spans(df, {kind: found[kind] for kind in (first, second)}, "_kept")
     df = _add(
         df,
         {
-            "_edits": f"""array_sort(concat(
-                transform(_masks, s -> named_struct('start', s.start, 'end', s.end,
-                    'token', concat('[', s.category, '{fv.MASK_SUFFIX}'))),
-                transform(_cuts, s -> named_struct('start', s.start, 'end', s.end,
-                    'token', '{fv.URL_NEUTRALISED}'))))"""
+            "_masks": "transform(filter(_kept, k -> k.layer = 'mask'), k -> k.span)",
+            "_cuts": "filter(_kept, k -> k.layer = 'cut')",
+            "_edits": f"""array_sort(transform(_kept, k -> named_struct(
+                'start', k.span.start, 'end', k.span.end, 'token',
+                CASE WHEN k.layer = 'cut' THEN '{fv.URL_NEUTRALISED}'
+                ELSE concat('[', k.span.category, '{fv.MASK_SUFFIX}') END)))""",
         },
     )
+    df = with_edits_made(settled(df, "_edits", "_masks", "_cuts"), text, "_edits", out)
     df = df.selectExpr(
         *given,
-        f"{splice_sql(text, '_edits')} AS {out}",
+        out,
         f"{category_counts_sql('_masks')} AS masked",
         "size(_cuts) AS urls_neutralized",
         "_tokens AS tokens_passed",

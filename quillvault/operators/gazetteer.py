@@ -2,51 +2,68 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillvault.functions.pii import NO_SPANS, SPANS, overlaps_sql
+from quillvault import fixed_values as fv
+from quillvault.functions.barrier import settled
+from quillvault.functions.pii import NO_SPANS, NO_STRINGS, matches_sql, with_match_spans
 from quillvault.plans.joins import BROADCAST_ROWS, HOT_ROWS, attach, fits
 
-_WORD = re.compile(r"[\w#&'.\-]*\w")
-_RUNS = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("start", T.IntegerType()),
-            T.StructField("end", T.IntegerType()),
-            T.StructField("name", T.StringType()),
-        ]
+# The look-behind keeps a long run of signs without a letter from being tried at every place.
+_SIGN = rf"{fv.WORD}#&\x27.\-"
+WORDS = rf"(?<![{_SIGN}])[{_SIGN}]*[{fv.WORD}]"
+
+
+def word_runs(df: DataFrame, text: str, lengths: Sequence[int], *keep: str) -> DataFrame:
+    """One row per run of as many words as ``lengths`` lists: ``keep``, ``start, end, name``.
+
+    Words come from one regular expression; a longer run is put together from its words and the
+    text between them.
+    """
+    df = df.select(*keep, F.col(text).alias("_text")).selectExpr(
+        *keep,
+        "_text",
+        f"CASE WHEN _text IS NOT NULL THEN {matches_sql('_text', WORDS)} ELSE {NO_STRINGS} END "
+        "AS _words",
     )
-)
-
-
-def word_runs(text: Column, lengths: Sequence[int]) -> Column:
-    """All runs of as many words as ``lengths`` lists, with their place in the text."""
-    wanted = sorted(set(lengths))
-
-    @F.arrow_udf(_RUNS)
-    def runs(texts: pa.Array) -> pa.Array:
-        offsets, starts, ends, names = [0], [], [], []
-        for body in texts.to_pylist():
-            places = [m.span() for m in _WORD.finditer(body or "")]
-            for n in wanted:
-                for (start, _), (_, end) in zip(places, places[n - 1 :]):
-                    starts.append(start)
-                    ends.append(end)
-                    names.append(body[start:end])
-            offsets.append(len(starts))
-        items = pa.StructArray.from_arrays(
-            [pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(names, pa.string())],
-            ["start", "end", "name"],
+    df = with_match_spans(settled(df, "_words"), "_text", {"W": (WORDS, "_words")})
+    df = settled(
+        df.selectExpr(*keep, "_words", "_spans_W AS _spans", f"split(_text, r'{WORDS}', -1) AS _gaps"),
+        "_spans",
+        "_gaps",
+    )
+    runs = []
+    for n in sorted(set(lengths)):
+        name = ", ".join(
+            f"_words[i + {j}]" if not j else f"_gaps[i + {j}], _words[i + {j}]" for j in range(n)
+        )
+        runs.append(
+            f"CASE WHEN size(_words) >= {n} THEN transform(sequence(0, size(_words) - {n}), i -> "
+            f"named_struct('start', _spans[i].start, 'end', _spans[i + {n - 1}].end, "
+            f"'name', concat({name}))) "
+            "ELSE cast(array() AS array<struct<start:int,end:int,name:string>>) END"
         )
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
+    every = f"concat({', '.join(runs)})" if len(runs) > 1 else runs[0]
+    return df.selectExpr(*keep, f"inline_outer({every})").filter(F.col("name").isNotNull())
+
 
-    return runs(text)
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def leftmost(starts: pa.Array, ends: pa.Array) -> pa.Array:
+    """Places of the spans (sorted by start) that begin at or after the end of the last one taken."""
+    out = []
+    for row, stops in zip(starts.to_pylist(), ends.to_pylist(), strict=True):
+        taken, at = [], 0
+        for i, (start, end) in enumerate(zip(row, stops, strict=True)):
+            if start >= at:
+                taken.append(i)
+                at = end
+        out.append(taken)
+    return pa.array(out, pa.list_(pa.int32()))
 
 
 def entity_mentions(
@@ -65,12 +82,11 @@ def entity_mentions(
     dropped before the shuffle, and frequent names are spread over several tasks.
     """
     names = names.select("name", "category").distinct()
-    counted = names.select(F.size(word_runs(F.col("name"), [1])).alias("n")).distinct()
+    counted = names.select(F.regexp_count("name", F.lit(WORDS)).alias("n")).distinct()
     lengths = [r["n"] for r in counted.collect() if r["n"] > 0]  # distinct word counts only
     if not lengths:
         raise ValueError("the dictionary holds no name")
-    runs = docs.select(key, F.inline_outer(word_runs(F.col(text), lengths)))
-    runs = runs.filter(F.col("name").isNotNull())
+    runs = word_runs(docs, text, lengths, key)
     if fits(names, broadcast_rows):
         found = runs.join(F.broadcast(names), "name")
     else:
@@ -98,13 +114,12 @@ def entity_spans(mentions: DataFrame, key: str, out: str = "entities") -> DataFr
             )
         ).alias("_ordered")
     )
-    plain = """transform(_ordered, m -> named_struct('start', m.start, 'end', m.end,
-        'category', m.category, 'value', m.value))"""
-    latest = "slice(kept, greatest(size(kept), 1), 1)"
-    return ordered.selectExpr(
+    starts, ends = F.col("_ordered.start"), F.col("_ordered.end")
+    return ordered.withColumn("_taken", leftmost(starts, ends)).selectExpr(
         f"`{key}`",
-        f"""cast(aggregate({plain}, {NO_SPANS}, (kept, s) -> CASE WHEN {overlaps_sql('s', latest)}
-            THEN kept ELSE array_append(kept, s) END) AS {SPANS}) AS {out}""",
+        """transform(_taken, i -> named_struct('start', _ordered[i].start, 'end', _ordered[i].end,
+        'category', _ordered[i].category, 'value', _ordered[i].value)) AS """
+        + out,
     )
 
 
