@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -13,6 +14,8 @@ from quillvault.functions.chunking import recursive_chunks
 from quillvault.functions.embedding import Embedder
 from quillvault.functions.integrity import decrypt, encrypt, seal
 from quillvault import fixed_values as fv
+from quillvault.operators.gazetteer import with_entities
+from quillvault.operators.journal import as_lines, ingest_events
 from quillvault.operators.routing import (
     log_detail,
     log_operation,
@@ -20,9 +23,9 @@ from quillvault.operators.routing import (
     status_rollup,
     verdicts,
 )
-from quillvault.plans.joins import fits
 from quillvault.settings import Settings
-from quillvault.sources.shared import staged
+from quillvault.sources.events import write_events
+from quillvault.sources.shared import scratch, staged
 from quillvault.sources.store import Store
 
 Splitter = Callable[[Column, int, int], Column]
@@ -88,16 +91,60 @@ def ingest(
     batch: str,
     settings: Settings = Settings(),
     splitter: Splitter = recursive_chunks,
-    entities: str | None = None,
+    *,
+    names: DataFrame | None,
+    journal: str | None = None,
 ) -> DataFrame:
-    """Ingest ``rows`` (``ord, source_ref, context``) as one repeatable batch.
-
-    Returns documents and chunks per status. The costly pass over the texts happens once; its
-    result is staged encrypted, and every later step reads only the columns it needs. A document
-    with a chunk the model could not embed is left out as a whole and counted under ``errors``.
-    The documents are written last; until then readers ignore the batch.
+    """Ingest ``rows`` (``ord, source_ref, context``; ``ord`` is unique) as one repeatable batch.
+
+    ``names`` (``name, category``) is the dictionary of entities to pseudonymise; it must be stated,
+    and None says that names are left as they are. Returns documents and chunks per status. The
+    costly pass over the texts happens once; its result is staged encrypted, and every later step
+    reads only the columns it needs. A document with a chunk the model could not embed is left out
+    as a whole: it and its copies count under ``errors``. One commit at the end makes all four tables
+    visible; until then readers see the batch as it was. Staged tables are emptied afterwards.
+    With ``journal`` the events of the batch are appended to the log at that path.
     """
     spark = rows.sparkSession
+    attempt = store.begin()
+    with scratch(spark):
+        if journal:
+            started = rows.agg(F.count("*").alias("documents")).select(
+                F.lit("ingest_start").alias("event"),
+                F.lit("INFO").alias("level"),
+                F.to_json(F.struct(F.lit(batch).alias("batch"), "documents")).alias("detail"),
+            )
+            write_events(as_lines(started, "ingest"), journal)
+        final = _ingested(rows, store, keys, model, batch, attempt, settings, splitter, names)
+        counts = [tuple(r) for r in status_rollup(final).collect()]  # one row per status
+        if journal:
+            write_events(as_lines(ingest_events(final), "ingest"), journal)
+            done = spark.createDataFrame(
+                [("ingest_done", "INFO", json.dumps({"batch": batch} | {s: n for s, n, _ in counts}))],
+                "event string, level string, detail string",
+            )
+            write_events(as_lines(done, "ingest"), journal)
+    store.commit(batch, attempt)
+    return spark.createDataFrame(counts, "status string, n_docs bigint, n_chunks bigint")
+
+
+def _ingested(
+    rows: DataFrame,
+    store: Store,
+    keys: Keys,
+    model: Embedder,
+    batch: str,
+    attempt: str,
+    settings: Settings,
+    splitter: Splitter,
+    names: DataFrame | None,
+) -> DataFrame:
+    """Write the tables of an attempt and return the staged routing of its rows."""
+    spark = rows.sparkSession
+    entities = None
+    if names is not None:
+        rows = with_entities(rows, "ord", "context", names, "_entities")
+        entities = "_entities"
     ready = prepared(
         rows, "context", settings.injection_threshold, entities=entities
     ).withColumn("content_enc", encrypt(spark, F.col("text_pseudo"), keys.cipher))
@@ -106,27 +153,39 @@ def ingest(
     )
     ready = staged(ready.select(*columns), "ready")
     found = verdicts(ready, settings.injection_threshold, known=store.known_hashes(batch))
+    # Only narrow rows are routed; encrypted texts are joined by row number where they are needed.
     routed = staged(found.apply(ready.drop("content_enc")), "routed")
 
-    accepted = found.apply(ready.filter("passing")).filter(F.col("status") == "ingested")
+    def texts_of(status: str) -> DataFrame:
+        return ready.select("ord", "content_enc").join(
+            routed.filter(F.col("status") == status).drop("content_enc"), "ord"
+        )
+
+    accepted = texts_of("ingested").select("doc_sha256", "content_enc")
     texts = decrypt(spark, F.col("content_enc"), keys.cipher)
     pieces = chunk_rows(accepted, texts, settings, splitter)
-    store.write("chunks", sealed_chunks(pieces, model, keys, settings), batch)
-    chunks = store.read("chunks").filter(F.col("batch") == batch)
+    store.write("chunks", sealed_chunks(pieces, model, keys, settings), batch, attempt)
+    chunks = store.read_attempt("chunks", batch, attempt)
     sizes = staged(
         chunks.groupBy("doc_sha256").agg(
             F.count("*").alias("n_chunks"), F.max(F.col("embedding").isNull()).alias("failed")
         ),
         "sizes",
     )
-    failed = sizes.filter("failed").select("doc_sha256")
-    if not failed.isEmpty():
-        failed = F.broadcast(failed) if fits(failed) else failed
-        whole = staged(chunks.join(failed, "doc_sha256", "left_anti").drop("batch"), "whole")
-        store.write("chunks", whole, batch)
+    failed = staged(sizes.filter("failed").select("doc_sha256"), "failed")
+    any_failed = not failed.isEmpty()
+    if any_failed:
+        store.write("failed", failed, batch, attempt)
 
     none = F.lit(0).cast("long")
     others = routed.filter(F.col("status") != "ingested").withColumn("n_chunks", none)
+    if any_failed:
+        # A copy of a failed document has nothing stored that it could be a duplicate of.
+        copies = failed.select("doc_sha256", F.lit(True).alias("_copy"))
+        wrong = F.col("_copy") & (F.col("status") == "duplicate") & F.col("passing")
+        others = others.join(copies, "doc_sha256", "left").withColumn(
+            "status", F.when(wrong, "errors").otherwise(F.col("status"))
+        ).drop("_copy")
     ingested = (
         routed.filter(F.col("status") == "ingested")  # one row per hash
         .join(sizes, "doc_sha256", "left")
@@ -140,11 +199,9 @@ def ingest(
     )
     final = staged(ingested.unionByName(others), "final")
 
-    suspicious = ready.filter(F.col("score") >= settings.injection_threshold)
-    held = found.apply(suspicious).filter(F.col("status") == "quarantined")
     store.write(
         "quarantine",
-        held.select(
+        texts_of("quarantined").select(
             "source_ref",
             F.array_join("reasons", ", ").alias("reason"),
             F.col("score").cast("float").alias("score"),
@@ -152,8 +209,9 @@ def ingest(
             F.current_timestamp().alias("detected_at"),
         ),
         batch,
+        attempt,
     )
-    store.write("ingest_log", ingest_log(final), batch)
+    store.write("ingest_log", ingest_log(final), batch, attempt)
     store.write(
         "documents",
         final.filter(F.col("status") == "ingested").select(
@@ -165,8 +223,9 @@ def ingest(
             "pii_stats",
         ),
         batch,
+        attempt,
     )
-    return status_rollup(final)
+    return final
 
 
 def ingest_log(routed: DataFrame) -> DataFrame:

@@ -118,6 +118,7 @@ def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             fresh_path(spark, "stream"),
             SETTINGS,
             name=run,
+            names=None,
         )
         query.awaitTermination()
     return store.read("documents").select("doc_sha256", "source_ref")

@@ -466,7 +466,7 @@ def secure_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("context"),
     )
     store = Store(spark, fresh_path(spark, "store"))
-    ingest(rows, store, KEYS, MODEL, "run", SETTINGS)
+    ingest(rows, store, KEYS, MODEL, "run", SETTINGS, names=None)
     questions = _asked(spark, sf_dir)
     got = retrieve(questions, store, KEYS, MODEL, SETTINGS)
     ready = build_prompts(questions, got.context)

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}
+_OWNED: ContextVar[list | None] = ContextVar("owned", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only for a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
@@ -17,9 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="quillvault-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="quillvault-")
+    return _LOCAL[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -35,9 +43,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append((path, df.schema))
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are emptied at the end; nothing lazy may read them afterwards."""
+    token = _OWNED.set([])
+    try:
+        yield
+    finally:
+        owned = _OWNED.get() or []
+        _OWNED.reset(token)
+        for path, schema in owned:
+            spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for row-wise work on a plain scan that arrives in fewer partitions.
 

@@ -1,12 +1,14 @@
 """The stored tables of a corpus: documents, chunks, quarantine and ingest log.
 
-Every batch writes its own ``batch=<id>`` folder and replaces it when it is run again, so a
-repeated or interrupted batch leaves no second copy. A batch counts once its documents are there:
-they are written last, and readers skip the chunks of other batches by partition pruning.
+A run of a batch writes all its tables below a folder of its own, ``batch=<id>/attempt=<id>``. One row
+in ``commits``, written last, makes the whole attempt visible and the batch's earlier attempts
+invisible, in every table at once. A run that breaks off, or a batch that is run again while
+others read, therefore never shows half a result.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,7 +23,10 @@ TABLES = {
     "quarantine": "source_ref string, reason string, score float, content_enc binary, "
     "detected_at timestamp",
     "ingest_log": "ts timestamp, operation string, detail string, ref_sha256 string",
+    # Documents whose chunks are left out, since the model failed on one of them.
+    "failed": "doc_sha256 string",
 }
+COMMITS = "batch string, attempt string, committed_at timestamp"
 
 
 @dataclass(frozen=True)
@@ -29,21 +34,60 @@ class Store:
     spark: SparkSession
     path: str
 
-    def write(self, table: str, rows: DataFrame, batch: str) -> None:
-        writer = rows.write.mode("overwrite")
-        if table == "chunks":
-            writer = writer.partitionBy("embedding_model")
-        writer.parquet(f"{self.path}/{table}/batch={batch}")
+    def begin(self) -> str:
+        return uuid.uuid4().hex
 
-    def read(self, table: str) -> DataFrame:
-        schema = f"{TABLES[table]}, batch string"
-        path = f"{self.path}/{table}"
+    def write(self, table: str, rows: DataFrame, batch: str, attempt: str) -> None:
+        writer = rows.write
+        if table == "chunks":
+            # Sorted by document, so that a pushed filter on hashes skips most row groups.
+            rows = rows.sortWithinPartitions("doc_sha256", "chunk_index")
+            writer = rows.write.partitionBy("embedding_model")
+        writer.parquet(f"{self.path}/{table}/batch={batch}/attempt={attempt}")
+
+    def commit(self, batch: str, attempt: str) -> None:
+        """Make the attempt the visible one of its batch."""
+        row = self.spark.createDataFrame([(batch, attempt)], "batch string, attempt string")
+        row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{self.path}/commits")
+
+    def _scan(self, path: str, schema: str) -> DataFrame | None:
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{path}")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return None
+
+    def visible(self) -> DataFrame:
+        """``batch, attempt`` of the newest commit of every batch: one narrow row per batch."""
+        commits = self._scan("commits", COMMITS)
+        if commits is None:
+            return self.spark.createDataFrame([], "batch string, attempt string")
+        newest = F.max_by("attempt", F.struct("committed_at", "attempt")).alias("attempt")
+        return commits.groupBy("batch").agg(newest)
+
+    def read_attempt(self, table: str, batch: str, attempt: str) -> DataFrame:
+        """One table of an attempt that need not be committed."""
+        rows = self._scan(f"{table}/batch={batch}/attempt={attempt}", TABLES[table])
+        return self.spark.createDataFrame([], TABLES[table]) if rows is None else rows
+
+    def read(self, table: str) -> DataFrame:
+        """Rows of visible attempts, with their ``batch``.
+
+        The join with the visible attempts is on partition columns, so other folders are pruned.
+        """
+        rows = self._scan(table, f"{TABLES[table]}, batch string, attempt string")
+        if rows is None:
+            return self.spark.createDataFrame([], f"{TABLES[table]}, batch string")
+        rows = rows.join(self.visible(), ["batch", "attempt"], "left_semi")
+        if table == "chunks":
+            failed = self._scan("failed", f"{TABLES['failed']}, batch string, attempt string")
+            if failed is not None:
+                rows = rows.join(failed, ["batch", "attempt", "doc_sha256"], "left_anti")
+        columns = [c.split()[0] for c in TABLES[table].split(", ")]
+        return rows.select(*columns, "batch")
 
     def known_hashes(self, except_batch: str) -> DataFrame:
         """Content hashes of stored documents, leaving out the batch about to be replaced."""
@@ -52,8 +96,7 @@ class Store:
 
     def visible_chunks(self) -> DataFrame:
         """Chunks of finished batches."""
-        finished = [r["batch"] for r in self.read("documents").select("batch").distinct().collect()]
-        return self.read("chunks").filter(F.col("batch").isin(finished))  # one value per batch
+        return self.read("chunks")
 
     # Read access by role: an auditor sees metadata only, a reader never sees the quarantine.
     def audit_documents(self) -> DataFrame:

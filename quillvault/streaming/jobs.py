@@ -24,16 +24,29 @@ def stream_ingest(
     settings: Settings = Settings(),
     on_batch: Callable[[DataFrame, int], None] | None = None,
     name: str = "stream",
+    *,
+    names: DataFrame | None,
+    journal: str | None = None,
 ) -> StreamingQuery:
     """Ingest new rows (``ord, source_ref, context``) batch by batch until none are left.
 
     What is known already is looked up in the stored documents, so no state grows with the
     corpus. A batch that is run again after a failure replaces its own output; ``name`` keeps the
-    batches of different streams into one store apart.
+    batches of different streams into one store apart. ``names`` and ``journal`` are those of
+    ``ingest``.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rollup = ingest(batch, store, keys, model, f"{name}-{batch_id}", settings)
+        rollup = ingest(
+            batch,
+            store,
+            keys,
+            model,
+            f"{name}-{batch_id}",
+            settings,
+            names=names,
+            journal=journal,
+        )
         if on_batch:
             on_batch(rollup, batch_id)
 

@@ -129,7 +129,7 @@ def counts(rollup):
 @pytest.fixture(scope="module")
 def filled(spark):
     store = Store(spark, fresh_path(spark, "store"))
-    rollup = ingest(corpus(spark), store, KEYS, MODEL, "one", SETTINGS)
+    rollup = ingest(corpus(spark), store, KEYS, MODEL, "one", SETTINGS, names=None)
     return store, rollup
 
 
@@ -155,11 +155,11 @@ def test_ingest_statuses(filled):
 def test_second_run_adds_nothing_and_a_repeated_batch_replaces_itself(spark, filled):
     store, _ = filled
     before = {t: store.read(t).count() for t in ("documents", "chunks")}
-    again = ingest(corpus(spark), store, KEYS, MODEL, "two", SETTINGS)
+    again = ingest(corpus(spark), store, KEYS, MODEL, "two", SETTINGS, names=None)
     assert counts(again)["ingested"] == 0
     assert counts(again)["duplicate"] == 6  # the line held before now shares a stored hash
     assert counts(again)["quarantined"] == 2
-    repeat = ingest(corpus(spark), store, KEYS, MODEL, "one", SETTINGS)
+    repeat = ingest(corpus(spark), store, KEYS, MODEL, "one", SETTINGS, names=None)
     assert counts(repeat)["ingested"] == 3
     assert {t: store.read(t).count() for t in before} == before
 
@@ -219,7 +219,7 @@ def test_retrieve_prompts_and_answers(spark, filled):
 
 def test_tampered_chunks_are_dropped_without_a_below_threshold_event(spark):
     store = Store(spark, fresh_path(spark, "store"))
-    ingest(corpus(spark, CORPUS[:1]), store, KEYS, MODEL, "one", SETTINGS)
+    ingest(corpus(spark, CORPUS[:1]), store, KEYS, MODEL, "one", SETTINGS, names=None)
     questions = spark.createDataFrame(
         [(1, "The Amazon rainforest hosts many species")], "question_id bigint, question string"
     )
@@ -270,11 +270,11 @@ def test_empty_store_and_mixed_models(spark):
     got = retrieve(questions, store, KEYS, MODEL, SETTINGS)
     assert got.outcome.first().event == "empty_store"
     assert build_prompts(questions, got.context).count() == 1
-    ingest(corpus(spark, CORPUS[:1]), store, KEYS, MODEL, "one", SETTINGS)
+    ingest(corpus(spark, CORPUS[:1]), store, KEYS, MODEL, "one", SETTINGS, names=None)
     other = Settings(embed_dim=16, embed_model_tag="another@2")
     with pytest.raises(ValueError):
         retrieve(questions, store, KEYS, MODEL, other)
-    ingest(corpus(spark, CORPUS[5:6]), store, KEYS, MODEL, "two", other)
+    ingest(corpus(spark, CORPUS[5:6]), store, KEYS, MODEL, "two", other, names=None)
     with pytest.raises(ValueError):
         retrieve(questions, store, KEYS, MODEL, SETTINGS)
 
@@ -290,7 +290,7 @@ def test_document_the_model_cannot_embed_is_left_out_whole(spark):
         return F.when(odd(text), F.lit(None)).otherwise(base(text))
 
     store = Store(spark, fresh_path(spark, "store"))
-    rollup = ingest(corpus(spark), store, KEYS, flaky, "one", SETTINGS)
+    rollup = ingest(corpus(spark), store, KEYS, flaky, "one", SETTINGS, names=None)
     got = counts(rollup)
     assert got["errors"] + got["ingested"] == 3
     stored = {r.doc_sha256 for r in store.read("documents").collect()}
@@ -315,7 +315,7 @@ def test_stream_equals_batch_and_a_new_checkpoint_adds_nothing(spark, filled):
     store = Store(spark, fresh_path(spark, "store"))
     for name in ("a", "b"):
         stream_ingest(
-            rows, store, KEYS, MODEL, fresh_path(spark, "cp"), SETTINGS, name=name
+            rows, store, KEYS, MODEL, fresh_path(spark, "cp"), SETTINGS, name=name, names=None
         ).awaitTermination()
         got = {r.doc_sha256 for r in store.read("documents").collect()}
         assert got == {r.doc_sha256 for r in filled[0].read("documents").collect()}
