@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 _LOCAL: dict[str, str] = {}
@@ -34,15 +35,31 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/quillvault/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+#: Shuffle files of a finished write are of no use any more; this lets Spark remove them at once.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes inside remove their shuffle files as they end; the setting is put back afterwards."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder (at ``path`` where given) and read it back.
 
     Costly columns are computed once, later steps read only the columns they need, and a lost
     executor costs a re-read instead of a recomputation.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
+    path = path or fresh_path(spark, name)
+    with tidy_shuffles(spark):
+        df.write.parquet(path)
     owned = _OWNED.get()
     if owned is not None:
         owned.append((path, df.schema))
@@ -59,7 +76,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         owned = _OWNED.get() or []
         _OWNED.reset(token)
         for path, schema in owned:
-            spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+            emptied(spark, path, schema)
+
+
+def emptied(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Replace a staged table by an empty one; nothing lazy may read it afterwards."""
+    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
