@@ -15,6 +15,7 @@ import heapq
 import unicodedata
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import accumulate
 
 import regex
 from pyspark.sql import DataFrame
@@ -24,8 +25,8 @@ from quillvault.llm.tables import map_rows
 
 SCANNED = 192
 NO_RANK = 1 << 60
-#: Words kept per Python worker; a full table is emptied.
-WORDS = 400_000
+#: Words, and pieces between blanks, kept per Python worker; a full table is emptied.
+WORDS = 500_000
 END = "</w>"
 
 #: Fixed value: how the vocabulary cuts normalised text into words.
@@ -35,26 +36,25 @@ WORD = regex.compile(
 BLANKS = regex.compile(f"[{SPACE}]+")
 
 
-def merged_bounds(word: str, bounds: list[int], ranks: dict[tuple[str, str], int]) -> list[int]:
-    """Part boundaries of ``word`` after all merges, starting from ``bounds``."""
-    if len(bounds) > SCANNED:
+def merged_bounds(word: str, parts: list[str], ranks: dict[tuple[str, str], int]) -> list[int]:
+    """Part boundaries of ``word`` after all merges; ``parts`` are its first, smallest parts."""
+    bounds = [0, *accumulate(map(len, parts))]
+    if len(parts) > SCANNED:
         return _merged_long(word, bounds, ranks)
-
-    def rank(i: int) -> int:
-        a, b, c = bounds[i : i + 3]
-        return ranks.get((word[a:b], word[b:c]), NO_RANK)
-
-    adjacent = [rank(i) for i in range(len(bounds) - 2)]
+    rank_of = ranks.get
+    adjacent = [rank_of(pair, NO_RANK) for pair in zip(parts, parts[1:], strict=False)]
     while adjacent:
         least = min(adjacent)
         if least == NO_RANK:
             break
         i = adjacent.index(least)
         del bounds[i + 1], adjacent[i]
+        start, end = bounds[i], bounds[i + 1]
+        part = word[start:end]
         if i < len(adjacent):
-            adjacent[i] = rank(i)
+            adjacent[i] = rank_of((part, word[end : bounds[i + 2]]), NO_RANK)
         if i:
-            adjacent[i - 1] = rank(i - 1)
+            adjacent[i - 1] = rank_of((word[bounds[i - 1] : start], part), NO_RANK)
     return bounds
 
 
@@ -88,35 +88,61 @@ def _merged_long(word: str, bounds: list[int], ranks: dict[tuple[str, str], int]
     return out
 
 
+def joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
+    if not parts:
+        return 0, "", ""
+    counts, ids, decoded = zip(*parts, strict=True)
+    return sum(counts), " ".join(ids), " ".join(decoded)
+
+
 class WordCodec:
     """Encodes and decodes whole texts as the vocabulary file at ``path`` does."""
 
     def __init__(self, path: str):
         self.ids, merges, added = vocabulary(path)
+        self.shown_id = {t: str(i) for t, i in self.ids.items()}
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.added = dict(added)
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in added}
         self.special = regex.compile("|".join(regex.escape(t) for t, _ in added))
         self.words: dict[str, tuple[int, str, str]] = {}
+        self.pieces: dict[str, tuple[int, str, str]] = {}
 
-    def word(self, word: str) -> list[int]:
+    def tokens_of(self, word: str) -> list[str]:
         shown = visible(word)
-        bounds = [*range(len(shown)), len(shown) + len(END)]
+        parts = list(shown)
+        parts[-1] += END
         text = shown + END
-        bounds = merged_bounds(text, bounds, self.ranks)
-        return [self.ids[text[a:b]] for a, b in zip(bounds, bounds[1:], strict=False)]
+        bounds = merged_bounds(text, parts, self.ranks)
+        return [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
-    def piece(self, piece: str) -> tuple[int, str, str]:
-        """Number of tokens, ids and decoded text of a piece without white space."""
-        found = self.words.get(piece)
+    def word(self, word: str) -> tuple[int, str, str]:
+        """Number of tokens, ids and decoded text of one word of normalised text."""
+        found = self.words.get(word)
         if found is None:
-            # Lower case is taken character by character, so a final sigma is no special case.
-            lower = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-            ids = [i for w in WORD.findall(lower) for i in self.word(w)]
-            found = len(ids), " ".join(map(str, ids)), self.decode(ids)
+            tokens = self.tokens_of(word)
+            shown_id = self.shown_id
+            found = len(tokens), " ".join([shown_id[t] for t in tokens]), " ".join(tokens)
             if len(self.words) >= WORDS:
                 self.words.clear()
-            self.words[piece] = found
+            self.words[word] = found
+        return found
+
+    def piece(self, piece: str) -> tuple[int, str, str]:
+        """The same for a piece without white space."""
+        found = self.pieces.get(piece)
+        if found is None:
+            # Lower case is taken character by character, so a final sigma is no special case.
+            lower = piece if piece.isascii() else unicodedata.normalize("NFC", piece)
+            lower = lower.replace("Σ", "σ").lower()
+            if lower.isascii() and lower.isalpha():
+                found = self.word(lower)
+            else:
+                parts = [self.word(w) for w in WORD.findall(lower)]
+                found = joined(parts)
+            if len(self.pieces) >= WORDS:
+                self.pieces.clear()
+            self.pieces[piece] = found
         return found
 
     def plain(self, text: str) -> list[tuple[int, str, str]]:
@@ -124,7 +150,8 @@ class WordCodec:
             pieces = [p for p in BLANKS.split(text) if p]
         else:
             pieces = text.split()
-        return [self.piece(p) for p in pieces]
+        table, piece = self.pieces.get, self.piece
+        return [table(p) or piece(p) for p in pieces]
 
     def encode(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, ids joined by a space, decoded text."""
@@ -137,10 +164,7 @@ class WordCodec:
                 found.append((1, str(self.added[m[0]]), m[0]))
                 at = m.end()
             found += self.plain(text[at:])
-        if not found:
-            return 0, "", ""
-        counts, ids, decoded = zip(*found, strict=True)
-        return sum(counts), " ".join(ids), " ".join(decoded)
+        return joined(found)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by a blank: the file names no decoder."""

@@ -31,6 +31,14 @@ def vocabulary(path: str) -> tuple[dict[str, int], list[tuple[str, str]], list[t
     return stored["model"]["vocab"], merges, added
 
 
+@lru_cache(maxsize=1)
+def _ascii() -> dict[int, str]:
+    return dict(enumerate(alphabet()[:128]))
+
+
 def visible(text: str) -> str:
+    """The UTF-8 bytes of ``text``, each as its visible character."""
+    if text.isascii():
+        return text.translate(_ascii())
     signs = alphabet()
     return "".join([signs[b] for b in text.encode("utf-8")])
