@@ -9,9 +9,11 @@ prefix before it. The count of any prefix, the cut for any budget and the total
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
-import numpy as np
+import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
@@ -20,8 +22,8 @@ from quillvault.llm.byte_level import SPACE, visible, vocabulary
 from quillvault.llm.tables import map_rows
 
 #: Entries kept per Python worker in each table; a full table is emptied.
-PIECES = 400_000
-PAIRS = 1_000_000
+PIECES = 1_000_000
+PAIRS = 1_500_000
 
 #: Fixed value: how the vocabulary cuts text into pieces.
 PIECE = regex.compile(
@@ -32,56 +34,64 @@ PIECE = regex.compile(
 )
 
 
+class Totals(dict):
+    """Piece -> number of tokens, from the piece's prefix table."""
+
+    def __init__(self, prefixes):
+        self.prefixes = prefixes
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= PIECES:
+            self.clear()
+        self[piece] = found = self.prefixes(visible(piece))[-1]
+        return found
+
+
 class PrefixCounter:
     """Prefix tables of pieces, and counts, budgets and cuts of whole texts."""
 
     def __init__(self, path: str):
-        self.ids, merges, added = vocabulary(path)
+        ids, merges, added = vocabulary(path)
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
-        self.longest = max(map(len, self.ids))
         self.special = regex.compile("|".join(regex.escape(t) for t, _ in added))
         self.first = [t[:2] for t, _ in added]
-        self.follows: dict[tuple[str, str], bool] = {}
-        self.totals: dict[str, int] = {}
-
-    def _parts(self, shown: str) -> int:
-        return len(merged_bounds(shown, list(range(len(shown) + 1)), self.ranks)) - 1
-
-    def may_follow(self, last: str, token: str) -> bool:
-        key = (last, token)
-        found = self.follows.get(key)
-        if found is None:
-            text = last + token
-            bounds = merged_bounds(text, list(range(len(text) + 1)), self.ranks)
-            found = bounds == ([0, len(last), len(text)] if last else [0, len(text)])
-            if len(self.follows) >= PAIRS:
-                self.follows.clear()
-            self.follows[key] = found
+        # All tokens that end at a place come from one automaton; 0 stands for no token.
+        self.tokens = ["", *ids]
+        self.ending = ahocorasick.Automaton()
+        for number, token in enumerate(self.tokens[1:], 1):
+            self.ending.add_word(token, (len(token), number))
+        self.ending.make_automaton()
+        self.follows: dict[int, bool] = {}
+        self.totals = Totals(self.prefixes)
+
+    def may_follow(self, last: int, token: int) -> bool:
+        """Whether encoding the two together leaves both as they are."""
+        before, after = self.tokens[last], self.tokens[token]
+        text = before + after
+        bounds = merged_bounds(text, list(text), self.ranks)
+        found = bounds == ([0, len(before), len(text)] if last else [0, len(text)])
+        if len(self.follows) >= PAIRS:
+            self.follows.clear()
+        self.follows[last << 20 | token] = found
         return found
 
-    def prefixes(self, shown: str) -> np.ndarray:
+    def prefixes(self, shown: str) -> list[int]:
         """Token count of every prefix of one piece; index is the number of bytes."""
-        counts = np.zeros(len(shown) + 1, np.int64)
-        last = [""] * (len(shown) + 1)
-        ids, may_follow, longest = self.ids, self.may_follow, self.longest
-        for end in range(1, len(shown) + 1):
-            for start in range(max(0, end - longest), end):
-                token = shown[start:end]
-                if token in ids and may_follow(last[start], token):
-                    last[end] = token
-                    counts[end] = counts[start] + 1
-                    break
+        counts = [0] * (len(shown) + 1)
+        last = [0] * (len(shown) + 1)
+        known, may_follow = self.follows.get, self.may_follow
+        for end, (length, token) in self.ending.iter(shown):
+            end += 1
+            if counts[end]:
+                continue
+            start = end - length
+            before = last[start]
+            follows = known(before << 20 | token)
+            if follows or follows is None and may_follow(before, token):
+                last[end] = token
+                counts[end] = counts[start] + 1
         return counts
 
-    def total(self, piece: str) -> int:
-        found = self.totals.get(piece)
-        if found is None:
-            found = int(self.prefixes(visible(piece))[-1])
-            if len(self.totals) >= PIECES:
-                self.totals.clear()
-            self.totals[piece] = found
-        return found
-
     def segments(self, text: str) -> list[tuple[str, bool]]:
         """Plain text and special tokens in turn, with a mark for the special ones."""
         if not any(f in text for f in self.first) or not self.special.search(text):
@@ -93,28 +103,31 @@ class PrefixCounter:
         return [*out, (text[at:], False)]
 
     def count(self, text: str) -> int:
-        totals, total = self.totals, 0
-        for part, special in self.segments(text):
-            if special:
-                total += 1
-                continue
-            for piece in PIECE.findall(part):
-                found = totals.get(piece)
-                total += self.total(piece) if found is None else found
-        return total
+        total_of = self.totals.__getitem__
+        return sum(
+            1 if special else sum(map(total_of, PIECE.findall(part)))
+            for part, special in self.segments(text)
+        )
 
     def count_at(self, text: str, chars: int) -> int:
         """Tokens of the first ``chars`` characters, from the tables."""
         return self.count(text[:chars])
 
+    def pieces(self, text: str) -> Iterator[tuple[str, int, bool]]:
+        """Pieces and special tokens in order with their token counts, as far as asked for."""
+        for part, special in self.segments(text):
+            if special:
+                yield part, 1, True
+            else:
+                for m in PIECE.finditer(part):
+                    yield m[0], self.totals[m[0]], False
+
     def table(self, text: str) -> list[tuple[int, int]]:
         """(characters, tokens) at the end of every piece and special token."""
         out, chars, tokens = [], 0, 0
-        for part, special in self.segments(text):
-            for piece in [part] if special else PIECE.findall(part):
-                chars += len(piece)
-                tokens += 1 if special else self.total(piece)
-                out.append((chars, tokens))
+        for piece, n, _ in self.pieces(text):
+            chars, tokens = chars + len(piece), tokens + n
+            out.append((chars, tokens))
         return out
 
     def fit(self, text: str, budget: int) -> int:
@@ -125,19 +138,17 @@ class PrefixCounter:
         what follows it but for runs of blanks and apostrophes, which are cut again.
         """
         at = used = 0
-        for part, special in self.segments(text):
-            for piece in [part] if special else PIECE.findall(part):
-                n = 1 if special else self.total(piece)
-                if used + n > budget:
-                    return at + self._fit_piece(piece, special, budget - used)
-                at, used = at + len(piece), used + n
+        for piece, n, special in self.pieces(text):
+            if used + n > budget:
+                return at + self._fit_piece(piece, special, budget - used)
+            at, used = at + len(piece), used + n
         return at
 
     def _fit_piece(self, piece: str, special: bool, budget: int) -> int:
         if not special and piece[0] != "'" and not piece.isspace():
             counts = self.prefixes(visible(piece))
-            bytes_at = np.cumsum([0] + [len(c.encode("utf-8")) for c in piece])
-            return int(np.flatnonzero(counts[bytes_at] <= budget)[-1])
+            ends = [0, *accumulate(len(c.encode("utf-8")) for c in piece)]
+            return max(n for n, end in enumerate(ends) if counts[end] <= budget)
         return next(
             (n for n in range(len(piece) - 1, 0, -1) if self.count(piece[:n]) <= budget), 0
         )
