@@ -46,14 +46,37 @@ def hashing_embedder(dim: int) -> Embedder:
     return lambda text: embed(text)
 
 
+def tolerant_embedder(embed: Callable[[list[str]], list[list[float] | None]]) -> Embedder:
+    """An embedder from a plain function over texts; a text it fails on gets a null vector.
+
+    When a whole batch fails its texts are tried one by one, so one bad text costs only itself.
+    """
+
+    def one(text: str) -> list[float] | None:
+        try:
+            return embed([text])[0]
+        except Exception:
+            return None
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def vectors(texts: pa.Array) -> pa.Array:
+        given = [t or "" for t in texts.to_pylist()]
+        try:
+            found = list(embed(given))
+            if len(found) != len(given):
+                raise ValueError("as many vectors as texts are needed")
+        except Exception:
+            found = [one(t) for t in given]
+        return pa.array(found, pa.list_(pa.float32()))
+
+    return lambda text: vectors(text)
+
+
 def checked(vector: Column, dim: int) -> Column:
-    """The vector as float32, failing the job where its length is not ``dim``."""
-    return F.when(F.size(vector) == dim, vector.cast("array<float>")).otherwise(
-        F.raise_error(
-            F.concat(
-                F.lit(f"a vector must have {dim} elements, not "), F.size(vector).cast("string")
-            )
-        )
+    """The vector as float32; null where its length is not ``dim`` or an element is null."""
+    return F.when(
+        (F.size(vector) == dim) & ~F.exists(vector, lambda x: x.isNull()),
+        vector.cast("array<float>"),
     )
 
 

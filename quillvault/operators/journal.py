@@ -54,23 +54,42 @@ def ingest_events(routed: DataFrame) -> DataFrame:
                 chunks=F.col("n_chunks"),
                 pii=F.col("pii_stats"),
             ),
-            _event(status == "errors", "doc_error", source_ref=ref),
+            _event(
+                status == "errors", "doc_error", source_ref=ref, error=F.lit("no usable vector")
+            ),
         ],
         "source_ref",
     )
 
 
+def mismatch_events(verdict: DataFrame, configured: str) -> DataFrame:
+    """The event for stored vectors that do not come from the configured model."""
+    return verdict.select(
+        F.lit("model_mismatch").alias("event"),
+        event_level(F.lit("model_mismatch")).alias("level"),
+        F.to_json(F.struct("models", F.lit(configured).alias("configured"))).alias("detail"),
+    )
+
+
 def retrieval_events(
-    outcome: DataFrame, broken: DataFrame, threshold: float, mode: str = "rag"
+    outcome: DataFrame, broken: DataFrame, threshold: float, duration_s: float | None = None
 ) -> DataFrame:
-    """Events per question: start, what retrieval ran into, broken seals, end."""
+    """Events per question: start, what retrieval ran into, broken seals, end.
+
+    ``outcome`` may carry ``mode`` and ``k``. ``duration_s`` is that of the whole table of questions.
+    """
+    if "mode" not in outcome.columns:
+        outcome = outcome.withColumn("mode", F.lit("rag"))
+    if "k" not in outcome.columns:
+        outcome = outcome.withColumn("k", F.lit(None).cast("int"))
+    mode, taken = F.col("mode"), F.lit(duration_s).cast("double")
     per_question = _spelled(
         outcome.join(
             broken.groupBy("question_id").agg(F.count("*").alias("n_broken")), "question_id", "left"
         ).withColumn("n_valid", F.col("n_kept") - F.coalesce("n_broken", F.lit(0))),
         [
-            _event(F.lit(True), "query_start", mode=F.lit(mode)),
-            _event(F.col("event") == "empty_store", "empty_store", mode=F.lit(mode)),
+            _event(F.lit(True), "query_start", mode=mode, k=F.col("k")),
+            _event(F.col("event") == "empty_store", "empty_store", mode=mode),
             _event(
                 F.col("event") == "below_threshold",
                 "below_threshold",
@@ -80,9 +99,10 @@ def retrieval_events(
             _event(
                 F.lit(True),
                 "query_done",
-                mode=F.lit(mode),
+                mode=mode,
                 context_used=F.col("n_valid") > 0,
                 n_chunks=F.col("n_valid"),
+                duration_s=taken,
             ),
         ],
         "question_id",

@@ -19,7 +19,7 @@ def validated(questions: DataFrame) -> DataFrame:
     """Add ``reject_reason``: the first rule a request breaks, or null for a valid one.
 
     ``questions`` has ``question, mode, k``; a null mode or k takes its default. A ``body`` column
-    with the JSON as received is checked for unknown fields.
+    with the JSON as received must hold an object, without unknown fields.
     """
     length = F.length("question")
     rules = [
@@ -29,7 +29,9 @@ def validated(questions: DataFrame) -> DataFrame:
         (F.col("k").isNotNull() & ~F.col("k").between(*fv.QUESTION_K), "k_out_of_range"),
     ]
     if "body" in questions.columns:
-        rules.append((F.size(unknown_fields(F.col("body"))) > 0, "unknown_field"))
+        unknown = unknown_fields(F.col("body"))
+        rules.insert(0, (unknown.isNull(), "body_malformed"))
+        rules.append((F.size(unknown) > 0, "unknown_field"))
     reason = F.lit(None).cast("string")
     for broken, name in reversed(rules):
         reason = F.when(broken, name).otherwise(reason)

@@ -41,6 +41,11 @@ def matrix(vectors: pa.Array) -> np.ndarray:
     return rows / np.where(norms > 0, norms, np.nan)
 
 
+def usable_vector(column: str) -> Column:
+    """Neither null nor with a null element."""
+    return F.col(column).isNotNull() & ~F.exists(column, lambda x: x.isNull())
+
+
 def best_of(
     question_ids: np.ndarray, questions: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> pa.Table:
@@ -113,6 +118,8 @@ def nearest_chunks(
     size = questions.agg(
         F.count("*").alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("dim")
     ).first()
+    questions = questions.filter(usable_vector("embedding"))
+    chunks = chunks.filter(usable_vector("embedding"))
     space = within or "_all"
     if not within:
         chunks = chunks.withColumn("_all", F.lit(0))
@@ -207,8 +214,14 @@ def above_threshold(found: DataFrame, threshold: float) -> DataFrame:
     return found.filter(F.col("similarity") >= threshold)
 
 
-def retrieval_outcome(questions: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
-    """Per question: chunks found and kept, best similarity, and the event to log, if any."""
+def retrieval_outcome(
+    questions: DataFrame, found: DataFrame, threshold: float, broken: DataFrame | None = None
+) -> DataFrame:
+    """Per question: chunks found and kept, best similarity, and the event to log, if any.
+
+    ``broken`` lists kept chunks whose seal does not hold (``question_id``). Context is used only
+    where a kept chunk is left; a broken seal alone is not a matter of the threshold.
+    """
     per_question = found.groupBy("question_id").agg(
         F.count("*").alias("n_found"),
         F.count_if(F.col("similarity") >= threshold).alias("n_kept"),
@@ -216,15 +229,19 @@ def retrieval_outcome(questions: DataFrame, found: DataFrame, threshold: float)
     )
     n_found = F.coalesce("n_found", F.lit(0))
     n_kept = F.coalesce("n_kept", F.lit(0))
+    rows = questions.select("question_id").join(per_question, "question_id", "left")
+    n_broken = F.lit(0)
+    if broken is not None:
+        lost = broken.groupBy("question_id").agg(F.count("*").alias("n_broken"))
+        rows = rows.join(lost, "question_id", "left")
+        n_broken = F.coalesce("n_broken", F.lit(0))
     return (
-        questions.select("question_id")
-        .join(per_question, "question_id", "left")
-        .select(
+        rows.select(
             "question_id",
             n_found.alias("n_found"),
             n_kept.alias("n_kept"),
             "best_similarity",
-            (n_kept > 0).alias("context_used"),
+            (n_kept > n_broken).alias("context_used"),
             F.when(n_found == 0, "empty_store")
             .when(n_kept == 0, "below_threshold")
             .alias("event"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,12 @@ from pyspark.sql import functions as F
 from quillvault.functions.embedding import Embedder, embed_questions
 from quillvault.functions.pii import filter_answers
 from quillvault.operators.audit import with_seal_check
+from quillvault.operators.journal import (
+    answer_events,
+    as_lines,
+    mismatch_events,
+    retrieval_events,
+)
 from quillvault.operators.requests import effective_k, validated
 from quillvault.operators.retrieval import (
     above_threshold,
@@ -25,10 +32,15 @@ from quillvault.operators.retrieval import (
 from quillvault.plans.ingest import Keys
 from quillvault.plans.joins import fits
 from quillvault.settings import Settings
+from quillvault.sources.events import write_events
 from quillvault.sources.shared import staged
 from quillvault.sources.store import Store
 
 
+#: Chunks up to this number are fetched by their hashes; more are joined without a pushed filter.
+PUSHED_HASHES = 5_000
+
+
 def chunk_key(doc_sha256: Column, chunk_index: Column) -> Column:
     """Order-preserving identity of a chunk."""
     return F.concat_ws(":", doc_sha256, F.lpad(chunk_index.cast("string"), 9, "0"))
@@ -39,6 +51,7 @@ class Retrieved:
     context: DataFrame  # valid chunks with their content, at most k per question
     outcome: DataFrame  # per question: found, kept, best similarity, event
     broken: DataFrame  # chunks dropped because their seal does not match
+    refused: DataFrame  # questions the model gave no usable vector for
 
 
 def retrieve(
@@ -47,60 +60,99 @@ def retrieve(
     keys: Keys,
     model: Embedder,
     settings: Settings = Settings(),
+    journal: str | None = None,
 ) -> Retrieved:
     """Top-k, then threshold, then seal check; dropped chunks are not replaced.
 
-    ``questions`` has ``question_id, question`` and optionally ``k``. Ranking reads vectors only;
-    texts are fetched and decrypted for the chunks that survive the threshold.
+    ``questions`` has ``question_id, question`` and optionally ``k`` and ``mode``; a question with
+    mode ``no-rag`` is asked without context and searches nothing. Ranking reads vectors only; texts
+    are fetched and decrypted for the chunks that survive the threshold. Questions without a usable
+    vector are ``refused``. With ``journal`` the events of all questions are appended to that log.
     """
+    began = time.monotonic()
+    spark = questions.sparkSession
     chunks = store.visible_chunks()
-    if not require_one_space(space_verdict(chunks, settings.embed_model_tag)):
-        nothing = questions.sparkSession.createDataFrame(
-            [], "question_id bigint, chunk_id string, similarity double, rank int"
-        )
-        empty = nothing.select(
-            "*",
-            *[F.lit(None).cast("string").alias(c) for c in ("source_ref", "content", "doc_sha256")],
-            F.lit(None).cast("int").alias("chunk_index"),
-        )
-        return Retrieved(empty, retrieval_outcome(questions, nothing, 0.0), empty)
-
+    verdict = space_verdict(chunks, settings.embed_model_tag)
+    try:
+        searchable = require_one_space(verdict)
+    except ValueError:
+        if journal:
+            write_events(as_lines(mismatch_events(verdict, settings.embed_model_tag), "query"), journal)
+        raise
     k_column = (
         effective_k(F.col("k"), settings.top_k)
         if "k" in questions.columns
         else F.lit(settings.top_k)
     )
+    mode = F.coalesce("mode", F.lit("rag")) if "mode" in questions.columns else F.lit("rag")
     asked = staged(
         questions.select(
             "question_id",
+            mode.alias("mode"),
             k_column.cast("int").alias("k"),
             embed_questions(F.col("question"), model, settings.embed_dim).alias("embedding"),
         ),
         "questions",
     )
-    largest = asked.agg(F.coalesce(F.max("k"), F.lit(settings.top_k))).first()[0]
-    documents = store.read("documents").select("doc_sha256", "source_ref")
-    vectors = chunks.select(
-        chunk_key(F.col("doc_sha256"), F.col("chunk_index")).alias("chunk_id"), "embedding"
+    searching = asked.filter((F.col("mode") != "no-rag") & F.col("embedding").isNotNull())
+    refused = asked.filter((F.col("mode") != "no-rag") & F.col("embedding").isNull())
+    if searchable:
+        largest = asked.agg(F.coalesce(F.max("k"), F.lit(settings.top_k))).first()[0]
+        vectors = chunks.select(
+            chunk_key(F.col("doc_sha256"), F.col("chunk_index")).alias("chunk_id"), "embedding"
+        )
+        found = nearest_chunks(searching.select("question_id", "embedding"), vectors, largest)
+        found = found.join(asked.select("question_id", "k"), "question_id").filter(
+            F.col("rank") <= F.col("k")
+        )
+        found = staged(found.drop("k"), "found")
+    else:
+        found = spark.createDataFrame(
+            [], "question_id bigint, chunk_id string, similarity double, rank int"
+        )
+    opened = _opened(above_threshold(found, settings.sim_threshold), store, chunks, keys)
+    broken = opened.filter(~F.col("seal_ok")).drop("seal_ok", "content")
+    outcome = retrieval_outcome(
+        asked.join(refused.select("question_id"), "question_id", "left_anti"),
+        found,
+        settings.sim_threshold,
+        broken,
+    ).join(asked.select("question_id", "mode", "k"), "question_id")
+    # Nothing is looked for without context, so nothing can be missing.
+    outcome = outcome.withColumn(
+        "event", F.when(F.col("mode") != "no-rag", F.col("event"))
     )
-    found = nearest_chunks(asked.select("question_id", "embedding"), vectors, largest)
-    found = staged(
-        found.join(asked.select("question_id", "k"), "question_id")
-        .filter(F.col("rank") <= F.col("k"))
-        .drop("k"),
-        "found",
+    if journal:
+        seconds = round(time.monotonic() - began, 3)
+        events = retrieval_events(outcome, broken, settings.sim_threshold, duration_s=seconds)
+        write_events(as_lines(events, "query", F.col("question_id")), journal)
+    return Retrieved(
+        opened.filter("seal_ok").drop("seal_ok"), outcome, broken, refused.drop("embedding")
+    )
+
+
+def _opened(kept: DataFrame, store: Store, chunks: DataFrame, keys: Keys) -> DataFrame:
+    """The kept chunks with source, text and seal check.
+
+    Stored chunks are joined on their own columns. The hashes of few chunks are pushed into the scan
+    as well; chunks are stored in order of their hash, so most row groups are skipped.
+    """
+    kept = kept.withColumns(
+        {
+            "doc_sha256": F.substring_index("chunk_id", ":", 1),
+            "chunk_index": F.substring_index("chunk_id", ":", -1).cast("int"),
+        }
     )
-    kept = above_threshold(found, settings.sim_threshold)
-    few = fits(kept)
-    stored = chunks.withColumn("chunk_id", chunk_key(F.col("doc_sha256"), F.col("chunk_index")))
+    documents = store.read("documents").select("doc_sha256", "source_ref")
+    if fits(kept, PUSHED_HASHES):
+        hashes = [r[0] for r in kept.select("doc_sha256").distinct().collect()]
+        chunks = chunks.filter(F.col("doc_sha256").isin(hashes))
+        documents = documents.filter(F.col("doc_sha256").isin(hashes))
+        kept = F.broadcast(kept)
     opened = with_seal_check(
-        stored.join(F.broadcast(kept) if few else kept, "chunk_id"), keys.seal, keys.cipher
+        chunks.drop("batch").join(kept, ["doc_sha256", "chunk_index"]), keys.seal, keys.cipher
     )
-    # Only references of documents found are joined: a narrow table, at most one row per chunk kept.
-    hashes = kept.select(F.substring_index("chunk_id", ":", 1).alias("doc_sha256")).distinct()
-    refs = documents.join(F.broadcast(hashes) if few else hashes, "doc_sha256", "left_semi")
-    opened = opened.join(F.broadcast(refs) if few else refs, "doc_sha256")
-    opened = opened.select(
+    return opened.join(documents, "doc_sha256").select(
         "question_id",
         "chunk_id",
         "similarity",
@@ -111,11 +163,6 @@ def retrieve(
         "chunk_index",
         "seal_ok",
     )
-    return Retrieved(
-        opened.filter("seal_ok").drop("seal_ok"),
-        retrieval_outcome(questions, found, settings.sim_threshold),
-        opened.filter(~F.col("seal_ok")).drop("seal_ok", "content"),
-    )
 
 
 def build_prompts(questions: DataFrame, context: DataFrame) -> DataFrame:
@@ -127,10 +174,20 @@ def build_prompts(questions: DataFrame, context: DataFrame) -> DataFrame:
     )
 
 
-def safe_answers(answers: DataFrame, prompts_table: DataFrame) -> DataFrame:
-    """Filter the answers of a batch of questions (``question_id, answer``)."""
-    joined = answers.join(prompts_table.select("question_id", "allowed_sources"), "question_id")
-    return filter_answers(joined, "answer", "allowed_sources")
+def safe_answers(
+    answers: DataFrame, prompts_table: DataFrame, journal: str | None = None
+) -> DataFrame:
+    """Filter the answers of a batch of questions (``question_id, answer``).
+
+    An answer whose question is not in the table stays, with no source allowed. With ``journal``
+    one event per changed answer is appended to that log.
+    """
+    allowed = prompts_table.select("question_id", "allowed_sources")
+    joined = answers.join(allowed, "question_id", "left")
+    safe = filter_answers(joined, "answer", "allowed_sources")
+    if journal:
+        write_events(as_lines(answer_events(safe), "query", F.col("question_id")), journal)
+    return safe
 
 
 def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -70,13 +70,17 @@ def sealed_chunks(chunks: DataFrame, model: Embedder, keys: Keys, settings: Sett
         "chunk_index",
         encrypt(spark, F.col("content"), keys.cipher).alias("content_enc"),
         "embedding",
-        seal(
-            spark,
-            F.col("content"),
-            F.col("doc_sha256"),
-            F.col("chunk_index"),
-            F.col("embedding"),
-            keys.seal,
+        F.when(
+            F.col("embedding").isNotNull(),
+            seal(
+                spark,
+                F.col("content"),
+                F.col("doc_sha256"),
+                F.col("chunk_index"),
+                # The input of a Python function is made for every row, also where it is not used.
+                F.coalesce("embedding", F.array(F.lit(0.0)).cast("array<float>")),
+                keys.seal,
+            ),
         ).alias("chunk_hmac"),
         F.current_timestamp().alias("created_at"),
         F.lit(settings.embed_model_tag).alias("embedding_model"),

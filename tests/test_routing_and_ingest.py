@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillvault.functions.embedding import hashing_embedder
+from quillvault.functions.embedding import hashing_embedder, tolerant_embedder
 from quillvault.operators.audit import integrity_report
 from quillvault.operators.gazetteer import entity_mentions, with_entities
 from quillvault.operators.journal import as_lines, ingest_events, retrieval_events
@@ -18,6 +18,7 @@ from quillvault.plans.answer import build_prompts, retrieve, safe_answers, split
 from quillvault.plans.ingest import Keys, ingest
 from quillvault.plans.joins import attach
 from quillvault.settings import Settings
+from quillvault.sources.events import read_events
 from quillvault.sources.shared import fresh_path, staged
 from quillvault.sources.store import Store
 from quillvault.streaming.jobs import new_content, run_to_table, stream_ingest
@@ -208,13 +209,18 @@ def test_retrieve_prompts_and_answers(spark, filled):
     assert table[2].messages[1].content == "Question : zzz qqq ‹‹‹CTX_FIN 1>>>"
     assert table[2].sources is None
     answers = spark.createDataFrame(
-        [(1, "See rag12000:0 at https://x.example"), (2, "me@x.org")], "question_id bigint, answer string"
+        [(1, "See rag12000:0 at https://x.example"), (2, "me@x.org"), (77, "of an unknown question")],
+        "question_id bigint, answer string",
     )
     safe = {
         r.question_id: r.answer_safe
         for r in safe_answers(answers, build_prompts(questions, got.context)).collect()
     }
-    assert safe == {1: "See rag12000:0 at [URL_NEUTRALISEE]", 2: "[EMAIL_MASQUE]"}
+    assert safe == {
+        1: "See rag12000:0 at [URL_NEUTRALISEE]",
+        2: "[EMAIL_MASQUE]",
+        77: "of an unknown question",
+    }
 
 
 def test_tampered_chunks_are_dropped_without_a_below_threshold_event(spark):
@@ -226,7 +232,7 @@ def test_tampered_chunks_are_dropped_without_a_below_threshold_event(spark):
     got = retrieve(questions, store, Keys(b"other seal", KEYS.cipher), MODEL, SETTINGS)
     assert got.context.count() == 0
     assert got.broken.count() > 0
-    assert got.outcome.first().event is None
+    assert got.outcome.first().event is None and not got.outcome.first().context_used
     events = retrieval_events(got.outcome, got.broken, SETTINGS.sim_threshold).collect()
     named = [(e.event, e.level) for e in events]
     assert named.count(("hmac_mismatch", "WARNING")) == got.broken.count()
@@ -297,6 +303,93 @@ def test_document_the_model_cannot_embed_is_left_out_whole(spark):
     assert {r.doc_sha256 for r in store.read("chunks").collect()} == stored
 
 
+def test_copies_of_a_failed_document_are_errors_too(spark):
+    base = hashing_embedder(16)
+
+    def fails_on_amazon(text):
+        return F.when(F.contains(text, F.lit("Amazon")), F.lit(None)).otherwise(base(text))
+
+    store = Store(spark, fresh_path(spark, "store"))
+    got = counts(ingest(corpus(spark), store, KEYS, fails_on_amazon, "one", SETTINGS, names=None))
+    assert (got["errors"], got["ingested"], got["duplicate"]) == (2, 2, 1)
+    again = counts(ingest(corpus(spark), store, KEYS, MODEL, "two", SETTINGS, names=None))
+    assert again["ingested"] == 1  # the failed text is not known, so a later batch may store it
+
+
+def test_a_failing_model_costs_only_the_texts_it_fails_on(spark):
+    def model(texts):
+        if any("Amazon" in t for t in texts):
+            raise RuntimeError("no")
+        return [[1.0] * 16 if "Mail" not in t else [1.0] for t in texts]
+
+    store = Store(spark, fresh_path(spark, "store"))
+    got = counts(ingest(corpus(spark), store, KEYS, tolerant_embedder(model), "one", SETTINGS, names=None))
+    assert (got["errors"], got["ingested"]) == (2 + 1, 1)
+    asked = spark.createDataFrame(
+        [(1, "Amazon"), (2, "fine"), (3, "Mail")], "question_id bigint, question string"
+    )
+    out = retrieve(asked, store, KEYS, tolerant_embedder(model), SETTINGS)
+    assert sorted(r.question_id for r in out.refused.collect()) == [1, 3]
+    assert [(r.question_id, r.context_used) for r in out.outcome.collect()] == [(2, True)]
+
+
+def test_nothing_of_an_unfinished_attempt_is_visible(spark, monkeypatch):
+    store = Store(spark, fresh_path(spark, "store"))
+    ingest(corpus(spark, CORPUS[:4]), store, KEYS, MODEL, "one", SETTINGS, names=None)
+    tables = ("documents", "chunks", "quarantine", "ingest_log")
+    before = {t: store.read(t).count() for t in tables}
+
+    def breaks(self, batch, attempt):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Store, "commit", breaks)
+        for batch in ("one", "two"):
+            with pytest.raises(RuntimeError):
+                ingest(corpus(spark), store, KEYS, MODEL, batch, SETTINGS, names=None)
+    assert {t: store.read(t).count() for t in tables} == before
+    ingest(corpus(spark), store, KEYS, MODEL, "two", SETTINGS, names=None)
+    assert store.read("documents").count() == 3
+
+
+def test_names_must_be_stated_and_are_masked(spark):
+    store = Store(spark, fresh_path(spark, "store"))
+    with pytest.raises(TypeError):
+        ingest(corpus(spark), store, KEYS, MODEL, "one", SETTINGS)
+    names = spark.createDataFrame([("Amazon", "GPE")], "name string, category string")
+    ingest(corpus(spark), store, KEYS, MODEL, "one", SETTINGS, names=names)
+    stats = {r.source_ref: r.pii_stats for r in store.audit_documents().collect()}
+    assert stats["rag12000:0"] == {"GPE": 5}
+
+
+def test_journal_of_the_chains(spark):
+    journal = fresh_path(spark, "journal")
+    store = Store(spark, fresh_path(spark, "store"))
+    ingest(corpus(spark), store, KEYS, MODEL, "one", SETTINGS, names=None, journal=journal)
+    questions = spark.createDataFrame(
+        [(1, "The Amazon rainforest hosts many species", 2, "rag"), (2, "zzz", None, "no-rag")],
+        "question_id bigint, question string, k int, mode string",
+    )
+    got = retrieve(questions, store, KEYS, MODEL, SETTINGS, journal=journal)
+    assert {r.question_id: (r.context_used, r.event) for r in got.outcome.collect()} == {
+        1: (True, None),
+        2: (False, None),
+    }
+    answers = spark.createDataFrame([(1, "me@x.org")], "question_id bigint, answer string")
+    safe_answers(answers, build_prompts(questions, got.context), journal=journal).collect()
+    with pytest.raises(ValueError):
+        retrieve(questions, store, KEYS, MODEL, Settings(embed_dim=16, embed_model_tag="b@2"), journal=journal)
+    events = [(e.event, e.request_id, e.detail) for e in read_events(spark, journal).collect()]
+    names = [e[0] for e in events]
+    assert names.count("query_start") == names.count("query_done") == 2
+    for name in ("ingest_start", "ingest_done", "output_masked", "model_mismatch"):
+        assert names.count(name) == 1
+    assert names.count("doc_ingested") == 3 and names.count("doc_quarantined") == 3
+    start = {e[1]: e[2] for e in events if e[0] == "query_start"}
+    assert start["1"]["k"] == "2" and start["2"]["mode"] == "no-rag"
+    assert all("duration_s" in e[2] for e in events if e[0] == "query_done")
+
+
 def test_keys_must_differ():
     with pytest.raises(ValueError):
         Keys(b"same", "same")
@@ -367,6 +460,8 @@ def test_request_validation(spark):
         (6, "q", None, 0, "{}"),
         (7, "q", None, None, '{"question":"q","debug":1}'),
         (8, None, None, None, "{}"),
+        (9, "q", None, None, "{bad json"),
+        (10, "q", None, None, "[1]"),
     ]
     df = spark.createDataFrame(rows, "i int, question string, mode string, k int, body string")
     valid, rejected = split_requests(df)
@@ -379,6 +474,8 @@ def test_request_validation(spark):
         6: "k_out_of_range",
         7: "unknown_field",
         8: "question_empty",
+        9: "body_malformed",
+        10: "body_malformed",
     }
 
 
