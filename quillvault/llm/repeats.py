@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillvault.llm.tables import map_rows, staged
+from quillvault.sources.shared import emptied, fresh_path
 
 LENGTH = 100
 GRAM = 32
@@ -363,10 +364,12 @@ def later_in_windows(rows: DataFrame, length: int) -> DataFrame:
 
 
 class Found:
-    """Stored tables that repeats are read from."""
+    """Stored tables that repeats are read from; large ones are emptied once they are used up."""
 
     def __init__(self, documents: DataFrame, length: int):
         self.length = length
+        self.spark = documents.sparkSession
+        self.stored: dict[str, tuple[str, DataFrame]] = {}
         self.texts = texts = identified(documents)
         self.base = base = staged(
             texts.select(
@@ -384,7 +387,7 @@ class Found:
             .distinct(),
             "copies",
         )
-        places = staged(anchor_rows(texts, length), "anchors")
+        places = self.store(anchor_rows(texts, length), "anchors")
         often = places.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k")
         by_text = (
             places.join(often, "k")
@@ -392,13 +395,15 @@ class Found:
             .agg(F.collect_list(F.struct("k", "place")).alias("places"))
             .join(self.copies, ["doc", "tie"], "left_anti")
         )
-        by_text = staged(by_text, "places")
+        by_text = self.store(by_text, "places")
+        self.drop("anchors")
         #: One row per slice of an anchor that occurs more than once.
-        self.slices = staged(
+        self.slices = self.store(
             slice_rows(compressed(texts).join(by_text, ["doc", "tie"]), length), "slices"
         )
+        self.drop("places")
         #: One row per different slice, with its earliest occurrence.
-        self.distinct = staged(
+        self.distinct = self.store(
             self.slices.groupBy("k", "h")
             .agg(
                 F.count("*").alias("n"),
@@ -409,7 +414,18 @@ class Found:
         )
         several = self.distinct.groupBy("k").agg(F.count("*").alias("m")).filter("m > 1")
         #: The different slices of anchors that have several.
-        self.contested = staged(self.distinct.join(several, "k"), "contested")
+        self.contested = self.store(self.distinct.join(several, "k"), "contested")
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        table = staged(df, name, path)
+        self.stored[name] = (path, table)
+        return table
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path, table = self.stored.pop(name)
+            emptied(self.spark, path, table.schema)
 
     def later(self) -> DataFrame:
         """``doc, tie, start, end`` (may overlap) of all later occurrences outside of copies."""
@@ -497,10 +513,11 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     found = Found(documents, length)
     spans = (
         found.later()
-        .distinct()
         .groupBy("doc", "tie")
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
+    spans = staged(spans, "spans")
+    found.drop("slices", "different", "contested")
 
     def make():
         unpack = zstandard.ZstdDecompressor().decompress
