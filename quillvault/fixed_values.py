@@ -168,3 +168,64 @@ QUESTION_K = (1, 10)
 BENCH_SIZES = (500, 1000, 2000)
 NO_SOURCES = "—"
 EVENT_LOG_TAIL = 5000
+
+# --- the same patterns in the words of RE2, for the equivalent SQL -----------------------------
+# RE2 has no look-around and its word boundary knows ASCII only; quotes are doubled as in SQL.
+RE2_SPACES = (
+    r"[\t\n\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+RE2_EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
+RE2_IP = r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b"
+RE2_IBAN = rf"\b[A-Z]{{2}}[0-9]{{2}}(?:{RE2_SPACES}?[A-Z0-9]){{11,30}}\b"
+_RE2_GAP = rf"(?:{RE2_SPACES}|[.\-])?"
+RE2_PHONE = (
+    rf"(?:(?:\+|00)[0-9]{{1,3}}{_RE2_GAP}(?:\([0-9]{{1,4}}\){_RE2_GAP})?[0-9](?:{_RE2_GAP}[0-9]){{6,12}}"
+    rf"|\([0-9]{{2,4}}\){_RE2_GAP}[0-9]{{3}}{_RE2_GAP}[0-9]{{4}}"
+    r"|[0-9]{2,4}(?:[.\-][0-9]{2,4}){2,4})\b"
+)
+RE2_ISO_DATE = rf"^[0-9]{{4}}(?:{RE2_SPACES}|[.\-])[0-9]{{2}}(?:{RE2_SPACES}|[.\-])[0-9]{{2}}$"
+RE2_URL_NOMINATIVE = (
+    r"(?i)(?:/(?:users?|profiles?|accounts?|members?|people|author)s?/[^/\s?]+"
+    r"|/~[^/\s?]+|[?&](?:name|user|username|email|login)=)"
+)
+RE2_URL = r"https?://[^\s<>\"'')\]]+"
+RE2_INVISIBLE = (
+    r"[\x{200b}-\x{200f}\x{2060}\x{feff}\x{ad}\x{202a}-\x{202e}\x{2066}-\x{2069}]"
+)
+RE2_INJECTION_PATTERNS = (
+    (
+        "template_tokens",
+        0.7,
+        r"(?i)<\|im_start\|>|<\|im_end\|>|<\|system\|>|\[INST\]|\[/INST\]"
+        r"|<<SYS>>|<</SYS>>|<\|start_header_id\|>",
+    ),
+    (
+        "ignore_instructions",
+        0.6,
+        r"(?is)\b(?:ignore|disregard|forget|override|bypass)\b.{0,40}?"
+        r"\b(?:previous|prior|above|earlier|preceding|all|any|your)\b.{0,40}?"
+        r"\b(?:instructions?|rules?|context|prompts?|directives?|guidelines?)\b",
+    ),
+    (
+        "reveal_prompt",
+        0.6,
+        r"(?is)\b(?:reveal|show|print|repeat|output|display|leak)\b.{0,40}?"
+        r"\b(?:system\s+prompt|initial\s+prompt|your\s+(?:instructions|prompt|rules))\b",
+    ),
+    ("role_reassignment", 0.5, r"(?im)^\s*(?:system|assistant|user)\s*:"),
+    (
+        "new_identity",
+        0.5,
+        r"(?i)\b(?:you\s+are\s+now|act\s+as|pretend\s+(?:to\s+be|you\s+are)"
+        r"|from\s+now\s+on|new\s+persona)\b",
+    ),
+    ("jailbreak_known", 0.5, r"(?i)\b(?:do\s+anything\s+now|DAN\s+mode|developer\s+mode)\b"),
+    (
+        "exfiltration_hint",
+        0.4,
+        r"(?is)\b(?:send|post|upload|exfiltrate|transmit)\b.{0,30}?"
+        r"\b(?:data|secrets?|keys?|passwords?|credentials?)\b",
+    ),
+    ("dangerous_scheme", 0.3, r"(?i)javascript:|data:text/html"),
+)

@@ -2,53 +2,18 @@
 
 from __future__ import annotations
 
-SPACES = (
-    r"[\t\n\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+from quillvault.fixed_values import (
+    RE2_EMAIL as EMAIL,
+    RE2_IBAN as IBAN,
+    RE2_INVISIBLE as INVISIBLE,
+    RE2_IP as IP,
+    RE2_ISO_DATE as ISO_DATE,
+    RE2_INJECTION_PATTERNS as PATTERNS,
+    RE2_PHONE as PHONE,
+    RE2_SPACES as SPACES,
+    RE2_URL as URL,
+    RE2_URL_NOMINATIVE as URL_NOMINATIVE,
 )
-EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
-IP = r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b"
-URL = r"https?://[^\s<>\"'')\]]+"
-INVISIBLE = (
-    r"[\x{200b}-\x{200f}\x{2060}\x{feff}\x{ad}\x{202a}-\x{202e}\x{2066}-\x{2069}]"
-)
-PATTERNS = (
-    (
-        "template_tokens",
-        0.7,
-        r"(?i)<\|im_start\|>|<\|im_end\|>|<\|system\|>|\[INST\]|\[/INST\]"
-        r"|<<SYS>>|<</SYS>>|<\|start_header_id\|>",
-    ),
-    (
-        "ignore_instructions",
-        0.6,
-        r"(?is)\b(?:ignore|disregard|forget|override|bypass)\b.{0,40}?"
-        r"\b(?:previous|prior|above|earlier|preceding|all|any|your)\b.{0,40}?"
-        r"\b(?:instructions?|rules?|context|prompts?|directives?|guidelines?)\b",
-    ),
-    (
-        "reveal_prompt",
-        0.6,
-        r"(?is)\b(?:reveal|show|print|repeat|output|display|leak)\b.{0,40}?"
-        r"\b(?:system\s+prompt|initial\s+prompt|your\s+(?:instructions|prompt|rules))\b",
-    ),
-    ("role_reassignment", 0.5, r"(?im)^\s*(?:system|assistant|user)\s*:"),
-    (
-        "new_identity",
-        0.5,
-        r"(?i)\b(?:you\s+are\s+now|act\s+as|pretend\s+(?:to\s+be|you\s+are)"
-        r"|from\s+now\s+on|new\s+persona)\b",
-    ),
-    ("jailbreak_known", 0.5, r"(?i)\b(?:do\s+anything\s+now|DAN\s+mode|developer\s+mode)\b"),
-    (
-        "exfiltration_hint",
-        0.4,
-        r"(?is)\b(?:send|post|upload|exfiltrate|transmit)\b.{0,30}?"
-        r"\b(?:data|secrets?|keys?|passwords?|credentials?)\b",
-    ),
-    ("dangerous_scheme", 0.3, r"(?i)javascript:|data:text/html"),
-)
-
 
 def content_hash(text: str) -> str:
     return f"sha256(trim(regexp_replace({text}, '{SPACES}+', ' ', 'g'), ' '))"
@@ -74,26 +39,47 @@ def injection_ctes(source: str, text: str) -> str:
 
 
 def pseudonym_ctes() -> str:
-    """From ``d(doc_id, text)``: e-mail and IPv4 spans, their numbers and ``pseudo``."""
-    both = f"(?:{EMAIL})|(?:{IP})"
+    """From ``d(doc_id, text)``: spans of all categories, their numbers and ``pseudo``.
+
+    RE2 has no look-behind. IP and PHONE take the character before them along as a border, which is
+    cut off again, so that both begin at the same place and the order of alternatives decides.
+    """
+    border = "(?:^|[^\\p{L}\\p{N}_.])"
+    ip_border = "(?:^|[^\\p{L}\\p{N}_])"
+    every = f"(?:{URL})|(?:{EMAIL})|(?:{IBAN})|(?:{ip_border}{IP})|(?:{border}{PHONE})"
+    digits = "len(regexp_replace(value, '[^0-9]', '', 'g'))"
+    is_phone = (
+        f"regexp_full_match(value, '{PHONE}') AND {digits} BETWEEN 9 AND 15 "
+        f"AND NOT regexp_matches(value, '{ISO_DATE}')"
+    )
     return f"""
-      cut AS (SELECT doc_id, regexp_extract_all(text, '{both}') AS hits,
-              regexp_split_to_array(text, '{both}') AS gaps FROM d),
-      hit AS (SELECT doc_id, unnest(hits) AS value, unnest(range(1, len(hits) + 1)) AS i,
+      cut AS (SELECT doc_id, regexp_extract_all(text, '{every}') AS hits,
+              regexp_split_to_array(text, '{every}') AS gaps FROM d),
+      raw AS (SELECT doc_id, unnest(hits) AS hit, unnest(range(1, len(hits) + 1)) AS i,
               unnest(list_transform(range(1, len(hits) + 1), lambda j:
                 list_sum(list_transform(gaps[1:j], lambda g: length(g)))
                 + coalesce(list_sum(list_transform(hits[1:j-1], lambda h: length(h))), 0)
-              )) AS start_pos FROM cut),
-      typed AS (SELECT *, CASE WHEN contains(value, '@') THEN 'EMAIL'
-                WHEN list_max(list_transform(string_split(value, '.'), lambda o: CAST(o AS INTEGER)))
-                     <= 255 THEN 'IP' END AS category FROM hit),
+              )) AS hit_pos FROM cut),
+      hit AS (SELECT *, length(hit) - length(value) + hit_pos AS start_pos,
+              left(hit, length(hit) - length(value)) AS border FROM
+              (SELECT *, CASE WHEN regexp_matches(hit, '^(?:http|[A-Za-z0-9%+_-]*[A-Za-z0-9._%+-]*@)')
+                 OR regexp_full_match(hit, '{IBAN}') OR regexp_full_match(hit, '{IP}')
+                 OR regexp_full_match(hit, '{PHONE}') THEN hit ELSE substr(hit, 2) END AS value FROM raw)),
+      typed AS (SELECT *, CASE WHEN starts_with(value, 'http') THEN
+                  CASE WHEN regexp_matches(value, '{URL_NOMINATIVE}') THEN 'URL' END
+                WHEN contains(value, '@') THEN 'EMAIL'
+                WHEN regexp_full_match(value, '{IBAN}') THEN 'IBAN'
+                WHEN regexp_full_match(value, '{IP}')
+                  AND list_max(list_transform(string_split(value, '.'), lambda o: CAST(o AS INTEGER)))
+                     <= 255 THEN 'IP'
+                WHEN {is_phone} THEN 'PHONE' END AS category FROM hit),
       keyed AS (SELECT *, CASE WHEN category = 'EMAIL' THEN lower(value) ELSE value END AS key
                 FROM typed),
       numbered AS (SELECT doc_id, category, key,
                    row_number() OVER (PARTITION BY doc_id, category ORDER BY min(i)) AS num
                    FROM keyed WHERE category IS NOT NULL GROUP BY doc_id, category, key),
-      token AS (SELECT k.doc_id, list(CASE WHEN k.category IS NULL THEN k.value
-                ELSE '[' || k.category || '_' || n.num || ']' END ORDER BY k.i) AS tokens
+      token AS (SELECT k.doc_id, list(CASE WHEN k.category IS NULL THEN k.hit
+                ELSE k.border || '[' || k.category || '_' || n.num || ']' END ORDER BY k.i) AS tokens
                 FROM keyed k LEFT JOIN numbered n
                 ON k.doc_id = n.doc_id AND k.category = n.category AND k.key = n.key
                 GROUP BY k.doc_id),
