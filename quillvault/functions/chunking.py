@@ -17,10 +17,20 @@ def char_windows(text: Column, size: int, overlap: int) -> Column:
     if not 0 < overlap < size:
         raise ValueError("overlap must lie strictly between 0 and size")
     step = size - overlap
-    last = F.greatest(F.lit(0), F.ceil((F.length(text) - overlap) / F.lit(step)).cast("int") - 1)
-    windows = F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.substr(text, i * step + 1, F.lit(size))
-    )
+    # One pass cuts the text into pieces of ``step`` characters; a window is its piece and as much
+    # of the next ones as it needs. Counting from the start for every window would be quadratic.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    shifted = [
+        F.slice(pieces, 1 + j, F.greatest(F.lit(0), F.size(pieces) - j)).alias(f"p{j}")
+        for j in range(-(-size // step))
+    ]
+
+    def window(row: Column) -> Column:
+        parts = [F.coalesce(row[f"p{j}"], F.lit("")) for j in range(len(shifted))]
+        return F.substr(F.concat(*parts), F.lit(1), F.lit(size))
+
+    last = F.greatest(F.lit(1), F.ceil((F.length(text) - overlap) / F.lit(step)).cast("int"))
+    windows = F.slice(F.transform(F.arrays_zip(*shifted), window), F.lit(1), last)
     return F.when(F.length(text) > 0, windows).otherwise(F.array().cast("array<string>"))
 
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillvault.functions.barrier import exploded
+from quillvault.functions.barrier import exploded, settled
 from quillvault.functions.chunking import recursive_chunks
 from quillvault.functions.embedding import Embedder
 from quillvault.functions.integrity import decrypt, encrypt, seal
@@ -54,7 +54,9 @@ def chunk_rows(
     documents: DataFrame, text: Column, settings: Settings, splitter: Splitter = recursive_chunks
 ) -> DataFrame:
     """One row per chunk, numbered from 0 in text order."""
-    pieces = splitter(text, settings.chunk_size, settings.chunk_overlap)
+    # Settled first: decrypting reads its key by a subquery, which no lambda may contain.
+    documents = settled(documents.select("doc_sha256", text.alias("_text")), "_text")
+    pieces = splitter(F.col("_text"), settings.chunk_size, settings.chunk_overlap)
     return exploded(documents, pieces, ("chunk_index", "content"), "doc_sha256")
 
 
@@ -98,6 +100,7 @@ def ingest(
     *,
     names: DataFrame | None,
     journal: str | None = None,
+    clock: str | None = None,
 ) -> DataFrame:
     """Ingest ``rows`` (``ord, source_ref, context``; ``ord`` is unique) as one repeatable batch.
 
@@ -107,7 +110,8 @@ def ingest(
     reads only the columns it needs. A document with a chunk the model could not embed is left out
     as a whole: it and its copies count under ``errors``. One commit at the end makes all four tables
     visible; until then readers see the batch as it was. Staged tables are emptied afterwards.
-    With ``journal`` the events of the batch are appended to the log at that path.
+    With ``journal`` the events of the batch are appended to the log at that path. Stored times are
+    those of the job, or of the rows' timestamp column ``clock``.
     """
     spark = rows.sparkSession
     attempt = store.begin()
@@ -119,7 +123,8 @@ def ingest(
                 F.to_json(F.struct(F.lit(batch).alias("batch"), "documents")).alias("detail"),
             )
             write_events(as_lines(started, "ingest"), journal)
-        final = _ingested(rows, store, keys, model, batch, attempt, settings, splitter, names)
+        stamped = rows.withColumn("_at", F.col(clock) if clock else F.current_timestamp())
+        final = _ingested(stamped, store, keys, model, batch, attempt, settings, splitter, names)
         counts = [tuple(r) for r in status_rollup(final).collect()]  # one row per status
         if journal:
             write_events(as_lines(ingest_events(final), "ingest"), journal)
@@ -153,7 +158,7 @@ def _ingested(
         rows, "context", settings.injection_threshold, entities=entities
     ).withColumn("content_enc", encrypt(spark, F.col("text_pseudo"), keys.cipher))
     columns = (
-        "ord source_ref doc_sha256 pii_stats score reasons is_empty passing content_enc".split()
+        "ord source_ref _at doc_sha256 pii_stats score reasons is_empty passing content_enc".split()
     )
     ready = staged(ready.select(*columns), "ready")
     found = verdicts(ready, settings.injection_threshold, known=store.known_hashes(batch))
@@ -210,7 +215,7 @@ def _ingested(
             F.array_join("reasons", ", ").alias("reason"),
             F.col("score").cast("float").alias("score"),
             "content_enc",
-            F.current_timestamp().alias("detected_at"),
+            F.col("_at").alias("detected_at"),
         ),
         batch,
         attempt,
@@ -222,7 +227,7 @@ def _ingested(
             document_id(F.col("doc_sha256")).alias("document_id"),
             "source_ref",
             "doc_sha256",
-            F.current_timestamp().alias("ingested_at"),
+            F.col("_at").alias("ingested_at"),
             F.current_user().alias("ingested_by"),
             "pii_stats",
         ),
@@ -235,7 +240,7 @@ def _ingested(
 def ingest_log(routed: DataFrame) -> DataFrame:
     """One log row per ingested, duplicate or quarantined document; the others leave none."""
     return routed.filter(F.col("status").isin("ingested", "duplicate", "quarantined")).select(
-        F.current_timestamp().alias("ts"),
+        (F.col("_at") if "_at" in routed.columns else F.current_timestamp()).alias("ts"),
         log_operation(F.col("status")).alias("operation"),
         log_detail(
             F.col("status"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillvault import fixed_values as fv
@@ -16,16 +16,13 @@ from quillvault.functions.embedding import (
 )
 from quillvault.functions.integrity import encrypt, seal
 from quillvault.functions.pii import filter_answers, text_urls, tokens_passed
-from quillvault.functions.text import canonical_url, source_ref
+from quillvault.functions.text import canonical_url, source_ref, with_content_hash
 from quillvault.operators.audit import integrity_report
-from quillvault.operators.cells import nearest_by_cells
+from quillvault.operators.cells import CellIndex, nearest_by_cells
 from quillvault.operators.evaluation import (
-    bench_sizes,
     best_size,
     hit_rates,
-    hit_report,
     paired_answers,
-    truth_questions,
 )
 from quillvault.operators.requests import effective_k, validated
 from quillvault.operators.retrieval import (
@@ -38,6 +35,7 @@ from quillvault.operators.retrieval import (
     space_verdict,
 )
 from quillvault.plans.answer import build_prompts, retrieve
+from quillvault.plans.benchmark import benchmark_sizes
 from quillvault.plans.ingest import ingest
 from quillvault.plans.joins import fits
 from quillvault.queries import sql
@@ -113,14 +111,20 @@ def topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of the true nearest chunks that the approximate search finds."""
+    """Whether the approximate search over a stored index finds enough and compares little."""
     questions, chunks = _questions(spark, sf_dir), _chunks(spark, sf_dir)
     exact = nearest_chunks(questions, chunks, K).select("question_id", "chunk_id")
-    near = nearest_by_cells(questions, chunks, K, exact=False).select(
+    index = CellIndex.build(chunks, fresh_path(spark, "index"))
+    near = index.nearest(questions, K, exact=False).select(
         "question_id", "chunk_id", F.lit(1).alias("hit")
     )
-    return exact.join(near, ["question_id", "chunk_id"], "left").agg(
-        F.count("*").alias("wanted"), F.round(F.count("hit") / F.count("*"), 3).alias("recall")
+    recall = exact.join(near, ["question_id", "chunk_id"], "left").agg(
+        F.count("*").alias("wanted"), (F.count("hit") / F.count("*")).alias("recall")
+    )
+    return recall.join(F.broadcast(index.scored_share(questions))).select(  # one row each
+        "wanted",
+        (F.col("recall") >= 0.9).alias("recall_reached"),
+        (F.col("scored_share") <= 0.5).alias("few_compared"),
     )
 
 
@@ -210,7 +214,13 @@ def integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = char_windows(F.col("text"), SETTINGS.chunk_size, OVERLAP)
     chunks = exploded(documents(spark, sf_dir), windows, ("chunk_index", "content"), "doc_id")
-    return chunks.withColumn("chunk_id", F.col("doc_id") * 100_000 + F.col("chunk_index"))
+    return chunks.withColumn("chunk_id", _window_key(F.col("doc_id"), F.col("chunk_index")))
+
+
+def _window_key(doc_id: Column, chunk_index: Column) -> Column:
+    """Identity of a window as text that sorts by document, then place."""
+    place = F.lpad(chunk_index.cast("string"), 10, "0")
+    return F.concat(F.lpad(doc_id.cast("string"), 19, "0"), F.lit(":"), place)
 
 
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,71 +280,55 @@ def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items with the first document that holds their longest shared sentence."""
+    """Benchmark items with the content hash of the first document that holds their longest shared
+    sentence. Only sentences that some item has are grouped."""
 
     def sentences(df: DataFrame, key: str) -> DataFrame:
         cut = df.select(key, F.explode(F.split("text", r"\.")).alias("s"))
         return cut.select(key, F.trim("s").alias("s")).filter(F.length("s") > 0)
 
-    first_holder = (
-        sentences(documents(spark, sf_dir), "doc_id").groupBy("s").agg(F.min("doc_id").alias("doc_id"))
+    asked = staged(sentences(table(spark, sf_dir, "benchmark"), "item_id").distinct(), "sentences")
+    known = asked.select("s").distinct()
+    shared = sentences(documents(spark, sf_dir), "doc_id").join(
+        F.broadcast(known) if fits(known) else known, "s", "left_semi"
     )
-    asked = sentences(table(spark, sf_dir, "benchmark"), "item_id").distinct()
+    first_holder = shared.groupBy("s").agg(F.min("doc_id").alias("doc_id"))
     truth = (
         asked.join(first_holder, "s")
         .groupBy("item_id")
         .agg(F.max_by("doc_id", F.struct(F.length("s"), F.col("s"))).alias("doc_id"))
     )
+    hashes = with_content_hash(documents(spark, sf_dir), "text").select("doc_id", "doc_sha256")
     return (
         _asked(spark, sf_dir)
         .join(truth.withColumnRenamed("item_id", "question_id"), "question_id")
-        .withColumn("doc_sha256", F.sha2(F.col("doc_id").cast("string"), 256))
+        .join(hashes, "doc_id")
         .drop("doc_id")
     )
 
 
 def _hit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = bench_sizes(spark, SIZES, OVERLAP)
-    docs = documents(spark, sf_dir)
-    step = F.col("chunk_size") - OVERLAP
-    length = F.length("text")
-    last = F.greatest(F.lit(0), F.ceil((length - OVERLAP) / step).cast("int") - 1)
-    sized = docs.withColumn(
-        "chunk_size", F.explode(F.array(*[F.lit(r["chunk_size"]) for r in sizes.collect()]))
-    )
-    chunks = (
-        sized.filter(length > 0)
-        .withColumn("chunk_index", F.explode(F.sequence(F.lit(0), last)))
-        .select(
-            "chunk_size",
-            (F.col("doc_id") * 100_000 + F.col("chunk_index")).alias("chunk_id"),
-            F.substr("text", F.col("chunk_index") * step + 1, "chunk_size").alias("content"),
-        )
-    )
-    vectors = chunks.select(
-        "chunk_size",
-        "chunk_id",
-        embed_documents(F.col("content"), MODEL, 64).alias("embedding"),
-    )
-    ingested = docs.select(F.sha2(F.col("doc_id").cast("string"), 256).alias("doc_sha256"))
-    truth = staged(
-        truth_questions(_truth(spark, sf_dir), ingested, order="question_id"), "questions"
-    )
-    asked = truth.select(
-        "question_id", embed_questions(F.col("question"), MODEL, 64).alias("embedding")
-    )
-    found = nearest_chunks(asked, vectors, K, within="chunk_size").withColumn(
-        "doc_sha256", F.sha2(F.floor(F.col("chunk_id") / 100_000).cast("string"), 256)
+    rows = documents(spark, sf_dir).select(
+        F.col("doc_id").alias("ord"),
+        source_ref(F.col("doc_id")).alias("source_ref"),
+        F.col("text").alias("context"),
     )
-    per_size = truth.withColumn(
-        "chunk_size", F.explode(F.array(*[F.lit(r["chunk_size"]) for r in sizes.collect()]))
+    return benchmark_sizes(
+        rows,
+        _truth(spark, sf_dir),
+        fresh_path(spark, "benchmark"),
+        KEYS,
+        MODEL,
+        SIZES,
+        SETTINGS,
+        splitter=char_windows,
+        names=None,
     )
-    return hit_report(sizes, hit_rates(per_size, found))
 
 
 def hit_rate_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hit_report(spark, sf_dir).select(
-        "chunk_size", "questions", "hits", "hit_rate", "mean_hit_similarity"
+        "chunk_size", "documents", "chunks", "questions", "hits", "hit_rate", "mean_hit_similarity"
     )
 
 
@@ -458,26 +452,40 @@ def valid_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class _Tampered(Store):
+    """A store in which someone has replaced the seal of every third chunk of a document."""
+
+    def visible_chunks(self) -> DataFrame:
+        forged = F.when(F.col("chunk_index") % 3 == 1, F.repeat(F.lit("0"), F.lit(64)))
+        return self.read("chunks").withColumn("chunk_hmac", F.coalesce(forged, "chunk_hmac"))
+
+
 def secure_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingest, retrieve with seal checks, build prompts: the whole chain over a stored corpus."""
+    """Ingest, retrieve with seal checks from a tampered store, build prompts: the whole chain."""
     rows = documents(spark, sf_dir).select(
         F.col("doc_id").alias("ord"),
         source_ref(F.col("doc_id")).alias("source_ref"),
         F.col("text").alias("context"),
     )
-    store = Store(spark, fresh_path(spark, "store"))
-    ingest(rows, store, KEYS, MODEL, "run", SETTINGS, names=None)
+    store = _Tampered(spark, fresh_path(spark, "store"))
+    ingest(rows, store, KEYS, MODEL, "run", SETTINGS, char_windows, names=None)
     questions = _asked(spark, sf_dir)
     got = retrieve(questions, store, KEYS, MODEL, SETTINGS)
     ready = build_prompts(questions, got.context)
-    return ready.join(got.outcome, "question_id").select(
-        "question_id",
-        "n_found",
-        "n_kept",
-        "best_similarity",
-        "context_used",
-        F.size("messages").alias("n_messages"),
-        F.size("sources").alias("n_sources"),
+    broken = got.broken.groupBy("question_id").agg(F.count("*").alias("n_broken"))
+    return (
+        ready.join(got.outcome, "question_id")
+        .join(broken, "question_id", "left")
+        .select(
+            "question_id",
+            "n_found",
+            "n_kept",
+            F.coalesce("n_broken", F.lit(0)).alias("n_broken"),
+            F.round("best_similarity", 4).alias("best_similarity"),
+            "context_used",
+            F.size("messages").alias("n_messages"),
+            F.coalesce(F.size("sources"), F.lit(0)).alias("n_sources"),
+        )
     )
 
 
@@ -544,26 +552,32 @@ def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_HITS_SQL = f"""{PLAIN_SQL}, sizes AS (SELECT * FROM (VALUES (1, 500), (2, 1000), (3, 2000)) t(pos, size)),
-  ds AS (SELECT doc_id, text, size FROM d, sizes),
-  w AS ({sql.windows("ds", "text", "size", "150", "doc_id, size")}),
-  {_dense("cv", sql.hashed_vectors("w", "doc_id, size, chunk_index", "content", "search_document: ", 64),
-          ("doc_id", "size", "chunk_index"))},
+_HITS_SQL = f"""{PLAIN_SQL}, {sql.status_ctes()},
+  sizes AS (SELECT * FROM (VALUES (1, 500), (2, 1000), (3, 2000)) t(pos, size)),
+  ds AS (SELECT doc_sha256, text_pseudo AS text, size FROM routed, sizes WHERE status = 'ingested'),
+  w AS ({sql.windows("ds", "text", "size", "150", "doc_sha256, size")}),
+  {_dense("cv", sql.hashed_vectors("w", "doc_sha256, size, chunk_index", "content",
+          "search_document: ", 64), ("doc_sha256", "size", "chunk_index"))},
   sb AS (SELECT DISTINCT item_id, trim(unnest(string_split(text, '.')), ' ') AS s FROM benchmark),
   sd AS (SELECT doc_id, trim(unnest(string_split(text, '.')), ' ') AS s FROM documents),
   holder AS (SELECT s, min(doc_id) AS doc_id FROM sd WHERE s <> '' GROUP BY s),
-  truth AS (SELECT item_id, doc_id AS truth_id FROM sb JOIN holder USING (s)
+  named AS (SELECT item_id, doc_id FROM sb JOIN holder USING (s)
     QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY length(s) DESC, s DESC) = 1),
+  truth AS (SELECT item_id, doc_sha256 AS truth_sha FROM named JOIN routed USING (doc_id)
+    WHERE doc_sha256 IN (SELECT doc_sha256 FROM routed WHERE status = 'ingested')),
   qs AS (SELECT item_id, text FROM benchmark WHERE item_id IN (SELECT item_id FROM truth)),
   {_dense("qv", sql.hashed_vectors("qs", "item_id", "text", "search_query: ", 64), ("item_id",))},
-  found AS (SELECT q.item_id, c.doc_id, c.size, {_cosine_sql("q.e", "c.e")} AS s,
-    row_number() OVER (PARTITION BY q.item_id, c.size ORDER BY s DESC, c.doc_id, c.chunk_index) AS rank
+  nearest AS (SELECT q.item_id, c.doc_sha256, c.size, {_cosine_sql("q.e", "c.e")} AS s,
+    row_number() OVER (PARTITION BY q.item_id, c.size ORDER BY s DESC, c.doc_sha256, c.chunk_index) AS rank
     FROM qv q, cv c QUALIFY rank <= {K}),
-  best AS (SELECT item_id, size, max(s) AS best FROM found JOIN truth USING (item_id)
-    WHERE doc_id = truth_id GROUP BY item_id, size),
-  report AS (SELECT pos, size AS chunk_size, count(*) AS questions, count(best) AS hits,
+  best AS (SELECT item_id, size, max(s) AS best FROM nearest JOIN truth USING (item_id)
+    WHERE doc_sha256 = truth_sha GROUP BY item_id, size),
+  stored AS (SELECT size, count(DISTINCT doc_sha256) AS documents, count(*) AS chunks FROM w GROUP BY size),
+  report AS (SELECT pos, size AS chunk_size, any_value(documents) AS documents,
+    any_value(chunks) AS chunks, count(*) AS questions, count(best) AS hits,
     round(count(best) / count(*), 3) AS hit_rate, round(avg(best), 4) AS mean_hit_similarity
-    FROM truth CROSS JOIN sizes LEFT JOIN best USING (item_id, size) GROUP BY pos, size)"""
+    FROM truth CROSS JOIN sizes LEFT JOIN best USING (item_id, size) JOIN stored USING (size)
+    GROUP BY pos, size)"""
 
 _CANONICAL = "regexp_replace(regexp_replace({0}, '[.,;:!?]+$', ''), '/+$', '')"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
@@ -580,7 +594,12 @@ QUERIES = {
     "topk_join": (topk_join, _TOPK),
     "topk_grid": (topk_grid, _TOPK),
     "topk_ann": (topk_cells, _TOPK),
-    "topk_ann_recall": (topk_cells_recall, None),
+    "topk_ann_recall": (
+        topk_cells_recall,
+        f"""WITH n AS (SELECT count(*) AS n FROM embeddings)
+        SELECT CAST(n * least(n, {K}) AS BIGINT) AS wanted, true AS recall_reached,
+          true AS few_compared FROM n""",
+    ),
     "topk_threshold": (
         topk_threshold,
         f"""{_TURNED} SELECT question_id, chunk_id, 'rag12000:' || label AS source_ref,
@@ -649,8 +668,8 @@ QUERIES = {
     ),
     "hit_rate_by_size": (
         hit_rate_by_size,
-        f"""WITH {_HITS_SQL} SELECT chunk_size, questions, hits, hit_rate, mean_hit_similarity
-        FROM report""",
+        f"""WITH {_HITS_SQL} SELECT chunk_size, documents, chunks, questions, hits, hit_rate,
+          mean_hit_similarity FROM report""",
     ),
     "hit_similarity": (
         hit_similarity,
@@ -732,5 +751,23 @@ QUERIES = {
           WHEN turn > 3 THEN 'unknown_field' ELSE 'valid' END AS verdict,
           CAST(coalesce(nullif(k, 0), {K}) AS INTEGER) AS effective_k FROM q""",
     ),
-    "secure_answers": (secure_answers, None),
+    "secure_answers": (
+        secure_answers,
+        f"""WITH {PLAIN_SQL}, {sql.status_ctes()},
+        ds AS (SELECT doc_sha256, text_pseudo AS text FROM routed WHERE status = 'ingested'),
+        w AS ({sql.windows("ds", "text", "1000", "150", "doc_sha256")}),
+        {_dense("cv", sql.hashed_vectors("w", "doc_sha256, chunk_index", "content",
+                "search_document: ", 64), ("doc_sha256", "chunk_index"))},
+        {_dense("qv", sql.hashed_vectors("benchmark", "item_id", "text", "search_query: ", 64),
+                ("item_id",))},
+        nearest AS (SELECT q.item_id, c.chunk_index, {_cosine_sql("q.e", "c.e")} AS s,
+          row_number() OVER (PARTITION BY q.item_id ORDER BY s DESC, c.doc_sha256, c.chunk_index) AS rank
+          FROM qv q, cv c QUALIFY rank <= {K}),
+        per AS (SELECT item_id AS question_id, count(*) AS n_found,
+          CAST(count_if(s >= {THRESHOLD}) AS BIGINT) AS n_kept,
+          CAST(count_if(s >= {THRESHOLD} AND chunk_index % 3 = 1) AS BIGINT) AS n_broken,
+          round(max(s), 4) AS best_similarity FROM nearest GROUP BY item_id)
+        SELECT *, n_kept > n_broken AS context_used, 2 AS n_messages,
+          CAST(n_kept - n_broken AS INTEGER) AS n_sources FROM per""",
+    ),
 }

@@ -93,19 +93,13 @@ def shuffle_key(seed: int, identifier: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}:"), identifier.cast("string")), 256)
 
 
-def seeded_sample(
-    df: DataFrame, identifier: str, n: int, seed: int, one_task: int = 100_000
-) -> DataFrame:
+def seeded_sample(df: DataFrame, identifier: str, n: int, seed: int) -> DataFrame:
     """The first ``n`` rows in seeded order, with their 0-based place as ``sample_ord``.
 
-    ``identifier`` is unique. A sample above ``one_task`` rows is numbered by a distributed sort
-    of the ids alone, which the rows then join.
+    ``identifier`` is unique. A distributed sort of the ids alone numbers them; the rows then join
+    the ids chosen, so no full row is sorted.
     """
     key = shuffle_key(seed, F.col(identifier))
-    if n <= one_task:
-        picked = df.withColumn("_key", key).orderBy("_key", identifier).limit(n)
-        place = F.row_number().over(Window.orderBy("_key", identifier)) - 1
-        return picked.withColumn("sample_ord", place.cast("long")).drop("_key")
     ordered = staged(
         df.select(identifier, key.alias("_key"))
         .orderBy("_key", identifier)
