@@ -14,11 +14,13 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillvault.llm.tables import map_rows, staged
+from quillvault.llm.tables import map_rows, staged, unused
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -39,6 +41,8 @@ SEEDS = 3
 ROUNDS = 3
 #: Bits of the filter that says which contexts are worth counting; a constant, whatever the input.
 BITS = 1 << 23
+#: Contexts that a task counts before it hands on their sums.
+HELD_COUNTS = 100_000
 
 Span = tuple[str, int, int]
 
@@ -195,31 +199,38 @@ def context_totals(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     )
     bits = {row["bucket"]: bytes(row["bits"]) for row in filled}
 
-    def make():
-        def known(pattern: str) -> bool:
-            s = slot(pattern)
-            position = s % 32768
-            bucket = bits.get(s // 32768 + 1)
-            return bucket is not None and bool(bucket[position // 8] >> (position % 8) & 1)
-
-        def one(text):
-            words = [plain(w) for w in (text or "").split()]
-            counts: dict[str, int] = {}
-            for i in range(1, len(words)):
-                before = words[max(0, i - 2) : i]
-                for p in contexts(before, words[i + 1] if i + 1 < len(words) else ""):
-                    if known(p):
-                        counts[p] = counts.get(p, 0) + 1
-            return counts.items()
+    def known(pattern: str) -> bool:
+        s = slot(pattern)
+        position = s % 32768
+        bucket = bits.get(s // 32768 + 1)
+        return bucket is not None and bool(bucket[position // 8] >> (position % 8) & 1)
 
-        return one
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
 
-    counted = map_rows(documents.select("text"), make, "pattern string, n bigint", rows=20000)
-    return (
-        counted.groupBy("pattern")
-        .agg(F.sum("n").alias("total"))
-        .join(wanted, "pattern", "left_semi")
-    )
+        def summed():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                names=["pattern", "n"],
+            )
+
+        for batch in batches:
+            for text in batch.column(0):
+                words = [plain(w) for w in (text.as_py() or "").split()]
+                for i in range(1, len(words)):
+                    after = words[i + 1] if i + 1 < len(words) else ""
+                    for p in contexts(words[max(0, i - 2) : i], after):
+                        if known(p):
+                            counts[p] = counts.get(p, 0) + 1
+                if len(counts) >= HELD_COUNTS:
+                    yield summed()
+                    counts.clear()
+        if counts:
+            yield summed()
+
+    counted = documents.select("text").mapInArrow(run, "pattern string, n bigint")
+    # An inner join stays above the sums; a semi-join would be moved below them.
+    return counted.groupBy("pattern").agg(F.sum("n").alias("total")).join(wanted, "pattern")
 
 
 def strong_instances(documents: DataFrame, found: DataFrame) -> DataFrame:
@@ -325,31 +336,43 @@ def mask_personal_data(documents: DataFrame) -> DataFrame:
     Overlapping spans become one mark, named after the first. ``n_chars``, where it exists, is set
     to the new length. All columns and rows stay; null texts stay null.
     """
-    kept = staged(documents.withColumn("_row", F.monotonically_increasing_id()), "masking")
-    found = found_in(kept.select(F.col("_row").alias("doc_id"), "text"))
+    row, found_spans = unused(documents, "_row"), unused(documents, "_spans")
+    kept = staged(documents.withColumn(row, F.monotonically_increasing_id()), "masking")
+    found = found_in(kept.select(F.col(row).alias("doc_id"), "text"))
     accepted = strong_instances(kept, found)
     spans = (
-        found.select(F.col("doc_id").alias("_row"), F.explode("occurrences").alias("o"))
-        .select("_row", "o.kind", "o.start", "o.end", "o.instance")
+        found.select(F.col("doc_id").alias(row), F.explode("occurrences").alias("o"))
+        .select(row, "o.kind", "o.start", "o.end", "o.instance")
         .join(accepted.withColumnRenamed("kind", "found_kind"), "instance", "left")
-        .select("_row", "start", "end", F.coalesce("kind", "found_kind").alias("kind"))
+        .select(row, "start", "end", F.coalesce("kind", "found_kind").alias("kind"))
         .filter("kind IS NOT NULL")
-        .groupBy("_row")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("_spans"))
-    )
-    both = kept.join(spans, "_row", "left")
-
-    @F.pandas_udf("string")
-    def masked(texts, spans):
-        return texts.combine(spans, mask)
-
-    out = both.withColumn(
-        "text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked("text", "_spans"))
+        .groupBy(row)
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias(found_spans))
     )
-    if "n_chars" in documents.columns:
-        changed = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        out = out.withColumn("n_chars", changed.cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+    both = kept.join(spans, row, "left").select(*documents.columns, found_spans)
+    counted = "n_chars" in documents.columns
+    schema = documents.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column(found_spans)
+            columns = {name: batch.column(name) for name in schema.names}
+            hit = {i for i in range(batch.num_rows) if spans[i].is_valid}
+            if hit:
+                texts = [
+                    mask(t.as_py(), spans[i].as_py()) if i in hit else t.as_py()
+                    for i, t in enumerate(columns["text"])
+                ]
+                columns["text"] = pa.array(texts, batch.schema.field("text").type)
+                if counted:
+                    lengths = [
+                        len(texts[i]) if i in hit else n.as_py()
+                        for i, n in enumerate(columns["n_chars"])
+                    ]
+                    columns["n_chars"] = pa.array(lengths, batch.schema.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return both.mapInArrow(run, schema)
 
 
 def mask(text: str | None, spans) -> str | None:

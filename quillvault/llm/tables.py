@@ -21,10 +21,12 @@ def map_rows(
     make: Callable[[], Callable[..., Iterable[tuple]]],
     schema: str,
     rows: int = 2000,
+    finish: Callable[[], None] | None = None,
 ) -> DataFrame:
     """``make()`` runs once per task; what it returns maps the values of a row to output rows.
 
     Output leaves in batches of at most ``rows`` rows; Spark bounds the bytes of input batches.
+    ``finish`` runs at the end of every task, to let go of what a worker would keep otherwise.
     """
     spark = df.sparkSession
     target = spark.createDataFrame([], schema).schema
@@ -45,10 +47,49 @@ def map_rows(
                         out = []
         if out:
             yield packed(out, arrow)
+        if finish:
+            finish()
 
     return df.mapInArrow(run, target)
 
 
+#: Rows of an Arrow batch where whole texts go through Python: a few megabytes at a time.
+TEXT_ROWS = "1000"
+
+
+def session_for_texts(spark: SparkSession) -> SparkSession:
+    """Set the session's Arrow batches to ``TEXT_ROWS`` rows, unless its user chose a size.
+
+    For queries and the pipeline, not for operators: these leave settings alone.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, TEXT_ROWS)
+    return spark
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as it takes to be no column of ``df``."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def keep_rows(df: DataFrame, column: str, make: Callable[[], Callable[..., bool]]) -> DataFrame:
+    """Rows of ``df`` for whose ``column`` the predicate of ``make()`` holds; all columns stay.
+
+    Batches pass through as they are, so no second copy of a batch waits beside it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds = make()
+        for batch in batches:
+            values = batch.column(column)
+            yield batch.filter(pa.array([bool(holds(v.as_py())) for v in values], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def packed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays(

@@ -94,6 +94,7 @@ def test_masking(documents):
     got = mask_personal_data(df)
     assert got.columns == df.columns
     texts = [(r.doc_id, r.text) for r in got.collect()]
+    assert all(r[c] == "theirs" for r in got.collect() for c in df.columns[2:])
     assert len(texts) == df.count() and texts.count((400, "[EMAIL]")) == 2
     assert dict(texts)[100] == "other words and customer card [CARD] was charged twice"
     assert dict(texts)[401] is None and (None, "none here") in texts

@@ -104,5 +104,6 @@ def test_filter_keeps_columns_and_good_rows(tables):
     kept = keep_good(docs, labels)
     assert kept.columns == docs.columns
     ids = {r.doc_id for r in kept.collect()}
+    assert all(r[c] == "theirs" for r in kept.collect() for c in docs.columns[2:])
     good = {i for i in range(600) if i % 6}
     assert len(good - ids) <= 3 and len(ids - good) <= 6

@@ -129,7 +129,8 @@ def test_one_of_each(documents, prose):
     df = documents(corpus(prose))
     kept = one_of_each(df)
     assert kept.columns == df.columns
-    ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    ids = [r.doc_id for r in kept.collect()]
+    assert all(r[c] == "theirs" for r in kept.collect() for c in df.columns[2:])
     assert sorted(i for i in ids if i is not None) == [1, 3, 11, 40] and ids.count(None) == 1
     assert one_of_each(documents([])).count() == 0
 
