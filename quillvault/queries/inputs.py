@@ -114,12 +114,17 @@ ANSWERS_SQL = (
 )
 
 
+def event_name(event_type: Column) -> Column:
+    """The name under which an event type of the table is logged."""
+    event = event_type
+    for given, logged in EVENT_NAMES.items():
+        event = F.when(event_type == given, logged).otherwise(event)
+    return event
+
+
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table read as a log of query events."""
-    name = F.col("event_type")
-    event = name
-    for given, logged in EVENT_NAMES.items():
-        event = F.when(name == given, logged).otherwise(event)
+    event = event_name(F.col("event_type"))
     return table(spark, sf_dir, "events").select(
         "event_id",
         "ts",

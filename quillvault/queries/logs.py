@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 from quillvault import fixed_values as fv
 from quillvault.functions.embedding import hashing_embedder
 from quillvault.functions.text import source_ref
-from quillvault.operators.audit import alert_counters, by_request, log_tail, recent_queries
+from quillvault.operators.audit import alert_counters, by_request, recent_queries
 from quillvault.operators.evaluation import mean_durations
 from quillvault.queries import sql
 from quillvault.queries.corpus import KEYS, SETTINGS
-from quillvault.queries.inputs import EVENTS_SQL, log_events, table
-from quillvault.sources.events import event_level, event_line, read_events, write_events
+from quillvault.queries.inputs import EVENTS_SQL, event_name, log_events, table
+from quillvault.sources.events import (
+    event_level,
+    event_line,
+    read_events,
+    read_log,
+    write_events,
+)
 from quillvault.sources.shared import fresh_path
 from quillvault.sources.store import Store
-from quillvault.streaming.jobs import new_content, run_to_table, stream_ingest, windowed_alerts
+from quillvault.streaming.jobs import alerts_to_table, dedup_to_table, stream_ingest
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,13 +43,15 @@ def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir)
 
 
+def _damaged(lines: DataFrame) -> DataFrame:
+    cut = F.when(F.col("event_id") % 97 == 0, F.substr("line", F.lit(1), F.lit(20)))
+    return lines.select("event_id", F.coalesce(cut, "line").alias("value"))
+
+
 def event_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log written as text, some lines cut short, and read back without them."""
     path = fresh_path(spark, "events")
-    damaged = F.when(F.col("event_id") % 97 == 0, F.substr("line", F.lit(1), F.lit(20))).otherwise(
-        F.col("line")
-    )
-    write_events(_lines(spark, sf_dir).select(damaged.alias("value")), path)
+    write_events(_damaged(_lines(spark, sf_dir)).select("value"), path)
     return (
         read_events(spark, path)
         .groupBy("event", "level")
@@ -56,7 +64,10 @@ def event_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alert_counters(log_tail(log_events(spark, sf_dir), "event_id"))
+    """Alerts among the last lines of a written log, some of them damaged."""
+    path = fresh_path(spark, "events")
+    write_events(_damaged(_lines(spark, sf_dir)).orderBy("event_id").select("value"), path)
+    return alert_counters(read_log(spark, path, tail=fv.EVENT_LOG_TAIL))
 
 
 def security_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,22 +136,25 @@ def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = new_content(_document_stream(spark, sf_dir), "text").select("doc_sha256")
-    return run_to_table(kept, fresh_path(spark, "dedup"), fresh_path(spark, "stream"))
+    """The content stored after the corpus has come in twice, the second time as a new stream."""
+    path = fresh_path(spark, "dedup")
+    for run in ("first", "second"):
+        rows = _document_stream(spark, sf_dir)
+        kept = dedup_to_table(rows, "text", path, fresh_path(spark, run), stream=run)
+    return kept.select("doc_sha256")
 
 
 def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alert counts per 30 seconds, for the windows the watermark has closed."""
+    """All six alert counters per 30 seconds, open windows included."""
     schema = table(spark, sf_dir, "events").schema
     events = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
-        .select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("event"))
+        .select(F.col("ts").cast("timestamp").alias("ts"), event_name(F.col("event_type")).alias("event"))
     )
-    counted = windowed_alerts(events, ("error", "click"))
-    closed = run_to_table(counted, fresh_path(spark, "alerts"), fresh_path(spark, "stream"))
-    return closed.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    counted = alerts_to_table(events, fresh_path(spark, "alerts"), fresh_path(spark, "stream"))
+    return counted.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 _LEVEL = (
@@ -167,10 +181,11 @@ QUERIES = {
     ),
     "alert_counters": (
         alerts,
-        f"""WITH {EVENTS_SQL}, tail AS (SELECT * FROM e ORDER BY event_id DESC LIMIT 5000)
-        SELECT a.event, count(tail.event) AS n FROM (VALUES
+        f"""WITH {EVENTS_SQL}, tail AS (SELECT * FROM e ORDER BY event_id DESC LIMIT 5000),
+          whole AS (SELECT * FROM tail WHERE event_id % 97 <> 0)
+        SELECT a.event, count(whole.event) AS n FROM (VALUES
           {", ".join(f"('{name}')" for name in fv.ALERT_EVENTS)}) a(event)
-        LEFT JOIN tail USING (event) GROUP BY a.event""",
+        LEFT JOIN whole USING (event) GROUP BY a.event""",
     ),
     "security_events": (
         security_events,
@@ -205,10 +220,13 @@ QUERIES = {
     ),
     "stream_alerts": (
         streamed_alerts,
-        """WITH a AS (SELECT ts, event_type AS event FROM events WHERE event_type IN ('error', 'click'))
-        SELECT time_bucket(INTERVAL 30 SECONDS, ts) AS window_start, event, count(*) AS n FROM a
-        WHERE time_bucket(INTERVAL 30 SECONDS, ts) + INTERVAL 30 SECONDS
-          <= (SELECT date_trunc('milliseconds', max(ts)) FROM a) - INTERVAL 10 MINUTES
-        GROUP BY 1, 2""",
+        f"""WITH {EVENTS_SQL}, names AS (SELECT * FROM (VALUES
+            {", ".join(f"('{name}')" for name in fv.ALERT_EVENTS)}) t(event)),
+          a AS (SELECT time_bucket(INTERVAL 30 SECONDS, ts) AS window_start, event FROM e
+            WHERE event IN (SELECT event FROM names)),
+          w AS (SELECT DISTINCT window_start FROM a)
+        SELECT w.window_start, names.event, count(a.event) AS n FROM w CROSS JOIN names
+        LEFT JOIN a ON a.window_start = w.window_start AND a.event = names.event
+        GROUP BY w.window_start, names.event""",
     ),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillvault import fixed_values as fv
+from quillvault.sources.corpus import numbered_lines
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -64,6 +65,29 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_log(spark: SparkSession, path: str, tail: int | None = None) -> DataFrame:
+    """Events of a log in line order (``line_number``); of its last ``tail`` lines where given.
+
+    The tail is taken of all lines, then lines that are no JSON object are dropped. An object
+    without an event, or whose detail is no object, stays with null there.
+    """
+    lines = numbered_lines(spark, path)
+    if tail is not None:
+        lines = lines.orderBy(F.desc("line_number")).limit(tail)
+    fields = "ts string, level string, event string, component string, request_id string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    row = F.from_json("line", f"{fields}, detail string, _bad string", options)
+    read = lines.filter(F.ltrim("line").startswith("{")).select("line_number", row.alias("row"))
+    detail = F.when(
+        F.ltrim("row.detail").startswith("{"), F.from_json("row.detail", "map<string,string>")
+    )
+    return read.filter(F.col("row._bad").isNull()).select(
+        "line_number",
+        *[f"row.{f.split()[0]}" for f in fields.split(", ")],
+        detail.alias("detail"),
+    )
+
+
 def stream_events(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.readStream.schema(EVENT_SCHEMA)

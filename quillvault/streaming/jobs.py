@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from quillvault import fixed_values as fv
 from quillvault.functions.embedding import Embedder
 from quillvault.functions.text import with_content_hash
 from quillvault.plans.ingest import Keys, ingest
@@ -64,17 +67,91 @@ def windowed_alerts(
     window: str = "30 seconds",
     lateness: str = "10 minutes",
 ) -> DataFrame:
-    """Alert events per time window; rows later than the watermark are dropped."""
+    """Alert events per time window; rows later than the watermark are dropped.
+
+    The watermark follows all events, so a quiet alert does not hold its windows back.
+    """
     return (
-        events.filter(F.col("event").isin(*names))
-        .withColumn("ts", F.col("ts").cast("timestamp"))
+        events.withColumn("ts", F.col("ts").cast("timestamp"))
         .withWatermark("ts", lateness)
+        .filter(F.col("event").isin(*names))
         .groupBy(F.window("ts", window).alias("window"), "event")
         .agg(F.count("*").alias("n"))
         .select(F.col("window.start").alias("window_start"), "event", "n")
     )
 
 
+def alerts_to_table(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    names: tuple[str, ...] = fv.ALERT_EVENTS,
+    window: str = "30 seconds",
+    lateness: str = "10 minutes",
+) -> DataFrame:
+    """Run ``windowed_alerts`` over all available input; ``window_start, event, n``.
+
+    Every batch writes the counts it has changed into a folder of its own, so open windows are there
+    as well, and a batch that is run again replaces its output. Every window with an alert has all
+    ``names``, zero where none came.
+    """
+    spark = events.sparkSession
+    counts = windowed_alerts(events, names, window, lateness)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    counts.writeStream.outputMode("update").foreachBatch(run).option(
+        "checkpointLocation", checkpoint
+    ).trigger(availableNow=True).start().awaitTermination()
+    written = spark.read.schema("window_start timestamp, event string, n bigint, batch bigint")
+    newest = (
+        written.parquet(path)
+        .groupBy("window_start", "event")
+        .agg(F.max_by("n", "batch").alias("n"))
+    )
+    every = newest.groupBy("window_start").agg(
+        F.map_from_entries(F.collect_list(F.struct("event", "n"))).alias("counts")
+    )  # at most one entry per name
+    name = F.explode(F.array(*[F.lit(n) for n in names]))
+    return every.withColumn("event", name).select(
+        "window_start", "event", F.coalesce(F.col("counts")[F.col("event")], F.lit(0)).alias("n")
+    )
+
+
+def dedup_to_table(
+    rows: DataFrame, text: str, path: str, checkpoint: str, stream: str = "stream"
+) -> DataFrame:
+    """Store the rows of a stream whose content hash is not stored yet, and return what is stored.
+
+    Known hashes are looked up in the table, so no state grows with the corpus. Of equal rows in one
+    batch any one is stored. A batch that is run again replaces its own folder; ``stream`` keeps the
+    batches of different streams into one table apart.
+    """
+    spark = rows.sparkSession
+    hashed = with_content_hash(rows, text)
+    schema = T.StructType([*hashed.schema.fields, T.StructField("batch", T.StringType())])
+
+    def stored() -> DataFrame:
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        name = f"{stream}-{batch_id}"
+        known = stored().filter(F.col("batch") != name).select("doc_sha256")
+        fresh = batch.dropDuplicates(["doc_sha256"]).join(known, "doc_sha256", "left_anti")
+        fresh.select(*hashed.columns).write.mode("overwrite").parquet(f"{path}/batch={name}")
+
+    hashed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return stored().drop("batch")
+
+
 def new_content(rows: DataFrame, text: str, ts: str | None = None, within: str | None = None) -> DataFrame:
     """Rows whose content hash was not seen before on the stream.
 
