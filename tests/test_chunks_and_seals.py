@@ -4,6 +4,7 @@ import hashlib
 import hmac
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -152,10 +153,34 @@ def test_hashing_embedder(spark):
         np.testing.assert_allclose(row.v, brute_embedding(fv.DOCUMENT_PREFIX + text, 32), rtol=1e-6)
 
 
-def test_wrong_dimension_fails(spark):
-    df = spark.createDataFrame([([1.0, 2.0],)], "v array<float>")
-    with pytest.raises(Exception, match="must have 3 elements"):
-        df.select(checked(F.col("v"), 3)).collect()
+def test_unusable_vectors_become_null(spark):
+    rows = [([1.0, 2.0],), ([1.0, None, 3.0],), (None,), ([1.0, 2.0, 3.0],)]
+    df = spark.createDataFrame(rows, "v array<float>")
+    got = [r.v for r in df.select(checked(F.col("v"), 3).alias("v")).collect()]
+    assert got == [None, None, None, [1.0, 2.0, 3.0]]
+
+
+def test_windows_take_time_linear_in_the_text(spark):
+    def seconds(n):
+        df = spark.createDataFrame([("é x" * n,)], "t string")
+        started = time.time()
+        count = df.select(F.size(char_windows(F.col("t"), 100, 15)).alias("n")).first().n
+        assert count == max(1, -(-(3 * n - 15) // 85))
+        return time.time() - started
+
+    seconds(10)
+    assert seconds(1_000_000) < 12 * max(0.5, seconds(100_000))
+
+
+@pytest.mark.parametrize("size,overlap", [(10, 3), (10, 9), (7, 1), (1000, 150)])
+def test_windows_against_slices(spark, size, overlap):
+    texts = ["", "a", "ab\ncd🙂é" * 7, "x" * size, "y" * (size + 1), "z" * (3 * size)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = df.select("i", char_windows(F.col("t"), size, overlap).alias("w")).orderBy("i").collect()
+    step = size - overlap
+    for text, row in zip(texts, got, strict=True):
+        n = max(1, -(-(len(text) - overlap) // step)) if text else 0
+        assert row.w == [text[i * step : i * step + size] for i in range(n)]
 
 
 def test_cosine(spark):

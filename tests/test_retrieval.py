@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillvault.operators.cells import nearest_by_cells
+from quillvault.operators.cells import CellIndex, nearest_by_cells
 from quillvault.operators.evaluation import (
     bench_sizes,
     best_size,
@@ -106,6 +106,24 @@ def test_cells_complete_to_the_exact_answer(spark, options):
     assert rows(nearest_by_cells(q, c, 4, **options)) == want
 
 
+def test_stored_index_answers_again(spark, tmp_path):
+    q, c, qs, cs, _ = frames(spark)
+    CellIndex.build(c, str(tmp_path / "index"))
+    index = CellIndex(spark, str(tmp_path / "index"))
+    assert rows(index.nearest(q, 4)) == brute(qs, cs, 4)
+    share = index.scored_share(q).first().scored_share
+    assert 0 < share < 1
+
+
+def test_unusable_vectors_are_left_out(spark):
+    q, c, qs, cs, _ = frames(spark)
+    bad = spark.createDataFrame([(9001, None), (9002, [None] * 8)], "id bigint, embedding array<float>")
+    more_c = c.unionByName(bad.withColumnRenamed("id", "chunk_id"))
+    more_q = q.unionByName(bad.withColumnRenamed("id", "question_id"))
+    assert rows(nearest_chunks(more_q, more_c, 4)) == brute(qs, cs, 4)
+    assert rows(nearest_by_cells(more_q, more_c, 4)) == brute(qs, cs, 4)
+
+
 def test_cells_approximate_search_is_a_subset_of_all_chunks(spark):
     q, c, qs, cs, _ = frames(spark)
     near = rows(nearest_by_cells(q, c, 4, cells=5, probes=1, exact=False))

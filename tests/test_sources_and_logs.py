@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from quillvault import fixed_values as fv
 from quillvault.operators.audit import alert_counters, by_request, latest, log_tail, recent_queries
 from quillvault.sources.corpus import read_corpus, seeded_sample, write_extract
-from quillvault.sources.events import event_line, read_events, stream_events, write_events
-from quillvault.sources.shared import fresh_path, shared_folder
-from quillvault.streaming.jobs import windowed_alerts
+from quillvault.sources.events import (
+    event_line,
+    read_events,
+    read_log,
+    stream_events,
+    write_events,
+)
+from quillvault.sources.shared import fresh_path, scratch, shared_folder, staged
+from quillvault.streaming.jobs import alerts_to_table, dedup_to_table, windowed_alerts
 
 
 def write(path, text):
@@ -66,8 +72,8 @@ def test_sample_depends_on_seed_only(spark):
     other = [r.source_id for r in seeded_sample(df, "source_id", 20, 43).collect()]
     assert one == two and len(one) == 20 and set(one) != set(other)
     assert seeded_sample(df, "source_id", 1000, 1).count() == 500
-    spread = seeded_sample(df.repartition(5), "source_id", 20, 42, one_task=5)
-    assert [r.source_id for r in spread.orderBy("sample_ord").collect()] == one
+    places = [r.sample_ord for r in seeded_sample(df, "source_id", 20, 42).collect()]
+    assert sorted(places) == list(range(20))
 
 
 def test_extract(spark):
@@ -167,3 +173,54 @@ def test_late_events_are_dropped(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_log_is_read_in_line_order_and_its_tail_taken_first(spark, tmp_path):
+    lines = [json.dumps({"event": f"e{i}", "detail": {"n": i}}) for i in range(30)]
+    lines[27] = lines[27][:9]
+    lines[28] = '{"event": "odd", "detail": [1, 2], "ts": "t"}'
+    lines[29] = '{"level": "INFO"}'
+    lines += ["[1, 2]", "7", ""]
+    path = write(tmp_path / "log.jsonl", "\n".join(lines) + "\n")
+    got = read_log(spark, path, tail=7).orderBy("line_number").collect()
+    assert [(r.line_number, r.event, r.detail) for r in got] == [
+        (26, "e26", {"n": "26"}),
+        (28, "odd", None),
+        (29, None, None),
+    ]
+    assert read_log(spark, path).count() == 29
+
+
+def test_streams_into_tables(spark, tmp_path):
+    source = str(tmp_path / "in")
+    stamp = datetime.datetime(2026, 1, 1)
+
+    def add(rows):
+        spark.createDataFrame(rows, "ts timestamp, event string, text string").write.mode("append").parquet(source)
+
+    def stream():
+        return spark.readStream.schema("ts timestamp, event string, text string").parquet(source)
+
+    def at(seconds):
+        return stamp + datetime.timedelta(seconds=seconds)
+
+    add([(at(1), "hmac_mismatch", "a b"), (at(2), "query_done", "a  b"), (at(31), "auth_failed", "c")])
+    path, seen = str(tmp_path / "alerts"), str(tmp_path / "seen")
+    table, kept = str(tmp_path / "table"), str(tmp_path / "kept")
+    alerts_to_table(stream(), path, seen)
+    assert dedup_to_table(stream(), "text", table, kept).count() == 2
+    add([(at(3), "hmac_mismatch", "c"), (at(95), "query_done", "d")])
+    got = {(r.window_start, r.event): r.n for r in alerts_to_table(stream(), path, seen).collect()}
+    assert len(got) == 12
+    assert {k: n for k, n in got.items() if n} == {(at(0), "hmac_mismatch"): 2, (at(30), "auth_failed"): 1}
+    assert dedup_to_table(stream(), "text", table, kept).count() == 3
+    again = dedup_to_table(stream(), "text", table, str(tmp_path / "other"), stream="other")
+    assert again.count() == 3
+
+
+def test_staged_tables_are_emptied(spark):
+    with scratch(spark):
+        table = staged(spark.range(50), "some")
+        assert table.count() == 50
+        folder = os.path.dirname(table.inputFiles()[0])
+    assert spark.read.schema("id bigint").parquet(folder).count() == 0
