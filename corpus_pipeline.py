@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +12,7 @@ from quillvault.llm.decontaminate import without_benchmark
 from quillvault.llm.pii import mask_personal_data
 from quillvault.llm.quality import keep_good
 from quillvault.llm.simhash import one_of_each
-from quillvault.llm.tables import read, staged
+from quillvault.llm.tables import read, session_for_texts, staged
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +40,22 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _stage(function):
+    """The stage in a session whose Arrow batches suit whole texts."""
+
+    @wraps(function)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return function(session_for_texts(spark), docs, sf_dir)
+
+    return stage
+
+
 STAGES = [
-    ("quality", good),
-    ("simhash", distinct),
-    ("decontamination", clean),
-    ("personal_data", masked),
-    ("bpe_encoding", encoded),
+    ("quality", _stage(good)),
+    ("simhash", _stage(distinct)),
+    ("decontamination", _stage(clean)),
+    ("personal_data", _stage(masked)),
+    ("bpe_encoding", _stage(encoded)),
 ]
 
 #: Learned scores, hashes of shingles and token ids have no SQL form.

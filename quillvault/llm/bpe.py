@@ -5,7 +5,7 @@ rank is found by a scan, its inner boundary is deleted and the two neighbouring
 again. Words are short, so the scans are cheaper than a heap; a run of letters beyond
 ``SCANNED`` parts goes through a heap with the same order (rank, then position) and result.
 
-Spark splits the texts; each Python worker keeps the encodings of recent words in a bounded table.
+Spark splits the texts; every task keeps the encodings of recent words in a bounded table.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from quillvault.llm.tables import map_rows
 
 SCANNED = 192
 NO_RANK = 1 << 60
-#: Words, and pieces between blanks, kept per Python worker; a full table is emptied.
-WORDS = 500_000
+#: Words, and pieces between blanks, kept by a task; a full table is emptied.
+WORDS = 120_000
+KEPT_CHARS = 64
 END = "</w>"
 
 #: Fixed value: how the vocabulary cuts normalised text into words.
@@ -88,6 +89,14 @@ def _merged_long(word: str, bounds: list[int], ranks: dict[tuple[str, str], int]
     return out
 
 
+def remember(table: dict, key: str, value) -> None:
+    """Keep ``value``, unless its key is too long to be met often."""
+    if len(key) <= KEPT_CHARS:
+        if len(table) >= WORDS:
+            table.clear()
+        table[key] = value
+
+
 def joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
     if not parts:
         return 0, "", ""
@@ -108,6 +117,11 @@ class WordCodec:
         self.words: dict[str, tuple[int, str, str]] = {}
         self.pieces: dict[str, tuple[int, str, str]] = {}
 
+    def forget(self) -> None:
+        """Empty the tables of words and pieces."""
+        self.words.clear()
+        self.pieces.clear()
+
     def tokens_of(self, word: str) -> list[str]:
         shown = visible(word)
         parts = list(shown)
@@ -123,9 +137,7 @@ class WordCodec:
             tokens = self.tokens_of(word)
             shown_id = self.shown_id
             found = len(tokens), " ".join([shown_id[t] for t in tokens]), " ".join(tokens)
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            self.words[word] = found
+            remember(self.words, word, found)
         return found
 
     def piece(self, piece: str) -> tuple[int, str, str]:
@@ -140,9 +152,7 @@ class WordCodec:
             else:
                 parts = [self.word(w) for w in WORD.findall(lower)]
                 found = joined(parts)
-            if len(self.pieces) >= WORDS:
-                self.pieces.clear()
-            self.pieces[piece] = found
+            remember(self.pieces, piece, found)
         return found
 
     def plain(self, text: str) -> list[tuple[int, str, str]]:
@@ -217,4 +227,5 @@ def _encoded(documents: DataFrame, path: str, shape: Callable, columns: str) ->
         make,
         f"doc_id bigint, n_tokens bigint, {columns}",
         rows=500,
+        finish=lambda: codec(path).forget(),
     )

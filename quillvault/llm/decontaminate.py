@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillvault.llm.tables import map_rows, staged
+from quillvault.llm.tables import keep_rows, map_rows, staged
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -29,8 +29,10 @@ RADIUS = 19
 PARTS = 4
 #: Text of the items that one pass takes along.
 PASS_BYTES = 8 << 20
+#: Windows whose bit counts are held at once.
+WINDOWS = 1 << 15
 #: Hashes of words kept per task; a full table is emptied.
-WORDS = 500_000
+WORDS = 200_000
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 TABLE = bytes.maketrans(
@@ -48,9 +50,11 @@ def words_of(text: str) -> list[bytes]:
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 42)
+        found = xxhash.xxh64_intdigest(word, 42)
+        if len(word) <= 64:
+            if len(self) >= WORDS:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -182,8 +186,10 @@ class Benchmark:
         for n, positions in zones.items():
             size = n - SHINGLE + 1
             last = len(words) - n
-            for a, b in runs(positions, size, last):
-                self._compare(words, n, a, sh[a : b + size], size, found)
+            for start, stop in runs(positions, size, last):
+                for a in range(start, stop + 1, WINDOWS):
+                    b = min(stop, a + WINDOWS - 1)
+                    self._compare(words, n, a, sh[a : b + size], size, found)
         for n in self.short:  # windows shorter than a shingle are one shingle each
             if n <= len(words):
                 index, entries = self.items[n]
@@ -272,17 +278,10 @@ def without_benchmark(documents: DataFrame, benchmark: DataFrame, pass_bytes: in
     out = documents
     for items in item_blocks(benchmark, pass_bytes):
         shared = documents.sparkSession.sparkContext.broadcast(items)
-        out = out.filter(~_holds(shared)(F.col("text")))
-    return out
-
-
-def _holds(shared):
-    indexes: list[Benchmark] = []
 
-    @F.pandas_udf("boolean")
-    def holds(texts):
-        if not indexes:
-            indexes.append(Benchmark(shared.value))
-        return texts.map(lambda t: bool(indexes[0].matches(t or "")))
+        def make(shared=shared):
+            index = Benchmark(shared.value)
+            return lambda text: not index.matches(text or "")
 
-    return holds
+        out = keep_rows(out, "text", make)
+    return out

@@ -349,7 +349,8 @@ def mask_personal_data(documents: DataFrame) -> DataFrame:
         .groupBy(row)
         .agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias(found_spans))
     )
-    both = kept.join(spans, row, "left").select(*documents.columns, found_spans)
+    # Merged whatever the size, so that a small run has the plan of a large one.
+    both = kept.hint("merge").join(spans, row, "left").select(*documents.columns, found_spans)
     counted = "n_chars" in documents.columns
     schema = documents.schema
 

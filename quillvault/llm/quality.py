@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillvault.llm.tables import map_rows, staged
+from quillvault.llm.tables import keep_rows, map_rows, staged
 
 #: Share measured -> places where its effect may bend.
 BENDS = {
@@ -240,17 +240,11 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return scored(rows, fit(rows))
 
 
-def quality_score(model: Model) -> Column:
-    """Score of the column ``text`` under a fitted model, for use in a filter."""
-
-    @F.pandas_udf("double")
-    def score(texts):
-        return texts.map(lambda t: float(model.score(np.array([features(t or "")]))[0]))
-
-    return score(F.col("text"))
-
-
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = KEEP_FROM) -> DataFrame:
     """The rows of ``documents`` that score ``threshold`` or more, all columns unchanged."""
     model = fit(training_rows(documents, labels))
-    return documents.filter(quality_score(model) >= threshold)
+
+    def make():
+        return lambda text: model.score(np.array([features(text or "")]))[0] >= threshold
+
+    return keep_rows(documents, "text", make)

@@ -13,11 +13,16 @@ from quillvault.llm.pii import personal_data
 from quillvault.llm.quality import quality_scores
 from quillvault.llm.repeats import remove_repeats
 from quillvault.llm.simhash import near_copies
-from quillvault.llm.tables import read
+from quillvault.llm.tables import read as read_table
+from quillvault.llm.tables import session_for_texts
 from quillvault.llm.token_counts import count_tokens
 from quillvault.llm.warc import archived
 
 
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(session_for_texts(spark), sf_dir, name)
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 

@@ -356,6 +356,7 @@ def later_in_windows(rows: DataFrame, length: int) -> DataFrame:
         .filter("n > 1")
         .drop("n")
     )
+    first = staged(first, "firsts")
     return (
         strings.join(first, "w")
         .filter(F.struct("doc", "start") > F.col("first"))
@@ -378,10 +379,13 @@ class Found:
             ),
             "texts",
         )
+        # Sides that come from sums are stored before a join, since only plain exchanges on both
+        # sides let Spark split the rows of a hot key over several tasks.
         first = base.groupBy("sha").agg(F.min("doc").alias("first_doc"), F.count("*").alias("n"))
+        first = staged(first.filter("n > 1").drop("n"), "repeated")
         #: Texts that a smaller document has as well: nothing of them is an earliest occurrence.
         self.copies = staged(
-            base.join(first.filter("n > 1").drop("n"), "sha")
+            base.join(first, "sha")
             .filter("doc > first_doc")
             .select("doc", "tie", "first_doc")
             .distinct(),
@@ -389,6 +393,7 @@ class Found:
         )
         places = self.store(anchor_rows(texts, length), "anchors")
         often = places.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k")
+        often = self.store(often, "often")
         by_text = (
             places.join(often, "k")
             .groupBy("doc", "tie")
@@ -396,7 +401,7 @@ class Found:
             .join(self.copies, ["doc", "tie"], "left_anti")
         )
         by_text = self.store(by_text, "places")
-        self.drop("anchors")
+        self.drop("anchors", "often")
         #: One row per slice of an anchor that occurs more than once.
         self.slices = self.store(
             slice_rows(compressed(texts).join(by_text, ["doc", "tie"]), length), "slices"
@@ -413,6 +418,7 @@ class Found:
             "different",
         )
         several = self.distinct.groupBy("k").agg(F.count("*").alias("m")).filter("m > 1")
+        several = staged(several, "several")
         #: The different slices of anchors that have several.
         self.contested = self.store(self.distinct.join(several, "k"), "contested")
 

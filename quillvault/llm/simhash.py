@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillvault.llm.components import components
-from quillvault.llm.tables import map_rows, staged
+from quillvault.llm.tables import map_rows, staged, unused
 
 SHINGLE = 4
 RADIUS = 4
@@ -106,7 +106,11 @@ def crowded(distinct: DataFrame, radius: int) -> DataFrame:
         .filter("members > 1")
         .select("t", "key", F.col("top.fp").alias("lead"))
     )
-    return rows.join(buckets, ["t", "key"]).select("t", "key", "fp", "lead")
+    # Stored, so that both sides of the join are plain exchanges and a hot bucket can be split.
+    buckets = staged(buckets, "crowds")
+    # The planner takes the exploded side for as small as the table it comes from and would
+    # broadcast it.
+    return rows.hint("merge").join(buckets, ["t", "key"]).select("t", "key", "fp", "lead")
 
 
 def across(rows: DataFrame, radius: int, cell: int = CELL) -> DataFrame:
@@ -216,6 +220,7 @@ def near_copies(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     has an id. Other columns are not read.
     """
     prints, ids = grouped_prints(documents, size, radius)
+    ids = staged(ids, "groups")  # both sides plain exchanges: a hot fingerprint can be split
     return prints.join(ids, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
@@ -229,21 +234,26 @@ def one_of_each(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     """
     prints, ids = grouped_prints(documents, size, radius)
     ids = staged(ids, "groups")
+    rows, fp, root = (unused(documents, name) for name in ("_rows", "_fp", "_root"))
     kept = prints.join(ids, "fp").filter("doc_id = component_id").groupBy("doc_id")
-    kept = staged(kept.agg(F.count("*").alias("_rows")), "representatives")
-    chosen = documents.join(kept, "doc_id")
-    single = chosen.filter("_rows = 1").select(*documents.columns)
-    repeated = chosen.filter("_rows > 1").select(*documents.columns).dropDuplicates(["doc_id"])
-    nameless = documents.filter("doc_id IS NULL")
+    kept = staged(kept.agg(F.count("*").alias(rows)), "representatives")
+    # Merged whatever the size, so that a small run has the plan of a large one.
+    chosen = documents.hint("merge").join(kept, "doc_id")
+    single = chosen.filter(F.col(rows) == 1).select(*documents.columns)
+    repeated = chosen.filter(F.col(rows) > 1).select(*documents.columns)
 
     @F.pandas_udf("bigint")
     def print_of(texts):
         return texts.map(lambda t: signed(fingerprint(t or "", size)))
 
     nameless = (
-        nameless.withColumn("fp", print_of("text"))
-        .join(ids.filter("component_id IS NULL").select("fp", F.col("root").alias("_root")), "fp")
-        .dropDuplicates(["_root"])
+        documents.filter("doc_id IS NULL")
+        .withColumn(fp, print_of("text"))
+        .join(
+            ids.filter("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(root)),
+            fp,
+        )
+        .dropDuplicates([root])
         .select(*documents.columns)
     )
-    return single.unionByName(repeated).unionByName(nameless)
+    return single.unionByName(repeated.dropDuplicates(["doc_id"])).unionByName(nameless)

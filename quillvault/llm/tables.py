@@ -16,6 +16,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+HELD_BYTES = 16 << 20
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[], Callable[..., Iterable[tuple]]],
@@ -25,7 +28,8 @@ def map_rows(
 ) -> DataFrame:
     """``make()`` runs once per task; what it returns maps the values of a row to output rows.
 
-    Output leaves in batches of at most ``rows`` rows; Spark bounds the bytes of input batches.
+    Output leaves in batches of at most ``rows`` rows and, but for single larger rows, about
+    ``HELD_BYTES`` of text; Spark bounds the bytes of input batches.
     ``finish`` runs at the end of every task, to let go of what a worker would keep otherwise.
     """
     spark = df.sparkSession
@@ -33,18 +37,22 @@ def map_rows(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(target)
+    texts = [i for i, f in enumerate(arrow) if pa.types.is_string(f.type) or pa.types.is_binary(f.type)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         out: list[tuple] = []
+        held = 0
         for batch in batches:
             columns = batch.columns
-            for i in range(batch.num_rows):
-                for row in apply(*(c[i].as_py() for c in columns)):
+            for r in range(batch.num_rows):
+                for row in apply(*(c[r].as_py() for c in columns)):
                     out.append(row)
-                    if len(out) >= rows:
+                    for i in texts:
+                        held += len(row[i] or "")
+                    if len(out) >= rows or held >= HELD_BYTES:
                         yield packed(out, arrow)
-                        out = []
+                        out, held = [], 0
         if out:
             yield packed(out, arrow)
         if finish:

@@ -17,7 +17,7 @@ import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
-from quillvault.llm.bpe import merged_bounds
+from quillvault.llm.bpe import KEPT_CHARS, merged_bounds
 from quillvault.llm.byte_level import SPACE, visible, vocabulary
 from quillvault.llm.tables import map_rows
 
@@ -41,9 +41,11 @@ class Totals(dict):
         self.prefixes = prefixes
 
     def __missing__(self, piece: str) -> int:
-        if len(self) >= PIECES:
-            self.clear()
-        self[piece] = found = self.prefixes(visible(piece))[-1]
+        found = self.prefixes(visible(piece))[-1]
+        if len(piece) <= KEPT_CHARS:
+            if len(self) >= PIECES:
+                self.clear()
+            self[piece] = found
         return found
 
 

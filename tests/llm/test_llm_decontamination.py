@@ -59,6 +59,14 @@ def test_against_all_windows(documents, bench, prose):
     assert {(r.doc_id, r.item_id): (r.similarity, r.word) for r in in_two_passes} == want
 
 
+def test_windows_in_parts(prose, monkeypatch):
+    items, rows = planted(prose)
+    whole = dc.Benchmark(items)
+    want = [whole.matches(t) for _, t in rows]
+    monkeypatch.setattr(dc, "WINDOWS", 5)
+    assert [dc.Benchmark(items).matches(t) for _, t in rows] == want
+
+
 def test_filter(documents, bench, prose):
     items, rows = planted(prose)
     df = documents([*rows, (None, items[3][1]), (999, None), (1000, "")])

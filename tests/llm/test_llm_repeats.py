@@ -54,10 +54,19 @@ def test_against_brute_force(documents, prose, rows_of, monkeypatch, most):
     assert rows_of(remove_repeats(documents(rows))) == brute(rows)
 
 
-def test_segments_of_long_texts(documents, prose, rows_of, monkeypatch):
+def strings_with_anchors(raw):
+    return {
+        s: (int(h), int(p))
+        for h, p, first, last in zip(*anchors(raw), strict=True)
+        for s in range(first, last + 1)
+    }
+
+
+def test_segments_of_long_texts(prose, monkeypatch):
+    raw = np.frombuffer(prose(9, 2000).encode(), np.uint8)
+    want = strings_with_anchors(raw)
     monkeypatch.setattr(repeats, "SEGMENT", 256)
-    rows = corpus(prose) + [(500, prose(9, 3000)), (501, "z" + prose(9, 2500))]
-    assert rows_of(remove_repeats(documents(rows))) == brute(rows)
+    assert strings_with_anchors(raw) == want and len(want) == raw.size - 99
 
 
 def test_empty(documents):
