@@ -5,7 +5,7 @@ rank is found by a scan, its inner boundary is deleted and the two neighbouring
 again. Words are short, so the scans are cheaper than a heap; a run of letters beyond
 ``SCANNED`` parts goes through a heap with the same order (rank, then position) and result.
 
-Spark splits the texts; every task keeps the encodings of recent words in a bounded table.
+Spark splits the texts; every Python worker keeps the encodings of recent words in a bounded table.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ from quillvault.llm.tables import map_rows
 
 SCANNED = 192
 NO_RANK = 1 << 60
-#: Words, and pieces between blanks, kept by a task; a full table is emptied.
-WORDS = 120_000
+#: Words, and pieces between blanks, kept by a Python worker. A piece is soon put together from its
+#: words, so these get the room.
+WORDS = 240_000
+PIECES = 60_000
 KEPT_CHARS = 64
 END = "</w>"
 
@@ -89,12 +91,30 @@ def _merged_long(word: str, bounds: list[int], ranks: dict[tuple[str, str], int]
     return out
 
 
-def remember(table: dict, key: str, value) -> None:
-    """Keep ``value``, unless its key is too long to be met often."""
-    if len(key) <= KEPT_CHARS:
-        if len(table) >= WORDS:
-            table.clear()
-        table[key] = value
+class Recent:
+    """A bounded table of recent entries. A full half becomes the old half, from which what is asked
+    for again comes back, so frequent words stay."""
+
+    def __init__(self, most: int):
+        self.half = most // 2
+        self.new: dict[str, tuple[int, str, str]] = {}
+        self.old: dict[str, tuple[int, str, str]] = {}
+
+    def get(self, key: str) -> tuple[int, str, str] | None:
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key: str, value: tuple[int, str, str]) -> None:
+        if len(key) > KEPT_CHARS:  # too long to be met often
+            return
+        if len(self.new) >= self.half:
+            self.old = self.new.copy()
+            self.new.clear()
+        self.new[key] = value
 
 
 def joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
@@ -114,13 +134,8 @@ class WordCodec:
         self.added = dict(added)
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in added}
         self.special = regex.compile("|".join(regex.escape(t) for t, _ in added))
-        self.words: dict[str, tuple[int, str, str]] = {}
-        self.pieces: dict[str, tuple[int, str, str]] = {}
-
-    def forget(self) -> None:
-        """Empty the tables of words and pieces."""
-        self.words.clear()
-        self.pieces.clear()
+        self.words = Recent(WORDS)
+        self.pieces = Recent(PIECES)
 
     def tokens_of(self, word: str) -> list[str]:
         shown = visible(word)
@@ -137,7 +152,7 @@ class WordCodec:
             tokens = self.tokens_of(word)
             shown_id = self.shown_id
             found = len(tokens), " ".join([shown_id[t] for t in tokens]), " ".join(tokens)
-            remember(self.words, word, found)
+            self.words.put(word, found)
         return found
 
     def piece(self, piece: str) -> tuple[int, str, str]:
@@ -147,12 +162,14 @@ class WordCodec:
             # Lower case is taken character by character, so a final sigma is no special case.
             lower = piece if piece.isascii() else unicodedata.normalize("NFC", piece)
             lower = lower.replace("Σ", "σ").lower()
-            if lower.isascii() and lower.isalpha():
+            if lower.isalpha() and lower.isascii():
                 found = self.word(lower)
+            elif lower[-1] in ".,;:!?" and lower[:-1].isalpha() and lower.isascii():
+                found = joined([self.word(lower[:-1]), self.word(lower[-1])])
             else:
                 parts = [self.word(w) for w in WORD.findall(lower)]
                 found = joined(parts)
-            remember(self.pieces, piece, found)
+            self.pieces.put(piece, found)
         return found
 
     def plain(self, text: str) -> list[tuple[int, str, str]]:
@@ -160,7 +177,7 @@ class WordCodec:
             pieces = [p for p in BLANKS.split(text) if p]
         else:
             pieces = text.split()
-        table, piece = self.pieces.get, self.piece
+        table, piece = self.pieces.new.get, self.piece
         return [table(p) or piece(p) for p in pieces]
 
     def encode(self, text: str) -> tuple[int, str, str]:
@@ -227,5 +244,4 @@ def _encoded(documents: DataFrame, path: str, shape: Callable, columns: str) ->
         make,
         f"doc_id bigint, n_tokens bigint, {columns}",
         rows=500,
-        finish=lambda: codec(path).forget(),
     )

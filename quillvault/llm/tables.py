@@ -24,13 +24,11 @@ def map_rows(
     make: Callable[[], Callable[..., Iterable[tuple]]],
     schema: str,
     rows: int = 2000,
-    finish: Callable[[], None] | None = None,
 ) -> DataFrame:
     """``make()`` runs once per task; what it returns maps the values of a row to output rows.
 
     Output leaves in batches of at most ``rows`` rows and, but for single larger rows, about
     ``HELD_BYTES`` of text; Spark bounds the bytes of input batches.
-    ``finish`` runs at the end of every task, to let go of what a worker would keep otherwise.
     """
     spark = df.sparkSession
     target = spark.createDataFrame([], schema).schema
@@ -55,8 +53,6 @@ def map_rows(
                         out, held = [], 0
         if out:
             yield packed(out, arrow)
-        if finish:
-            finish()
 
     return df.mapInArrow(run, target)
 
