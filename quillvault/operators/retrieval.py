@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from quillvault import fixed_values as fv
 from quillvault.functions.pii import text_urls
 from quillvault.functions.text import neutralise_frames, strip
+from quillvault.sources.shared import staged
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SHARD_ROWS = 65_536
 TILE = 512  # questions and
 BLOCK = 8192  # chunks per matrix product, which bounds its memory
 DIGITS = 9
@@ -103,7 +103,6 @@ def nearest_chunks(
     k: int,
     within: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """``question_id, chunk_id, similarity, rank`` of the ``k`` nearest chunks per question.
 
@@ -111,7 +110,7 @@ def nearest_chunks(
     chunk id may be a number or a string.
     ``within`` names an integer column of chunks; each of its values is searched separately.
     Questions of checked size go to every task and the chunks are not shuffled. More questions
-    than that are cut into groups and the chunks into shards, and each task takes one of each.
+    than that are cut into groups of that size, with one pass over the chunks each.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -128,7 +127,7 @@ def nearest_chunks(
     if size["n"] <= group_rows:
         found = _by_broadcast(questions, chunks, k, space)
     else:
-        found = _by_grid(questions, chunks, k, space, -(-size["n"] // group_rows), shard_rows)
+        found = _by_passes(questions, chunks, k, space, -(-size["n"] // group_rows))
     best = ranked(found, k, space)
     return best if within else best.drop("_all")
 
@@ -162,51 +161,19 @@ def _by_broadcast(questions: DataFrame, chunks: DataFrame, k: int, space: str) -
     return chunks.mapInArrow(search, found_schema(chunks, space))
 
 
-def _by_grid(
-    questions: DataFrame, chunks: DataFrame, k: int, space: str, groups: int, shard_rows: int
+def _by_passes(
+    questions: DataFrame, chunks: DataFrame, k: int, space: str, groups: int
 ) -> DataFrame:
-    shards = -(-chunks.count() // shard_rows) or 1
-    left = questions.select(
-        "question_id",
-        "embedding",
-        F.pmod(F.xxhash64("question_id"), F.lit(groups)).cast("int").alias("_group"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"),
-    )
-    right = chunks.select(
-        space,
-        "chunk_id",
-        "embedding",
-        F.pmod(F.xxhash64("chunk_id"), F.lit(shards)).cast("int").alias("_shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_group"),
-    )
-
-    def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
-        results = []
-        if len(asked) and len(stored):
-            question_ids, vectors = np.asarray(asked["question_id"]), matrix(asked["embedding"])
-            spaces, ids = np.asarray(stored[space]), np.asarray(stored["chunk_id"])
-            rows = matrix(stored["embedding"])
-            for value in np.unique(spaces):
-                here = spaces == value
-                best = best_of(question_ids, vectors, ids[here], rows[here], k)
-                results.append(
-                    best.append_column(space, pa.array([int(value)] * len(best), pa.int32()))
-                )
-        if results:
-            return pa.concat_tables(results)
-        schema = [
-            ("question_id", pa.int64()),
-            ("chunk_id", stored.schema.field("chunk_id").type),
-            ("similarity", pa.float64()),
-            (space, pa.int32()),
-        ]
-        return pa.schema(schema).empty_table()
+    """One pass over the chunks per group of questions; neither side is copied or shuffled.
 
-    return (
-        left.groupBy("_group", "_shard")
-        .cogroup(right.groupBy("_group", "_shard"))
-        .applyInArrow(search, found_schema(chunks, space))
-    )
+    Every pass stores the few rows it has found, so only one group is on the driver at a time.
+    """
+    group = F.pmod(F.xxhash64("question_id"), F.lit(groups))
+    out = None
+    for g in range(groups):
+        found = staged(_by_broadcast(questions.filter(group == g), chunks, k, space), "pass")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def above_threshold(found: DataFrame, threshold: float) -> DataFrame:

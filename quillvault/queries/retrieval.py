@@ -94,14 +94,13 @@ def topk_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same search with both sides cut into parts, as for more questions than fit in memory."""
+    """The same search in passes, as for more questions than fit in memory."""
     return _rounded(
         nearest_chunks(
             _questions(spark, sf_dir),
             _chunks(spark, sf_dir),
             K,
             broadcast_bytes=128 * 1024,
-            shard_rows=200,
         )
     )
 

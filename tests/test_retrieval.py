@@ -70,9 +70,9 @@ def test_nearest_by_broadcast(spark, string_ids):
     assert rows(nearest_chunks(q, c, 4)) == brute(qs, cs, 4, key)
 
 
-def test_nearest_by_grid(spark):
+def test_nearest_by_passes(spark):
     q, c, qs, cs, _ = frames(spark)
-    found = nearest_chunks(q, c, 4, broadcast_bytes=8 * 8 * 7, shard_rows=50)
+    found = nearest_chunks(q, c, 4, broadcast_bytes=8 * 8 * 7)
     assert rows(found) == brute(qs, cs, 4)
 
 
