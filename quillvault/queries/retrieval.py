@@ -348,9 +348,7 @@ def hit_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    safe = filter_answers(
-        answers(spark, sf_dir), "answer", "allowed", categories=("EMAIL", "IP")
-    )
+    safe = filter_answers(answers(spark, sf_dir), "answer", "allowed")
     zero = F.lit(0)
     return safe.select(
         "conv_id",
@@ -364,8 +362,16 @@ def answers_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers_filtered_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that the filter reports, its counters by category written out."""
+
+    def listed(counts: str) -> Column:
+        entries = F.array_sort(F.map_entries(counts))
+        return F.array_join(
+            F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","
+        ).alias(counts)
+
     return filter_answers(answers(spark, sf_dir), "answer", "allowed").select(
-        "conv_id", "turn", "answer_safe", "masked", "urls_neutralized", "tokens_passed"
+        "conv_id", "turn", "answer_safe", listed("masked"), "urls_neutralized", listed("tokens_passed")
     )
 
 
@@ -581,6 +587,21 @@ _HITS_SQL = f"""{PLAIN_SQL}, {sql.status_ctes()},
 _CANONICAL = "regexp_replace(regexp_replace({0}, '[.,;:!?]+$', ''), '/+$', '')"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
+_FILTERED_SQL = f"""WITH {ANSWERS_SQL}, m AS (SELECT conv_id, turn, answer,
+          len(regexp_extract_all(answer, '{sql.EMAIL}')) AS n_email,
+          len(regexp_extract_all(regexp_replace(answer, '{sql.EMAIL}', '', 'g'),
+            '\\b(?:{_OCTET}\\.){{3}}{_OCTET}\\b')) AS n_ip,
+          regexp_replace(regexp_replace(answer, '{sql.EMAIL}', '[EMAIL_MASQUE]', 'g'),
+            '\\b(?:{_OCTET}\\.){{3}}{_OCTET}\\b', '[IP_MASQUE]', 'g') AS t FROM a),
+        c AS (SELECT *, regexp_extract_all(t, '{sql.URL}') AS urls,
+          regexp_split_to_array(t, '{sql.URL}') AS gaps FROM m),
+        f AS (SELECT *, list_transform(urls, lambda u: NOT contains(u, '_MASQUE')
+          AND {_CANONICAL.format("u")} NOT IN ('https://en.wiki.example/page',
+            'rag12000:' || conv_id)) AS bad FROM c)"""
+_SAFE_SQL = """array_to_string(list_transform(range(1, len(gaps) + 1), lambda i:
+            gaps[i] || CASE WHEN i > len(urls) THEN '' WHEN bad[i] THEN '[URL_NEUTRALISEE]'
+            ELSE urls[i] END), '')"""
+
 QUERIES = {
     "topk_single": (
         topk_single,
@@ -685,25 +706,26 @@ QUERIES = {
     ),
     "answers_filtered": (
         answers_filtered,
-        f"""WITH {ANSWERS_SQL}, m AS (SELECT conv_id, turn,
-          len(regexp_extract_all(answer, '{sql.EMAIL}')) AS n_email,
-          len(regexp_extract_all(regexp_replace(answer, '{sql.EMAIL}', '', 'g'),
-            '\\b(?:{_OCTET}\\.){{3}}{_OCTET}\\b')) AS n_ip,
-          regexp_replace(regexp_replace(answer, '{sql.EMAIL}', '[EMAIL_MASQUE]', 'g'),
-            '\\b(?:{_OCTET}\\.){{3}}{_OCTET}\\b', '[IP_MASQUE]', 'g') AS t FROM a),
-        c AS (SELECT *, regexp_extract_all(t, '{sql.URL}') AS urls,
-          regexp_split_to_array(t, '{sql.URL}') AS gaps FROM m),
-        f AS (SELECT *, list_transform(urls, lambda u: NOT contains(u, '_MASQUE')
-          AND {_CANONICAL.format("u")} NOT IN ('https://en.wiki.example/page',
-            'rag12000:' || conv_id)) AS bad FROM c)
-        SELECT conv_id, turn, array_to_string(list_transform(range(1, len(gaps) + 1), lambda i:
-            gaps[i] || CASE WHEN i > len(urls) THEN '' WHEN bad[i] THEN '[URL_NEUTRALISEE]'
-            ELSE urls[i] END), '') AS answer_safe,
+        f"""{_FILTERED_SQL}
+        SELECT conv_id, turn, {_SAFE_SQL} AS answer_safe,
           CAST(n_email AS INTEGER) AS n_email, CAST(n_ip AS INTEGER) AS n_ip,
           CAST(len(list_filter(bad, lambda b: b)) AS INTEGER) AS urls_neutralized,
           n_email + n_ip + len(list_filter(bad, lambda b: b)) > 0 AS has_masking FROM f""",
     ),
-    "answers_filtered_all": (answers_filtered_all, None),
+    "answers_filtered_all": (
+        answers_filtered_all,
+        f"""{_FILTERED_SQL}, k AS (SELECT conv_id, turn, string_agg(category || '=' || n, ',' ORDER BY category)
+            AS passed FROM (SELECT conv_id, turn, category, count(*) AS n FROM
+              (SELECT conv_id, turn, unnest(regexp_extract_all(answer,
+                '\\[(EMAIL|PHONE|IP|IBAN|URL|PERSON|GPE|ORG)_[0-9]+\\]', 1)) AS category FROM a)
+              GROUP BY ALL) GROUP BY conv_id, turn)
+        SELECT f.conv_id, f.turn, {_SAFE_SQL} AS answer_safe,
+          array_to_string(list_filter([CASE WHEN n_email > 0 THEN 'EMAIL=' || n_email END,
+            CASE WHEN n_ip > 0 THEN 'IP=' || n_ip END], lambda x: x IS NOT NULL), ',') AS masked,
+          CAST(len(list_filter(bad, lambda b: b)) AS INTEGER) AS urls_neutralized,
+          coalesce(passed, '') AS tokens_passed
+        FROM f LEFT JOIN k ON k.conv_id = f.conv_id AND k.turn = f.turn""",
+    ),
     "tokens_passed": (
         tokens_by_category,
         f"""WITH {ANSWERS_SQL}, t AS (SELECT unnest(regexp_extract_all(answer,
