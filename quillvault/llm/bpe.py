@@ -15,20 +15,17 @@ import heapq
 import unicodedata
 from collections.abc import Callable, Iterable
 from functools import lru_cache
-from itertools import accumulate
 
 import regex
 from pyspark.sql import DataFrame
 
-from quillvault.llm.byte_level import NOT_SPACE, SPACE, alphabet, visible, vocabulary
+from quillvault.llm.byte_level import SPACE, alphabet, visible, vocabulary
 from quillvault.llm.tables import map_rows
 
 SCANNED = 192
 NO_RANK = 1 << 60
-#: Words, and pieces between blanks, kept by a Python worker. A piece is soon put together from its
-#: words, so these get the room.
-WORDS = 240_000
-PIECES = 60_000
+#: Words kept by a Python worker.
+WORDS = 320_000
 KEPT_CHARS = 64
 END = "</w>"
 
@@ -36,12 +33,14 @@ END = "</w>"
 WORD = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+", regex.V0
 )
-BLANKS = regex.compile(f"[{SPACE}]+")
 
 
 def merged_bounds(word: str, parts: list[str], ranks: dict[tuple[str, str], int]) -> list[int]:
-    """Part boundaries of ``word`` after all merges; ``parts`` are its first, smallest parts."""
-    bounds = [0, *accumulate(map(len, parts))]
+    """Part boundaries of ``word`` after all merges.
+
+    ``parts`` are its smallest parts: single characters, but that the last may be longer.
+    """
+    bounds = [*range(len(parts)), len(word)]
     if len(parts) > SCANNED:
         return _merged_long(word, bounds, ranks)
     rank_of = ranks.get
@@ -135,10 +134,9 @@ class WordCodec:
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in added}
         self.special = regex.compile("|".join(regex.escape(t) for t, _ in added))
         self.words = Recent(WORDS)
-        self.pieces = Recent(PIECES)
 
     def tokens_of(self, word: str) -> list[str]:
-        shown = visible(word)
+        shown = word if word.isascii() and word.isalpha() else visible(word)
         parts = list(shown)
         parts[-1] += END
         text = shown + END
@@ -155,30 +153,13 @@ class WordCodec:
             self.words.put(word, found)
         return found
 
-    def piece(self, piece: str) -> tuple[int, str, str]:
-        """The same for a piece without white space."""
-        found = self.pieces.get(piece)
-        if found is None:
-            # Lower case is taken character by character, so a final sigma is no special case.
-            lower = piece if piece.isascii() else unicodedata.normalize("NFC", piece)
-            lower = lower.replace("Σ", "σ").lower()
-            if lower.isalpha() and lower.isascii():
-                found = self.word(lower)
-            elif lower[-1] in ".,;:!?" and lower[:-1].isalpha() and lower.isascii():
-                found = joined([self.word(lower[:-1]), self.word(lower[-1])])
-            else:
-                parts = [self.word(w) for w in WORD.findall(lower)]
-                found = joined(parts)
-            self.pieces.put(piece, found)
-        return found
-
     def plain(self, text: str) -> list[tuple[int, str, str]]:
-        if any(c in text for c in NOT_SPACE):
-            pieces = [p for p in BLANKS.split(text) if p]
-        else:
-            pieces = text.split()
-        table, piece = self.pieces.new.get, self.piece
-        return [table(p) or piece(p) for p in pieces]
+        """The words of a text without special tokens."""
+        # Lower case is taken character by character, so a final sigma is no special case.
+        lower = text if text.isascii() else unicodedata.normalize("NFC", text)
+        lower = lower.replace("Σ", "σ").lower()
+        table, word = self.words.new.get, self.word
+        return [table(w) or word(w) for w in WORD.findall(lower)]
 
     def encode(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, ids joined by a space, decoded text."""

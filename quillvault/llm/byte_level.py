@@ -7,8 +7,7 @@ from functools import lru_cache
 
 #: Unicode white space as the tokenizers' patterns see it (fixed value).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: str.split() also cuts at these; the tokenizers' patterns do not.
-NOT_SPACE = "\x1c\x1d\x1e\x1f"
+
 
 
 @lru_cache(maxsize=1)
