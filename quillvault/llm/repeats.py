@@ -454,7 +454,7 @@ class Found:
 def repeat_groups(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """``repeat, size, doc_id, start``: maximal repeats of the slices with all their occurrences.
 
-    ``repeat`` is a digest of the bytes. Copies of a whole earlier text are left out; so are anchors
+    ``repeat`` is the SHA-256 of the bytes. Copies of a whole earlier text are left out; so are anchors
     with more than ``SORTED_SLICES`` different slices, whose repeats ``remove_repeats`` finds by
     grouped windows. A null doc_id is null here as well.
     """
@@ -465,7 +465,7 @@ def repeat_groups(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         for a, b, size in array.maximal_repeats():
             for s in array.order[a : b + 1].tolist():
                 row, at = held[array.owner[s]], int(array.offset[s])
-                name = hashlib.blake2b(row[5][at : at + size], digest_size=16).hexdigest()
+                name = hashlib.sha256(row[5][at : at + size]).hexdigest()
                 yield name, size, row[0], row[1], at
 
     inner = in_batches(
@@ -475,9 +475,8 @@ def repeat_groups(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         length,
     )
     # A slice that occurs more than once is a repeat as a whole.
-    whole_digest = F.udf(lambda b: hashlib.blake2b(b, digest_size=16).hexdigest(), "string")
     whole = found.distinct.filter("n > 1").select(
-        whole_digest("slice").alias("repeat"), F.octet_length("slice").cast("bigint").alias("size"),
+        F.sha2("slice", 256).alias("repeat"), F.octet_length("slice").cast("bigint").alias("size"),
         "k", "h", F.lit(0).cast("bigint").alias("at"),
     )
     return (
