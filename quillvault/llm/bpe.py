@@ -25,7 +25,7 @@ from quillvault.llm.tables import map_rows
 SCANNED = 192
 NO_RANK = 1 << 60
 #: Words kept by a Python worker.
-WORDS = 320_000
+WORDS = 100_000
 KEPT_CHARS = 64
 END = "</w>"
 
