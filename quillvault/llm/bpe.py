@@ -24,7 +24,8 @@ from quillvault.llm.tables import map_rows
 
 SCANNED = 192
 NO_RANK = 1 << 60
-#: Words kept by a Python worker.
+#: Words kept by a Python worker, about half a kilobyte each. More of them save time where the
+#: workers have no other tables to hold.
 WORDS = 100_000
 KEPT_CHARS = 64
 END = "</w>"
@@ -126,14 +127,14 @@ def joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
 class WordCodec:
     """Encodes and decodes whole texts as the vocabulary file at ``path`` does."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = WORDS):
         self.ids, merges, added = vocabulary(path)
         self.shown_id = {t: str(i) for t, i in self.ids.items()}
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.added = dict(added)
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in added}
         self.special = regex.compile("|".join(regex.escape(t) for t, _ in added))
-        self.words = Recent(WORDS)
+        self.words = Recent(words)
 
     def tokens_of(self, word: str) -> list[str]:
         shown = word if word.isascii() and word.isalpha() else visible(word)
@@ -188,36 +189,39 @@ class WordCodec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> WordCodec:
-    return WordCodec(path)
+def codec(path: str, words: int = WORDS) -> WordCodec:
+    return WordCodec(path, words)
 
 
 def _digest(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def encode_documents(documents: DataFrame, path: str) -> DataFrame:
+def encode_documents(documents: DataFrame, path: str, words: int = WORDS) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` of every row; ``path`` must exist on every executor.
 
     A null text counts as empty: no tokens, empty ids and text. Repeated rows stay repeated, a null
     doc_id stays null; other columns are not read.
     """
-    return _encoded(documents, path, lambda r: r, "ids string, decoded string")
+    return _encoded(documents, path, words, lambda r: r, "ids string, decoded string")
 
 
-def encoding_digests(documents: DataFrame, path: str) -> DataFrame:
+def encoding_digests(documents: DataFrame, path: str, words: int = WORDS) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``; rows as in ``encode_documents``."""
     return _encoded(
         documents,
         path,
+        words,
         lambda r: (r[0], _digest(r[1]), _digest(r[2])),
         "ids_sha256 string, decoded_sha256 string",
     )
 
 
-def _encoded(documents: DataFrame, path: str, shape: Callable, columns: str) -> DataFrame:
+def _encoded(
+    documents: DataFrame, path: str, words: int, shape: Callable, columns: str
+) -> DataFrame:
     def make():
-        encode = codec(path).encode
+        encode = codec(path, words).encode
         return lambda doc_id, text: [(doc_id, *shape(encode(text or "")))]
 
     return map_rows(

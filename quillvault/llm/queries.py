@@ -55,7 +55,9 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(
-        read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+        read(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        words=400_000,  # nothing else is in the workers' memory
     )
 
 
