@@ -4,7 +4,8 @@ For each item length, every window of that many words that holds at least one of
 (others share nothing with any item) gets a SimHash. The index cuts fingerprints into four blocks; a
 fingerprint within ``RADIUS`` bits agrees with the item's in some block up to ``RADIUS // 4`` bits, so
 trying all such flips in every block finds them all. What is found is compared exactly: the
-weighted Jaccard similarity of the two multisets of shingles, weights being occurrences.
+weighted Jaccard similarity of the two multisets of shingles, weights being occurrences. For items
+with more words than the document, the whole document is the one window.
 
 The benchmark is the stated query set. It goes to the tasks in blocks of bounded size, one pass over
 the documents each.
@@ -179,10 +180,13 @@ class Benchmark:
         place = np.minimum(np.searchsorted(self.anchors, sh), self.anchors.size - 1)
         anchored = np.flatnonzero(self.anchors[place] == sh)
         zones: dict[int, list[int]] = {}
+        longer: set[int] = set()
         for position in anchored.tolist():
             for n in self.lengths_of[place[position]]:
                 if SHINGLE <= n <= len(words):
                     zones.setdefault(n, []).append(position)
+                elif n > len(words):
+                    longer.add(n)
         for n, positions in zones.items():
             size = n - SHINGLE + 1
             last = len(words) - n
@@ -190,6 +194,10 @@ class Benchmark:
                 for a in range(start, stop + 1, WINDOWS):
                     b = min(stop, a + WINDOWS - 1)
                     self._compare(words, n, a, sh[a : b + size], size, found)
+        for n in sorted(longer):
+            # No similarity is above the share of the sizes.
+            if sh.size / (n - SHINGLE + 1) >= SIMILARITY:
+                self._compare(words, n, 0, sh, sh.size, found)
         for n in self.short:  # windows shorter than a shingle are one shingle each
             if n <= len(words):
                 index, entries = self.items[n]

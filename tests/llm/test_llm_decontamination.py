@@ -98,3 +98,27 @@ def test_index_finds_every_print_within_the_radius():
         (i, e) for i in range(80) for e in range(300) if int(asked[i] ^ prints[e]).bit_count() <= dc.RADIUS
     }
     assert set(HammingIndex(prints).within(asked)) == want and len(want) > 60
+
+
+def test_items_longer_than_the_document(documents, bench, prose):
+    items = [(i, prose(700 + i, n)) for i, n in enumerate((6, 9, 12, 20, 30, 45, 60, 100))]
+    rows = [(0, "one two"), (1, "")]
+    for i, item in items:
+        words = item.split()
+        for cut in range(0, min(len(words), 26)):
+            rows.append((100 * (i + 1) + cut, " ".join(words[: len(words) - cut])))
+            rows.append((100 * (i + 1) + 50 + cut, " ".join(words[cut:])))
+    want = {}
+    for doc_id, text in rows:
+        words = dc.words_of(text)
+        for item_id, item in items:
+            wanted = dc.words_of(item)
+            starts = range(max(1, len(words) - len(wanted) + 1))
+            share, start = max((dc.similarity(dc.shingles(words[s : s + len(wanted)]), dc.shingles(wanted)), -s) for s in starts)
+            if share >= dc.SIMILARITY:
+                want[doc_id, item_id] = (share, -start)
+    got = {(r.doc_id, r.item_id): (r.similarity, r.word) for r in contaminated(documents(rows), bench(items)).collect()}
+    assert got == want and sum(v[0] < 1 for v in got.values()) > 50
+    assert got[702, 6] == (54 / 56, 0)
+    kept = {r.doc_id for r in without_benchmark(documents(rows), bench(items)).collect()}
+    assert kept == {i for i, _ in rows} - {i for i, _ in want}
