@@ -12,6 +12,7 @@ Work is per document, so there is no shuffle and no group that could grow.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -84,22 +85,49 @@ def blocks(text: str, reach: int) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def aligned(template: list[str], words: list[str]) -> tuple[int, int, int, int] | None:
-    """(first word, end, missing, extra) of the best place for ``template`` in ``words``."""
-    whole = SequenceMatcher(None, template, words, autojunk=False)
-    anchor = whole.find_longest_match()
-    if not anchor.size:
-        return None
+def aligned(template: list[str], words: list[str], at: int) -> tuple[int, int, int, int] | None:
+    """(first word, end, missing, extra) of ``template`` in ``words`` if it starts at about ``at``."""
     slack = 1 + len(template) // 5
-    low = max(0, anchor.b - anchor.a - slack)
-    high = min(len(words), anchor.b - anchor.a + len(template) + slack)
+    low = max(0, at - slack)
+    high = min(len(words), at + len(template) + slack)
     part = words[low:high]
     same = [b for b in SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks() if b.size]
+    if not same:
+        return None
     first, end = same[0].b, same[-1].b + same[-1].size
     shared = sum(b.size for b in same)
     return low + first, low + end, len(template) - shared, end - first - shared
 
 
+def confirmed(template: list[str], words: list[str]) -> Iterator[tuple[int, int, int, int]]:
+    """(first word, end, missing, extra) of every place that stands the comparison of wording.
+
+    Equal runs are tried from the longest down to the least that such a place has, since every
+    missing or extra word cuts it at most once more. A run that leads nowhere is not tried again, but
+    its words still count for other places.
+    """
+    limit = DIFFERENT * len(template)
+    least = max(1, -(-(len(template) - int(limit)) // (2 * int(limit) + 1)))
+    wanted = Counter(template)
+    rest, tried = list(words), list(words)
+    while (wanted & Counter(rest)).total() >= len(template) - limit:
+        run = SequenceMatcher(None, template, tried, autojunk=False).find_longest_match()
+        if run.size < least:
+            return
+        same = template[run.a : run.a + run.size]
+        for a in range(run.a, len(template) - run.size + 1):
+            if template[a : a + run.size] != same:
+                continue
+            found = aligned(template, rest, run.b - a)
+            if found and max(found[2:]) <= limit:
+                first, end = found[:2]
+                yield found
+                # The same licence may stand in the block again.
+                rest[first:end] = tried[first:end] = [""] * (end - first)
+                break
+        tried[run.b : run.b + run.size] = [""] * run.size
+
+
 def in_block(block: str, known: list[Template]) -> list[tuple[str, int, int, float, int, int, int]]:
     """(licence, start, end, saved, missing, extra, agreeing words) of all confirmed templates."""
     raw = block.encode("utf-8", "surrogatepass")
@@ -115,16 +143,10 @@ def in_block(block: str, known: list[Template]) -> list[tuple[str, int, int, flo
     words = [m[0].lower() for m in places]
     out = []
     for saved, t in sorted(ranked, key=lambda r: (-r[0], r[1].name)):
-        rest, limit = words, DIFFERENT * len(t.words)
-        while found := aligned(t.words, rest):
-            first, end, missing, extra = found
-            if missing > limit or extra > limit:
-                break
+        for first, end, missing, extra in confirmed(t.words, words):
             a, b = places[first].start(), places[end - 1].end()
             agreeing = len(t.words) - 2 * missing - extra
             out.append((t.name, a, b, saved / t.size, missing, extra, agreeing))
-            # The same licence may stand in the block again.
-            rest = rest[:first] + [""] * (end - first) + rest[end:]
     return out
 
 

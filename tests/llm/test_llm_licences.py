@@ -44,3 +44,15 @@ def test_rows(documents, rows_of, prose):
     got = rows_of(licence_scan(df))
     assert [r[0] for r in got] == [1, 1, 5, None] and all(r[1] == "MIT line" for r in got)
     assert licence_scan(documents([])).count() == 0
+
+
+def test_wrong_place_with_a_longer_run_hides_no_right_one(prose):
+    holder = "THE COPYRIGHT HOLDER"
+    bsd2 = TEMPLATES["BSD-2-Clause"]
+    named = bsd2.replace(holder + "S", holder).replace(holder, "MERIDIAN PRESS")
+    assert named != bsd2
+    alone = [f[0] for f in licences_in(prose(7, 40) + "\n" + named)]
+    assert alone == ["BSD-2-Clause"]
+    for pair in ([TEMPLATES["BSD-3-Clause"], named], [named, TEMPLATES["BSD-3-Clause"]]):
+        want = ["BSD-3-Clause", "BSD-2-Clause"] if pair[1] is named else ["BSD-2-Clause", "BSD-3-Clause"]
+        assert [f[0] for f in licences_in(prose(8, 40) + "\n" + "\n\n".join(pair) + "\n" + prose(9, 40))] == want
