@@ -364,6 +364,65 @@ def later_in_windows(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
+def differ(column: str) -> Column:
+    """Whether the bytes of a group differ; ``DIVERSE`` differs from itself."""
+    return (F.min(column) != F.max(column)) | (F.max(column) == DIVERSE)
+
+
+def groups_of_many(rows: DataFrame, length: int) -> DataFrame:
+    """``repeat, size, k, h, at``: maximal repeats of anchors with very many different slices.
+
+    Equal strings lie at one distance from their anchor, so a group has each slice once. Only a single
+    string that follows different bytes can start a maximal repeat; of these, all extensions are
+    grouped, and those that different bytes follow as well are maximal. These are sums that each task
+    begins, so no task holds an anchor.
+    """
+
+    def make():
+        def one(k, h, piece):
+            for i in range(len(piece) - length + 1):
+                left = piece[i - 1] if i else DIVERSE
+                yield xxhash.xxh3_128_digest(piece[i : i + length]), k, h, i, left
+
+        return one
+
+    strings = staged(
+        map_rows(rows.select("k", "h", "slice"), make, "w binary, k bigint, h binary, at bigint, left int", rows=20000),
+        "strings",
+    )
+    starts = strings.groupBy("w").agg(F.count("*").alias("n"), differ("left").alias("open"))
+    starts = staged(starts.filter("n > 1 AND open").select("w"), "starts")
+    begun = strings.join(starts, "w").groupBy("k", "h").agg(F.collect_list(F.struct("at", "left")).alias("starts"))
+    begun = staged(begun, "begun")
+
+    def extend():
+        def one(k, h, piece, starts):
+            for s in starts:
+                at = s["at"]
+                for end in range(at + length, len(piece) + 1):
+                    after = piece[end] if end < len(piece) else DIVERSE
+                    yield hashlib.sha256(piece[at:end]).digest(), end - at, k, h, at, s["left"], after
+
+        return one
+
+    longer = staged(
+        map_rows(
+            rows.select("k", "h", "slice").join(begun, ["k", "h"]).select("k", "h", "slice", "starts"),
+            extend,
+            "repeat binary, size bigint, k bigint, h binary, at bigint, left int, after int",
+            rows=20000,
+        ),
+        "extensions",
+    )
+    maximal = longer.groupBy("repeat").agg(
+        F.count("*").alias("n"), differ("left").alias("open"), differ("after").alias("ends")
+    )
+    maximal = staged(maximal.filter("n > 1 AND open AND ends").select("repeat"), "maximal")
+    return longer.join(maximal, "repeat").select(
+        F.lower(F.hex("repeat")).alias("repeat"), "size", "k", "h", "at"
+    )
+
+
 class Found:
     """Stored tables that repeats are read from; large ones are emptied once they are used up."""
 
@@ -454,9 +513,8 @@ class Found:
 def repeat_groups(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """``repeat, size, doc_id, start``: maximal repeats of the slices with all their occurrences.
 
-    ``repeat`` is the SHA-256 of the bytes. Copies of a whole earlier text are left out; so are anchors
-    with more than ``SORTED_SLICES`` different slices, whose repeats ``remove_repeats`` finds by
-    grouped windows. A null doc_id is null here as well.
+    ``repeat`` is the SHA-256 of the bytes. A copy of a whole earlier text has the occurrences of that
+    text. A null doc_id is null here as well.
     """
     found = Found(documents, length)
 
@@ -474,21 +532,34 @@ def repeat_groups(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         "repeat string, size bigint, k bigint, h binary, at bigint",
         length,
     )
-    # A slice that occurs more than once is a repeat as a whole.
-    whole = found.distinct.filter("n > 1").select(
+    many = groups_of_many(found.contested.filter(F.col("m") > SORTED_SLICES), length)
+    # A slice that occurs more than once, be it in a copy, is a repeat as a whole.
+    copied = staged(
+        found.copies.select(F.col("first_doc").alias("doc"), "tie").distinct(), "copied"
+    )
+    again = found.distinct.filter("n > 1").select("k", "h", "slice")
+    again = again.unionByName(found.slices.join(copied, ["doc", "tie"]).select("k", "h", "slice"))
+    whole = again.select(
         F.sha2("slice", 256).alias("repeat"), F.octet_length("slice").cast("bigint").alias("size"),
         "k", "h", F.lit(0).cast("bigint").alias("at"),
     )
+    groups = staged(inner.unionByName(many).unionByName(whole).distinct(), "groups")
+    places = groups.join(found.slices.select("k", "h", "doc", "tie", "start"), ["k", "h"]).select(
+        "repeat", "size", "doc", "tie", (F.col("start") + F.col("at")).alias("start")
+    )
+    places = staged(places, "occurrences")
+    copies = found.copies.select(F.col("doc").alias("copy"), F.col("first_doc").alias("doc"), "tie")
+    in_copies = places.join(copies, ["doc", "tie"]).select(
+        "repeat", "size", F.col("copy").alias("doc"), "start"
+    )
     return (
-        inner.unionByName(whole)
-        .distinct()
-        .join(found.slices.select("k", "h", "doc", "start"), ["k", "h"])
+        places.drop("tie")
+        .unionByName(in_copies)
         .select(
-            "repeat", "size", F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"),
-            (F.col("start") + F.col("at")).alias("start"),
+            "repeat", "size", F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "start"
         )
         .distinct()
-    )
+    )
 
 
 def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:

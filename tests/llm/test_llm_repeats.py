@@ -130,3 +130,45 @@ def test_groups_hold_all_occurrences(documents, prose):
 def test_kept_bytes():
     assert kept_bytes(b"0123456789", [(2, 4), (3, 6), (6, 7), (9, 10)]) == (b"0178", 6, 2)
     assert kept_bytes(b"abc", []) == (b"abc", 0, 0)
+
+
+def groups_of(df):
+    groups = {}
+    for r in repeat_groups(df).collect():
+        groups.setdefault((r.repeat, r["size"]), set()).add((r.doc_id, r.start))
+    return groups
+
+
+def assert_all_occurrences(groups, texts):
+    for (name, size), places in groups.items():
+        doc, start = min(places)
+        piece = texts[doc][start : start + size]
+        assert hashlib.sha256(piece).hexdigest() == name
+        everywhere = {(d, s) for d, t in texts.items() for s in range(len(t) - size + 1) if t.startswith(piece, s)}
+        assert places == everywhere and len(places) > 1
+
+
+def test_groups_of_hot_anchors(documents, prose, monkeypatch):
+    rows = [(i, t or "") for i, t in dict(corpus(prose)).items() if i is not None]
+    want = groups_of(documents(rows))
+    assert_all_occurrences(want, {i: t.encode() for i, t in rows})
+    monkeypatch.setattr(repeats, "SORTED_SLICES", 1)
+    assert groups_of(documents(rows)) == want
+
+
+def test_a_passage_in_more_texts_than_are_sorted(documents, prose):
+    line = prose(1, 40)[:130]
+    rows = [(i, f"{i:07d} {line} {i * 7919:09d}") for i in range(repeats.SORTED_SLICES + 1)]
+    groups = groups_of(documents(rows))
+    hot = [places for places in groups.values() if len(places) >= len(rows)]
+    assert hot and all({d for d, _ in places} == {i for i, _ in rows} for places in hot)
+
+
+def test_groups_in_copies(documents, prose):
+    text, other = prose(1, 60), prose(2, 60)
+    rows = [(1, text), (2, text), (3, other[:150] + text[:140]), (4, text), (5, "short"), (6, "short")]
+    groups = groups_of(documents(rows))
+    assert_all_occurrences(groups, {i: t.encode() for i, t in rows})
+    for doc in (1, 2, 4):
+        covered = {b for (_, size), places in groups.items() for d, s in places if d == doc for b in range(s, s + size)}
+        assert covered == set(range(len(text)))
