@@ -1,7 +1,7 @@
 """Personal data: four fixed forms, and identifiers that bootstrapped contexts give away.
 
 Base spans come from fixed patterns and checks. They are the seeds. Every seed, and every other word
-that looks like an identifier, is linked to its lexical patterns: the two words before it, and the
+or run of numbers after single blanks that looks like an identifier, is linked to its lexical patterns: the two words before it, and the
 word before with the word after. The weight of a pattern is the share of **all** words that follow
 its context in the corpus and are known identifiers of a kind; the weight of an instance is the
 chance that at least one of its strong patterns is right. A few rounds of this over the
@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillvault.llm.tables import map_rows, staged, unused
@@ -35,6 +35,13 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x00-\x20]+")
 EDGES = " \t\r\n.,;:!?\"'()[]{}<>|*#%&$"
 CANDIDATE = re.compile(r"[^\x00-\x20]*[0-9@][^\x00-\x20]*")
+#: Numbers after single blanks, as in "(020) 7946 0018" or "555 - 123 4567".
+NUMBER = r"[0-9]++(?:[.()\[\]-]{1,2}[0-9]++)*"
+RUN = re.compile(
+    rf"(?<![^\x00-\x20{re.escape(EDGES)}])[+(\[]{{0,2}}{NUMBER}(?:[)\]]?\x20(?:-\x20)?[(\[]?{NUMBER})+"
+    rf"(?![^\x00-\x20{re.escape(EDGES)}])"
+)
+BLANK = re.compile(r"[0-9][)\]]?\x20(?:-\x20)?[(\[]?[0-9]")
 
 STRONG = 0.8
 SEEDS = 3
@@ -127,6 +134,22 @@ def looks_like_identifier(word: str) -> bool:
     return 6 <= len(word) <= 64 and (sum(c.isdigit() for c in word) >= 4 or "@" in word)
 
 
+def runs_between(text: str, base: list[Span]) -> list[tuple[int, int]]:
+    """(start, end) of identifiers written with blanks: the longest runs of numbers between base spans."""
+    out = []
+    at = 0
+    for x, y in [*sorted((a, b) for _, a, b in base), (len(text), len(text))]:
+        for m in RUN.finditer(text, at, x) if x > at else ():
+            a, b = m.span()
+            for left, right in ("()", "[]"):
+                if text[a] == left and right not in m[0]:
+                    a += 1
+            if looks_like_identifier(text[a:b]):
+                out.append((a, b))
+        at = max(at, y)
+    return out
+
+
 def occurrences(text: str, base: list[Span]) -> list[tuple]:
     """(kind or None, start, end, instance, patterns) of seeds and of other likely identifiers."""
     out = []
@@ -145,9 +168,34 @@ def occurrences(text: str, base: list[Span]) -> list[tuple]:
         if any(x < b and a < y for x, y in taken[i : i + 4]):
             continue
         out.append((None, a, b, word.lower(), contexts(words_before(text, a), word_after(text, m.end()))))
+    if BLANK.search(text):
+        for a, b in runs_between(text, base):
+            out.append((None, a, b, text[a:b].lower(), contexts(words_before(text, a), after_run(text, b))))
     return out
 
 
+def after_run(text: str, end: int) -> str:
+    """The word after a run, whose last word may have signs behind it."""
+    while end < len(text) and text[end] > " ":
+        end += 1
+    return word_after(text, end)
+
+
+def wide_contexts(text: str) -> Iterator[str]:
+    """The patterns with a word before and one after of base spans and runs that hold blanks.
+
+    Each counts as one word; the words before it are those of its first word.
+    """
+    if not BLANK.search(text):
+        return
+    base = base_spans(text)
+    for _, a, b in base:
+        if " " in text[a:b]:
+            yield from contexts(words_before(text, a, 1), word_after(text, b))
+    for a, b in runs_between(text, base):
+        yield from contexts(words_before(text, a, 1), after_run(text, b))
+
+
 def slot(pattern: str) -> int:
     return zlib.crc32(pattern.encode("utf-8", "surrogatepass")) % BITS
 
@@ -186,6 +234,8 @@ def found_in(documents: DataFrame) -> DataFrame:
 def context_totals(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """``pattern, total``: how many words of the corpus stand in each wanted context.
 
+    What is written with blanks, be it a base span or a run of numbers, counts as one word.
+
     A filter of constant size keeps most other contexts from being shuffled; what it lets through
     by chance falls out in the join.
     """
@@ -215,8 +265,12 @@ def context_totals(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for text in batch.column(0):
-                words = [plain(w) for w in (text.as_py() or "").split()]
+            for value in batch.column(0):
+                text = value.as_py() or ""
+                for p in wide_contexts(text):
+                    if known(p):
+                        counts[p] = counts.get(p, 0) + 1
+                words = [plain(w) for w in text.split()]
                 for i in range(1, len(words)):
                     after = words[i + 1] if i + 1 < len(words) else ""
                     for p in contexts(words[max(0, i - 2) : i], after):
@@ -285,15 +339,21 @@ def personal_data(documents: DataFrame) -> DataFrame:
 
     Offsets count code points. Null and empty texts have no spans. Repeated rows stay repeated with
     equal results; a null doc_id stays null; other columns are not read. Spans are ordered by
-    start, then kind as listed; an added span never overlaps a base span.
+    start, then kind as listed; an added span never overlaps a base span, and a number within an
+    added run of numbers is not listed again.
     """
     found = found_in(documents)
     accepted = strong_instances(documents, found)
+    earlier = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     added = (
         found.select("row", F.explode("occurrences").alias("o"))
         .filter("o.kind IS NULL")
         .select("row", "o.start", "o.end", "o.instance")
         .join(accepted, "instance")
+        .withColumn("reach", F.max("end").over(earlier))
+        .filter("reach IS NULL OR end > reach")
         .groupBy("row")
         .agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
     )

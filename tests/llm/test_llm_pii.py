@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from quillvault.llm.pii import base_spans, joined, luhn, mask, mask_personal_data, personal_data
+from quillvault.llm.pii import base_spans, joined, luhn, mask, mask_personal_data, personal_data, runs_between
 
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -103,3 +103,39 @@ def test_masking(documents):
 def test_mask_of_overlapping_spans():
     spans = [{"start": 1, "end": 4, "kind": "ip"}, {"start": 2, "end": 6, "kind": "card"}, {"start": 7, "end": 8, "kind": "email"}]
     assert mask("0123456789", spans) == "0[IP]6[EMAIL]89"
+
+
+def with_blanks():
+    cards = ["4111 1111 1111 1111", "5500 0055 5555 5559", "6011 0000 0000 0004"]
+    rows = [(i, f"please ring desk +1 202 555 01{i:02d} before noon {i}") for i in range(30)]
+    rows += [(100 + i, f"the customer card {cards[i % 3]} was charged {i}") for i in range(30)]
+    new = {
+        200: ("please ring desk ", "phone", "555 123 4567", " before noon"),
+        201: ("my office desk ", "phone", "(020) 7946 0018", ", before noon"),
+        202: ("the customer card ", "card", "4111 1111 1111 1112", " was charged"),
+        203: ("please ring desk ", "phone", "5551234 567", " at ten"),
+    }
+    rows += [(i, before + number + after) for i, (before, _, number, after) in new.items()]
+    return [*rows, (300, "in all they sold 300 400 500 pieces"), (301, "then 555 123 4567. Or not")], new
+
+
+def test_contexts_find_identifiers_with_blanks(documents):
+    rows, new = with_blanks()
+    got = {r.doc_id: r.spans for r in personal_data(documents(rows)).collect()}
+    for i, (before, kind, number, _) in new.items():
+        assert got[i] == f"{kind}:{len(before)}:{len(before) + len(number)}"
+    assert got[300] == "" and got[301] == "phone:5:17"
+    assert got[5] == "phone:17:32" and got[100] == "card:18:37"
+
+
+def test_masking_of_identifiers_with_blanks(documents):
+    rows, new = with_blanks()
+    got = {r.doc_id: r.text for r in mask_personal_data(documents(rows)).collect()}
+    for i, (before, kind, _, after) in new.items():
+        assert got[i] == f"{before}[{kind.upper()}]{after}"
+    assert got[300] == rows[-2][1] and got[301] == "then [PHONE]. Or not"
+
+
+def test_hostile_runs_of_numbers_take_linear_time():
+    for piece in ("1 2 ", "1 1a ", "1-1", "(", "1) ", "1.1 ", "+1 "):
+        runs_between(piece * 100_000, [])
