@@ -230,30 +230,39 @@ def one_of_each(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     """The rows of ``documents`` that stand for their group: its smallest doc_id, once.
 
     A row without doc_id stays only if no row of its group has one, and then one per group. All
-    columns stay as they are. Only ids that occur more than once go through a second grouping.
+    columns stay as they are. Only ids that occur more than once go through a second grouping, by id and group,
+    since their texts may be of different groups.
     """
     prints, ids = grouped_prints(documents, size, radius)
     ids = staged(ids, "groups")
-    rows, fp, root = (unused(documents, name) for name in ("_rows", "_fp", "_root"))
-    kept = prints.join(ids, "fp").filter("doc_id = component_id").groupBy("doc_id")
-    kept = staged(kept.agg(F.count("*").alias(rows)), "representatives")
+    rows, fp, root, least = (unused(documents, name) for name in ("_rows", "_fp", "_root", "_least"))
+    stands = F.coalesce(F.bool_or(F.expr("doc_id = component_id")), F.lit(False))
+    kept = prints.join(ids, "fp").groupBy("doc_id").agg(F.count("*").alias(rows), stands.alias(fp))
+    kept = staged(kept.filter(F.col(fp)).drop(fp), "representatives")
     # Merged whatever the size, so that a small run has the plan of a large one.
     chosen = documents.hint("merge").join(kept, "doc_id")
     single = chosen.filter(F.col(rows) == 1).select(*documents.columns)
-    repeated = chosen.filter(F.col(rows) > 1).select(*documents.columns)
 
     @F.pandas_udf("bigint")
     def print_of(texts):
         return texts.map(lambda t: signed(fingerprint(t or "", size)))
 
+    groups = ids.select(
+        F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(least)
+    )
+    repeated = (
+        chosen.filter(F.col(rows) > 1)
+        .withColumn(fp, print_of("text"))
+        .join(groups, fp)
+        .filter(F.col("doc_id") == F.col(least))
+        .dropDuplicates(["doc_id", root])
+        .select(*documents.columns)
+    )
     nameless = (
         documents.filter("doc_id IS NULL")
         .withColumn(fp, print_of("text"))
-        .join(
-            ids.filter("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(root)),
-            fp,
-        )
+        .join(groups.filter(F.col(least).isNull()), fp)
         .dropDuplicates([root])
         .select(*documents.columns)
     )
-    return single.unionByName(repeated.dropDuplicates(["doc_id"])).unionByName(nameless)
+    return single.unionByName(repeated).unionByName(nameless)

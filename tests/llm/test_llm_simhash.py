@@ -139,3 +139,10 @@ def test_many_equal_texts_stay_few_rows(documents, prose):
     rows = [(i, prose(i % 3, 60)) for i in range(300)]
     got = near_copies(documents(rows)).groupBy("component_id").agg(F.count("*").alias("n")).collect()
     assert {(r.component_id, r.n) for r in got} == {(0, 100), (1, 100), (2, 100)}
+
+
+def test_one_of_each_with_several_texts_of_one_id(documents, prose):
+    a, b, c = (prose(i, 200) for i in (31, 32, 33))
+    rows = [(1, a), (1, b), (1, b.upper()), (2, a), (2, c), (3, c), (3, c), (4, b)]
+    kept = [(r.doc_id, r.text.lower()) for r in one_of_each(documents(rows)).collect()]
+    assert sorted(kept) == sorted([(1, a), (1, b), (2, c)])
