@@ -9,6 +9,7 @@ from quillvault.llm.bpe import encoding_digests
 from quillvault.llm.decontaminate import contaminated
 from quillvault.llm.embeddings import near_duplicates
 from quillvault.llm.licences import licence_scan
+from quillvault.llm.phrases import collocations
 from quillvault.llm.pii import personal_data
 from quillvault.llm.quality import quality_scores
 from quillvault.llm.repeats import remove_repeats
@@ -83,6 +84,57 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"), least=10, explained=50, most=2000)
+
+
+OP11_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+runs AS (
+  SELECT lang, unnest(list_concat(
+           w,
+           list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+           list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+         )) AS phrase
+  FROM words),
+f AS MATERIALIZED (
+  SELECT lang, phrase, lang || chr(9) || phrase AS named, string_split(phrase, ' ') AS w,
+         count(*) AS f
+  FROM runs GROUP BY lang, phrase),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(w) = 1 GROUP BY lang),
+candidate AS MATERIALIZED (SELECT * FROM f WHERE f >= 10 AND len(w) > 1),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, k,
+         lang || chr(9) || array_to_string(c.w[1:k], ' ') AS first_part,
+         lang || chr(9) || array_to_string(c.w[k + 1:], ' ') AS rest
+  FROM candidate c, range(1, 3) t(k) WHERE k < len(c.w)),
+scored AS (
+  SELECT cut.*, p.f AS l, q.f AS r,
+         ((1000000::HUGEINT * a * a) // (p.f::HUGEINT * q.f))::BIGINT AS score
+  FROM cut JOIN f p ON p.named = first_part JOIN f q ON q.named = rest),
+weakest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, part, max(f) AS longer FROM (
+    SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part
+    FROM candidate WHERE len(w) = 3) GROUP BY lang, part),
+kept AS (
+  SELECT s.* FROM weakest s LEFT JOIN inside i ON i.lang = s.lang AND i.part = s.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * s.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 #: name -> (query, equivalent SQL or None)
 QUERIES = {
     "op1_quality": (op1_quality, None),
@@ -95,4 +147,5 @@ QUERIES = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_personal_data": (op9_personal_data, None),
     "op10_repeats": (op10_repeats, None),
+    "op11_collocations": (op11_collocations, OP11_SQL),
 }
