@@ -17,6 +17,7 @@ from quillvault.llm.simhash import near_copies
 from quillvault.llm.tables import read as read_table
 from quillvault.llm.tables import session_for_texts
 from quillvault.llm.token_counts import count_tokens
+from quillvault.llm.vector_codes import vector_codes
 from quillvault.llm.warc import archived
 
 
@@ -135,6 +136,56 @@ FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+
+
+def _op12_sql(rounds: int = 4) -> str:
+    """Codebooks by position (p, e, i, x) and one pair of tables a round."""
+    nearest = """
+near{k} AS MATERIALIZED (
+  SELECT vec_id, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT v.vec_id, v.p, b.e, list_sum(list_transform(list_zip(v.part, b.part),
+             lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM vec v JOIN book{k} b USING (p)) GROUP BY vec_id, p)"""
+    moved = """
+book{n} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.part, b.part) AS part
+  FROM book{k} b LEFT JOIN (
+    SELECT p, e, list(x ORDER BY i) AS part FROM (
+      SELECT p, e, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+      FROM near{k} JOIN (SELECT vec_id, p, unnest(part) AS x, generate_subscripts(part, 1) AS i
+                         FROM vec) USING (vec_id, p)
+      GROUP BY p, e, i) GROUP BY p, e) m USING (p, e))"""
+    steps = [(nearest + "," + moved).format(k=k, n=k + 1) for k in range(rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+vec AS MATERIALIZED (
+  SELECT vec_id, p, w[p * (len(w) // 4) + 1 : (p + 1) * (len(w) // 4)] AS part
+  FROM kept, range(4) t(p)),
+book0 AS MATERIALIZED (
+  SELECT p, e, part FROM vec JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept
+    ORDER BY vec_id LIMIT 256) USING (vec_id)),
+{",".join(steps)},
+{nearest.format(k=rounds)},
+coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', e::INT)), '' ORDER BY p) AS code,
+         sum(d)::BIGINT AS error
+  FROM near{rounds} GROUP BY vec_id),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY p, e)) AS codebooks_sha256
+  FROM book{rounds})
+SELECT vec_id, code, error,
+       (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+
+
 #: name -> (query, equivalent SQL or None)
 QUERIES = {
     "op1_quality": (op1_quality, None),
@@ -148,4 +199,5 @@ QUERIES = {
     "op9_personal_data": (op9_personal_data, None),
     "op10_repeats": (op10_repeats, None),
     "op11_collocations": (op11_collocations, OP11_SQL),
+    "op12_vector_codes": (op12_vector_codes, _op12_sql()),
 }
