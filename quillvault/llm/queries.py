@@ -10,6 +10,7 @@ from quillvault.llm.decontaminate import contaminated
 from quillvault.llm.embeddings import near_duplicates
 from quillvault.llm.licences import licence_scan
 from quillvault.llm.phrases import collocations
+from quillvault.llm.pieces import piece_digests
 from quillvault.llm.pii import personal_data
 from quillvault.llm.quality import quality_scores
 from quillvault.llm.repeats import remove_repeats
@@ -186,6 +187,12 @@ FROM coded JOIN kept USING (vec_id), digest
 """
 
 
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), words=250_000
+    )
+
+
 #: name -> (query, equivalent SQL or None)
 QUERIES = {
     "op1_quality": (op1_quality, None),
@@ -200,4 +207,5 @@ QUERIES = {
     "op10_repeats": (op10_repeats, None),
     "op11_collocations": (op11_collocations, OP11_SQL),
     "op12_vector_codes": (op12_vector_codes, _op12_sql()),
+    "op13_pieces": (op13_pieces, None),
 }
