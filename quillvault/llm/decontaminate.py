@@ -13,8 +13,10 @@ the documents each.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -263,26 +265,48 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, pass_bytes: int = P
     repeated results, a null doc_id stays null. Repeated items with one id count as one by their
     best window. Other columns are not read.
     """
-    schema = "doc_id bigint, item_id bigint, word bigint, similarity double"
+    schema = "doc_id bigint, digest string, item_id bigint, word bigint, similarity double"
     parts = []
     for items in item_blocks(benchmark, pass_bytes):
         shared = documents.sparkSession.sparkContext.broadcast(items)
 
         def make(shared=shared):
             index = Benchmark(shared.value)
-            return lambda doc_id, text: [(doc_id, *m) for m in index.matches(text or "")]
 
-        parts.append(staged(map_rows(documents.select("doc_id", "text"), make, schema), "matches"))
+            def found(doc_id, text):
+                matches = index.matches(text or "")
+                digest = hashlib.sha256((text or "").encode()).hexdigest() if matches else None
+                return [(doc_id, digest, *m) for m in matches]
+
+            return found
+
+        part = staged(map_rows(documents.select("doc_id", "text"), make, schema), "matches")
+        parts.append(part.withColumn("pass", F.lit(len(parts))))
     if not parts:
-        return documents.sparkSession.createDataFrame([], schema)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        return documents.sparkSession.createDataFrame([], schema).drop("digest")
+    columns = ["doc_id", "item_id", "word", "similarity"]
+    if len(parts) == 1:
+        return parts[0].select(columns)
+    # Texts of one item may have met in different passes. A row repeated k times has k equal results
+    # in each of them.
+    keys = ["doc_id", "digest", "item_id"]
+    best = F.max_by("word", F.struct("similarity", -F.col("word"))).alias("word")
+    once = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy(*keys, "pass")
+        .agg(F.count("*").alias("copies"), best, F.max("similarity").alias("similarity"))
+        .groupBy(*keys)
+        .agg(F.max("copies").alias("copies"), best, F.max("similarity").alias("similarity"))
+    )
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(columns)
 
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """The rows of ``documents`` whose text holds no benchmark item, all columns unchanged."""
+    """The rows of ``documents`` whose text holds no benchmark item, all columns unchanged.
+
+    Null and empty texts hold none and stay, as does everything if the benchmark is empty. Repeated
+    rows stay or go together.
+    """
     out = documents
     for items in item_blocks(benchmark, pass_bytes):
         shared = documents.sparkSession.sparkContext.broadcast(items)

@@ -241,7 +241,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = KEEP_FROM) -> DataFrame:
-    """The rows of ``documents`` that score ``threshold`` or more, all columns unchanged."""
+    """The rows of ``documents`` that score ``threshold`` or more, all columns unchanged.
+
+    Null and empty texts stay if an empty text scores that much; repeated rows stay or go together.
+    """
     model = fit(training_rows(documents, labels))
 
     def make():

@@ -57,6 +57,19 @@ def test_against_all_windows(documents, bench, prose):
     assert got == want and len(want) > 20
     in_two_passes = contaminated(documents(rows), bench(items), pass_bytes=400).collect()
     assert {(r.doc_id, r.item_id): (r.similarity, r.word) for r in in_two_passes} == want
+    assert len(in_two_passes) == len(want)
+
+
+def test_texts_of_one_item_in_several_passes(documents, bench, prose):
+    first, second = prose(1, 30), prose(2, 25)
+    items = [(7, first), (7, second), (8, first), (9, prose(3, 20))]
+    both = f"{prose(4, 10)} {second} {prose(5, 10)} {first}"
+    rows = [(1, both), (1, both), (1, first), (None, second), (2, prose(6, 40)), (3, None)]
+    want = [tuple(r) for r in contaminated(documents(rows), bench(items)).collect()]
+    for pass_bytes in (60, 200, 400):
+        got = contaminated(documents(rows), bench(items), pass_bytes=pass_bytes).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert sorted(want, key=repr)[0][:2] == (1, 7) and len(want) == 7
 
 
 def test_windows_in_parts(prose, monkeypatch):
