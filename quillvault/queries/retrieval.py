@@ -238,7 +238,7 @@ def _context(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     asked = questions.select(
         "question_id", embed_questions(F.col("question"), MODEL, 64).alias("embedding")
     )
-    found = above_threshold(nearest_chunks(asked, vectors, K), 0.85)
+    found = above_threshold(nearest_chunks(asked, vectors, K), THRESHOLD)
     found = staged(found, "found")
     found = F.broadcast(found) if fits(found) else found
     context = chunks.join(found, "chunk_id").withColumn(
@@ -544,7 +544,7 @@ _CONTEXT_SQL = f"""{PLAIN_SQL}, w AS ({sql.windows("d", "text", "1000", "150", "
     row_number() OVER (PARTITION BY q.item_id ORDER BY s DESC, c.doc_id, c.chunk_index) AS rank
     FROM qv q, cv c QUALIFY rank <= {K}),
   context AS (SELECT question_id, rank, s, 'rag12000:' || doc_id AS source_ref, content
-    FROM found JOIN w USING (doc_id, chunk_index) WHERE s >= 0.85)"""
+    FROM found JOIN w USING (doc_id, chunk_index) WHERE s >= {THRESHOLD})"""
 
 
 def _strip_sql(text: str) -> str:
