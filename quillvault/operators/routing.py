@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from quillvault import fixed_values as fv
 from quillvault.functions.injection import with_injection_score
 from quillvault.functions.pii import pseudonymise
 from quillvault.functions.text import strip, with_content_hash
+from quillvault.operators.bits import bit_maps, key_filter, marked, may_be_in
 from quillvault.plans.joins import BROADCAST_ROWS, HOT_ROWS, attach, fits
 from quillvault.sources.shared import staged
 
@@ -36,79 +36,65 @@ def prepared(
     )
 
 
-@dataclass(frozen=True)
-class Verdicts:
-    """What routing needs to know per content hash; narrow tables, staged."""
-
-    repeats: DataFrame  # hashes on several rows: first passing order and number of rows
-    stored: DataFrame | None  # hashes already stored, with their number of new rows
-    order: str
-    threshold: float
-    hot_rows: int
-    few_repeats: bool
-    few_stored: bool
-
-    def apply(self, rows: DataFrame) -> DataFrame:
-        """Add ``status`` to prepared rows, or to any part of them."""
-
-        def looked_up(left: DataFrame, right: DataFrame, few: bool) -> DataFrame:
-            return attach(
-                left,
-                right,
-                "doc_sha256",
-                weight="_rows",
-                tie=self.order,
-                hot_rows=self.hot_rows,
-                few=few,
-            )
-
-        out = looked_up(rows, self.repeats, self.few_repeats)
-        duplicate = F.coalesce(F.col("_first") < F.col(self.order), F.lit(False))
-        if self.stored is not None:
-            out = looked_up(out, self.stored, self.few_stored)
-            duplicate = duplicate | F.col("_hit").isNotNull()
-        status = (
-            F.when(duplicate, "duplicate")
-            .when(F.col("score") >= self.threshold, "quarantined")
-            .when(F.col("is_empty"), "empty")
-            .otherwise("ingested")
-        )
-        return out.withColumn("status", status).drop("_first", "_hit")
+#: Finds which content hashes of a table (``doc_sha256``) are stored already.
+Known = Callable[[DataFrame], DataFrame]
 
 
-def verdicts(
+def copies(
     rows: DataFrame,
-    threshold: float,
     order: str = "ord",
-    known: DataFrame | None = None,
+    known: Known | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
-) -> Verdicts:
-    """Find repeated and stored hashes among prepared rows.
+) -> DataFrame:
+    """``_place`` of the rows that are copies of a passing row before them or of a stored one.
 
-    A row is a duplicate when a passing row of the same hash comes before it or is stored already.
-    Copies of quarantined or empty rows are therefore not duplicates. "Comes before" needs only
-    the smallest passing ``order`` per hash, which partial aggregation finds without bringing the
-    copies of a text together. ``rows`` is read more than once: pass a staged table.
+    Copies of quarantined or empty rows are therefore not duplicates. "Before" needs only the
+    smallest passing ``order`` per hash, which partial aggregation finds without bringing the
+    copies of a text together. Hashes that come once, by a filter of fixed size, are not
+    even looked at; of the rest no more than order and hash is shuffled. ``rows`` (``_place``,
+    ``order``, ``doc_sha256``, ``passing``) is read more than once: pass a staged table.
     """
-    per_hash = rows.groupBy("doc_sha256").agg(
+    narrow = rows.select("_place", order, "doc_sha256", "passing")
+    numbers = narrow.groupBy(F.xxhash64("doc_sha256").alias("_k")).agg(F.count("*").alias("_n"))
+    several = key_filter(numbers.filter("_n > 1"), "_k")
+    hashed = narrow.withColumn("_k", F.xxhash64("doc_sha256"))
+    suspects = staged(may_be_in(hashed, "_k", several).drop("_k"), "suspects")
+    first = suspects.groupBy("doc_sha256").agg(
         F.min(F.when(F.col("passing"), F.col(order))).alias("_first"),
         F.count("*").alias("_rows"),
     )
-    repeats = per_hash.filter((F.col("_rows") > 1) & F.col("_first").isNotNull())
-    repeats = staged(repeats, "repeats")
-    stored = None
-    if known is not None:
-        stored = staged(stored_keys(rows, known, "doc_sha256", broadcast_rows), "stored")
-    return Verdicts(
-        repeats,
-        stored,
-        order,
-        threshold,
-        hot_rows,
-        few_repeats=fits(repeats, broadcast_rows),
-        few_stored=stored is not None and fits(stored, broadcast_rows),
+    first = staged(first.filter((F.col("_rows") > 1) & F.col("_first").isNotNull()), "repeats")
+    limits = {"how": "inner", "broadcast_rows": broadcast_rows, "hot_rows": hot_rows}
+    found = attach(suspects, first, "doc_sha256", weight="_rows", tie=order, **limits)
+    found = found.filter(F.col("_first") < F.col(order)).select("_place")
+    if known is None:
+        return found
+    hits = staged(stored_keys(narrow, known(narrow), "doc_sha256", broadcast_rows), "stored")
+    if hits.isEmpty():
+        return found
+    held = may_be_in(narrow, "doc_sha256", key_filter(hits, "doc_sha256"))
+    held = attach(held, hits, "doc_sha256", weight="_rows", tie=order, **limits)
+    return found.unionByName(held.select("_place"))
+
+
+def with_status(rows: DataFrame, marks: DataFrame, threshold: float, **limits) -> DataFrame:
+    """Add ``status`` to prepared rows with a ``_place``; ``marks`` is the stored set of copies.
+
+    Every row gets its status where it is: only the set goes to the tasks.
+    """
+    status = (
+        F.when(F.col("_copy"), "duplicate")
+        .when(F.col("score") >= threshold, "quarantined")
+        .when(F.col("is_empty"), "empty")
+        .otherwise("ingested")
     )
+    return marked(rows, marks, "_place", "_copy", **limits).withColumn("status", status).drop("_copy")
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows with ``_place``: numbers that rise within a task. They last once the rows are stored."""
+    return rows.withColumn("_place", F.monotonically_increasing_id())
 
 
 def statuses(
@@ -118,9 +104,14 @@ def statuses(
     known: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    **limits,
 ) -> DataFrame:
-    """Add ``status`` to staged prepared rows."""
-    return verdicts(rows, threshold, order, known, broadcast_rows, hot_rows).apply(rows)
+    """Add ``status`` to prepared rows."""
+    rows = staged(placed(rows), "placed")
+    look_up = None if known is None else lambda _: known
+    found = copies(rows, order, look_up, broadcast_rows, hot_rows)
+    marks = staged(bit_maps(found, "_place"), "marks")
+    return with_status(rows, marks, threshold, **limits).drop("_place")
 
 
 def first_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:

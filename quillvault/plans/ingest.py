@@ -14,14 +14,17 @@ from quillvault.functions.chunking import recursive_chunks
 from quillvault.functions.embedding import Embedder
 from quillvault.functions.integrity import decrypt, encrypt, seal
 from quillvault import fixed_values as fv
+from quillvault.operators.bits import bit_maps
 from quillvault.operators.gazetteer import with_entities
 from quillvault.operators.journal import as_lines, ingest_events
 from quillvault.operators.routing import (
+    copies,
     log_detail,
     log_operation,
+    placed,
     prepared,
     status_rollup,
-    verdicts,
+    with_status,
 )
 from quillvault.settings import Settings
 from quillvault.sources.events import write_events
@@ -160,17 +163,17 @@ def _ingested(
     columns = (
         "ord source_ref _at doc_sha256 pii_stats score reasons is_empty passing content_enc".split()
     )
-    ready = staged(ready.select(*columns), "ready")
-    found = verdicts(ready, settings.injection_threshold, known=store.known_hashes(batch))
-    # Only narrow rows are routed; encrypted texts are joined by row number where they are needed.
-    routed = staged(found.apply(ready.drop("content_enc")), "routed")
-
-    def texts_of(status: str) -> DataFrame:
-        return ready.select("ord", "content_enc").join(
-            routed.filter(F.col("status") == status).drop("content_enc"), "ord"
-        )
+    ready = staged(placed(ready.select(*columns)), "ready")
+    # Only hashes and numbers are shuffled. Every row, its encrypted text included, stays in the task
+    # that reads it and gets its status there.
+    found = copies(ready, known=lambda keys: store.known_hashes(batch))
+    marks = staged(bit_maps(found, "_place"), "marks")
+    routed = with_status(ready, marks, settings.injection_threshold).drop("_place")
+
+    def of_status(status: str) -> DataFrame:
+        return routed.filter(F.col("status") == status)
 
-    accepted = texts_of("ingested").select("doc_sha256", "content_enc")
+    accepted = of_status("ingested").select("doc_sha256", "content_enc")
     texts = decrypt(spark, F.col("content_enc"), keys.cipher)
     pieces = chunk_rows(accepted, texts, settings, splitter)
     store.write("chunks", sealed_chunks(pieces, model, keys, settings), batch, attempt)
@@ -187,16 +190,17 @@ def _ingested(
         store.write("failed", failed, batch, attempt)
 
     none = F.lit(0).cast("long")
-    others = routed.filter(F.col("status") != "ingested").withColumn("n_chunks", none)
+    narrow = routed.drop("content_enc")
+    others = narrow.filter(F.col("status") != "ingested").withColumn("n_chunks", none)
     if any_failed:
         # A copy of a failed document has nothing stored that it could be a duplicate of.
-        copies = failed.select("doc_sha256", F.lit(True).alias("_copy"))
+        same = failed.select("doc_sha256", F.lit(True).alias("_copy"))
         wrong = F.col("_copy") & (F.col("status") == "duplicate") & F.col("passing")
-        others = others.join(copies, "doc_sha256", "left").withColumn(
+        others = others.join(same, "doc_sha256", "left").withColumn(
             "status", F.when(wrong, "errors").otherwise(F.col("status"))
         ).drop("_copy")
     ingested = (
-        routed.filter(F.col("status") == "ingested")  # one row per hash
+        narrow.filter(F.col("status") == "ingested")  # one row per hash
         .join(sizes, "doc_sha256", "left")
         .withColumns(
             {
@@ -210,7 +214,7 @@ def _ingested(
 
     store.write(
         "quarantine",
-        texts_of("quarantined").select(
+        of_status("quarantined").select(
             "source_ref",
             F.array_join("reasons", ", ").alias("reason"),
             F.col("score").cast("float").alias("score"),
