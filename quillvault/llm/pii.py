@@ -1,12 +1,16 @@
 """Personal data: four fixed forms, and identifiers that bootstrapped contexts give away.
 
-Base spans come from fixed patterns and checks. They are the seeds. Every seed, and every other word
-or run of numbers after single blanks that looks like an identifier, is linked to its lexical patterns: the two words before it, and the
-word before with the word after. The weight of a pattern is the share of **all** words that follow
-its context in the corpus and are known identifiers of a kind; the weight of an instance is the
-chance that at least one of its strong patterns is right. A few rounds of this over the
-pattern-instance graph, each two grouped sums in Spark, let strong patterns find new identifiers,
-and these strengthen further patterns.
+Base spans come from fixed patterns and checks. They are the seeds. A text is cut into words at white
+space, once and for all purposes. Every seed, and every other word or run of numbers after single
+blanks that looks like an identifier, is linked to its lexical patterns: the two words before it,
+and the word before with the word after. The weight of a pattern is the share of **all** words in its
+context in the corpus that are known identifiers of a kind; the weight of an instance is the chance
+that at least one of its strong patterns is right. A few rounds of this over the pattern-instance
+graph, each two grouped sums in Spark, let strong patterns find new identifiers, and these
+strengthen further patterns.
+
+The graph alone tells which patterns could ever be strong: those with enough seeds, or with enough
+instances of patterns that could be. Only their contexts are counted over the corpus.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,9 +37,10 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-WORD = re.compile(r"[^\x00-\x20]+")
+WORD = re.compile(r"\S+")
 EDGES = " \t\r\n.,;:!?\"'()[]{}<>|*#%&$"
-CANDIDATE = re.compile(r"[^\x00-\x20]*[0-9@][^\x00-\x20]*")
+#: Where a word with four digits or an @ is; from a digit on, no word is read more than three times.
+LIKELY = re.compile(r"@|[0-9](?:[^0-9\s]*+[0-9]){3}")
 #: Numbers after single blanks, as in "(020) 7946 0018" or "555 - 123 4567".
 NUMBER = r"[0-9]++(?:[.()\[\]-]{1,2}[0-9]++)*"
 RUN = re.compile(
@@ -46,8 +52,15 @@ BLANK = re.compile(r"[0-9][)\]]?\x20(?:-\x20)?[(\[]?[0-9]")
 STRONG = 0.8
 SEEDS = 3
 ROUNDS = 3
-#: Bits of the filter that says which contexts are worth counting; a constant, whatever the input.
+#: Bits of the filters that say which words and contexts are worth counting; a constant, whatever the
+#: input.
 BITS = 1 << 23
+#: Words of which a task remembers whether a wanted context has them before its place.
+HELD_WORDS = 200_000
+#: The place of an identifier in its patterns; no word holds white space.
+PLACE = "\t"
+#: Words and instances longer than this are known by their digest.
+SHOWN_CHARS = 64
 #: Contexts that a task counts before it hands on their sums.
 HELD_COUNTS = 100_000
 
@@ -100,38 +113,29 @@ def joined(spans: list[Span]) -> str:
     return ",".join([f"{k}:{a}:{b}" for k, a, b in spans])
 
 
-def plain(word: str) -> str:
-    return word.strip(EDGES).lower()
+def named(word: str) -> str:
+    """A word as patterns and the graph hold it: itself, or its digest if it is long."""
+    if len(word) <= SHOWN_CHARS:
+        return word
+    return "#" + hashlib.sha256(word.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def words_before(text: str, start: int, n: int = 2) -> list[str]:
-    """The last ``n`` words before ``start``, without the signs around them."""
-    window = 64
-    while True:
-        piece = text[max(0, start - window) : start]
-        words = piece.split()
-        if len(words) > n or window >= start or window >= 1024:
-            return [plain(w) for w in words[-n:]]
-        window *= 4
+def plain(word: str) -> str:
+    return named(word.strip(EDGES).lower())
 
 
-def word_after(text: str, end: int) -> str:
-    m = WORD.search(text, end, end + 256)
-    return plain(m[0]) if m else ""
+def looks_like_identifier(word: str) -> bool:
+    return len(word) >= 6 and ("@" in word or sum(map(word.count, "0123456789")) >= 4)
 
 
-def contexts(before: list[str], after: str) -> list[str]:
-    """Patterns of a place: two words before; one before and one after."""
-    out = []
-    if len(before) == 2 and all(before):
-        out.append(f"{before[0]} {before[1]} _")
-    if before and before[-1] and after:
-        out.append(f"{before[-1]} _ {after}")
-    return out
+def pattern_before(two: str, one: str) -> str | None:
+    """The pattern of a place by the two words before it."""
+    return f"{two} {one} {PLACE}" if two and one else None
 
 
-def looks_like_identifier(word: str) -> bool:
-    return 6 <= len(word) <= 64 and (sum(c.isdigit() for c in word) >= 4 or "@" in word)
+def pattern_around(one: str, after: str) -> str | None:
+    """The pattern of a place by the word before and the word after it."""
+    return f"{one} {PLACE} {after}" if one and after else None
 
 
 def runs_between(text: str, base: list[Span]) -> list[tuple[int, int]]:
@@ -151,53 +155,102 @@ def runs_between(text: str, base: list[Span]) -> list[tuple[int, int]]:
 
 
 def occurrences(text: str, base: list[Span]) -> list[tuple]:
-    """(kind or None, start, end, instance, patterns) of seeds and of other likely identifiers."""
+    """(kind or None, start, end, instance, patterns, more) of seeds and other likely identifiers.
+
+    The place of an identifier is the words that it touches. ``more`` are those of its patterns whose
+    context has one place more than the words of the text tell: a place of several words, and a
+    place that an earlier identifier has too.
+    """
+    blanks = BLANK.search(text)
+    if not base and not blanks and not LIKELY.search(text):
+        return []
+    spots = [m.span() for m in WORD.finditer(text)]
+    starts = [a for a, _ in spots]
+    found = [(kind, a, b) for kind, a, b in base]
+    found += [(None, a, b) for a, b in single_words(text, spots, base)]
+    if blanks:
+        found += [(None, a, b) for a, b in runs_between(text, base)]
+
+    def word(i: int) -> str:
+        return plain(text[slice(*spots[i])]) if 0 <= i < len(spots) else ""
+
     out = []
-    for kind, a, b in base:
-        out.append((kind, a, b, text[a:b].lower(), contexts(words_before(text, a), word_after(text, b))))
+    firsts: set[int] = set()
+    alone: set[int] = set()
+    for kind, a, b in found:
+        i, j = bisect_right(starts, a) - 1, bisect_right(starts, b - 1) - 1
+        before = pattern_before(word(i - 2), word(i - 1))
+        around = pattern_around(word(i - 1), word(j + 1))
+        more = [before] if before and i in firsts else []
+        if around and (j > i or i in alone):
+            more.append(around)
+        firsts.add(i)
+        if i == j:
+            alone.add(i)
+        patterns = [p for p in (before, around) if p]
+        out.append((kind, a, b, named(text[a:b].lower()), patterns, more))
+    return out
+
+
+def single_words(text: str, spots: list[tuple[int, int]], base: list[Span]) -> Iterator[tuple[int, int]]:
+    """(start, end) of words that look like identifiers and touch no base span."""
     taken = sorted((a, b) for _, a, b in base)
-    i = 0
-    for m in CANDIDATE.finditer(text):
-        word = m[0].strip(EDGES)
+    t = 0
+    for x, y in spots:
+        if y - x < 6:
+            continue
+        word = text[x:y].strip(EDGES)
         if not looks_like_identifier(word):
             continue
-        a = m.start() + m[0].index(word)
+        a = text.index(word, x, y)
         b = a + len(word)
-        while i < len(taken) and taken[i][1] <= a:
-            i += 1
-        if any(x < b and a < y for x, y in taken[i : i + 4]):
-            continue
-        out.append((None, a, b, word.lower(), contexts(words_before(text, a), word_after(text, m.end()))))
-    if BLANK.search(text):
-        for a, b in runs_between(text, base):
-            out.append((None, a, b, text[a:b].lower(), contexts(words_before(text, a), after_run(text, b))))
-    return out
+        while t < len(taken) and taken[t][1] <= a:
+            t += 1
+        if t == len(taken) or taken[t][0] >= b:
+            yield a, b
 
 
-def after_run(text: str, end: int) -> str:
-    """The word after a run, whose last word may have signs behind it."""
-    while end < len(text) and text[end] > " ":
-        end += 1
-    return word_after(text, end)
+def slot(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BITS
 
 
-def wide_contexts(text: str) -> Iterator[str]:
-    """The patterns with a word before and one after of base spans and runs that hold blanks.
+class Filter:
+    """Bits of the values of a column; ``in`` may be wrong for others, rarely."""
 
-    Each counts as one word; the words before it are those of its first word.
-    """
-    if not BLANK.search(text):
-        return
-    base = base_spans(text)
-    for _, a, b in base:
-        if " " in text[a:b]:
-            yield from contexts(words_before(text, a, 1), word_after(text, b))
-    for a, b in runs_between(text, base):
-        yield from contexts(words_before(text, a, 1), after_run(text, b))
+    def __init__(self, values: DataFrame):
+        """``values`` has one column of strings."""
+        name = values.columns[0]
+        # The bitmap functions count from 1.
+        slot_of = F.pmod(F.crc32(F.col(name).cast("binary")), F.lit(BITS)) + 1
+        filled = (
+            values.select(slot_of.alias("s"))
+            .groupBy(F.bitmap_bucket_number("s").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+            .collect()  # at most BITS / 32768 rows of 4 KB
+        )
+        self.bits = {row["bucket"]: bytes(row["bits"]) for row in filled}
 
+    def __contains__(self, value: str) -> bool:
+        s = slot(value)
+        position = s % 32768
+        bucket = self.bits.get(s // 32768 + 1)
+        return bucket is not None and bool(bucket[position // 8] >> (position % 8) & 1)
+
+
+class _Heads(dict):
+    """Word of a text -> whether a wanted context may have it before its place."""
+
+    def __init__(self, heads: Filter):
+        super().__init__()
+        self.heads = heads
 
-def slot(pattern: str) -> int:
-    return zlib.crc32(pattern.encode("utf-8", "surrogatepass")) % BITS
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= HELD_WORDS:
+            self.clear()
+        held = plain(word) in self.heads
+        if len(word) <= SHOWN_CHARS:
+            self[word] = held
+        return held
 
 
 def found_in(documents: DataFrame) -> DataFrame:
@@ -226,37 +279,25 @@ def found_in(documents: DataFrame) -> DataFrame:
         make,
         "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
         "base_sha256 string, base string, occurrences array<struct<kind: string, start: bigint, "
-        "end: bigint, instance: string, patterns: array<string>>>",
+        "end: bigint, instance: string, patterns: array<string>, more: array<string>>>",
     )
     return staged(rows.withColumn("row", F.monotonically_increasing_id()), "personal")
 
 
-def context_totals(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``pattern, total``: how many words of the corpus stand in each wanted context.
+def context_totals(documents: DataFrame, wanted: DataFrame, more: DataFrame) -> DataFrame:
+    """``pattern, total``: how many places of the corpus each wanted context has.
 
-    What is written with blanks, be it a base span or a run of numbers, counts as one word.
-
-    A filter of constant size keeps most other contexts from being shuffled; what it lets through
-    by chance falls out in the join.
+    Every word is a place; ``more`` (``pattern, n``) are those beyond. Two filters of constant size
+    say which words a wanted context may have before its place, and which contexts are wanted; what
+    they let through by chance falls out in the join.
     """
-    # The bitmap functions count from 1.
-    slot_of = F.pmod(F.crc32(F.col("pattern").cast("binary")), F.lit(BITS)) + 1
-    slots = wanted.select(slot_of.alias("s"))
-    filled = (
-        slots.groupBy(F.bitmap_bucket_number("s").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
-        .collect()  # at most BITS / 32768 rows of 4 KB
-    )
-    bits = {row["bucket"]: bytes(row["bits"]) for row in filled}
-
-    def known(pattern: str) -> bool:
-        s = slot(pattern)
-        position = s % 32768
-        bucket = bits.get(s // 32768 + 1)
-        return bucket is not None and bool(bucket[position // 8] >> (position % 8) & 1)
+    words = F.split("pattern", " ")
+    head = F.when(words[2] == PLACE, words[1]).otherwise(words[0])
+    known, heads = Filter(wanted.select("pattern")), Filter(wanted.select(head.alias("head")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, int] = {}
+        held = _Heads(heads)
 
         def summed():
             return pa.RecordBatch.from_arrays(
@@ -266,15 +307,17 @@ def context_totals(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
         for batch in batches:
             for value in batch.column(0):
-                text = value.as_py() or ""
-                for p in wide_contexts(text):
-                    if known(p):
-                        counts[p] = counts.get(p, 0) + 1
-                words = [plain(w) for w in text.split()]
-                for i in range(1, len(words)):
-                    after = words[i + 1] if i + 1 < len(words) else ""
-                    for p in contexts(words[max(0, i - 2) : i], after):
-                        if known(p):
+                words = (value.as_py() or "").split()
+                last = len(words) - 1
+                for i in [i for i, w in enumerate(words) if held[w]]:
+                    if i == last:
+                        continue
+                    one = plain(words[i])
+                    for p in (
+                        pattern_before(plain(words[i - 1]), one) if i else None,
+                        pattern_around(one, plain(words[i + 2])) if i + 2 <= last else None,
+                    ):
+                        if p and p in known:
                             counts[p] = counts.get(p, 0) + 1
                 if len(counts) >= HELD_COUNTS:
                     yield summed()
@@ -284,26 +327,40 @@ def context_totals(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
     counted = documents.select("text").mapInArrow(run, "pattern string, n bigint")
     # An inner join stays above the sums; a semi-join would be moved below them.
-    return counted.groupBy("pattern").agg(F.sum("n").alias("total")).join(wanted, "pattern")
+    sums = counted.unionByName(more).groupBy("pattern").agg(F.sum("n").alias("total"))
+    return sums.join(wanted, "pattern")
+
+
+def could_be_strong(edges: DataFrame) -> DataFrame:
+    """``pattern``: those with enough seeds of a kind, or enough instances of such patterns.
+
+    Shares are at most 1 whatever the totals, so no other pattern is strong in any round.
+    """
+    seeds = edges.filter("kind IS NOT NULL").select("pattern", "instance", "kind")
+    others = edges.filter("kind IS NULL").select("pattern", "instance")
+    known, patterns = seeds, None
+    for _ in range(ROUNDS):
+        patterns = staged(
+            known.groupBy("pattern", "kind").count().filter(F.col("count") >= SEEDS).drop("count"),
+            "possible",
+        )
+        instances = others.join(patterns, "pattern").select("instance", "kind").distinct()
+        known = seeds.unionByName(others.join(instances, "instance").select(*seeds.columns))
+    return patterns.select("pattern").distinct()
 
 
 def strong_instances(documents: DataFrame, found: DataFrame) -> DataFrame:
     """``instance, kind`` of identifiers that are no seeds and follow from strong patterns."""
+    listed = found.select(F.explode("occurrences").alias("o"))
     edges = (
-        found.select(F.explode("occurrences").alias("o"))
-        .select("o.kind", "o.instance", F.explode("o.patterns").alias("pattern"))
+        listed.select("o.kind", "o.instance", F.explode("o.patterns").alias("pattern"))
         .groupBy("pattern", "instance", "kind")
         .agg(F.count("*").alias("n"))
     )
     edges = staged(edges, "patterns")
-    wanted = (
-        edges.groupBy("pattern")
-        .agg(F.count("*").alias("instances"), F.count("kind").alias("seeds"))
-        .filter(F.col("instances") >= SEEDS)
-        .select("pattern")
-    )
-    wanted = staged(wanted, "wanted")
-    totals = staged(context_totals(documents, wanted), "contexts")
+    wanted = staged(could_be_strong(edges), "wanted")
+    more = listed.select(F.explode("o.more").alias("pattern"), F.lit(1).cast("bigint").alias("n"))
+    totals = staged(context_totals(documents, wanted, more), "contexts")
     graph = staged(edges.join(totals, "pattern"), "graph")
     seeds = graph.filter("kind IS NOT NULL").select("pattern", "instance", "kind", "n", "total")
     others = graph.filter("kind IS NULL").select("pattern", "instance", "n", "total")
