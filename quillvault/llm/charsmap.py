@@ -110,7 +110,7 @@ class Normaliser:
             else:
                 rule = self.map.longest(source, place)
                 if rule is None:
-                    length = _char_length(source[place])
+                    length = char_length(source[place])
                     out = source[place : place + length].decode("utf-8")
                 else:
                     out, length = rule
@@ -148,5 +148,8 @@ class Normaliser:
         )
 
 
-def _char_length(lead: int) -> int:
-    return 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+def char_length(lead: int) -> int:
+    """Bytes of the character that begins with this byte; 0 for a byte within one."""
+    if lead < 0x80:
+        return 1
+    return 0 if lead < 0xC0 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4

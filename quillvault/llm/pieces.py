@@ -5,44 +5,37 @@ no pair is a piece. A character that is no piece becomes its bytes where the mod
 them. Lengths of the pieces in the normalised text and the recorded places of its bytes give the
 bytes of the source that a piece stands for.
 
-No piece of common models goes on from a letter to white space, so words are merged one by one and
-workers keep the pieces of recent words. Where a model has such a piece, whole texts are merged.
+No merge joins two characters that no piece holds side by side, so texts are cut there, merged part by
+part, and workers keep the pieces of recent parts. Where they may be cut is read off the model: before
+white space, before signs that no piece has after a letter, and after signs that no piece has before one.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
+from math import inf
 from typing import NamedTuple
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
 from quillvault.llm.bpe import Recent
-from quillvault.llm.charsmap import SPACE, Normaliser
+from quillvault.llm.charsmap import SPACE, Normalised, Normaliser, char_length
 from quillvault.llm.tables import map_rows
 
-#: Words kept by a Python worker.
-WORDS = 150_000
+#: Parts of texts kept by a Python worker.
+WORDS = 300_000
+#: Parts up to this length are merged by scans, longer ones by a heap, with equal results.
+SCANNED = 48
 #: Kinds of pieces in a model file (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
-WORD = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-
-
-class Word(NamedTuple):
-    """Pieces of a word: ids joined by commas, ids, bytes of the normalised text."""
-
-    shown: str
-    ids: tuple[int, ...]
-    lengths: tuple[int, ...]
-
-
 class PieceCodec:
     """Encodes and decodes as the model file at ``path`` does; models of merges only."""
 
@@ -65,22 +58,21 @@ class PieceCodec:
         )
         self.kept = self.normaliser.kept
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type in (NORMAL, USER)}
-        self.ranks = {
-            p.piece: (-p.score) for p in model.pieces if p.type in (NORMAL, USER)
-        }
+        self.ranks = {p.piece: -p.score for p in model.pieces if p.type in (NORMAL, USER)}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
-        self.bytes = [0] * 256
-        for i, p in enumerate(model.pieces):
-            if p.type == BYTE:
-                self.bytes[int(p.piece[1:-1], 16)] = i
+        self.kinds = [p.type for p in model.pieces]
         self.fallback = trainer.byte_fallback
+        self.byte_of = {i: int(p.piece[1:-1], 16) for i, p in enumerate(model.pieces) if p.type == BYTE}
+        self.byte_ids = {b: i for i, b in self.byte_of.items()}
         self.shown = [p.piece for p in model.pieces]
-        self.kinds = [p.type for p in model.pieces]
+        self.shown_ids = list(map(str, range(len(model.pieces))))
+        #: Bytes of the normalised text that a piece takes; of byte pieces the place decides.
+        self.sizes = np.array([0 if k == BYTE else len(p.encode()) for k, p in zip(self.kinds, self.shown)])
         self.surface = [self._surface(p, trainer.unk_surface) for p in model.pieces]
         self.strips = normal.add_dummy_prefix or normal.remove_extra_whitespaces
         self.strips_all = normal.remove_extra_whitespaces
-        self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.words = Recent(words)
+        self.part = _cuts(self.ids)
+        self.recent = Recent(words)
 
     @staticmethod
     def _surface(piece, unknown: str) -> bytes:
@@ -92,63 +84,72 @@ class PieceCodec:
             return bytes([int(piece.piece[1:-1], 16)])
         return piece.piece.replace(SPACE, " ").encode()
 
-    def word(self, word: str) -> Word:
-        """The pieces of a part of the normalised text that no merge crosses."""
-        found = self.words.get(word)
+    def pieces(self, part: str) -> tuple[int, ...]:
+        """Ids of a part of the normalised text that no merge crosses."""
+        found = self.recent.get(part)
         if found is None:
-            found = self._pieces(merged(word, self.ranks))
-            self.words.put(word, found)
+            merges = merged(part, self.ranks)
+            try:
+                found = tuple([self.ids[p] for p in merges])
+            except KeyError:
+                found = tuple(chain.from_iterable(map(self._ids, merges)))
+            self.recent.put(part, found)
         return found
 
-    def _pieces(self, parts: list[str]) -> Word:
-        ids: list[int] = []
-        lengths: list[int] = []
-        for part in parts:
-            number = self.ids.get(part)
-            raw = part.encode()
-            if number is not None:
-                ids.append(number)
-                lengths.append(len(raw))
-            elif self.fallback:  # the last byte stands for the character
-                ids += [self.bytes[b] for b in raw]
-                lengths += [0] * (len(raw) - 1) + [len(raw)]
-            else:
-                ids.append(self.unknown)
-                lengths.append(len(raw))
-        return Word(",".join(map(str, ids)), tuple(ids), tuple(lengths))
+    def _ids(self, piece: str) -> list[int]:
+        number = self.ids.get(piece)
+        if number is not None:
+            return [number]
+        return [self.byte_ids[b] for b in piece.encode()] if self.fallback else [self.unknown]
 
     def encode(self, text: str) -> Encoding:
         normalised = self.normaliser(text)
-        table, word = self.words.new.get, self.word
+        if not self.fallback:
+            return self._with_unknown(normalised)
+        table, pieces, cut = self.recent.new.get, self.pieces, self.part.findall
         if self.kept is None:
-            words = self._cut(normalised.text)
-            found = [table(w) or word(w) for w in words]
+            found = [table(p) or pieces(p) for p in cut(normalised.text)]
         else:
-            found, at = [], 0
-            for m in self.kept.finditer(normalised.text):
-                found += [word(w) for w in self._cut(normalised.text[at : m.start()])]
-                found.append(self._pieces([m[0]]))
-                at = m.end()
-            found += [word(w) for w in self._cut(normalised.text[at:])]
-        if not self.fallback:
-            found = self._joined_unknown(found)
-        return Encoding(found, normalised.starts)
-
-    def _cut(self, text: str) -> list[str]:
-        return WORD.findall(text) if self.by_word else [text] if text else []
-
-    def _joined_unknown(self, found: list[Word]) -> list[Word]:
-        """Neighbouring unknown pieces are one."""
+            found = []
+            for part, whole in self._around_kept(normalised.text):
+                found += [self._ids(part)] if whole else [pieces(p) for p in cut(part)]
+        ids = list(chain.from_iterable(found))
+        return Encoding(ids, self._lengths(ids), normalised.starts)
+
+    def _around_kept(self, text: str) -> Iterator[tuple[str, bool]]:
+        """The text in order; True with strings that are pieces by themselves."""
+        at = 0
+        for m in self.kept.finditer(text) if self.kept else ():
+            yield text[at : m.start()], False
+            yield m[0], True
+            at = m.end()
+        yield text[at:], False
+
+    def _lengths(self, ids: list[int]) -> np.ndarray:
+        numbers = np.fromiter(ids, np.int64, len(ids))
+        lengths = self.sizes[numbers]
+        for i in np.flatnonzero(lengths == 0).tolist():  # the last byte stands for the character
+            size = char_length(self.byte_of[ids[i]])
+            if size:
+                lengths[i + size - 1] = size
+        return lengths
+
+    def _with_unknown(self, normalised: Normalised) -> Encoding:
+        """Without byte pieces: neighbouring characters that are no pieces are one unknown piece."""
         ids: list[int] = []
         lengths: list[int] = []
-        for word in found:
-            for number, length in zip(word.ids, word.lengths, strict=True):
+        for part, whole in self._around_kept(normalised.text):
+            parts = [part] if whole else chain.from_iterable(
+                merged(p, self.ranks) for p in self.part.findall(part)
+            )
+            for piece in parts:
+                (number,), size = self._ids(piece), len(piece.encode())
                 if number == self.unknown and ids and ids[-1] == number:
-                    lengths[-1] += length
+                    lengths[-1] += size
                 else:
                     ids.append(number)
-                    lengths.append(length)
-        return [Word(",".join(map(str, ids)), tuple(ids), tuple(lengths))] if ids else []
+                    lengths.append(size)
+        return Encoding(ids, np.array(lengths, np.int64), normalised.starts)
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids; the blank that was put before the text goes."""
@@ -196,29 +197,42 @@ def _lenient(raw: bytes) -> str:
 
 
 class Encoding(NamedTuple):
-    """Encoded words of a text and the places of its normalised bytes in the source."""
+    """Ids of a text, the bytes that they take of the normalised text, and where its bytes are from."""
 
-    words: list[Word]
+    ids: list[int]
+    lengths: np.ndarray
     starts: np.ndarray
 
-    def ids(self) -> list[int]:
-        return list(chain.from_iterable([w.ids for w in self.words]))
-
-    def shown_ids(self) -> str:
-        return ",".join([w.shown for w in self.words])
-
     def spans(self) -> tuple[np.ndarray, np.ndarray]:
         """First byte and end in the UTF-8 source of every piece."""
-        lengths = np.fromiter(chain.from_iterable([w.lengths for w in self.words]), np.int64)
-        ends = np.cumsum(lengths)
-        return self.starts[ends - lengths], self.starts[ends]
+        ends = np.cumsum(self.lengths)
+        return self.starts[ends - self.lengths], self.starts[ends]
+
+
+def _cuts(pieces: Iterable[str]) -> re.Pattern:
+    """A pattern whose matches are a text in order, cut only where no piece goes on."""
+    pairs = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
+    if any(b == SPACE != a for a, b in pairs):
+        return re.compile(r"(?s).+")
+    signs = {c for pair in pairs for c in pair if not c.isalpha() and c != SPACE}
+    signs |= set(map(chr, range(128))) - {c for c in map(chr, range(128)) if c.isalpha()}
+    # Signs that no piece has after anything but signs and white space, until that is so of all.
+    while late := {b for a, b in pairs if b in signs and a not in signs and a != SPACE}:
+        signs -= late
+    closed = signs - {a for a, b in pairs if b not in signs}
+    sign, last = (re.escape("".join(sorted(s))) for s in (signs, closed))
+    if not signs or not closed:
+        return re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+    return re.compile(
+        f"{SPACE}*(?:[{sign}]*[{last}](?![{sign}])|[{sign}]*[^{SPACE}{sign}]+|[{sign}]+)|{SPACE}+"
+    )
 
 
 def merged(word: str, ranks: dict[str, float]) -> list[str]:
     """``word`` in pieces after all merges: least rank first, then leftmost."""
     n = len(word)
-    if n == 1 or word in ranks and n == 2:
-        return [word]
+    if n <= SCANNED:
+        return _merged_short(word, ranks)
     end = list(range(1, n + 1))  # of the piece that begins here; 0: none does
     before = list(range(-1, n - 1))
     rank_of = ranks.get
@@ -247,6 +261,24 @@ def merged(word: str, ranks: dict[str, float]) -> list[str]:
     return parts
 
 
+def _merged_short(word: str, ranks: dict[str, float]) -> list[str]:
+    parts = list(word)
+    rank_of = ranks.get
+    adjacent = [rank_of(a + b, inf) for a, b in zip(parts, parts[1:], strict=False)]
+    while adjacent:
+        least = min(adjacent)
+        if least == inf:
+            break
+        i = adjacent.index(least)
+        part = parts[i] = parts[i] + parts.pop(i + 1)
+        del adjacent[i]
+        if i < len(adjacent):
+            adjacent[i] = rank_of(part + parts[i + 1], inf)
+        if i:
+            adjacent[i - 1] = rank_of(parts[i - 1] + part, inf)
+    return parts
+
+
 @lru_cache(maxsize=2)
 def piece_codec(path: str, words: int = WORDS) -> PieceCodec:
     return PieceCodec(path, words)
@@ -269,7 +301,7 @@ def encode_pieces(documents: DataFrame, path: str, words: int = WORDS) -> DataFr
 
         def encoded(doc_id, text) -> Iterable[tuple]:
             encoding = codec.encode(text or "")
-            ids = encoding.ids()
+            ids = encoding.ids
             starts, ends = (x.tolist() for x in encoding.spans())
             pieces = [
                 {"id": i, "piece": codec.shown[i], "start": a, "end": b}
@@ -308,13 +340,14 @@ def piece_digests(documents: DataFrame, path: str, words: int = WORDS) -> DataFr
 
         def digests(doc_id, text) -> Iterable[tuple]:
             encoding = codec.encode(text or "")
-            ids = encoding.ids()
+            ids = encoding.ids
             starts, ends = encoding.spans()
             widths = ends - starts
+            shown = codec.shown_ids
             yield (
                 doc_id,
                 len(ids),
-                _digest(encoding.shown_ids()),
+                _digest(",".join([shown[i] for i in ids])),
                 _digest(codec.decode(ids)),
                 int(np.count_nonzero(widths)),
                 int(widths.sum()),

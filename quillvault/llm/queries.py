@@ -189,7 +189,7 @@ FROM coded JOIN kept USING (vec_id), digest
 
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(
-        read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), words=250_000
+        read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), words=400_000
     )
 
 
