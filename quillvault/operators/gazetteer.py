@@ -1,55 +1,105 @@
-"""Entity spans from a dictionary of names."""
+"""Entity spans from a dictionary of names.
+
+A name is one or more words with what is between them. The dictionary goes to the tasks as a trie of
+two levels: a first word leads to the numbers of words that names beginning with it have, and a run of
+so many words is a name or not. A text is cut into words once, and found names are put beside it in
+the task that reads it, so no text is shuffled. A dictionary is dealt into parts of bounded size, each
+with a pass of its own.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillvault import fixed_values as fv
-from quillvault.functions.barrier import settled
-from quillvault.functions.pii import NO_SPANS, NO_STRINGS, matches_sql, with_match_spans
-from quillvault.plans.joins import BROADCAST_ROWS, HOT_ROWS, attach, fits
+from quillvault.functions.pii import NO_SPANS
+from quillvault.sources.shared import staged
+
+#: Text of the names that go to the tasks at once; in memory they take about ten times as much.
+PART_BYTES = 16 << 20
 
-# The look-behind keeps a long run of signs without a letter from being tried at every place.
 _SIGN = rf"{fv.WORD}#&\x27.\-"
-WORDS = rf"(?<![{_SIGN}])[{_SIGN}]*[{fv.WORD}]"
+# The look-behind keeps a long run of signs without a letter from being tried at every place.
+WORDS = regex.compile(rf"(?<![{_SIGN}])[{_SIGN}]*[{fv.WORD}]")
+
+MENTION = "struct<start:int,end:int,category:string,value:string>"
+_MENTIONS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("start", T.IntegerType()),
+            T.StructField("end", T.IntegerType()),
+            T.StructField("category", T.StringType()),
+            T.StructField("value", T.StringType()),
+        ]
+    )
+)
 
+Trie = tuple[dict[str, list[int]], dict[str, list[str]]]
 
-def word_runs(df: DataFrame, text: str, lengths: Sequence[int], *keep: str) -> DataFrame:
-    """One row per run of as many words as ``lengths`` lists: ``keep``, ``start, end, name``.
 
-    Words come from one regular expression; a longer run is put together from its words and the
-    text between them.
-    """
-    df = df.select(*keep, F.col(text).alias("_text")).selectExpr(
-        *keep,
-        "_text",
-        f"CASE WHEN _text IS NOT NULL THEN {matches_sql('_text', WORDS)} ELSE {NO_STRINGS} END "
-        "AS _words",
-    )
-    df = with_match_spans(settled(df, "_words"), "_text", {"W": (WORDS, "_words")})
-    df = settled(
-        df.selectExpr(*keep, "_words", "_spans_W AS _spans", f"split(_text, r'{WORDS}', -1) AS _gaps"),
-        "_spans",
-        "_gaps",
+def trie(names: list[tuple[str, str]]) -> Trie:
+    """First word -> numbers of words, fewest first; name -> its categories. Others cannot be found."""
+    lengths: dict[str, set[int]] = {}
+    categories: dict[str, set[str]] = {}
+    for name, category in names:
+        words = [m.span() for m in WORDS.finditer(name)]
+        if words and words[0][0] == 0 and words[-1][1] == len(name):
+            lengths.setdefault(name[: words[0][1]], set()).add(len(words))
+            categories.setdefault(name, set()).add(category)
+    return {w: sorted(n) for w, n in lengths.items()}, {n: sorted(c) for n, c in categories.items()}
+
+
+def found_in(text: str, names: Trie) -> list[tuple[int, int, str, str]]:
+    """All occurrences as (start, end, category, value), overlapping ones included, by start."""
+    lengths, categories = names
+    words = [m.span() for m in WORDS.finditer(text)]
+    out = []
+    for i, (start, end) in enumerate(words):
+        for n in lengths.get(text[start:end], ()):
+            if i + n > len(words):
+                break
+            value = text[start : words[i + n - 1][1]]
+            out += [(start, start + len(value), c, value) for c in categories.get(value, ())]
+    return out
+
+
+def dictionary_parts(names: DataFrame, part_bytes: int = PART_BYTES) -> list[DataFrame]:
+    """The different names in parts of about ``part_bytes`` of text."""
+    names = staged(
+        names.select("name", "category").filter(F.col("name").isNotNull()).distinct(), "names"
     )
-    runs = []
-    for n in sorted(set(lengths)):
-        name = ", ".join(
-            f"_words[i + {j}]" if not j else f"_gaps[i + {j}], _words[i + {j}]" for j in range(n)
-        )
-        runs.append(
-            f"CASE WHEN size(_words) >= {n} THEN transform(sequence(0, size(_words) - {n}), i -> "
-            f"named_struct('start', _spans[i].start, 'end', _spans[i + {n - 1}].end, "
-            f"'name', concat({name}))) "
-            "ELSE cast(array() AS array<struct<start:int,end:int,name:string>>) END"
-        )
-    every = f"concat({', '.join(runs)})" if len(runs) > 1 else runs[0]
-    return df.selectExpr(*keep, f"inline_outer({every})").filter(F.col("name").isNotNull())
+    known = names.agg(F.coalesce(F.sum(F.octet_length("name")), F.lit(0))).first()[0]
+    if names.filter(F.col("name").rlike(WORDS.pattern)).isEmpty():
+        raise ValueError("the dictionary holds no name")
+    parts = -(-known // part_bytes)
+    deal = F.pmod(F.xxhash64("name"), F.lit(parts))
+    return [names.filter(deal == p) for p in range(parts)]
+
+
+def mentions_of(part: DataFrame) -> Callable[[str], Column]:
+    """Finds the names of a part in a text column: ``array<struct<start, end, category, value>>``."""
+    rows = [tuple(r) for r in part.collect()]  # bounded by the bytes of a part
+    shared = part.sparkSession.sparkContext.broadcast(trie(rows))
+
+    @F.arrow_udf(_MENTIONS)
+    def mentions(texts: pa.Array) -> pa.Array:
+        names = shared.value
+        keys = ("start", "end", "category", "value")
+        found = [
+            [dict(zip(keys, m, strict=True)) for m in found_in(t, names)] if t else []
+            for t in texts.to_pylist()
+        ]
+        return pa.array(found, pa.list_(pa.struct([
+            ("start", pa.int32()), ("end", pa.int32()), ("category", pa.string()), ("value", pa.string()),
+        ])))
+
+    return lambda text: mentions(F.col(text))
 
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
@@ -67,65 +117,62 @@ def leftmost(starts: pa.Array, ends: pa.Array) -> pa.Array:
 
 
 def entity_mentions(
+    docs: DataFrame, key: str, text: str, names: DataFrame, part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """Occurrences of dictionary names: ``key, start, end, category, value``.
+
+    ``names`` has ``name, category``. A null text has none; a name with two categories occurs as both.
+    """
+    out = None
+    for part in dictionary_parts(names, part_bytes):
+        found = docs.select(key, F.explode(mentions_of(part)(text)).alias("m")).select(key, "m.*")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def with_entities(
     docs: DataFrame,
     key: str,
     text: str,
     names: DataFrame,
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+    out: str = "entities",
+    part_bytes: int = PART_BYTES,
+    between: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Occurrences of dictionary names: ``key, start, end, category, value``.
+    """Add the non-overlapping entity spans of every text: the leftmost first, the longer one at a tie.
 
-    ``names`` has ``name, category``; a name is one or more words. Every run of words as long as
-    some name is looked up by an equi-join, so the work grows with the text, not with the number
-    of names. With a dictionary too large to broadcast, frequent words that are no names are
-    dropped before the shuffle, and frequent names are spread over several tasks.
+    The array is empty where none is named. Every row stays in its task. Between the parts of a large
+    dictionary the rows with what is found so far go through ``between``, which stores them; by
+    default as they are.
     """
-    names = names.select("name", "category").distinct()
-    counted = names.select(F.regexp_count("name", F.lit(WORDS)).alias("n")).distinct()
-    lengths = [r["n"] for r in counted.collect() if r["n"] > 0]  # distinct word counts only
-    if not lengths:
-        raise ValueError("the dictionary holds no name")
-    runs = word_runs(docs, text, lengths, key)
-    if fits(names, broadcast_rows):
-        found = runs.join(F.broadcast(names), "name")
-    else:
-        uses = runs.groupBy("name").agg(F.count("*").alias("_uses"))
-        strangers = uses.filter(F.col("_uses") > hot_rows).join(names, "name", "left_anti")
-        found = attach(
-            runs.join(F.broadcast(strangers.select("name")), "name", "left_anti"),
-            names.join(uses, "name"),
-            "name",
-            weight="_uses",
-            tie=key,
-            how="inner",
-            broadcast_rows=broadcast_rows,
-            hot_rows=hot_rows,
+    found = f"_{out}_found"
+    docs = docs.withColumn(found, F.expr(f"cast(array() AS array<{MENTION}>)"))
+    parts = dictionary_parts(names, part_bytes)
+    for i, part in enumerate(parts):
+        if i:
+            docs = between(docs) if between else staged(docs, "named")
+        docs = docs.withColumn(found, F.concat(found, mentions_of(part)(text)))
+    ordered = F.array_sort(
+        F.transform(
+            found,
+            lambda m: F.struct(
+                m["start"].alias("start"),
+                (-m["end"]).alias("neg_end"),
+                m["end"].alias("end"),
+                m["category"].alias("category"),
+                m["value"].alias("value"),
+            ),
         )
-    return found.select(key, "start", "end", "category", F.col("name").alias("value"))
-
-
-def entity_spans(mentions: DataFrame, key: str, out: str = "entities") -> DataFrame:
-    """Non-overlapping mentions per document: the leftmost first, the longer one at a tie."""
-    ordered = mentions.groupBy(key).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct("start", (-F.col("end")).alias("neg_end"), "end", "category", "value")
-            )
-        ).alias("_ordered")
     )
-    starts, ends = F.col("_ordered.start"), F.col("_ordered.end")
-    return ordered.withColumn("_taken", leftmost(starts, ends)).selectExpr(
-        f"`{key}`",
-        """transform(_taken, i -> named_struct('start', _ordered[i].start, 'end', _ordered[i].end,
-        'category', _ordered[i].category, 'value', _ordered[i].value)) AS """
-        + out,
+    docs = docs.withColumn("_ordered", F.when(F.size(found) > 0, ordered))
+    starts = F.coalesce(F.col("_ordered.start"), F.array().cast("array<int>"))
+    ends = F.coalesce(F.col("_ordered.end"), F.array().cast("array<int>"))
+    docs = docs.withColumn("_taken", leftmost(starts, ends)).withColumn(
+        out,
+        F.expr(
+            f"""CASE WHEN _ordered IS NULL THEN {NO_SPANS} ELSE transform(_taken, i -> named_struct(
+            'start', _ordered[i].start, 'end', _ordered[i].end,
+            'category', _ordered[i].category, 'value', _ordered[i].value)) END"""
+        ),
     )
-
-
-def with_entities(
-    docs: DataFrame, key: str, text: str, names: DataFrame, out: str = "entities"
-) -> DataFrame:
-    """Add the entity spans of every document, an empty array where none is named."""
-    spans = entity_spans(entity_mentions(docs, key, text, names), key, out)
-    return docs.join(spans, key, "left").withColumn(out, F.coalesce(out, F.expr(NO_SPANS)))
+    return docs.drop(found, "_ordered", "_taken")

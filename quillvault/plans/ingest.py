@@ -127,7 +127,7 @@ def ingest(
             )
             write_events(as_lines(started, "ingest"), journal)
         stamped = rows.withColumn("_at", F.col(clock) if clock else F.current_timestamp())
-        final = _ingested(stamped, store, keys, model, batch, attempt, settings, splitter, names)
+        final, any_failed = _ingested(stamped, store, keys, model, batch, attempt, settings, splitter, names)
         counts = [tuple(r) for r in status_rollup(final).collect()]  # one row per status
         if journal:
             write_events(as_lines(ingest_events(final), "ingest"), journal)
@@ -136,7 +136,7 @@ def ingest(
                 "event string, level string, detail string",
             )
             write_events(as_lines(done, "ingest"), journal)
-    store.commit(batch, attempt)
+    store.commit(batch, attempt, failed=any_failed)
     return spark.createDataFrame(counts, "status string, n_docs bigint, n_chunks bigint")
 
 
@@ -150,12 +150,19 @@ def _ingested(
     settings: Settings,
     splitter: Splitter,
     names: DataFrame | None,
-) -> DataFrame:
-    """Write the tables of an attempt and return the staged routing of its rows."""
+) -> tuple[DataFrame, bool]:
+    """Write the tables of an attempt; the staged routing of its rows, and whether a model failed."""
     spark = rows.sparkSession
     entities = None
     if names is not None:
-        rows = with_entities(rows, "ord", "context", names, "_entities")
+
+        def sealed(named: DataFrame) -> DataFrame:
+            """Between the parts of a large dictionary texts are stored encrypted, as they always are."""
+            hidden = named.withColumn("context", encrypt(spark, F.col("context"), keys.cipher))
+            opened = decrypt(spark, F.col("context"), keys.cipher)
+            return staged(hidden, "named").withColumn("context", opened)
+
+        rows = with_entities(rows, "ord", "context", names, "_entities", between=sealed)
         entities = "_entities"
     ready = prepared(
         rows, "context", settings.injection_threshold, entities=entities
@@ -166,7 +173,7 @@ def _ingested(
     ready = staged(placed(ready.select(*columns)), "ready")
     # Only hashes and numbers are shuffled. Every row, its encrypted text included, stays in the task
     # that reads it and gets its status there.
-    found = copies(ready, known=lambda keys: store.known_hashes(batch))
+    found = copies(ready, known=lambda keys: store.known_hashes(keys, batch))
     marks = staged(bit_maps(found, "_place"), "marks")
     routed = with_status(ready, marks, settings.injection_threshold).drop("_place")
 
@@ -238,7 +245,7 @@ def _ingested(
         batch,
         attempt,
     )
-    return final
+    return final, any_failed
 
 
 def ingest_log(routed: DataFrame) -> DataFrame:

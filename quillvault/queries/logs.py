@@ -130,6 +130,7 @@ def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             SETTINGS,
             name=run,
             names=None,
+            compact_every=1,
         )
         query.awaitTermination()
     return store.read("documents").select("doc_sha256", "source_ref")

@@ -4,17 +4,25 @@ A run of a batch writes all its tables below a folder of its own, ``batch=<id>/a
 in ``commits``, written last, makes the whole attempt visible and the batch's earlier attempts
 invisible, in every table at once. A run that breaks off, or a batch that is run again while
 others read, therefore never shows half a result.
+
+``compact`` gathers what many small batches have left: their folders become one segment a table, their
+commits one list, and the hashes of all stored documents an index by the first digits of the hash
+with a filter of fixed size. A batch then reads the filter, and of the index only the parts whose
+digits it needs. Commits after that go to a new epoch; only one compaction may run at a time.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from quillvault.operators.bits import key_filter, may_be_in
+
 TABLES = {
     "documents": "document_id bigint, source_ref string, doc_sha256 string, "
     "ingested_at timestamp, ingested_by string, pii_stats map<string,int>",
@@ -26,7 +34,13 @@ TABLES = {
     # Documents whose chunks are left out, since the model failed on one of them.
     "failed": "doc_sha256 string",
 }
-COMMITS = "batch string, attempt string, committed_at timestamp"
+COMMITS = "batch string, attempt string, committed_at timestamp, failed boolean"
+#: Commits that a compaction has gathered, with the segment that holds their rows.
+GATHERED = f"{COMMITS}, segment string"
+COMPACTIONS = "epoch string, previous string, made_at timestamp"
+FIRST_EPOCH = "first"
+#: Digits of a hash that part the index: 256 folders.
+PREFIX = 2
 
 
 @dataclass(frozen=True)
@@ -45,54 +59,164 @@ class Store:
             writer = rows.write.partitionBy("embedding_model")
         writer.parquet(f"{self.path}/{table}/batch={batch}/attempt={attempt}")
 
-    def commit(self, batch: str, attempt: str) -> None:
-        """Make the attempt the visible one of its batch."""
-        row = self.spark.createDataFrame([(batch, attempt)], "batch string, attempt string")
-        row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.path}/commits")
-
-    def _scan(self, path: str, schema: str) -> DataFrame | None:
+    def commit(self, batch: str, attempt: str, failed: bool = False) -> None:
+        """Make the attempt the visible one of its batch; ``failed``: it has a table of failures."""
+        row = self.spark.createDataFrame(
+            [(batch, attempt, failed)], "batch string, attempt string, failed boolean"
+        ).withColumn("committed_at", F.current_timestamp())
+        columns = [c.split()[0] for c in COMMITS.split(", ")]
+        path = f"{self.path}/commits/epoch={self._epochs()[0]}"
+        row.select(*columns).coalesce(1).write.mode("append").parquet(path)
+
+    def _scan(self, paths: str | list[str], schema: str, base: str | None = None) -> DataFrame | None:
+        reader = self.spark.read.schema(schema)
+        if base:
+            reader = reader.option("basePath", f"{self.path}/{base}")
+        paths = [paths] if isinstance(paths, str) else paths
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{path}")
+            return reader.parquet(*(f"{self.path}/{p}" for p in paths))
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
 
+    def _epochs(self) -> list[str]:
+        """The present epoch and the one before it, if there was a compaction."""
+        made = self._scan("compactions", COMPACTIONS)
+        newest = made and made.orderBy(F.desc("made_at")).first()
+        return [newest["epoch"], newest["previous"]] if newest else [FIRST_EPOCH]
+
+    def _commits(self) -> DataFrame:
+        """All commits that may be visible, with their ``segment``; few and narrow rows per batch.
+
+        Commits of the epoch before may have come while it was gathered.
+        """
+        epochs = self._epochs()
+        gathered = self._scan(f"gathered/epoch={epochs[0]}", GATHERED)
+        commits = self.spark.createDataFrame([], GATHERED) if gathered is None else gathered
+        for epoch in epochs:
+            single = self._scan(f"commits/epoch={epoch}", COMMITS)
+            if single is not None:
+                commits = commits.unionByName(single.withColumn("segment", F.lit(None).cast("string")))
+        return commits
+
     def visible(self) -> DataFrame:
-        """``batch, attempt`` of the newest commit of every batch: one narrow row per batch."""
-        commits = self._scan("commits", COMMITS)
-        if commits is None:
-            return self.spark.createDataFrame([], "batch string, attempt string")
-        newest = F.max_by("attempt", F.struct("committed_at", "attempt")).alias("attempt")
-        return commits.groupBy("batch").agg(newest)
+        """The newest commit of every batch: ``batch, attempt, failed, committed_at, segment``."""
+        # Of a gathered commit and its original, the gathered one.
+        fields = ["committed_at", "attempt", "segment", "failed"]
+        newest = F.max(F.struct(*fields)).alias("c")
+        return self._commits().groupBy("batch").agg(newest).select("batch", *(f"c.{f}" for f in fields))
 
     def read_attempt(self, table: str, batch: str, attempt: str) -> DataFrame:
         """One table of an attempt that need not be committed."""
         rows = self._scan(f"{table}/batch={batch}/attempt={attempt}", TABLES[table])
         return self.spark.createDataFrame([], TABLES[table]) if rows is None else rows
 
-    def read(self, table: str) -> DataFrame:
-        """Rows of visible attempts, with their ``batch``.
+    def _attempts(self, table: str, commits: list[Row]) -> DataFrame:
+        """Rows of these commits with ``batch, attempt``. Only their folders are listed."""
+        schema = f"{TABLES[table]}, batch string, attempt string"
+        single = [c for c in commits if c["segment"] is None]
+        rows = [self.spark.createDataFrame([], schema)]
+        if single:
+            paths = [f"{table}/batch={c['batch']}/attempt={c['attempt']}" for c in single]
+            rows.append(self._scan(paths, schema, base=table))
+        segments = sorted({c["segment"] for c in commits} - {None})
+        if segments:
+            paths = [f"segments/{table}/segment={s}" for s in segments]
+            held = self._scan(paths, schema, base=f"segments/{table}")
+            if held is not None:
+                held = self._of(held.drop("segment"), [c for c in commits if c["segment"]])
+                rows.append(held)
+        return reduce(DataFrame.unionByName, [r for r in rows[1:] if r is not None] or rows)
+
+    def _of(self, rows: DataFrame, commits: list[Row]) -> DataFrame:
+        """The rows of these commits, by their columns; the list is in the driver's memory already."""
+        wanted = self.spark.createDataFrame(
+            [(c["batch"], c["attempt"]) for c in commits], "batch string, attempt string"
+        )
+        return rows.join(F.broadcast(wanted), ["batch", "attempt"], "left_semi")
 
-        The join with the visible attempts is on partition columns, so other folders are pruned.
-        """
-        rows = self._scan(table, f"{TABLES[table]}, batch string, attempt string")
-        if rows is None:
-            return self.spark.createDataFrame([], f"{TABLES[table]}, batch string")
-        rows = rows.join(self.visible(), ["batch", "attempt"], "left_semi")
-        if table == "chunks":
-            failed = self._scan("failed", f"{TABLES['failed']}, batch string, attempt string")
-            if failed is not None:
-                rows = rows.join(failed, ["batch", "attempt", "doc_sha256"], "left_anti")
+    def read(self, table: str) -> DataFrame:
+        """Rows of visible attempts, with their ``batch``."""
+        commits = self.visible().collect()  # one narrow row per batch
+        rows = self._attempts(table, commits)
+        broken = [c for c in commits if c["failed"]]
+        if table == "chunks" and broken:
+            failed = self._attempts("failed", broken)
+            rows = rows.join(failed, ["batch", "attempt", "doc_sha256"], "left_anti")
         columns = [c.split()[0] for c in TABLES[table].split(", ")]
         return rows.select(*columns, "batch")
 
-    def known_hashes(self, except_batch: str) -> DataFrame:
-        """Content hashes of stored documents, leaving out the batch about to be replaced."""
-        documents = self.read("documents").filter(F.col("batch") != except_batch)
-        return documents.select("doc_sha256")
+    def known_hashes(self, keys: DataFrame, except_batch: str) -> DataFrame:
+        """Content hashes of stored documents that ``keys`` (``doc_sha256``) may be among.
+
+        All of ``keys`` that are stored are there, the batch about to be replaced left out. The index
+        is read only below the first digits of the keys that pass its filter.
+        """
+        commits = [c for c in self.visible().collect() if c["batch"] != except_batch]
+        out = self._attempts("documents", [c for c in commits if c["segment"] is None])
+        out = out.select("doc_sha256")
+        epoch = self._epochs()[0]
+        gathered = [c for c in commits if c["segment"]]
+        if not gathered:
+            return out
+        maps = self._scan(f"hash_filter/epoch={epoch}", "bucket bigint, bits binary")
+        suspects = may_be_in(keys.select("doc_sha256"), "doc_sha256", maps)
+        prefix = F.substring("doc_sha256", 1, PREFIX).alias("prefix")
+        prefixes = [r["prefix"] for r in suspects.select(prefix).distinct().collect()]  # <= 256
+        if not prefixes:
+            return out
+        schema = "doc_sha256 string, batch string, attempt string, prefix string"
+        index = self._scan(f"hash_index/epoch={epoch}", schema).filter(F.col("prefix").isin(prefixes))
+        return out.unionByName(self._of(index, gathered).select("doc_sha256"))
+
+    def compact(self) -> str:
+        """Gather the folders and commits of all batches since the last compaction; the new epoch.
+
+        Readers go on as before until the last, one-row write. Gathered folders stay where they are
+        for readers that have begun; no reader that begins later looks at them.
+        """
+        before, epoch = self._epochs()[0], uuid.uuid4().hex
+        commits = self.visible().collect()
+        single = [c for c in commits if c["segment"] is None]
+        for table in TABLES:
+            chosen = [c for c in single if c["failed"]] if table == "failed" else single
+            if not chosen:
+                continue
+            rows = self._attempts(table, chosen)
+            if "doc_sha256" in rows.columns:
+                rows = rows.repartitionByRange(F.col("doc_sha256"))
+                rows = rows.sortWithinPartitions("doc_sha256")
+            writer = rows.write
+            if table == "chunks":
+                writer = writer.partitionBy("embedding_model")
+            writer.parquet(f"{self.path}/segments/{table}/segment={epoch}")
+        prefix = F.substring("doc_sha256", 1, PREFIX).alias("prefix")
+        hashes = self._attempts("documents", single).select("doc_sha256", "batch", "attempt", prefix)
+        index = self._scan(
+            f"hash_index/epoch={before}",
+            "doc_sha256 string, batch string, attempt string, prefix string",
+        )
+        if index is not None:
+            hashes = hashes.unionByName(self._of(index, commits))
+        path = f"{self.path}/hash_index/epoch={epoch}"
+        hashes.repartitionByRange(F.col("doc_sha256")).sortWithinPartitions("doc_sha256").write.partitionBy(
+            "prefix"
+        ).parquet(path)
+        stored = self.spark.read.schema(hashes.schema).parquet(path)
+        maps = key_filter(stored, "doc_sha256")
+        maps.coalesce(1).write.parquet(f"{self.path}/hash_filter/epoch={epoch}")
+        gathered = [
+            (c["batch"], c["attempt"], c["committed_at"], c["failed"], c["segment"] or epoch)
+            for c in commits
+        ]
+        self.spark.createDataFrame(gathered, GATHERED).coalesce(1).write.parquet(
+            f"{self.path}/gathered/epoch={epoch}"
+        )
+        self.spark.createDataFrame([(epoch, before)], "epoch string, previous string").withColumn(
+            "made_at", F.current_timestamp()
+        ).coalesce(1).write.mode("append").parquet(f"{self.path}/compactions")
+        return epoch
 
     def visible_chunks(self) -> DataFrame:
         """Chunks of finished batches."""

@@ -30,11 +30,12 @@ def stream_ingest(
     *,
     names: DataFrame | None,
     journal: str | None = None,
+    compact_every: int = 32,
 ) -> StreamingQuery:
     """Ingest new rows (``ord, source_ref, context``) batch by batch until none are left.
 
-    What is known already is looked up in the stored documents, so no state grows with the
-    corpus. A batch that is run again after a failure replaces its own output; ``name`` keeps the
+    What is known already is looked up in the store's index of hashes, so no state grows with the
+    corpus; every ``compact_every`` batches their folders are gathered. A batch that is run again after a failure replaces its own output; ``name`` keeps the
     batches of different streams into one store apart. ``names`` and ``journal`` are those of
     ``ingest``.
     """
@@ -50,6 +51,8 @@ def stream_ingest(
             names=names,
             journal=journal,
         )
+        if (batch_id + 1) % compact_every == 0:
+            store.compact()
         if on_batch:
             on_batch(rollup, batch_id)
 

@@ -2,18 +2,22 @@ from __future__ import annotations
 
 import json
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.readwriter import DataFrameWriter
 
 from quillvault.functions.embedding import hashing_embedder, tolerant_embedder
 from quillvault.operators.audit import integrity_report
+from quillvault.operators.bits import bit_maps, key_filter, marked, may_be_in
 from quillvault.operators.gazetteer import entity_mentions, with_entities
 from quillvault.operators.journal import as_lines, ingest_events, retrieval_events
 from quillvault.operators.routing import new_rows, prepared, statuses
+from quillvault.plans import joins
 from quillvault.plans.answer import build_prompts, retrieve, safe_answers, split_requests
 from quillvault.plans.ingest import Keys, ingest
 from quillvault.plans.joins import attach
@@ -55,21 +59,81 @@ def brute_statuses(rows, known=()):
     return out
 
 
-@pytest.mark.parametrize("limits", [(1000, 1000), (0, 20), (5, 1000)])
+@pytest.mark.parametrize("limits", [(1000, 1000, 99), (0, 20, 99), (5, 1000, 2), (5, 20, 1)])
 def test_statuses_equal_a_sequential_pass(spark, limits):
-    broadcast_rows, hot_rows = limits
+    broadcast_rows, hot_rows, sent_maps = limits
     rows = routing_rows()
     df = spark.createDataFrame(
         rows, "ord bigint, doc_sha256 string, score double, is_empty boolean, passing boolean"
     ).repartition(5)
     known = spark.createDataFrame([("sha7",), ("sha7",), ("other",)], "doc_sha256 string")
     out = statuses(
-        staged(df, "rows"), 0.5, known=known, broadcast_rows=broadcast_rows, hot_rows=hot_rows
+        df, 0.5, known=known, broadcast_rows=broadcast_rows, hot_rows=hot_rows, sent_maps=sent_maps
     )
     got = {r.ord: r.status for r in out.collect()}
     assert got == brute_statuses(rows, {"sha7"})
 
 
+@pytest.mark.parametrize("sent_maps", [1, 3, 100])
+def test_sets_of_numbers(spark, sent_maps):
+    rng = random.Random(sent_maps)
+    held = {rng.randrange(1 << 40) for _ in range(300)} | {0, 7, 8, 32_767, 32_768, 65_535}
+    rows = [*held, *(x + 1 for x in held), *range(20)]
+    numbers = spark.createDataFrame([(x,) for x in held], "n bigint")
+    maps = staged(bit_maps(numbers.unionByName(numbers), "n"), "maps")
+    asked = spark.createDataFrame([(x, "kept") for x in rows], "n bigint, other string")
+    got = marked(asked, maps, "n", "found", sent_maps=sent_maps).collect()
+    assert sorted((r.n, r.found) for r in got) == sorted((x, x in held) for x in rows)
+    assert {r.other for r in got} == {"kept"}
+
+
+def test_a_filter_keeps_all_of_its_keys_and_few_others(spark):
+    keys = spark.range(500).select(F.concat(F.lit("k"), "id").alias("k"))
+    rows = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"))
+    passed = {r.k for r in may_be_in(rows, "k", key_filter(keys, "k")).collect()}
+    assert {f"k{i}" for i in range(500)} <= passed and len(passed) < 520
+    full = key_filter(keys, "k", bits=64)
+    assert may_be_in(rows, "k", full, bits=64).count() > 10_000  # a full filter keeps, never loses
+    assert key_filter(spark.range(200_000), "id").count() <= 4096
+
+
+def written_plans(monkeypatch):
+    """Plans of everything that is written from here on."""
+    plans = []
+    write = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kwargs):
+        plans.append(self._df._sc._jvm.PythonSQLUtils.explainString(self._df._jdf.queryExecution(), "formatted"))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    return plans
+
+
+def shuffled_columns(plan):
+    """The columns of all shuffles of a formatted plan."""
+    found = re.findall(r"^\(\d+\) Exchange.*\nInput \[\d+\]: \[(.*)\]", plan, re.M)
+    return {c.split("#")[0].strip() for columns in found for c in columns.split(",")}
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_no_text_is_shuffled_by_an_ingest(spark, monkeypatch, named):
+    names = spark.createDataFrame([("Amazon", "GPE")], "name string, category string") if named else None
+    store = Store(spark, fresh_path(spark, "store"))
+    rows = staged(corpus(spark), "rows")
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plans = written_plans(monkeypatch)
+        rollup = ingest(rows, store, KEYS, MODEL, "one", SETTINGS, names=names)
+        assert counts(rollup)["ingested"] == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = set().union(*map(shuffled_columns, plans))
+    assert "doc_sha256" in moved and len(plans) > 6
+    assert not moved & {"context", "content_enc", "content", "text_pseudo", "_text", "value", "embedding"}
+
+
 def test_attach_spreads_a_hot_key(spark):
     left = spark.range(9000).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")
@@ -339,7 +403,7 @@ def test_nothing_of_an_unfinished_attempt_is_visible(spark, monkeypatch):
     tables = ("documents", "chunks", "quarantine", "ingest_log")
     before = {t: store.read(t).count() for t in tables}
 
-    def breaks(self, batch, attempt):
+    def breaks(self, batch, attempt, failed=False):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
@@ -352,6 +416,50 @@ def test_nothing_of_an_unfinished_attempt_is_visible(spark, monkeypatch):
     assert store.read("documents").count() == 3
 
 
+def test_compaction_keeps_what_is_visible(spark):
+    store = Store(spark, fresh_path(spark, "store"))
+    tables = ("documents", "chunks", "quarantine", "ingest_log")
+
+    def content():
+        return {t: sorted(store.read(t).drop("batch").collect(), key=repr) for t in tables}
+
+    def fails_on_mail(text):
+        return F.when(F.contains(text, F.lit("Mail")), F.lit(None)).otherwise(MODEL(text))
+
+    ingest(corpus(spark, CORPUS[:5]), store, KEYS, MODEL, "one", SETTINGS, names=None)
+    ingest(corpus(spark, CORPUS[5:8]), store, KEYS, fails_on_mail, "two", SETTINGS, names=None)
+    before = content()
+    store.compact()
+    assert content() == before
+    # a batch after it finds what is stored, and one that is run again replaces its gathered rows
+    again = counts(ingest(corpus(spark), store, KEYS, MODEL, "three", SETTINGS, names=None))
+    assert (again["ingested"], again["duplicate"]) == (1, 5)  # the text the model had failed on
+    ingest(corpus(spark, CORPUS[2:3]), store, KEYS, MODEL, "one", SETTINGS, names=None)
+    assert store.read("documents").filter("batch = 'one'").count() == 0
+    before = content()
+    store.compact()
+    store.compact()
+    assert content() == before
+    fresh = counts(ingest(corpus(spark, CORPUS[:2]), store, KEYS, MODEL, "four", SETTINGS, names=None))
+    assert (fresh["ingested"], fresh["duplicate"]) == (1, 1)  # batch one holds it no longer
+
+
+def test_a_small_batch_reads_few_parts_of_the_index(spark):
+    store = Store(spark, fresh_path(spark, "store"))
+    rows = [(i, f"document number {i} of many") for i in range(400)]
+    ingest(corpus(spark, rows), store, KEYS, MODEL, "one", SETTINGS, names=None)
+    store.compact()
+    stored = [r.doc_sha256 for r in store.read("documents").limit(2).collect()]
+    keys = spark.createDataFrame([(h,) for h in [*stored, "0" * 64, "f" * 64]], "doc_sha256 string")
+    known = store.known_hashes(keys, "next")
+    assert {r.doc_sha256 for r in known.collect()} >= set(stored)
+    assert known.count() < 20  # of 400
+    plan = known._sc._jvm.PythonSQLUtils.explainString(known._jdf.queryExecution(), "formatted")
+    assert re.search(r"PartitionFilters: \[.*prefix", plan)
+    assert store.known_hashes(keys.filter("doc_sha256 LIKE '000%'"), "next").count() == 0
+    assert store.known_hashes(keys, "one").count() == 0
+
+
 def test_names_must_be_stated_and_are_masked(spark):
     store = Store(spark, fresh_path(spark, "store"))
     with pytest.raises(TypeError):
@@ -430,11 +538,11 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("limits", [(1000, 1000), (0, 2)])
-def test_gazetteer(spark, limits):
+@pytest.mark.parametrize("part_bytes", [1 << 20, 9])
+def test_gazetteer(spark, part_bytes):
     names = spark.createDataFrame(NAMES, "name string, category string")
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
-    found = entity_mentions(docs, "i", "text", names, broadcast_rows=limits[0], hot_rows=limits[1])
+    found = entity_mentions(docs, "i", "text", names, part_bytes)
     got = sorted((r.i, r.start, r.end, r.category, r.value) for r in found.collect())
     assert [g for g in got if g[0] == 0] == [
         (0, 0, 5, "GPE", "Paris"),
@@ -444,9 +552,39 @@ def test_gazetteer(spark, limits):
     ]
     assert [g[4] for g in got if g[0] == 1] == ["O'Neil-Smith"]
     assert all(TEXTS[i][s:e] == v for i, s, e, _, v in got)
-    spans = {r.i: r.entities for r in with_entities(docs, "i", "text", names).collect()}
+    named = with_entities(docs, "i", "text", names, part_bytes=part_bytes)
+    spans = {r.i: r.entities for r in named.collect()}
     assert [s.value for s in spans[0]] == ["Paris", "New York", "New York Times"]
-    assert spans[2] == []
+    assert spans[2] == [] and named.columns == ["i", "text", "entities"]
+
+
+def test_a_dictionary_larger_than_a_part(spark):
+    """Thousands of names in many parts, found as by plain Python, without a shuffle of texts."""
+    rng = random.Random(8)
+    words = ["Ann", "Bo", "O'Hara", "van", "der", "Berg-Lund", "R2.D2", "Éa", "#9", "&co"]
+    names = {" ".join(rng.choices(words, k=rng.randint(1, 4))) + str(i % 50) for i in range(4000)}
+    names |= {"Ann Bo", "Ann", "der Berg-Lund Ann", " lead", "trail ", "Ann  Bo", "..."}
+    listed = [(n, rng.choice(["PERSON", "ORG"])) for n in sorted(names)] + [("Ann", "GPE"), (None, "GPE")]
+    known = sorted(names)
+    texts = [
+        "".join(rng.choice([rng.choice(known), rng.choice(words)]) + rng.choice([" ", ", ", "  ", "", ". "])
+                for _ in range(30))
+        for _ in range(60)
+    ] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    table = spark.createDataFrame(listed, "name string, category string")
+    wanted = []
+    sign = r"[\w#&'.\-]"
+    for i, text in enumerate(texts):
+        spots = [m.span() for m in re.finditer(rf"(?<!{sign}){sign}*\w", text or "")]
+        for a in range(len(spots)):
+            for b in range(a, len(spots)):
+                value = text[spots[a][0] : spots[b][1]]
+                wanted += [(i, spots[a][0], spots[b][1], c, value) for n, c in listed if n == value]
+    found = entity_mentions(docs, "i", "text", table, part_bytes=6000)
+    assert sorted(map(tuple, found.collect())) == sorted(wanted) and len(wanted) > 500
+    plan = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert plan.count("ArrowEvalPython") >= 10 and not shuffled_columns(plan)
 
 
 def test_request_validation(spark):
