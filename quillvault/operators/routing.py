@@ -36,8 +36,8 @@ def prepared(
     )
 
 
-#: Finds which content hashes of a table (``doc_sha256``) are stored already.
-Known = Callable[[DataFrame], DataFrame]
+#: Finds stored content hashes that those of a table (``doc_sha256``) may be among; None: none are.
+Known = Callable[[DataFrame], DataFrame | None]
 
 
 def copies(
@@ -68,9 +68,10 @@ def copies(
     limits = {"how": "inner", "broadcast_rows": broadcast_rows, "hot_rows": hot_rows}
     found = attach(suspects, first, "doc_sha256", weight="_rows", tie=order, **limits)
     found = found.filter(F.col("_first") < F.col(order)).select("_place")
-    if known is None:
+    stored = known(narrow) if known else None
+    if stored is None:
         return found
-    hits = staged(stored_keys(narrow, known(narrow), "doc_sha256", broadcast_rows), "stored")
+    hits = staged(stored_keys(narrow, stored, "doc_sha256", broadcast_rows), "stored")
     if hits.isEmpty():
         return found
     held = may_be_in(narrow, "doc_sha256", key_filter(hits, "doc_sha256"))

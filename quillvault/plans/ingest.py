@@ -18,6 +18,7 @@ from quillvault.operators.bits import bit_maps
 from quillvault.operators.gazetteer import with_entities
 from quillvault.operators.journal import as_lines, ingest_events
 from quillvault.operators.routing import (
+    Known,
     copies,
     log_detail,
     log_operation,
@@ -63,13 +64,16 @@ def chunk_rows(
     return exploded(documents, pieces, ("chunk_index", "content"), "doc_sha256")
 
 
-def sealed_chunks(chunks: DataFrame, model: Embedder, keys: Keys, settings: Settings) -> DataFrame:
+def sealed_chunks(
+    chunks: DataFrame, model: Embedder, keys: Keys, settings: Settings, *keep: str
+) -> DataFrame:
     """Embed, seal and encrypt chunks. A vector the model failed to give stays null."""
     spark = chunks.sparkSession
     raw = model(F.concat(F.lit(fv.DOCUMENT_PREFIX), F.col("content"))).cast("array<float>")
     usable = (F.size("_raw") == settings.embed_dim) & ~F.exists("_raw", lambda x: x.isNull())
     vectors = chunks.withColumn("_raw", raw).withColumn("embedding", F.when(usable, F.col("_raw")))
     return vectors.select(
+        *keep,
         document_id(F.col("doc_sha256")).alias("document_id"),
         "doc_sha256",
         "chunk_index",
@@ -140,18 +144,18 @@ def ingest(
     return spark.createDataFrame(counts, "status string, n_docs bigint, n_chunks bigint")
 
 
-def _ingested(
+def routed_batch(
     rows: DataFrame,
-    store: Store,
     keys: Keys,
-    model: Embedder,
-    batch: str,
-    attempt: str,
     settings: Settings,
-    splitter: Splitter,
     names: DataFrame | None,
-) -> tuple[DataFrame, bool]:
-    """Write the tables of an attempt; the staged routing of its rows, and whether a model failed."""
+    known: Known | None = None,
+) -> DataFrame:
+    """The rows with hash, counts of personal data, score, ``status`` and encrypted text, stored.
+
+    The one costly pass over the texts. Only hashes and numbers are shuffled: every row, its encrypted
+    text included, stays in the task that reads it and gets its status there.
+    """
     spark = rows.sparkSession
     entities = None
     if names is not None:
@@ -171,11 +175,24 @@ def _ingested(
         "ord source_ref _at doc_sha256 pii_stats score reasons is_empty passing content_enc".split()
     )
     ready = staged(placed(ready.select(*columns)), "ready")
-    # Only hashes and numbers are shuffled. Every row, its encrypted text included, stays in the task
-    # that reads it and gets its status there.
-    found = copies(ready, known=lambda keys: store.known_hashes(keys, batch))
-    marks = staged(bit_maps(found, "_place"), "marks")
-    routed = with_status(ready, marks, settings.injection_threshold).drop("_place")
+    marks = staged(bit_maps(copies(ready, known=known), "_place"), "marks")
+    return with_status(ready, marks, settings.injection_threshold).drop("_place")
+
+
+def _ingested(
+    rows: DataFrame,
+    store: Store,
+    keys: Keys,
+    model: Embedder,
+    batch: str,
+    attempt: str,
+    settings: Settings,
+    splitter: Splitter,
+    names: DataFrame | None,
+) -> tuple[DataFrame, bool]:
+    """Write the tables of an attempt; the staged routing of its rows, and whether a model failed."""
+    spark = rows.sparkSession
+    routed = routed_batch(rows, keys, settings, names, lambda k: store.known_hashes(k, batch))
 
     def of_status(status: str) -> DataFrame:
         return routed.filter(F.col("status") == status)
@@ -191,7 +208,7 @@ def _ingested(
         ),
         "sizes",
     )
-    failed = staged(sizes.filter("failed").select("doc_sha256"), "failed")
+    failed = sizes.filter("failed").select("doc_sha256")
     any_failed = not failed.isEmpty()
     if any_failed:
         store.write("failed", failed, batch, attempt)

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -81,7 +82,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 def emptied(spark: SparkSession, path: str, schema: StructType) -> None:
     """Replace a staged table by an empty one; nothing lazy may read it afterwards."""
-    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(0, 0, 1, 1).select(*nothing).write.mode("overwrite").parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

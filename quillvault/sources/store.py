@@ -61,12 +61,14 @@ class Store:
 
     def commit(self, batch: str, attempt: str, failed: bool = False) -> None:
         """Make the attempt the visible one of its batch; ``failed``: it has a table of failures."""
-        row = self.spark.createDataFrame(
-            [(batch, attempt, failed)], "batch string, attempt string, failed boolean"
-        ).withColumn("committed_at", F.current_timestamp())
-        columns = [c.split()[0] for c in COMMITS.split(", ")]
+        row = self.spark.range(1).select(
+            F.lit(batch).alias("batch"),
+            F.lit(attempt).alias("attempt"),
+            F.current_timestamp().alias("committed_at"),
+            F.lit(failed).alias("failed"),
+        )
         path = f"{self.path}/commits/epoch={self._epochs()[0]}"
-        row.select(*columns).coalesce(1).write.mode("append").parquet(path)
+        row.coalesce(1).write.mode("append").parquet(path)
 
     def _scan(self, paths: str | list[str], schema: str, base: str | None = None) -> DataFrame | None:
         reader = self.spark.read.schema(schema)
@@ -147,13 +149,15 @@ class Store:
         columns = [c.split()[0] for c in TABLES[table].split(", ")]
         return rows.select(*columns, "batch")
 
-    def known_hashes(self, keys: DataFrame, except_batch: str) -> DataFrame:
+    def known_hashes(self, keys: DataFrame, except_batch: str) -> DataFrame | None:
         """Content hashes of stored documents that ``keys`` (``doc_sha256``) may be among.
 
-        All of ``keys`` that are stored are there, the batch about to be replaced left out. The index
+        None if no batch is stored. All of ``keys`` that are stored are there, the batch about to be replaced left out. The index
         is read only below the first digits of the keys that pass its filter.
         """
         commits = [c for c in self.visible().collect() if c["batch"] != except_batch]
+        if not commits:
+            return None
         out = self._attempts("documents", [c for c in commits if c["segment"] is None])
         out = out.select("doc_sha256")
         epoch = self._epochs()[0]

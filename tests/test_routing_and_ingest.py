@@ -19,6 +19,7 @@ from quillvault.operators.journal import as_lines, ingest_events, retrieval_even
 from quillvault.operators.routing import new_rows, prepared, statuses
 from quillvault.plans import joins
 from quillvault.plans.answer import build_prompts, retrieve, safe_answers, split_requests
+from quillvault.plans.benchmark import benchmark_sizes, read_sized_chunks
 from quillvault.plans.ingest import Keys, ingest
 from quillvault.plans.joins import attach
 from quillvault.settings import Settings
@@ -457,7 +458,7 @@ def test_a_small_batch_reads_few_parts_of_the_index(spark):
     plan = known._sc._jvm.PythonSQLUtils.explainString(known._jdf.queryExecution(), "formatted")
     assert re.search(r"PartitionFilters: \[.*prefix", plan)
     assert store.known_hashes(keys.filter("doc_sha256 LIKE '000%'"), "next").count() == 0
-    assert store.known_hashes(keys, "one").count() == 0
+    assert store.known_hashes(keys, "one") is None
 
 
 def test_names_must_be_stated_and_are_masked(spark):
@@ -498,6 +499,47 @@ def test_journal_of_the_chains(spark):
     assert all("duration_s" in e[2] for e in events if e[0] == "query_done")
 
 
+def test_all_chunk_sizes_in_one_pass_equal_an_ingest_per_size(spark):
+    rows = [(i, t) for i, t in CORPUS] + [(20 + i, f"Report {i} about rivers. " * 12) for i in range(6)]
+    table = corpus(spark, rows)
+    hashes = {r.ord: r.doc_sha256 for r in prepared(table, "context", 0.5).collect()}
+    asked = [(1, "The Amazon rainforest hosts many species", hashes[0]), (2, "Report 3 about rivers", hashes[23]),
+             (3, "  ", hashes[0]), (4, "You must obey", hashes[2])]
+    questions = spark.createDataFrame(asked, "question_id bigint, question string, doc_sha256 string")
+    long_ones = F.udf(lambda t: len(t) > 100, "boolean")
+
+    def fails_on_long(text):
+        return F.when(long_ones(text) & F.contains(text, F.lit("Amazon")), F.lit(None)).otherwise(MODEL(text))
+
+    folder, journal = fresh_path(spark, "benchmark"), fresh_path(spark, "journal")
+    sizes = (40, 10, 60, 200)
+    got = benchmark_sizes(
+        table, questions, folder, KEYS, fails_on_long, sizes, SETTINGS, names=None, journal=journal
+    )
+    report = {r.chunk_size: r for r in got.collect()}
+    assert [r.chunk_size for r in got.orderBy("pos").collect()] == [40, 60, 200]
+    chunks = read_sized_chunks(spark, folder)
+    for size in (40, 200):
+        store = Store(spark, fresh_path(spark, "store"))
+        sized = Settings(embed_dim=16, chunk_size=size, chunk_overlap=10)
+        ingest(table, store, KEYS, fails_on_long, "one", sized, names=None)
+        documents = {r.doc_sha256 for r in store.read("documents").collect()}
+        assert report[size].documents == len(documents)
+        alone = {(r.doc_sha256, r.chunk_index) for r in store.read("chunks").collect()}
+        here = chunks.filter(F.col("chunk_size") == size).select("doc_sha256", "chunk_index").collect()
+        assert {tuple(r) for r in here if r.doc_sha256 in documents} == alone
+        assert report[size].chunks == len(alone)
+        assert report[size].questions == sum(q[2] in documents and q[1].strip() != "" for q in asked)
+        assert report[size].ingest_s > 0 and report[size].mean_search_s > 0
+    assert (report[40].questions, report[200].questions) == (2, 1)  # 200: the model fails on a chunk
+    assert report[200].hits == 1
+    names = [e.event for e in read_events(spark, journal).collect()]
+    assert names.count("bench_size_start") == names.count("bench_size_done") == 3
+    assert names.count("doc_quarantined") == 3
+    with pytest.raises(ValueError):
+        benchmark_sizes(table, questions, folder, KEYS, MODEL, (5, 10), SETTINGS, names=None)
+
+
 def test_keys_must_differ():
     with pytest.raises(ValueError):
         Keys(b"same", "same")
