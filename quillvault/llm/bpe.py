@@ -15,6 +15,7 @@ import heapq
 import unicodedata
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
@@ -97,10 +98,10 @@ class Recent:
 
     def __init__(self, most: int):
         self.half = most // 2
-        self.new: dict[str, tuple[int, str, str]] = {}
-        self.old: dict[str, tuple[int, str, str]] = {}
+        self.new: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
-    def get(self, key: str) -> tuple[int, str, str] | None:
+    def get(self, key: str) -> tuple[int, ...] | None:
         found = self.new.get(key)
         if found is None:
             found = self.old.get(key)
@@ -108,7 +109,7 @@ class Recent:
                 self.put(key, found)
         return found
 
-    def put(self, key: str, value: tuple[int, str, str]) -> None:
+    def put(self, key: str, value: tuple[int, ...]) -> None:
         if len(key) > KEPT_CHARS:  # too long to be met often
             return
         if len(self.new) >= self.half:
@@ -117,22 +118,15 @@ class Recent:
         self.new[key] = value
 
 
-def joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
-    if not parts:
-        return 0, "", ""
-    counts, ids, decoded = zip(*parts, strict=True)
-    return sum(counts), " ".join(ids), " ".join(decoded)
-
-
 class WordCodec:
     """Encodes and decodes whole texts as the vocabulary file at ``path`` does."""
 
     def __init__(self, path: str, words: int = WORDS):
         self.ids, merges, added = vocabulary(path)
-        self.shown_id = {t: str(i) for t, i in self.ids.items()}
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.added = dict(added)
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in added}
+        self.shown_id = {i: str(i) for i in self.tokens}
         self.special = regex.compile("|".join(regex.escape(t) for t, _ in added))
         self.words = Recent(words)
 
@@ -144,17 +138,16 @@ class WordCodec:
         bounds = merged_bounds(text, parts, self.ranks)
         return [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
-    def word(self, word: str) -> tuple[int, str, str]:
-        """Number of tokens, ids and decoded text of one word of normalised text."""
+    def word(self, word: str) -> tuple[int, ...]:
+        """Ids of one word of normalised text."""
         found = self.words.get(word)
         if found is None:
-            tokens = self.tokens_of(word)
-            shown_id = self.shown_id
-            found = len(tokens), " ".join([shown_id[t] for t in tokens]), " ".join(tokens)
+            ids = self.ids
+            found = tuple([ids[t] for t in self.tokens_of(word)])
             self.words.put(word, found)
         return found
 
-    def plain(self, text: str) -> list[tuple[int, str, str]]:
+    def plain(self, text: str) -> list[tuple[int, ...]]:
         """The words of a text without special tokens."""
         # Lower case is taken character by character, so a final sigma is no special case.
         lower = text if text.isascii() else unicodedata.normalize("NFC", text)
@@ -162,22 +155,25 @@ class WordCodec:
         table, word = self.words.new.get, self.word
         return [table(w) or word(w) for w in WORD.findall(lower)]
 
-    def encode(self, text: str) -> tuple[int, str, str]:
-        """Number of tokens, ids joined by a space, decoded text."""
+    def encode(self, text: str) -> list[int]:
         if "<|" not in text or not self.special.search(text):
             found = self.plain(text)
         else:
             found, at = [], 0
             for m in self.special.finditer(text):
                 found += self.plain(text[at : m.start()])
-                found.append((1, str(self.added[m[0]]), m[0]))
+                found.append((self.added[m[0]],))
                 at = m.end()
             found += self.plain(text[at:])
-        return joined(found)
+        return list(chain.from_iterable(found))
+
+    def shown(self, ids: Iterable[int]) -> str:
+        """Ids joined by a blank."""
+        return " ".join(map(self.shown_id.__getitem__, ids))
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by a blank: the file names no decoder."""
-        return " ".join([self.tokens[i] for i in ids])
+        return " ".join(map(self.tokens.__getitem__, ids))
 
     def text_of(self, ids: Iterable[int]) -> str:
         """Readable text: bytes restored, word ends as blanks."""
@@ -203,7 +199,7 @@ def encode_documents(documents: DataFrame, path: str, words: int = WORDS) -> Dat
     A null text counts as empty: no tokens, empty ids and text. Repeated rows stay repeated, a null
     doc_id stays null; other columns are not read.
     """
-    return _encoded(documents, path, words, lambda r: r, "ids string, decoded string")
+    return _encoded(documents, path, words, lambda *texts: texts, "ids string, decoded string")
 
 
 def encoding_digests(documents: DataFrame, path: str, words: int = WORDS) -> DataFrame:
@@ -212,7 +208,7 @@ def encoding_digests(documents: DataFrame, path: str, words: int = WORDS) -> Dat
         documents,
         path,
         words,
-        lambda r: (r[0], _digest(r[1]), _digest(r[2])),
+        lambda ids, decoded: (_digest(ids), _digest(decoded)),
         "ids_sha256 string, decoded_sha256 string",
     )
 
@@ -221,8 +217,13 @@ def _encoded(
     documents: DataFrame, path: str, words: int, shape: Callable, columns: str
 ) -> DataFrame:
     def make():
-        encode = codec(path, words).encode
-        return lambda doc_id, text: [(doc_id, *shape(encode(text or "")))]
+        known = codec(path, words)
+
+        def one(doc_id, text):
+            ids = known.encode(text or "")
+            return [(doc_id, len(ids), *shape(known.shown(ids), known.decode(ids)))]
+
+        return one
 
     return map_rows(
         documents.select("doc_id", "text"),

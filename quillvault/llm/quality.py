@@ -4,11 +4,17 @@ With class prior p, logistic loss l and a linear score z, the risk
 
     p E_pos[l(z)] + max(0, E_unl[l(-z)] - p E_pos[l(-z)])
 
-needs no negative rows. While its second part is positive the whole is convex, because
-l(z) - l(-z) = -z; Newton steps then reach the minimum in a few passes. Where that part would turn
+needs no negative rows, and none is used. While its second part is positive the whole is convex,
+because l(z) - l(-z) = -z; Newton steps then reach the minimum in a few passes. Where that part turns
 negative (the sign of overfitting) a step climbs back along it instead, as the non-negative
-estimator prescribes. Every pass sums gradient and Hessian over **all** unlabelled rows in Spark, so
-nothing is sampled; only a few thousand sums reach the driver.
+estimator prescribes.
+
+The prior is estimated from the unlabelled texts: above any score there are at least p times as many
+of all texts as of the positives, and about p times as many where no bad text scores as high. A first
+fit gives the scores, the least ratio of the two upper tails the prior of the second fit.
+
+Every pass sums gradient and Hessian over **all** unlabelled rows in Spark, so nothing is sampled;
+only a few thousand sums reach the driver.
 """
 
 from __future__ import annotations
@@ -42,6 +48,10 @@ WIDTH = 3 + sum(map(len, BENDS.values()))
 PASSES = 12
 RIDGE = 1e-3
 KEEP_FROM = 0.3
+#: Share of good texts that the first fit assumes; bins of scores, and positives a tail must hold.
+FIRST_PRIOR = 0.5
+BINS = 1000
+TAIL = 0.3
 
 
 def features(text: str) -> list[float]:
@@ -162,48 +172,83 @@ def _sums(rows: DataFrame, weights: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def fit(rows: DataFrame, passes: int = PASSES) -> Model:
-    """Minimise the risk over ``training_rows``; held-out rows take no part.
+    """Minimise the risk over ``training_rows``; held-out rows and labels other than 1 take no part.
 
-    The prior is the share of label 1 among the trusted labels, smoothed by one row of each kind.
     Without any document or positive label the model is all zero.
     """
     train = rows.filter(~F.col("held_out"))
-    ones, known = train.agg(
-        F.coalesce(F.sum((F.col("label") >= 1).cast("long")), F.lit(0)), F.count("label")
-    ).first()
-    prior = (ones + 1) / (known + 2)
+    ones = train.agg(F.coalesce(F.sum((F.col("label") >= 1).cast("long")), F.lit(0))).first()[0]
     if not ones:
-        return Model((0.0,) * WIDTH, prior)
+        return Model((0.0,) * WIDTH, FIRST_PRIOR)
     train = train.select(
         "x", F.coalesce((F.col("label") >= 1).cast("double"), F.lit(0.0)).alias("positive")
     )
-    weights, best, step = np.zeros(WIDTH), None, None
-    size = 1.0
+    first = minimised(train, FIRST_PRIOR, passes)
+    return minimised(train, estimated_prior(train, first), passes, first.weights)
+
+
+def estimated_prior(train: DataFrame, model: Model) -> float:
+    """Least ratio of the shares of all and of positive texts above a score.
+
+    Scores are counted in ``BINS`` bins over all rows. Only tails that hold ``TAIL`` of the positives
+    count, and a ratio is taken with one standard error of that share: small tails say little.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, BINS), np.int64)
+        for batch in batches:
+            x = batch.column(0).values.to_numpy(zero_copy_only=False).reshape(-1, WIDTH)
+            place = np.minimum((model.score(x.astype(np.float64)) * BINS).astype(int), BINS - 1)
+            positive = batch.column(1).to_numpy(zero_copy_only=False) > 0
+            counts[0] += np.bincount(place, minlength=BINS)
+            counts[1] += np.bincount(place[positive], minlength=BINS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(2 * BINS), pa.int64()), pa.array(counts.ravel())], names=["i", "n"]
+        )
+
+    flat = np.zeros(2 * BINS)
+    sums = train.mapInArrow(run, "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n"))
+    for i, n in sums.collect():  # as many rows as bins
+        flat[i] = n
+    every, positive = flat.reshape(2, BINS)[:, ::-1].cumsum(axis=1)
+    share = positive / positive[-1]
+    enough = share >= TAIL
+    error = np.sqrt(share * (1 - share) / positive[-1])
+    ratios = (every / every[-1] + error)[enough] / share[enough]
+    return float(np.clip(ratios.min(), 1 / BINS, 1 - 1 / BINS))
+
+
+def minimised(
+    train: DataFrame, prior: float, passes: int = PASSES, start: tuple[float, ...] | None = None
+) -> Model:
+    weights = np.zeros(WIDTH) if start is None else np.asarray(start)
+    best = base = None  # the least risk met; where the present step began
+    step, size = None, 1.0
+    ridge = RIDGE * np.r_[0.0, np.ones(WIDTH - 1)]
     for _ in range(passes):
         s = _sums(train, weights)
         plus_u, plus_p, n_u, n_p = s["rest"]
-        ridge = RIDGE * np.r_[0.0, np.ones(WIDTH - 1)]
-        negative = plus_u / n_u - prior * plus_p / n_p
         mean_p = s["positive"] / n_p
-        risk = (
-            prior * (plus_p / n_p - mean_p @ weights)
-            + abs(negative)
-            + 0.5 * (ridge * weights) @ weights
-        )
-        if best is not None and risk > best[0] + 1e-12 and size > 1 / 64:
+        negative = plus_u / n_u - prior * plus_p / n_p
+        known = prior * (plus_p / n_p - mean_p @ weights)
+        risk = known + max(0.0, negative) + 0.5 * (ridge * weights) @ weights
+        if best is None or risk < best[0]:
+            best = risk, weights
+        if base is not None and risk > base[0] + 1e-12 and size > 1 / 64:
             size /= 2
-            weights = best[1] + size * step
+            weights = base[1] + size * step
             continue
-        moved = math.inf if best is None else best[0] - risk
-        best, size = (risk, weights), 1.0
-        if moved < 1e-9:
+        if base is not None and base[0] - risk < 1e-9 and negative >= 0:
             break
+        size = 1.0
         if negative >= 0:
             gradient = s["unlabelled"] / n_u - prior * mean_p + ridge * weights
             hessian = s["hessian"] / n_u + np.diag(ridge + 1e-9)
             step = -np.linalg.solve(hessian, gradient)
-        else:
+            base = risk, weights
+        else:  # a step back is taken whatever it does to the first part
             step = s["unlabelled"] / n_u - prior * s["positive_s"] / n_p
+            base = None
         weights = weights + step
     return Model(tuple(map(float, best[1])), prior, float(best[0]))
 

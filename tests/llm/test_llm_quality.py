@@ -67,12 +67,54 @@ def test_risk_is_low_and_its_second_part_not_negative(tables):
 
     weights = np.array(model.weights)
     known, rest = parts(weights)
-    risk = known + abs(rest) + 0.5 * 1e-3 * (weights[1:] ** 2).sum()
+    risk = known + max(0.0, rest) + 0.5 * 1e-3 * (weights[1:] ** 2).sum()
     assert risk == pytest.approx(model.risk, abs=1e-6)
     assert risk < 0.3 * sum(parts(np.zeros(WIDTH)))
     assert rest > -0.02
 
 
+@pytest.mark.parametrize("every", [2, 4, 10])
+def test_the_prior_is_estimated_from_unlabelled_texts(spark, documents, prose, every):
+    """Only good texts are labelled, so no label tells how many texts are good."""
+    rows = [(i, prose(i, 30 + i % 40) if i % every else junk(prose(i, 40), i // every)) for i in range(800)]
+    labels = [(i, 1, 0) for i in range(800) if i % every and i % 3 == 0]
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = fit(training_rows(documents(rows), table))
+    assert abs(model.prior - (1 - 1 / every)) < 0.1
+    zeros = [(i, 0, 0) for i in range(800) if i % every == 0]
+    more = table.unionByName(spark.createDataFrame(zeros, table.schema))
+    assert fit(training_rows(documents(rows), more)).weights == pytest.approx(model.weights, abs=1e-6)
+
+
+def test_the_minimum_is_that_of_plain_numpy(tables):
+    """Gradient descent on the whole matrix ends at the weights that the passes have found."""
+    rows = training_rows(*tables)
+    model = fit(rows, passes=40)
+    train = [r for r in rows.collect() if not r.held_out]
+    x = np.array([r.x for r in train], np.float64)
+    positive = np.array([r.label == 1 for r in train])
+    ridge = 1e-3 * np.r_[0.0, np.ones(WIDTH - 1)]
+    p = model.prior
+
+    def risk(w):
+        z = x @ w
+        rest = np.logaddexp(0, z).mean() - p * np.logaddexp(0, z[positive]).mean()
+        return p * np.logaddexp(0, -z[positive]).mean() + max(0.0, rest) + 0.5 * (ridge * w) @ w
+
+    assert risk(np.array(model.weights)) == pytest.approx(model.risk, abs=1e-6)
+    w, least = np.zeros(WIDTH), risk(np.zeros(WIDTH))
+    for _ in range(4000):
+        z = x @ w
+        s = 1 / (1 + np.exp(-z))
+        rest = np.logaddexp(0, z).mean() - p * np.logaddexp(0, z[positive]).mean()
+        g = s @ x / len(x) - p * x[positive].mean(axis=0) + ridge * w
+        if rest < 0:
+            g = -(s @ x / len(x) - p * s[positive] @ x[positive] / positive.sum())
+        w = w - 2.0 * g
+        least = min(least, risk(w))
+    assert model.risk <= least + 2e-3
+
+
 def test_features_are_bounded():
     for text in ("", " ", "a", "\n\n", "!!!!", "A" * 50000, "x y " * 3000, "\x00\x01", "🙂 é"):
         x = features(text)

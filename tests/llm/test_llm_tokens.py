@@ -31,14 +31,14 @@ def test_words_as_the_library(texts):
     library, own = Tokenizer.from_file(WORD), WordCodec(WORD)
     for text in texts:
         want = library.encode(text, add_special_tokens=False).ids
-        n, ids, decoded = own.encode(text)
-        assert (n, ids) == (len(want), " ".join(map(str, want)))
-        assert decoded == library.decode(want, skip_special_tokens=False)
+        ids = own.encode(text)
+        assert ids == want and own.shown(ids) == " ".join(map(str, want))
+        assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
 def test_readable_text_comes_back():
     own = WordCodec(WORD)
-    ids = [int(i) for i in own.encode("Über  die Straße, 42!")[1].split()]
+    ids = own.encode("Über  die Straße, 42!")
     assert own.text_of(ids) == "über die straße , 4 2 !"
 
 
@@ -85,3 +85,12 @@ def test_rows(documents, rows_of):
 def test_empty_tables(documents):
     assert count_tokens(documents([]), BYTE).count() == 0
     assert encoding_digests(documents([]), WORD).count() == 0
+
+
+def test_the_text_is_decoded_from_the_ids():
+    """A wrong token for an id shows in the text, not in the ids."""
+    right, wrong = WordCodec(WORD), WordCodec(WORD)
+    ids = right.encode("the cat sat")
+    wrong.tokens = right.tokens | {ids[1]: "dog</w>"}
+    assert wrong.encode("the cat sat") == ids
+    assert wrong.decode(ids) == right.decode(ids).replace("cat", "dog")
