@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -91,3 +91,33 @@ def recursive_chunks(text: Column, size: int, overlap: int) -> Column:
         )
 
     return split(text)
+
+
+REPORTED = T.StructType(
+    [T.StructField("value", T.ArrayType(T.StringType())), T.StructField("error", T.StringType())]
+)
+
+
+def reporting_splitter(split: Callable[[str, int, int], list[str]]) -> Callable[[Column, int, int], Column]:
+    """A splitter from a plain function; ``struct<value, error>`` with the message where it fails."""
+
+    def splitter(text: Column, size: int, overlap: int) -> Column:
+        @F.arrow_udf(REPORTED)
+        def pieces(texts: pa.Array) -> pa.Array:
+            found: list[list[str] | None] = []
+            errors: list[str | None] = []
+            for text in texts.to_pylist():
+                try:
+                    found.append(None if text is None else list(split(text, size, overlap)))
+                    errors.append(None)
+                except Exception as problem:
+                    found.append(None)
+                    errors.append(str(problem) or type(problem).__name__)
+            return pa.StructArray.from_arrays(
+                [pa.array(found, pa.list_(pa.string())), pa.array(errors, pa.string())],
+                ["value", "error"],
+            )
+
+        return pieces(text)
+
+    return splitter

@@ -46,28 +46,64 @@ def hashing_embedder(dim: int) -> Embedder:
     return lambda text: embed(text)
 
 
+def _or_message(call: Callable[[], object]) -> tuple[object, str | None]:
+    """What a call gives, or the text of the exception it ends with."""
+    try:
+        return call(), None
+    except Exception as problem:
+        return None, str(problem) or type(problem).__name__
+
+
+def _in_halves(embed: Callable[[list[str]], list], texts: list[str]) -> list[tuple[object, str | None]]:
+    """Vector and error of every text. A batch that fails is halved until single texts are left."""
+
+    def batch() -> list:
+        found = list(embed(texts))
+        if len(found) != len(texts):
+            raise ValueError("as many vectors as texts are needed")
+        return found
+
+    found, problem = _or_message(batch)
+    if problem is None:
+        return [(vector, None) for vector in found]
+    if len(texts) == 1:
+        return [(None, problem)]
+    half = len(texts) // 2
+    return _in_halves(embed, texts[:half]) + _in_halves(embed, texts[half:])
+
+
 def tolerant_embedder(embed: Callable[[list[str]], list[list[float] | None]]) -> Embedder:
     """An embedder from a plain function over texts; a text it fails on gets a null vector.
 
-    When a whole batch fails its texts are tried one by one, so one bad text costs only itself.
+    When a whole batch fails its halves are tried, so a bad text costs only itself.
     """
 
-    def one(text: str) -> list[float] | None:
-        try:
-            return embed([text])[0]
-        except Exception:
-            return None
-
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def vectors(texts: pa.Array) -> pa.Array:
-        given = [t or "" for t in texts.to_pylist()]
-        try:
-            found = list(embed(given))
-            if len(found) != len(given):
-                raise ValueError("as many vectors as texts are needed")
-        except Exception:
-            found = [one(t) for t in given]
-        return pa.array(found, pa.list_(pa.float32()))
+        found = _in_halves(embed, [t or "" for t in texts.to_pylist()]) if len(texts) else []
+        return pa.array([vector for vector, _ in found], pa.list_(pa.float32()))
+
+    return lambda text: vectors(text)
+
+
+REPORTED = T.StructType(
+    [T.StructField("value", T.ArrayType(T.FloatType())), T.StructField("error", T.StringType())]
+)
+
+
+def reporting_embedder(embed: Callable[[list[str]], list[list[float] | None]]) -> Embedder:
+    """As ``tolerant_embedder``, with the message of the failure: ``struct<value, error>``."""
+
+    @F.arrow_udf(REPORTED)
+    def vectors(texts: pa.Array) -> pa.Array:
+        found = _in_halves(embed, [t or "" for t in texts.to_pylist()]) if len(texts) else []
+        return pa.StructArray.from_arrays(
+            [
+                pa.array([vector for vector, _ in found], pa.list_(pa.float32())),
+                pa.array([error for _, error in found], pa.string()),
+            ],
+            ["value", "error"],
+        )
 
     return lambda text: vectors(text)
 

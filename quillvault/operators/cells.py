@@ -5,12 +5,16 @@ Chunks are grouped by the nearest of a fixed number of centroids. A question fir
 no chunk of a cell can be more similar to the question than the angle between question and
 centroid, less the widest angle of the cell, allows. Cells that could still beat the k-th best
 similarity are visited too, all others are provably useless.
+
+The approximate search reads no vectors at first: it estimates similarities from short codes
+(``codebooks``) of the chunks in the cells visited, and compares in full only the best few hundred
+candidates of each question.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,10 +24,24 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillvault.operators.retrieval import best_of, found_schema, matrix, ranked, usable_vector
+from quillvault.operators.codebooks import SAMPLE_ROWS, Codebooks, estimates, learned
+from quillvault.operators.retrieval import (
+    DIGITS,
+    best_of,
+    found_schema,
+    matrix,
+    ranked,
+    usable_vector,
+)
 from quillvault.sources.shared import fresh_path, staged
 
 BLOCK_ROWS = 16_384
+#: Bytes of all centroids; they go to every task. More vectors than that has cells for fill them more.
+CENTROID_BYTES = 64 << 20
+#: Candidates of a question that are compared in full, at most.
+CANDIDATES = 256
+#: Vectors whose similarities are estimated at once.
+CODE_TILE = 4096
 _SLACK = 1e-6  # radians; covers rounding of angles
 
 
@@ -43,7 +61,8 @@ def train_centroids(chunks: DataFrame, cells: int | None, seed: int) -> np.ndarr
     n = usable.count()
     if n == 0:
         raise ValueError("no vectors to index")
-    cells = cells or cells_for(n)
+    dim = usable.agg(F.max(F.size("embedding"))).first()[0]
+    cells = min(cells or cells_for(n), max(1, CENTROID_BYTES // (8 * dim)))
     vectors = usable.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
     model = KMeans(k=min(cells, n), seed=seed, maxIter=8, featuresCol="v").fit(vectors)
     centres = np.asarray(model.clusterCenters())
@@ -51,29 +70,48 @@ def train_centroids(chunks: DataFrame, cells: int | None, seed: int) -> np.ndarr
     return centres / np.where(norms > 0, norms, 1.0)
 
 
-def filed(spark: SparkSession, chunks: DataFrame, centroids: np.ndarray) -> DataFrame:
-    """Chunks with the cell they belong to and their angle to its centroid."""
-    shared = spark.sparkContext.broadcast(centroids)
+def train_codebooks(chunks: DataFrame, centroids: np.ndarray, seed: int) -> Codebooks:
+    """Codebooks from at most about ``SAMPLE_ROWS`` usable vectors, chosen by a hash of their ids."""
+    usable = chunks.filter(usable_vector("embedding") & F.exists("embedding", lambda x: x != 0))
+    n = max(1, usable.count())
+    share = F.pmod(F.xxhash64("chunk_id", F.lit(seed)), F.lit(n)) < SAMPLE_ROWS
+    sample = usable.filter(share).select("embedding").limit(2 * SAMPLE_ROWS).toArrow()
+    rows = matrix(sample["embedding"])
+    return learned(rows - centroids[(rows @ centroids.T).argmax(axis=1)], seed)
+
+
+def filed(
+    spark: SparkSession, chunks: DataFrame, centroids: np.ndarray, books: Codebooks
+) -> DataFrame:
+    """Chunks with the cell they belong to, their angle to its centroid and their code."""
+    shared = spark.sparkContext.broadcast((centroids, *books))
     kept = chunks.schema["chunk_id"].dataType.simpleString()
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, *parts = shared.value
+        codebooks = Codebooks(*parts)
         for batch in batches:
-            cosines = np.clip(matrix(batch["embedding"]) @ shared.value.T, -1.0, 1.0)
+            rows = matrix(batch["embedding"])
+            cosines = np.clip(rows @ centres.T, -1.0, 1.0)
             usable = ~np.isnan(cosines).any(axis=1)
             cell = np.where(usable, np.nan_to_num(cosines, nan=-1.0).argmax(axis=1), -1)
             angle = np.arccos(np.nan_to_num(cosines.max(axis=1), nan=1.0))
+            codes = codebooks.encode(np.nan_to_num(rows) - centres[cell])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["chunk_id"],
                     batch["embedding"],
                     pa.array(cell.astype(np.int32)),
                     pa.array(angle),
+                    pa.array([c.tobytes() for c in codes], pa.binary()),
                 ],
-                ["chunk_id", "embedding", "cell", "angle"],
+                ["chunk_id", "embedding", "cell", "angle", "code"],
             )
 
-    schema = f"chunk_id {kept}, embedding array<float>, cell int, angle double"
-    slim = chunks.filter(usable_vector("embedding")).select("chunk_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    schema = f"chunk_id {kept}, embedding array<float>, cell int, angle double, code binary"
+    slim = chunks.filter(usable_vector("embedding")).select(
+        "chunk_id", F.col("embedding").cast("array<float>").alias("embedding")
+    )
     return slim.mapInArrow(assign, schema).filter(F.col("cell") >= 0)
 
 
@@ -118,14 +156,20 @@ def visits(
     return questions.select(*columns).mapInArrow(choose, "question_id bigint, cell int")
 
 
-def _search(
-    questions: DataFrame, wanted: DataFrame, index: DataFrame, stats: DataFrame, k: int, block: int
+def _by_parts(
+    questions: DataFrame,
+    wanted: DataFrame,
+    index: DataFrame,
+    stats: DataFrame,
+    block: int,
+    column: str,
+    best: Callable[[pa.Table, pa.Table, int], pa.Table],
 ) -> DataFrame:
-    """Best ``k`` chunks of each wanted (question, cell).
+    """What ``best`` finds for each wanted (question, cell) among the chunks of the cell.
 
     The chunks of a cell and the questions that visit it are both cut into parts of bounded size,
     so a cell that holds a third of all vectors, or that every question visits, is searched by
-    many tasks.
+    many tasks. ``column`` of the index is all that is read and moved of a chunk.
     """
     parts = (
         wanted.groupBy("cell")
@@ -152,11 +196,10 @@ def _search(
     stored = (
         index.join(F.broadcast(parts), "cell")
         .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-        .select("chunk_id", "embedding", "cell", part("chunk_id", "blocks").alias("block"), "group")
+        .select("chunk_id", column, "cell", part("chunk_id", "blocks").alias("block"), "group")
     )
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        chunk_ids = np.asarray(right["chunk_id"])
         if not len(left) or not len(right):
             return pa.schema(
                 [
@@ -166,15 +209,9 @@ def _search(
                     ("cell", pa.int32()),
                 ]
             ).empty_table()
-        best = best_of(
-            np.asarray(left["question_id"]),
-            matrix(left["embedding"]),
-            chunk_ids,
-            matrix(right["embedding"]),
-            k,
-        )
         cell = right["cell"][0].as_py()
-        return best.append_column("cell", pa.array([cell] * len(best), pa.int32()))
+        found = best(left, right, cell)
+        return found.append_column("cell", pa.array([cell] * len(found), pa.int32()))
 
     return (
         asked.groupBy("cell", "block", "group")
@@ -183,9 +220,97 @@ def _search(
     )
 
 
+def _search(
+    questions: DataFrame, wanted: DataFrame, index: DataFrame, stats: DataFrame, k: int, block: int
+) -> DataFrame:
+    """Best ``k`` chunks of each wanted (question, cell), compared in full."""
+
+    def best(left: pa.Table, right: pa.Table, cell: int) -> pa.Table:
+        return best_of(
+            np.asarray(left["question_id"]),
+            matrix(left["embedding"]),
+            np.asarray(right["chunk_id"]),
+            matrix(right["embedding"]),
+            k,
+        )
+
+    return _by_parts(questions, wanted, index, stats, block, "embedding", best)
+
+
+def _candidates(
+    questions: DataFrame,
+    wanted: DataFrame,
+    index: DataFrame,
+    stats: DataFrame,
+    most: int,
+    block: int,
+    centroids: np.ndarray,
+    books: Codebooks,
+) -> DataFrame:
+    """``question_id, chunk_id, similarity``: the ``most`` best chunks by what their codes say."""
+    shared = questions.sparkSession.sparkContext.broadcast((centroids, *books))
+
+    def best(left: pa.Table, right: pa.Table, cell: int) -> pa.Table:
+        centres, *parts = shared.value
+        codebooks = Codebooks(*parts)
+        asked = matrix(left["embedding"])
+        ids, question_ids = np.asarray(right["chunk_id"]), np.asarray(left["question_id"])
+        codes = np.frombuffer(b"".join(right["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        base, tables = asked @ centres[cell], codebooks.products(asked)
+        found = []
+        for at in range(0, len(question_ids), CODE_TILE // 8):
+            tile = slice(at, at + CODE_TILE // 8)
+            scores = np.concatenate(
+                [
+                    estimates([t[tile] for t in tables], base[tile], codes[b : b + CODE_TILE])
+                    for b in range(0, len(codes), CODE_TILE)
+                ],
+                axis=1,
+            )
+            scores[np.isnan(scores)] = -np.inf
+            keep = min(most, scores.shape[1])
+            chosen = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
+            rows = np.repeat(np.arange(len(scores)), keep)
+            values = scores[rows, chosen.ravel()]
+            found.append(
+                pa.table(
+                    {
+                        "question_id": question_ids[tile][rows],
+                        "chunk_id": ids[chosen.ravel()],
+                        "similarity": values,
+                    }
+                ).filter(pa.array(np.isfinite(values)))
+            )
+        return pa.concat_tables(found)
+
+    found = _by_parts(questions, wanted, index, stats, block, "code", best)
+    return ranked(found, most).select("question_id", "chunk_id")
+
+
+def compared(questions: DataFrame, pairs: DataFrame, index: DataFrame) -> DataFrame:
+    """The pairs with their similarity in full precision."""
+    vectors = index.select("chunk_id", F.col("embedding").alias("_chunk"))
+    both = pairs.join(vectors, "chunk_id").join(
+        questions.select("question_id", F.col("embedding").alias("_question")), "question_id"
+    )
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            products = matrix(batch["_question"]) * matrix(batch["_chunk"])
+            scores = np.round(products.sum(axis=1), DIGITS)
+            usable = pa.array(np.isfinite(scores))
+            out = [batch["question_id"], batch["chunk_id"], pa.array(scores)]
+            names = ["question_id", "chunk_id", "similarity"]
+            yield pa.RecordBatch.from_arrays(out, names).filter(usable)
+
+    kept = index.schema["chunk_id"].dataType.simpleString()
+    schema = f"question_id bigint, chunk_id {kept}, similarity double"
+    return both.select("question_id", "chunk_id", "_question", "_chunk").mapInArrow(measure, schema)
+
+
 @dataclass(frozen=True)
 class CellIndex:
-    """A stored index: centroids, vectors by cell, and size and radius of every cell."""
+    """A stored index: centroids, codebooks, vectors and codes by cell, size and radius of cells."""
 
     spark: SparkSession
     path: str
@@ -201,7 +326,13 @@ class CellIndex:
         spark.createDataFrame(rows, "cell int, centre array<double>").coalesce(1).write.parquet(
             f"{path}/centroids"
         )
-        filed(spark, chunks, centroids).write.parquet(f"{path}/vectors")
+        books = train_codebooks(chunks, centroids, seed)
+        spans = zip(books.edges, books.edges[1:], strict=False)
+        entries = [(a, b, e.ravel().tolist()) for (a, b), e in zip(spans, books.entries, strict=True)]
+        spark.createDataFrame(
+            entries, "first int, last int, entries array<double>"
+        ).coalesce(1).write.parquet(f"{path}/codebooks")
+        filed(spark, chunks, centroids, books).write.parquet(f"{path}/vectors")
         index = spark.read.parquet(f"{path}/vectors")
         index.groupBy("cell").agg(
             F.max("angle").alias("radius"), F.count("*").alias("n")
@@ -213,6 +344,12 @@ class CellIndex:
         rows = self.spark.read.parquet(f"{self.path}/centroids").orderBy("cell").collect()
         return np.array([r["centre"] for r in rows])  # one row per cell
 
+    @property
+    def codebooks(self) -> Codebooks:
+        rows = self.spark.read.parquet(f"{self.path}/codebooks").orderBy("first").collect()
+        entries = [np.array(r["entries"]).reshape(-1, r["last"] - r["first"]) for r in rows]
+        return Codebooks([0, *(r["last"] for r in rows)], entries)  # one row per part
+
     @property
     def vectors(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/vectors")
@@ -228,16 +365,22 @@ class CellIndex:
         probes: int | None = None,
         exact: bool = True,
         block_rows: int = BLOCK_ROWS,
+        candidates: int | None = None,
     ) -> DataFrame:
         """``question_id, chunk_id, similarity, rank``; see ``nearest_by_cells``."""
         questions = questions.filter(usable_vector("embedding"))
         centroids, stats, index = self.centroids, self.cells, self.vectors
         radii = {r["cell"]: r["radius"] for r in stats.collect()}  # one row per cell
-        probes = probes or default_probes(len(radii))
+        if not exact:
+            near = visits(questions, centroids, radii, probes or default_probes(len(radii)))
+            most = candidates or self.default_candidates(k)
+            pairs = _candidates(
+                questions, near, index, stats, most, block_rows, centroids, self.codebooks
+            )
+            return ranked(compared(questions, staged(pairs, "candidates"), index), k)
+        probes = probes or exact_probes(len(radii))
         near = visits(questions, centroids, radii, probes)
         found = ranked(_search(questions, near, index, stats, k, block_rows), k).drop("cell")
-        if not exact:
-            return found
         first = staged(found, "probed")
         reached = first.filter(F.col("rank") == k).select(
             "question_id", F.col("similarity").alias("least")
@@ -250,7 +393,7 @@ class CellIndex:
         return ranked(first.drop("rank").unionByName(more), k)
 
     def scored_share(self, questions: DataFrame, probes: int | None = None) -> DataFrame:
-        """One row, ``scored_share``: the part of all pairs that the approximate search compares."""
+        """One row, ``scored_share``: the part of all pairs that are in the cells visited."""
         radii = {r["cell"]: r["radius"] for r in self.cells.collect()}  # one row per cell
         asked = questions.filter(usable_vector("embedding"))
         wanted = visits(asked, self.centroids, radii, probes or default_probes(len(radii)))
@@ -261,10 +404,25 @@ class CellIndex:
             (F.col("pairs") / F.lit(max(1, asked.count() * self.vectors.count()))).alias("scored_share")
         )
 
+    def default_candidates(self, k: int) -> int:
+        """A tenth of the vectors, at most ``CANDIDATES`` and at least four times the answer."""
+        n = self.cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        return max(4 * k, min(CANDIDATES, n // 10))
+
+    def compared_share(self, k: int, candidates: int | None = None) -> float:
+        """The part of all pairs that the approximate search compares in full precision, at most."""
+        n = self.cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        return min(1.0, (candidates or self.default_candidates(k)) / max(1, n))
+
 
 def default_probes(cells: int) -> int:
-    """45 % of the cells, four at least: enough to find nine in ten of the true neighbours even of
-    vectors without any clusters, where cells say little."""
+    """Four fifths of the cells, four at least, for the search by codes: looking a code up costs a
+    byte a part, and vectors without any clusters have their neighbours in most cells."""
+    return max(4, -(-cells * 4 // 5))
+
+
+def exact_probes(cells: int) -> int:
+    """45 % of the cells, four at least: what the exact search visits before it prunes the rest."""
     return max(4, -(-cells * 45 // 100))
 
 
@@ -280,8 +438,8 @@ def nearest_by_cells(
 ) -> DataFrame:
     """``question_id, chunk_id, similarity, rank`` from a cell index made for this search.
 
-    With ``exact`` the answer equals the full search. Without it only the ``probes`` nearest
-    cells are searched, which is faster and may miss some of the nearest chunks. To search the same
+    With ``exact`` the answer equals the full search. Without it the codes of the ``probes`` nearest
+    cells are searched and the best candidates compared, which may miss some of the nearest chunks. To search the same
     chunks again, build a ``CellIndex`` once and keep it.
     """
     path = fresh_path(chunks.sparkSession, "index")

@@ -26,9 +26,13 @@ def _spelled(rows: DataFrame, events: list[Column], *keep: str) -> DataFrame:
 
 
 def ingest_events(routed: DataFrame) -> DataFrame:
-    """Events per routed document; pseudonymisation is reported for all but duplicates."""
+    """Events per routed document; pseudonymisation is reported for all but duplicates.
+
+    ``error``, where there is such a column, says what a document has failed on.
+    """
     status, ref, sha = F.col("status"), F.col("source_ref"), F.col("doc_sha256")
     origin = {"source_ref": ref, "doc_sha256": sha}
+    error = F.col("error") if "error" in routed.columns else F.lit("no usable vector")
     return _spelled(
         routed,
         [
@@ -54,9 +58,7 @@ def ingest_events(routed: DataFrame) -> DataFrame:
                 chunks=F.col("n_chunks"),
                 pii=F.col("pii_stats"),
             ),
-            _event(
-                status == "errors", "doc_error", source_ref=ref, error=F.lit("no usable vector")
-            ),
+            _event(status == "errors", "doc_error", source_ref=ref, error=error),
         ],
         "source_ref",
     )

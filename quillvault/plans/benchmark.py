@@ -7,8 +7,9 @@ import time
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillvault.functions.barrier import settled
 from quillvault.functions.chunking import recursive_chunks
@@ -36,10 +37,19 @@ def sized_chunks(
 ) -> DataFrame:
     """``chunk_size, doc_sha256, chunk_index, content``: the chunks of all sizes, in one pass."""
     documents = settled(documents.select("doc_sha256", "_text"), "_text")
+
+    def pieces_of(size: int) -> Column:
+        """An error that a splitter reports is a chunk without content, which no model embeds."""
+        cut = splitter(F.col("_text"), size, overlap)
+        if not isinstance(documents.select(cut.alias("p")).schema["p"].dataType, T.StructType):
+            return cut
+        none = F.array(F.lit(None).cast("string"))
+        return F.when(cut["error"].isNotNull(), none).otherwise(cut["value"])
+
     cut = F.array(
         *(
             F.struct(
-                F.lit(size).alias("chunk_size"), splitter(F.col("_text"), size, overlap).alias("_pieces")
+                F.lit(size).alias("chunk_size"), pieces_of(size).alias("_pieces")
             )
             for size in sizes
         )

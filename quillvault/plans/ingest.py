@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillvault.functions.barrier import exploded, settled
 from quillvault.functions.chunking import recursive_chunks
@@ -33,6 +34,8 @@ from quillvault.sources.shared import scratch, staged
 from quillvault.sources.store import Store
 
 Splitter = Callable[[Column, int, int], Column]
+#: What is logged where neither splitter nor model says why a chunk has no vector.
+UNUSABLE = "no usable vector"
 
 
 @dataclass(frozen=True)
@@ -57,21 +60,43 @@ def document_id(doc_sha256: Column) -> Column:
 def chunk_rows(
     documents: DataFrame, text: Column, settings: Settings, splitter: Splitter = recursive_chunks
 ) -> DataFrame:
-    """One row per chunk, numbered from 0 in text order."""
+    """One row per chunk, numbered from 0 in text order; a splitter may report an error instead.
+
+    A text whose splitter reports one (``struct<value, error>``) has one row without content.
+    """
     # Settled first: decrypting reads its key by a subquery, which no lambda may contain.
     documents = settled(documents.select("doc_sha256", text.alias("_text")), "_text")
     pieces = splitter(F.col("_text"), settings.chunk_size, settings.chunk_overlap)
-    return exploded(documents, pieces, ("chunk_index", "content"), "doc_sha256")
+    if not isinstance(documents.select(pieces.alias("p")).schema["p"].dataType, T.StructType):
+        return exploded(documents, pieces, ("chunk_index", "content"), "doc_sha256")
+    cut = settled(documents.select("doc_sha256", pieces.alias("_cut")), "_cut")
+    none = F.array(F.lit(None).cast("string"))
+    found = F.when(F.col("_cut.error").isNotNull(), none).otherwise(F.col("_cut.value"))
+    return exploded(
+        cut.withColumn("error", F.col("_cut.error")), found, ("chunk_index", "content"), "doc_sha256", "error"
+    )
 
 
 def sealed_chunks(
     chunks: DataFrame, model: Embedder, keys: Keys, settings: Settings, *keep: str
 ) -> DataFrame:
-    """Embed, seal and encrypt chunks. A vector the model failed to give stays null."""
+    """Embed, seal and encrypt chunks; ``error`` says why one has no vector.
+
+    A vector the model failed to give stays null. A model may report its failures
+    (``struct<value, error>``); what the splitter has reported goes before.
+    """
     spark = chunks.sparkSession
-    raw = model(F.concat(F.lit(fv.DOCUMENT_PREFIX), F.col("content"))).cast("array<float>")
+    given = model(F.concat(F.lit(fv.DOCUMENT_PREFIX), F.coalesce("content", F.lit(""))))
+    vectors = chunks.withColumn("_given", given)
+    reports = isinstance(vectors.schema["_given"].dataType, T.StructType)
+    raw = (F.col("_given.value") if reports else F.col("_given")).cast("array<float>")
+    vectors = vectors.withColumn("_raw", raw)
     usable = (F.size("_raw") == settings.embed_dim) & ~F.exists("_raw", lambda x: x.isNull())
-    vectors = chunks.withColumn("_raw", raw).withColumn("embedding", F.when(usable, F.col("_raw")))
+    told = [F.col("error")] if "error" in chunks.columns else []
+    told += [F.col("_given.error")] if reports else []
+    vectors = vectors.withColumn(
+        "embedding", F.when(usable & F.col("content").isNotNull(), F.col("_raw"))
+    ).withColumn("error", F.when(F.col("embedding").isNull(), F.coalesce(*told, F.lit(UNUSABLE))))
     return vectors.select(
         *keep,
         document_id(F.col("doc_sha256")).alias("document_id"),
@@ -93,6 +118,7 @@ def sealed_chunks(
         ).alias("chunk_hmac"),
         F.current_timestamp().alias("created_at"),
         F.lit(settings.embed_model_tag).alias("embedding_model"),
+        "error",
     )
 
 
@@ -201,10 +227,12 @@ def _ingested(
     texts = decrypt(spark, F.col("content_enc"), keys.cipher)
     pieces = chunk_rows(accepted, texts, settings, splitter)
     store.write("chunks", sealed_chunks(pieces, model, keys, settings), batch, attempt)
-    chunks = store.read_attempt("chunks", batch, attempt)
+    chunks = store.read_attempt("chunks", batch, attempt, "error string")
     sizes = staged(
         chunks.groupBy("doc_sha256").agg(
-            F.count("*").alias("n_chunks"), F.max(F.col("embedding").isNull()).alias("failed")
+            F.count("*").alias("n_chunks"),
+            F.max(F.col("embedding").isNull()).alias("failed"),
+            F.min_by("error", F.when(F.col("error").isNotNull(), F.col("chunk_index"))).alias("error"),
         ),
         "sizes",
     )
@@ -215,14 +243,21 @@ def _ingested(
 
     none = F.lit(0).cast("long")
     narrow = routed.drop("content_enc")
-    others = narrow.filter(F.col("status") != "ingested").withColumn("n_chunks", none)
+    others = narrow.filter(F.col("status") != "ingested").withColumns(
+        {"n_chunks": none, "error": F.lit(None).cast("string")}
+    )
     if any_failed:
         # A copy of a failed document has nothing stored that it could be a duplicate of.
-        same = failed.select("doc_sha256", F.lit(True).alias("_copy"))
+        same = sizes.filter("failed").select(
+            "doc_sha256", F.lit(True).alias("_copy"), F.col("error").alias("_error")
+        )
         wrong = F.col("_copy") & (F.col("status") == "duplicate") & F.col("passing")
-        others = others.join(same, "doc_sha256", "left").withColumn(
-            "status", F.when(wrong, "errors").otherwise(F.col("status"))
-        ).drop("_copy")
+        others = others.join(same, "doc_sha256", "left").withColumns(
+            {
+                "status": F.when(wrong, "errors").otherwise(F.col("status")),
+                "error": F.when(wrong, F.col("_error")),
+            }
+        ).drop("_copy", "_error")
     ingested = (
         narrow.filter(F.col("status") == "ingested")  # one row per hash
         .join(sizes, "doc_sha256", "left")

@@ -17,7 +17,8 @@ from quillvault.sources.events import (
     event_level,
     event_line,
     read_events,
-    read_log,
+    read_last,
+    typed_details,
     write_events,
 )
 from quillvault.sources.shared import fresh_path
@@ -67,7 +68,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts among the last lines of a written log, some of them damaged."""
     path = fresh_path(spark, "events")
     write_events(_damaged(_lines(spark, sf_dir)).orderBy("event_id").select("value"), path)
-    return alert_counters(read_log(spark, path, tail=fv.EVENT_LOG_TAIL))
+    return alert_counters(read_last(spark, path, fv.EVENT_LOG_TAIL))
 
 
 def security_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,15 +68,72 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_log(spark: SparkSession, path: str, tail: int | None = None) -> DataFrame:
-    """Events of a log in line order (``line_number``); of its last ``tail`` lines where given.
-
-    The tail is taken of all lines, then lines that are no JSON object are dropped. An object
-    without an event, or whose detail is no object, stays with null there.
+#: Bytes that are first read from the end of a file; more if its lines are long.
+BLOCK_BYTES = 1 << 20
+#: Names of files that cannot be read from the end.
+PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+BREAK = re.compile(rb"\r\n|\n|\r")
+
+
+def _files_from_the_end(spark: SparkSession, path: str, at_once: int = 256) -> Iterator[tuple[str, int]]:
+    """Files of a log with their bytes, last path first. Their content is not read."""
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    before = None
+    while True:
+        left = listed if before is None else listed.filter(F.col("path") < before)
+        found = left.orderBy(F.desc("path")).limit(at_once).collect()
+        for row in found:
+            yield row["path"], row["length"]
+        if len(found) < at_once:
+            return
+        before = found[-1]["path"]
+
+
+def _last_of_file(spark: SparkSession, file: str, length: int, wanted: int) -> list[bytes]:
+    """The last lines of a file, read block by block from its end until there are enough."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(file)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size, lines = BLOCK_BYTES, []
+    while True:
+        size = min(size, length)
+        stream = files.open(place)
+        try:
+            stream.seek(length - size)
+            raw = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)) if size else b""
+        finally:
+            stream.close()
+        lines = BREAK.split(raw)
+        if not lines[-1]:
+            lines.pop()
+        if size == length:
+            return lines[-wanted:]
+        if len(lines) > wanted:  # the first may have begun before the block
+            return lines[-wanted:]
+        size *= 4
+
+
+def last_lines(spark: SparkSession, path: str, wanted: int) -> list[str]:
+    """The last lines of a log in order, of its files in path order.
+
+    Files are walked from the last one, and each is read from its end, so the time depends on the
+    lines wanted and not on the log. Only files in a packed form are read whole, by Spark.
     """
-    lines = numbered_lines(spark, path)
-    if tail is not None:
-        lines = lines.orderBy(F.desc("line_number")).limit(tail)
+    found: list[bytes] = []
+    for file, length in _files_from_the_end(spark, path):
+        if len(found) >= wanted:
+            break
+        rest = wanted - len(found)
+        if file.lower().endswith(PACKED):
+            last = numbered_lines(spark, file).orderBy(F.desc("line_number")).limit(rest).collect()
+            found = [r["line"].encode() for r in reversed(last)] + found
+        else:
+            found = _last_of_file(spark, file, length, rest) + found
+    return [line.decode("utf-8", "replace") for line in found]
+
+
+def _events_in_order(lines: DataFrame) -> DataFrame:
+    """Events of ``line_number, line``; lines that are no JSON object are dropped."""
     fields = "ts string, level string, event string, component string, request_id string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     row = F.from_json("line", f"{fields}, detail string, _bad string", options)
@@ -88,6 +148,40 @@ def read_log(spark: SparkSession, path: str, tail: int | None = None) -> DataFra
     )
 
 
+def read_log(spark: SparkSession, path: str, tail: int | None = None) -> DataFrame:
+    """Events of a log in line order (``line_number``); of its last ``tail`` lines where given.
+
+    The tail is taken of all lines, then lines that are no JSON object are dropped. An object
+    without an event, or whose detail is no object, stays with null there. All lines are numbered;
+    for the last lines alone, ``read_last`` looks at nothing else.
+    """
+    lines = numbered_lines(spark, path)
+    if tail is not None:
+        lines = lines.orderBy(F.desc("line_number")).limit(tail)
+    return _events_in_order(lines)
+
+
+def read_last(spark: SparkSession, path: str, wanted: int) -> DataFrame:
+    """Events of the last lines of a log, as ``read_log`` with a tail, numbered from 0 within them."""
+    rows = list(enumerate(last_lines(spark, path, wanted)))
+    return _events_in_order(spark.createDataFrame(rows, "line_number bigint, line string").coalesce(1))
+
+
+def typed_details(events: DataFrame) -> DataFrame:
+    """Events of a log (``value``: a line) whose ``detail`` keeps its types, as a ``variant``.
+
+    Numbers, lists and objects within the detail stay what they are; a line that is no JSON object
+    is dropped, a line without detail has null there.
+    """
+    whole = F.try_parse_json("value")
+    read = events.select(F.when(F.ltrim("value").startswith("{"), whole).alias("_event"))
+    fields = ("ts", "level", "event", "component", "request_id")
+    return read.filter(F.col("_event").isNotNull()).select(
+        *(F.try_variant_get("_event", f"$.{f}", "string").alias(f) for f in fields),
+        F.try_variant_get("_event", "$.detail", "variant").alias("detail"),
+    )
+
+
 def stream_events(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.readStream.schema(EVENT_SCHEMA)

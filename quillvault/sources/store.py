@@ -109,10 +109,11 @@ class Store:
         newest = F.max(F.struct(*fields)).alias("c")
         return self._commits().groupBy("batch").agg(newest).select("batch", *(f"c.{f}" for f in fields))
 
-    def read_attempt(self, table: str, batch: str, attempt: str) -> DataFrame:
-        """One table of an attempt that need not be committed."""
-        rows = self._scan(f"{table}/batch={batch}/attempt={attempt}", TABLES[table])
-        return self.spark.createDataFrame([], TABLES[table]) if rows is None else rows
+    def read_attempt(self, table: str, batch: str, attempt: str, *more: str) -> DataFrame:
+        """One table of an attempt that need not be committed, with ``more`` columns of its files."""
+        schema = ", ".join([TABLES[table], *more])
+        rows = self._scan(f"{table}/batch={batch}/attempt={attempt}", schema)
+        return self.spark.createDataFrame([], schema) if rows is None else rows
 
     def _attempts(self, table: str, commits: list[Row]) -> DataFrame:
         """Rows of these commits with ``batch, attempt``. Only their folders are listed."""

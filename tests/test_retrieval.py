@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillvault.operators.cells import CellIndex, nearest_by_cells
+from quillvault.operators.codebooks import estimates, learned
 from quillvault.operators.evaluation import (
     bench_sizes,
     best_size,
@@ -115,6 +116,44 @@ def test_stored_index_answers_again(spark, tmp_path):
     assert 0 < share < 1
 
 
+def test_codes_stand_for_the_nearest_entries():
+    rng = np.random.default_rng(2)
+    rest = rng.normal(size=(600, 10))
+    books = learned(rest, seed=1, part=4, entries=32)
+    assert books.edges == [0, 4, 8, 10] and [len(e) for e in books.entries] == [32] * 3
+    codes = books.encode(rest)
+    for p, (a, b) in enumerate(zip(books.edges, books.edges[1:], strict=False)):
+        far = ((rest[:, None, a:b] - books.entries[p][None]) ** 2).sum(axis=2)
+        assert np.allclose(far[np.arange(600), codes[:, p]], far.min(axis=1))
+    back = np.concatenate([books.entries[p][codes[:, p]] for p in range(3)], axis=1)
+    assert ((rest - back) ** 2).sum() < 0.4 * (rest**2).sum()
+    questions, base = rng.normal(size=(7, 10)), rng.normal(size=7)
+    got = estimates(books.products(questions), base, codes)
+    assert np.allclose(got, base[:, None] + questions @ back.T)
+    few = learned(rest[:5], seed=1, part=4, entries=32)  # fewer vectors than entries
+    assert few.encode(rest).max() < 5
+
+
+def test_approximate_search_compares_few_and_finds_most(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(900, 24)).astype(np.float32)
+    vectors[300:600] = vectors[7]  # a third of all is one vector
+    rows_ = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    c = spark.createDataFrame(rows_, "chunk_id bigint, embedding array<float>").repartition(4)
+    q = c.limit(80).withColumnRenamed("chunk_id", "question_id")
+    index = CellIndex.build(c, str(tmp_path / "index"))
+    assert index.compared_share(4) == 0.1 and index.default_candidates(4) == 90
+    found = index.nearest(q, 4, exact=False, block_rows=100)
+    want = {(r.question_id, r.similarity) for r in nearest_chunks(q, c, 4).collect()}
+    got = {(r.question_id, r.similarity) for r in found.collect()}
+    assert len(want & got) / len(want) >= 0.9
+    assert all(r.rank <= 4 for r in found.collect())
+    again = CellIndex(spark, str(tmp_path / "index")).nearest(q, 4, exact=False, block_rows=100)
+    assert rows(again) == rows(found)
+    least = index.nearest(q, 4, exact=False, candidates=4)
+    assert least.groupBy("question_id").count().filter("count > 4").count() == 0
+
+
 def test_unusable_vectors_are_left_out(spark):
     q, c, qs, cs, _ = frames(spark)
     bad = spark.createDataFrame([(9001, None), (9002, [None] * 8)], "id bigint, embedding array<float>")

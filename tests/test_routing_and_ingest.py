@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
 
-from quillvault.functions.embedding import hashing_embedder, tolerant_embedder
+from quillvault.functions.chunking import reporting_splitter
+from quillvault.functions.embedding import (
+    _in_halves,
+    hashing_embedder,
+    reporting_embedder,
+    tolerant_embedder,
+)
 from quillvault.operators.audit import integrity_report
 from quillvault.operators.bits import bit_maps, key_filter, marked, may_be_in
 from quillvault.operators.gazetteer import entity_mentions, with_entities
@@ -398,6 +404,60 @@ def test_a_failing_model_costs_only_the_texts_it_fails_on(spark):
     assert [(r.question_id, r.context_used) for r in out.outcome.collect()] == [(2, True)]
 
 
+def test_errors_of_any_step_are_told(spark):
+    """A text that the splitter or the model fails on costs itself and its copies, and says why."""
+    calls = []
+
+    def model(texts):
+        calls.append(len(texts))
+        if any("Amazon" in t for t in texts):
+            raise RuntimeError("no rain")
+        return [[1.0] * 16 for _ in texts]
+
+    def split(text, size, overlap):
+        if "EMAIL" in text:
+            raise ValueError("no mail")
+        return [text[i : i + size] for i in range(0, len(text), size - overlap)]
+
+    store, journal = Store(spark, fresh_path(spark, "store")), fresh_path(spark, "journal")
+    rollup = ingest(
+        corpus(spark), store, KEYS, reporting_embedder(model), "one", SETTINGS,
+        reporting_splitter(split), names=None, journal=journal,
+    )
+    got = counts(rollup)
+    assert (got["errors"], got["ingested"], got["duplicate"]) == (3, 1, 1)
+    told = {
+        (e.detail["source_ref"], e.detail["error"], e.level)
+        for e in read_events(spark, journal).collect()
+        if e.event == "doc_error"
+    }
+    assert told == {
+        ("rag12000:0", "no rain", "ERROR"),
+        ("rag12000:1", "no rain", "ERROR"),
+        ("rag12000:5", "no mail", "ERROR"),
+    }
+    stored = store.read("chunks").collect()
+    assert stored and {r.doc_sha256 for r in stored} == {r.doc_sha256 for r in store.read("documents").collect()}
+    assert all(r.embedding and r.content_enc for r in stored)
+
+
+def test_a_failing_batch_is_halved():
+    calls = []
+
+    def embed(texts):
+        calls.append(texts)
+        if "bad" in texts:
+            raise RuntimeError("bad text")
+        return [[float(len(t))] for t in texts]
+
+    texts = [f"t{i}" for i in range(63)] + ["bad"]
+    found = _in_halves(embed, texts)
+    assert [v for v, _ in found] == [[float(len(t))] for t in texts[:-1]] + [None]
+    assert [e for _, e in found] == [None] * 63 + ["bad text"]
+    assert len(calls) == 13  # two a halving, not one a text
+    assert _in_halves(lambda t: t[:1], ["a", "b", "c"])[0] == ("a", None)
+
+
 def test_nothing_of_an_unfinished_attempt_is_visible(spark, monkeypatch):
     store = Store(spark, fresh_path(spark, "store"))
     ingest(corpus(spark, CORPUS[:4]), store, KEYS, MODEL, "one", SETTINGS, names=None)

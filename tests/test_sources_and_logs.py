@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import gzip
 import json
 import os
 
@@ -10,11 +11,15 @@ from pyspark.sql import functions as F
 from quillvault import fixed_values as fv
 from quillvault.operators.audit import alert_counters, by_request, latest, log_tail, recent_queries
 from quillvault.sources.corpus import read_corpus, seeded_sample, write_extract
+from quillvault.sources import events as log_events
 from quillvault.sources.events import (
     event_line,
+    last_lines,
     read_events,
+    read_last,
     read_log,
     stream_events,
+    typed_details,
     write_events,
 )
 from quillvault.sources.shared import fresh_path, scratch, shared_folder, staged
@@ -191,6 +196,69 @@ def test_log_is_read_in_line_order_and_its_tail_taken_first(spark, tmp_path):
     assert read_log(spark, path).count() == 29
 
 
+@pytest.mark.parametrize("block", [1, 7, 64, 1 << 20])
+def test_the_last_lines_are_read_from_the_end(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(log_events, "BLOCK_BYTES", block)
+    folder = tmp_path / "log"
+    folder.mkdir()
+    lines = [json.dumps({"event": f"é{i}", "detail": {"n": "x" * (i % 30)}}, ensure_ascii=False) for i in range(60)]
+    ends = ["\n", "\r\n", "\r", "\n"]
+    for part in range(4):
+        some = lines[15 * part : 15 * part + 15]
+        last = "" if part == 2 else ends[part]
+        (folder / f"part-{part}.txt").write_bytes((ends[part].join(some) + last).encode())
+    (folder / "part-9.txt").write_bytes(b"")
+    (folder / "_SUCCESS").write_bytes(b"")
+    for wanted in (0, 1, 7, 15, 16, 44, 60, 99):
+        assert last_lines(spark, str(folder), wanted) == lines[60 - min(wanted, 60) :]
+    events = read_last(spark, str(folder), 16).orderBy("line_number").collect()
+    assert [e.event for e in events] == [f"é{i}" for i in range(44, 60)]
+
+
+def test_a_packed_file_among_the_last(spark, tmp_path):
+    folder = tmp_path / "log"
+    folder.mkdir()
+    (folder / "a.txt").write_text("1\n2\n3\n")
+    (folder / "b.txt.gz").write_bytes(gzip.compress(b"4\n5\n"))
+    (folder / "c.txt").write_text("6\n")
+    for wanted in range(8):
+        assert last_lines(spark, str(folder), wanted) == list("123456")[6 - min(6, wanted) :]
+
+
+def test_the_time_of_the_last_lines_does_not_depend_on_the_log(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "log"
+    folder.mkdir()
+    for i in range(12):
+        (folder / f"part-{i:02d}.txt").write_text(f'{{"event": "e{i}"}}\n' * 2000)
+    opened = []
+    read = log_events._last_of_file
+
+    def noted(spark, file, length, wanted):
+        opened.append(file[-11:-4])
+        return read(spark, file, length, wanted)
+
+    monkeypatch.setattr(log_events, "_last_of_file", noted)
+    assert read_last(spark, str(folder), 2500).groupBy("event").count().count() == 2
+    assert opened == ["part-11", "part-10"]
+
+
+def test_details_keep_their_types(spark):
+    lines = [
+        '{"event": "a", "level": "INFO", "detail": {"categories": {"IP": 2, "EMAIL": 1}, "list": [1, 2.5], "ok": true}}',
+        '{"event": "b", "detail": [1]}', '{"event": "c"}', "broken {", "[1]", '{"event": "d", "detail": "text"}',
+    ]
+    events = typed_details(spark.createDataFrame([(x,) for x in lines], "value string"))
+    got = events.select(
+        "event",
+        F.try_variant_get("detail", "$.categories", "map<string,int>").alias("categories"),
+        F.try_variant_get("detail", "$.list[1]", "double").alias("second"),
+        F.try_variant_get("detail", "$.ok", "boolean").alias("ok"),
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("a", {"IP": 2, "EMAIL": 1}, 2.5, True), ("b", None, None, None), ("c", None, None, None), ("d", None, None, None),
+    ]
+
+
 def test_streams_into_tables(spark, tmp_path):
     source = str(tmp_path / "in")
     stamp = datetime.datetime(2026, 1, 1)
