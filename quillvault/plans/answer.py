@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillvault.functions.embedding import Embedder, embed_questions
 from quillvault.functions.pii import filter_answers
 from quillvault.operators.audit import with_seal_check
+from quillvault.operators.bits import key_filter, may_be_in
 from quillvault.operators.journal import (
     answer_events,
     as_lines,
@@ -134,8 +135,9 @@ def retrieve(
 def _opened(kept: DataFrame, store: Store, chunks: DataFrame, keys: Keys) -> DataFrame:
     """The kept chunks with source, text and seal check.
 
-    Stored chunks are joined on their own columns. The hashes of few chunks are pushed into the scan
-    as well; chunks are stored in order of their hash, so most row groups are skipped.
+    Stored chunks are joined on their own columns. A filter of the hashes, of fixed size, goes to the
+    scan first, so that encrypted texts that are not asked for are never moved. Few hashes are pushed
+    into the scan instead; chunks are stored in order of their hash, so most row groups are skipped.
     """
     kept = kept.withColumns(
         {
@@ -149,6 +151,10 @@ def _opened(kept: DataFrame, store: Store, chunks: DataFrame, keys: Keys) -> Dat
         chunks = chunks.filter(F.col("doc_sha256").isin(hashes))
         documents = documents.filter(F.col("doc_sha256").isin(hashes))
         kept = F.broadcast(kept)
+    else:
+        maps = staged(key_filter(kept, "doc_sha256"), "asked_for")
+        chunks = may_be_in(chunks, "doc_sha256", maps)
+        documents = may_be_in(documents, "doc_sha256", maps)
     opened = with_seal_check(
         chunks.drop("batch").join(kept, ["doc_sha256", "chunk_index"]), keys.seal, keys.cipher
     )

@@ -142,8 +142,10 @@ def streamed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "dedup")
     for run in ("first", "second"):
         rows = _document_stream(spark, sf_dir)
-        kept = dedup_to_table(rows, "text", path, fresh_path(spark, run), stream=run)
-    return kept.select("doc_sha256")
+        kept = dedup_to_table(
+            rows, "text", path, fresh_path(spark, run), stream=run, order="doc_id"
+        )
+    return kept.select("doc_sha256", "doc_id")
 
 
 def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,7 +220,8 @@ QUERIES = {
     ),
     "stream_dedup": (
         streamed_dedup,
-        f"SELECT DISTINCT {sql.content_hash('text')} AS doc_sha256 FROM documents",
+        f"""SELECT {sql.content_hash('text')} AS doc_sha256, min(doc_id) AS doc_id
+        FROM documents GROUP BY doc_sha256""",
     ),
     "stream_alerts": (
         streamed_alerts,

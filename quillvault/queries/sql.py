@@ -121,3 +121,63 @@ def hashed_vectors(source: str, key: str, text: str, prefix: str, dim: int) -> s
             FROM (SELECT {key}, unnest(regexp_extract_all(lower('{prefix}' || {text}),
                   '[\\p{{L}}\\p{{N}}]+')) AS w FROM {source}))
       GROUP BY {key}, b"""
+
+
+def recursive_chunks(source: str, size: int, overlap: int) -> str:
+    """Chunks of the recursive splitter for ``doc_id, text`` of ``source``.
+
+    Texts are cut at the first separator that they hold, pieces of ``size`` and more again at a finer
+    one, four times at most. Short neighbours in one cut are packed: where a chunk ends and where the
+    next begins follow from the places of the pieces, so each step is a look-up.
+    """
+    breaks = ("chr(10) || chr(10)", "chr(10)", "' '")
+    held = " ".join(
+        f"WHEN level <= {i} AND contains(text, {b}) THEN {i}" for i, b in enumerate(breaks)
+    )
+    signs = " ".join(f"WHEN {i} THEN {b}" for i, b in enumerate(breaks))
+    ctes = [
+        f"n0 AS (SELECT doc_id, 0 AS base, text, 0 AS level FROM {source} "
+        "WHERE text IS NOT NULL AND text <> '')"
+    ]
+    for d in range(4):
+        if d:
+            ctes.append(
+                f"""n{d} AS (SELECT doc_id, start AS base, piece AS text, level + 1 AS level
+                FROM p{d - 1} WHERE len >= {size} AND level < 3)"""
+            )
+        ctes.append(
+            f"""l{d} AS (SELECT doc_id, base, text, CASE {held} ELSE 3 END AS level FROM n{d}),
+          s{d} AS (SELECT doc_id, base, level, CASE level {signs} ELSE '' END AS sep,
+            string_split(text, sep) AS parts FROM l{d}),
+          u{d} AS (SELECT doc_id, base, level, sep, unnest(parts) AS part,
+            generate_subscripts(parts, 1) AS i FROM s{d}),
+          c{d} AS (SELECT doc_id, base, level, i, CASE WHEN i = 1 THEN part ELSE sep || part END AS piece
+            FROM u{d}),
+          p{d} AS (SELECT doc_id, base AS node, level, piece, length(piece) AS len, CAST(base - length(piece)
+            + sum(length(piece)) OVER (PARTITION BY doc_id, base ORDER BY i) AS BIGINT) AS start
+            FROM c{d} WHERE piece <> '')"""
+        )
+    every = " UNION ALL ".join(
+        f"SELECT doc_id, {d} AS depth, node, start, len, len >= {size} AS long, level FROM p{d}"
+        for d in range(4)
+    )
+    return f"""WITH RECURSIVE {", ".join(ctes)},
+      marked AS (SELECT *, count_if(long) OVER (PARTITION BY doc_id, depth, node ORDER BY start) AS run
+        FROM ({every})),
+      piece AS MATERIALIZED (SELECT doc_id || ':' || depth || ':' || node || ':' || run AS k, doc_id,
+        start, start + len AS stop FROM marked WHERE NOT long),
+      cut AS (SELECT f.k, f.doc_id, f.start AS f, e.start AS e,
+        greatest(e.start - {overlap}, e.stop - {size}) AS bound
+        FROM piece f ASOF LEFT JOIN piece e ON f.k = e.k AND f.start + {size} < e.stop),
+      step AS MATERIALIZED (SELECT c.k, c.doc_id, c.f, c.e, g.start AS next
+        FROM cut c ASOF LEFT JOIN piece g ON c.k = g.k AND c.bound <= g.start),
+      run_ends AS (SELECT k, min(start) AS f, max(stop) AS stop FROM piece GROUP BY k),
+      walk AS (SELECT k, f FROM run_ends UNION ALL SELECT s.k, s.next FROM walk w
+        JOIN step s ON s.k = w.k AND s.f = w.f WHERE s.e IS NOT NULL),
+      chunk AS (SELECT s.doc_id, s.f, coalesce(s.e, r.stop) AS stop
+        FROM walk JOIN step s USING (k, f) JOIN run_ends r USING (k)
+        UNION ALL SELECT doc_id, start, start + len FROM marked WHERE long AND level = 3),
+      stripped AS (SELECT doc_id, f, regexp_replace(regexp_replace(substr(text, f + 1, stop - f),
+        '^{SPACES}+', ''), '{SPACES}+\\z', '') AS content FROM chunk JOIN {source} USING (doc_id))
+      SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY f) - 1 AS INTEGER) AS chunk_index,
+        content FROM stripped WHERE content <> ''"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,17 +95,30 @@ def shuffle_key(seed: int, identifier: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}:"), identifier.cast("string")), 256)
 
 
+def smallest_keys(keyed: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows among which the ``n`` smallest keys are; keys are evenly spread hexadecimal digests.
+
+    A key below the share that ``n`` has of all rows, with room of several standard deviations, is
+    kept; in the one case in millions that too few are, all rows are.
+    """
+    rows = keyed.count()
+    room = n + 8 * math.isqrt(n) + 16
+    if room >= rows:
+        return keyed
+    few = staged(keyed.filter(F.col(key) < f"{room * 16**15 // rows:015x}"), "smallest")
+    return few if few.count() >= n else keyed
+
+
 def seeded_sample(df: DataFrame, identifier: str, n: int, seed: int) -> DataFrame:
     """The first ``n`` rows in seeded order, with their 0-based place as ``sample_ord``.
 
-    ``identifier`` is unique. A distributed sort of the ids alone numbers them; the rows then join
-    the ids chosen, so no full row is sorted.
+    ``identifier`` is unique. A threshold leaves little more than the rows wanted; a distributed sort
+    of their ids numbers them, and the rows then join the ids chosen, so no full row is sorted.
     """
     key = shuffle_key(seed, F.col(identifier))
+    keyed = smallest_keys(df.select(identifier, key.alias("_key")), "_key", n)
     ordered = staged(
-        df.select(identifier, key.alias("_key"))
-        .orderBy("_key", identifier)
-        .select(
+        keyed.orderBy("_key", identifier).select(
             identifier,
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().alias("_place"),

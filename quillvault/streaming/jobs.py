@@ -13,8 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from quillvault import fixed_values as fv
 from quillvault.functions.embedding import Embedder
 from quillvault.functions.text import with_content_hash
+from quillvault.operators.bits import bit_maps, marked
+from quillvault.operators.routing import placed
 from quillvault.plans.ingest import Keys, ingest
 from quillvault.settings import Settings
+from quillvault.sources.shared import scratch, staged
 from quillvault.sources.store import Store
 
 
@@ -123,12 +126,18 @@ def alerts_to_table(
 
 
 def dedup_to_table(
-    rows: DataFrame, text: str, path: str, checkpoint: str, stream: str = "stream"
+    rows: DataFrame,
+    text: str,
+    path: str,
+    checkpoint: str,
+    stream: str = "stream",
+    order: str | None = None,
 ) -> DataFrame:
     """Store the rows of a stream whose content hash is not stored yet, and return what is stored.
 
     Known hashes are looked up in the table, so no state grows with the corpus. Of equal rows in one
-    batch any one is stored. A batch that is run again replaces its own folder; ``stream`` keeps the
+    batch that of the smallest ``order`` is stored, or any one without it. Only hashes are shuffled;
+    each row learns where it is whether it is stored. A batch that is run again replaces its own folder; ``stream`` keeps the
     batches of different streams into one table apart.
     """
     spark = rows.sparkSession
@@ -146,8 +155,14 @@ def dedup_to_table(
     def run(batch: DataFrame, batch_id: int) -> None:
         name = f"{stream}-{batch_id}"
         known = stored().filter(F.col("batch") != name).select("doc_sha256")
-        fresh = batch.dropDuplicates(["doc_sha256"]).join(known, "doc_sha256", "left_anti")
-        fresh.select(*hashed.columns).write.mode("overwrite").parquet(f"{path}/batch={name}")
+        with scratch(batch.sparkSession):
+            held = staged(placed(batch), "batch")
+            by = F.struct(*([order] if order else []), "_place")
+            first = held.groupBy("doc_sha256").agg(F.min_by("_place", by).alias("_place"))
+            fresh = first.join(known, "doc_sha256", "left_anti")
+            maps = staged(bit_maps(fresh, "_place"), "fresh")
+            kept = marked(held, maps, "_place", "_fresh").filter("_fresh")
+            kept.select(*hashed.columns).write.mode("overwrite").parquet(f"{path}/batch={name}")
 
     hashed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(
         availableNow=True

@@ -6,6 +6,7 @@ import math
 import random
 import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from quillvault import fixed_values as fv
 from quillvault.functions.chunking import char_windows, recursive_chunks, split_recursively
 from quillvault.functions.embedding import checked, cosine, embed_documents, hashing_embedder
 from quillvault.functions.integrity import decrypt, encrypt, seal, seal_matches, vector_bytes
+from quillvault.queries import sql
 
 KEY = b"integrity key for the tests"
 VECTOR = [0.1, -0.2, 0.30000001, 4.5e-3, -1.0, 0.0, 123.456, -7.89]
@@ -190,3 +192,19 @@ def test_cosine(spark):
     rows = df.select(cosine(F.col("a"), F.col("b")).alias("c")).collect()
     assert rows[0].c == pytest.approx(1 / math.sqrt(2))
     assert rows[1].c is None
+
+
+@pytest.mark.parametrize("size, overlap", [(20, 5), (30, 10), (12, 11)])
+def test_the_equivalent_sql_of_the_recursive_splitter(size, overlap):
+    rnd = random.Random(size)
+    parts = ["a", "bb", "ccc ", "\n", "\n\n", " ", "  ", "dddddd", "\t", "é", "x" * 30]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 60))) for _ in range(200)]
+    texts += ["z" * 100, "", " ", "\n\n\n\n\n", "q" * 35 + " " + "r" * 50]
+    db = duckdb.connect()
+    db.sql("CREATE TABLE t (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
+    got = db.sql(sql.recursive_chunks("t", size, overlap)).fetchall()
+    want = [
+        (i, j, c) for i, t in enumerate(texts) for j, c in enumerate(split_recursively(t, size, overlap))
+    ]
+    assert sorted(got) == want

@@ -23,6 +23,7 @@ from quillvault.operators.bits import bit_maps, key_filter, marked, may_be_in
 from quillvault.operators.gazetteer import entity_mentions, with_entities
 from quillvault.operators.journal import as_lines, ingest_events, retrieval_events
 from quillvault.operators.routing import new_rows, prepared, statuses
+from quillvault.plans import answer as answer_plan
 from quillvault.plans import joins
 from quillvault.plans.answer import build_prompts, retrieve, safe_answers, split_requests
 from quillvault.plans.benchmark import benchmark_sizes, read_sized_chunks
@@ -294,6 +295,23 @@ def test_retrieve_prompts_and_answers(spark, filled):
     }
 
 
+def test_many_hits_are_fetched_through_a_filter(spark, filled, monkeypatch):
+    store, _ = filled
+    questions = spark.createDataFrame(
+        [(i, q) for i, q in enumerate(["The Amazon rainforest", "Mail me", "A text"])],
+        "question_id bigint, question string",
+    )
+    settings = Settings(embed_dim=16, sim_threshold=0.1)
+
+    def context():
+        got = retrieve(questions, store, KEYS, MODEL, settings)
+        return sorted(tuple(r) for r in got.context.select("question_id", "chunk_id", "source_ref", "content").collect())
+
+    few = context()
+    monkeypatch.setattr(answer_plan, "PUSHED_HASHES", 1)
+    assert context() == few and len(few) > 4
+
+
 def test_tampered_chunks_are_dropped_without_a_below_threshold_event(spark):
     store = Store(spark, fresh_path(spark, "store"))
     ingest(corpus(spark, CORPUS[:1]), store, KEYS, MODEL, "one", SETTINGS, names=None)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillvault import fixed_values as fv
 from quillvault.operators.audit import alert_counters, by_request, latest, log_tail, recent_queries
-from quillvault.sources.corpus import read_corpus, seeded_sample, write_extract
+from quillvault.sources.corpus import read_corpus, seeded_sample, smallest_keys, write_extract
 from quillvault.sources import events as log_events
 from quillvault.sources.events import (
     event_line,
@@ -81,6 +81,21 @@ def test_sample_depends_on_seed_only(spark):
     assert sorted(places) == list(range(20))
 
 
+@pytest.mark.parametrize("n", [1, 3, 150, 1999, 2000])
+def test_a_threshold_finds_the_smallest_keys(spark, n):
+    keyed = spark.range(2000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("k"))
+    kept = smallest_keys(keyed, "k", n)
+    ordered = [r.id for r in keyed.orderBy("k", "id").limit(n).collect()]
+    assert [r.id for r in kept.orderBy("k", "id").limit(n).collect()] == ordered
+    if n == 150:
+        assert kept.count() < 400
+
+
+def test_too_low_a_threshold_costs_nothing_but_time(spark):
+    keyed = spark.range(3000).select("id", F.lit("f" * 64).alias("k"))  # as uneven as can be
+    assert smallest_keys(keyed, "k", 5).count() == 3000
+
+
 def test_extract(spark):
     df = spark.createDataFrame(
         [(i, f"c{i}", f"q{i}", f"a{i}") for i in range(10)], "id int, context string, question string, answer string"
