@@ -291,11 +291,16 @@ def linked_in_tile(rows: list[dict], pairs: list[tuple[int, int]], width: int, c
     return [(int(tile.gids[k]), int(links[k]), int(tile.gids[lab[k]])) for k in seen]
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """``x`` by a power of two, its largest component near 1: no product overflows, none is rounded."""
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
+
+
 def exact_cosine(a: bytes, b: bytes) -> float:
     """Correctly rounded sums, for pairs at the limit."""
     if len(a) != len(b):
         return 0.0
-    x, y = np.frombuffer(a), np.frombuffer(b)
+    x, y = scaled(np.frombuffer(a)), scaled(np.frombuffer(b))
     dot = math.fsum((x * y).tolist())
     return dot / math.sqrt(math.fsum((x * x).tolist()) * math.fsum((y * y).tolist()))
 

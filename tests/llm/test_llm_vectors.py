@@ -102,3 +102,18 @@ def test_only_distant_intervals_are_skipped(spark):
     got = {(r.a, r.b) for r in close_intervals(df, 1.5, 2).collect()}
     assert got == {(a[0], b[0]) for a in boxes for b in boxes if a[0] <= b[0] and gap(a, b) <= 1.5}
     assert len(got) < 600
+
+
+def test_pairs_of_huge_and_tiny_vectors_at_the_limit():
+    """Products of components beyond 1e154 leave the doubles; the cosine does not."""
+    from quillvault.llm.embeddings import exact_cosine
+
+    rng = np.random.default_rng(9)
+    for _ in range(50):
+        x, y = rng.normal(size=(2, 12))
+        want = exact_cosine(x.tobytes(), y.tobytes())
+        for up, down in ((2.0**900, 2.0**900), (2.0**1000, 2.0**-900), (2.0**-700, 2.0**-700)):
+            assert exact_cosine((x * up).tobytes(), (y * down).tobytes()) == want
+        assert abs(want - x @ y / np.linalg.norm(x) / np.linalg.norm(y)) < 1e-12
+    big = np.array([1e300, -1e300, 1e-300])
+    assert exact_cosine(big.tobytes(), big.tobytes()) == pytest.approx(1.0, abs=1e-15)
