@@ -9,6 +9,7 @@ prefix before it. The count of any prefix, the cut for any budget and the total
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -65,6 +66,7 @@ class PrefixCounter:
         self.ending.make_automaton()
         self.follows: dict[int, bool] = {}
         self.totals = Totals(self.prefixes)
+        self.last: TextPrefixes | None = None
 
     def may_follow(self, last: int, token: int) -> bool:
         """Whether encoding the two together leaves both as they are."""
@@ -112,8 +114,10 @@ class PrefixCounter:
         )
 
     def count_at(self, text: str, chars: int) -> int:
-        """Tokens of the first ``chars`` characters, from the tables."""
-        return self.count(text[:chars])
+        """Tokens of the first ``chars`` characters, from the tables of the text."""
+        if self.last is None or self.last.text != text:
+            self.last = TextPrefixes(self, text)
+        return self.last.count_at(chars)
 
     def pieces(self, text: str) -> Iterator[tuple[str, int, bool]]:
         """Pieces and special tokens in order with their token counts, as far as asked for."""
@@ -147,7 +151,7 @@ class PrefixCounter:
         return at
 
     def _fit_piece(self, piece: str, special: bool, budget: int) -> int:
-        if not special and piece[0] != "'" and not piece.isspace():
+        if not special and piece[0] != "'":
             counts = self.prefixes(visible(piece))
             ends = [0, *accumulate(len(c.encode("utf-8")) for c in piece)]
             return max(n for n, end in enumerate(ends) if counts[end] <= budget)
@@ -156,6 +160,38 @@ class PrefixCounter:
         )
 
 
+class TextPrefixes:
+    """Token counts of all prefixes of one text: sums at its pieces, and tables of pieces that are cut.
+
+    A piece never depends on what follows it but for white space, apostrophes and special tokens;
+    where one of these is cut, the text from the piece before on is counted anew.
+    """
+
+    def __init__(self, counter: PrefixCounter, text: str):
+        self.counter, self.text = counter, text
+        self.found = []
+        self.ends = [0]
+        self.sums = [0]
+        for piece, n, special in counter.pieces(text):
+            self.found.append((piece, special))
+            self.ends.append(self.ends[-1] + len(piece))
+            self.sums.append(self.sums[-1] + n)
+
+    def count_at(self, chars: int) -> int:
+        i = bisect_left(self.ends, chars)
+        if i == len(self.ends):
+            return self.sums[-1]
+        if self.ends[i] == chars and not (i and self.found[i - 1][0].isspace()):
+            return self.sums[i]
+        cut = i - 1
+        piece, special = self.found[cut]
+        head = self.text[self.ends[cut] : chars]
+        if special or piece[0] == "'" or head.isspace():
+            before = max(0, cut - 1)
+            return self.sums[before] + self.counter.count(self.text[self.ends[before] : chars])
+        return self.sums[cut] + self.counter.prefixes(visible(piece))[len(head.encode("utf-8"))]
+
+
 @lru_cache(maxsize=2)
 def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
