@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -87,6 +87,37 @@ def windowed_alerts(
     )
 
 
+_COUNTS = "window_start timestamp, event string, n bigint"
+
+
+def _parts(spark: SparkSession, path: str) -> DataFrame:
+    """Counts of a folder with their ``batch``; none if there is no such folder yet."""
+    schema = f"{_COUNTS}, batch bigint"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _newest(parts: DataFrame) -> DataFrame:
+    """The rows of the newest batch."""
+    last = parts.agg(F.max("batch")).first()[0]
+    return parts.filter(F.col("batch") == F.lit(last)).drop("batch")
+
+
+def zero_filled(counts: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Every window of ``window_start, event, n`` with all ``names``, zero where none came."""
+    every = counts.groupBy("window_start").agg(
+        F.map_from_entries(F.collect_list(F.struct("event", "n"))).alias("counts")
+    )  # at most one entry per name
+    name = F.explode(F.array(*[F.lit(n) for n in names]))
+    return every.withColumn("event", name).select(
+        "window_start", "event", F.coalesce(F.col("counts")[F.col("event")], F.lit(0)).alias("n")
+    )
+
+
 def alerts_to_table(
     events: DataFrame,
     path: str,
@@ -97,31 +128,40 @@ def alerts_to_table(
 ) -> DataFrame:
     """Run ``windowed_alerts`` over all available input; ``window_start, event, n``.
 
-    Every batch writes the counts it has changed into a folder of its own, so open windows are there
-    as well, and a batch that is run again replaces its output. Every window with an alert has all
-    ``names``, zero where none came.
+    Windows that no row can reach any more are written once, to ``closed``. The others are a small
+    table of their own for every batch (``open``): that of the batch before, and what the batch has
+    changed. So a batch reads open windows only, a reader adds the newest ``open`` to ``closed``, and
+    a batch that is run again replaces its output. Every window with an alert has all ``names``,
+    zero where none came.
     """
     spark = events.sparkSession
     counts = windowed_alerts(events, names, window, lateness)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        session = batch.sparkSession
+        before = _newest(_parts(session, f"{path}/open").filter(F.col("batch") < batch_id))
+        known = before.withColumn("_fresh", F.lit(False)).unionByName(
+            batch.withColumn("_fresh", F.lit(True))
+        )
+        with scratch(session):
+            now = known.groupBy("window_start", "event").agg(F.max_by("n", "_fresh").alias("n"))
+            now = staged(zero_filled(now, names), "alerts")
+            # Rows may be late by ``lateness`` behind the newest event of the batch before, which is
+            # no older than this; the engine itself drops late rows one batch later.
+            edge = F.col("last") - F.expr(f"INTERVAL {lateness}") - F.expr(f"INTERVAL {window}")
+            last = before.agg(F.max("window_start").alias("last"))
+            edge = last.select(edge.alias("edge")).first()["edge"]
+            closed = F.lit(False) if edge is None else F.col("window_start") <= F.lit(edge)
+            for name, part in (("open", ~closed), ("closed", closed)):
+                now.filter(part).coalesce(1).write.mode("overwrite").parquet(
+                    f"{path}/{name}/batch={batch_id}"
+                )
 
     counts.writeStream.outputMode("update").foreachBatch(run).option(
         "checkpointLocation", checkpoint
     ).trigger(availableNow=True).start().awaitTermination()
-    written = spark.read.schema("window_start timestamp, event string, n bigint, batch bigint")
-    newest = (
-        written.parquet(path)
-        .groupBy("window_start", "event")
-        .agg(F.max_by("n", "batch").alias("n"))
-    )
-    every = newest.groupBy("window_start").agg(
-        F.map_from_entries(F.collect_list(F.struct("event", "n"))).alias("counts")
-    )  # at most one entry per name
-    name = F.explode(F.array(*[F.lit(n) for n in names]))
-    return every.withColumn("event", name).select(
-        "window_start", "event", F.coalesce(F.col("counts")[F.col("event")], F.lit(0)).alias("n")
+    return _parts(spark, f"{path}/closed").drop("batch").unionByName(
+        _newest(_parts(spark, f"{path}/open"))
     )
 
 

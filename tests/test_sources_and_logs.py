@@ -4,6 +4,7 @@ import datetime
 import gzip
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -301,6 +302,43 @@ def test_streams_into_tables(spark, tmp_path):
     assert again.count() == 3
 
 
+def test_open_windows_stay_few_over_many_batches(spark, tmp_path):
+    """Closed windows are written once; what a batch reads does not grow with the batches."""
+    rnd, start = random.Random(4), datetime.datetime(2024, 1, 1)
+    names, want = ("a", "b"), {}
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for part in range(14):
+        rows = []
+        for _ in range(20):
+            # Up to 50 s behind the newest event of the batch before: late, but not too late.
+            at = start + datetime.timedelta(seconds=120 * part + rnd.randint(-50, 119))
+            name = rnd.choice(["a", "b", "other"])
+            rows.append({"ts": at.isoformat(), "event": name})
+            if name != "other":
+                key = at.replace(second=30 * (at.second // 30)), name
+                want[key] = want.get(key, 0) + 1
+        rows.append({"ts": (start + datetime.timedelta(seconds=120 * part + 119)).isoformat(), "event": "a"})
+        key = start + datetime.timedelta(seconds=120 * part + 90), "a"
+        want[key] = want.get(key, 0) + 1
+        path = folder / f"part-{part:02d}.json"
+        path.write_text("\n".join(map(json.dumps, rows)))
+        os.utime(path, (1_700_000_000 + part, 1_700_000_000 + part))
+    stream = (
+        spark.readStream.schema("ts timestamp, event string")
+        .option("maxFilesPerTrigger", 1)
+        .json(str(folder))
+    )
+    table = str(tmp_path / "table")
+    out = alerts_to_table(stream, table, str(tmp_path / "seen"), names, lateness="1 minute")
+    got = [(r.window_start, r.event, r.n) for r in out.collect()]
+    windows = {w for w, _ in want}
+    assert sorted(got) == sorted((w, n, want.get((w, n), 0)) for w in windows for n in names)
+    sizes = {r.batch: r["count"] for r in spark.read.parquet(f"{table}/open").groupBy("batch").count().collect()}
+    assert len(sizes) >= 14 and max(sizes.values()) <= 2 * 14  # windows of three batches at most
+    assert spark.read.parquet(f"{table}/closed").count() > len(got) / 2
+
+
 def test_staged_tables_are_emptied(spark):
     with scratch(spark):
         table = staged(spark.range(50), "some")
