@@ -2,17 +2,19 @@
 
 Scores come from matrix products over Arrow batches, so no table of question-chunk pairs exists.
 Each task keeps the ``k`` best chunks per question it has seen, and a window ranks what the tasks
-kept. Similarities are rounded to nine digits before ranking; equal ones rank by chunk id.
+kept. Similarities are rounded to nine digits before ranking; equal ones rank by chunk id. Questions
+that are too many for every task meet the chunks in a grid of parts of bounded size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quillvault import fixed_values as fv
 from quillvault.functions.pii import text_urls
@@ -21,9 +23,14 @@ from quillvault.sources.shared import staged
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 TILE = 512  # questions and
-BLOCK = 8192  # chunks per matrix product, which bounds its memory
+BLOCK = 2048  # chunks per matrix product, which bounds its memory
 DIGITS = 9
-
+#: Questions or chunks in a part of a grid, at most.
+PART_ROWS = 65_536
+#: Questions in a part, at least, where more parts would only keep more cores busy.
+LEAST_ROWS = 512
+#: Partitions that the pairs of parts are dealt to, at most.
+MOST_PAIRS = 4096
 
 
 def found_schema(chunks: DataFrame, space: str) -> str:
@@ -46,6 +53,59 @@ def usable_vector(column: str) -> Column:
     return F.col(column).isNotNull() & ~F.exists(column, lambda x: x.isNull())
 
 
+class Best:
+    """The ``k`` best places for each of ``n`` questions: high similarity first, then low place.
+
+    ``least`` are similarities that a place must reach (NaN: none).
+    """
+
+    def __init__(self, n: int, k: int, least: np.ndarray | None = None) -> None:
+        self.k = k
+        self.scores = np.full((n, k), -np.inf)
+        self.places = np.full((n, k), np.iinfo(np.int64).max)
+        self.limit = np.full(n, -np.inf) if least is None else np.nan_to_num(least, nan=-np.inf)
+
+    def compare(
+        self, rows: np.ndarray, questions: np.ndarray, places: np.ndarray, vectors: np.ndarray
+    ) -> None:
+        """Compare the questions ``rows`` with vectors, whose places ascend.
+
+        Only what reaches the k-th similarity so far is rounded and sorted, at most ``k`` a question.
+        """
+        scores = questions @ vectors.T
+        near = scores >= (self.limit[rows] - 10.0**-DIGITS)[:, None]
+        many = np.count_nonzero(near, axis=1) > self.k
+        if many.any():
+            near[many] = _chosen(scores[many], self.k)
+        row, column = np.nonzero(near)
+        if len(row):
+            self._merge(rows, row, np.round(scores[row, column], DIGITS), places[column])
+
+    def _merge(
+        self, rows: np.ndarray, row: np.ndarray, scores: np.ndarray, places: np.ndarray
+    ) -> None:
+        found = np.unique(row)
+        kept = rows[found]
+        row = np.concatenate([np.repeat(found, self.k), row])
+        scores = np.concatenate([self.scores[kept].ravel(), scores])
+        places = np.concatenate([self.places[kept].ravel(), places])
+        order = np.lexsort((places, -scores, row))
+        first = np.searchsorted(row[order], found)  # every question has k entries at least
+        best = order[first[:, None] + np.arange(self.k)]
+        self.scores[kept], self.places[kept] = scores[best], places[best]
+        self.limit[kept] = np.maximum(self.limit[kept], self.scores[kept, -1])
+
+    def table(self, question_ids: np.ndarray, ids: np.ndarray) -> pa.Table:
+        row, column = np.nonzero(np.isfinite(self.scores))
+        return pa.table(
+            {
+                "question_id": question_ids[row],
+                "chunk_id": ids[self.places[row, column]],
+                "similarity": self.scores[row, column],
+            }
+        )
+
+
 def best_of(
     question_ids: np.ndarray, questions: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> pa.Table:
@@ -54,35 +114,25 @@ def best_of(
     ids, vectors = ids[order], vectors[order]
     tables = []
     for at in range(0, len(question_ids), TILE):
-        asked = question_ids[at : at + TILE]
-        found = [
-            _tile(asked, questions[at : at + TILE], ids[b : b + BLOCK], vectors[b : b + BLOCK], k)
-            for b in range(0, len(ids), BLOCK)
-        ]
-        tables.append(found[0] if len(found) == 1 else _keep_best(found, k))
+        asked = questions[at : at + TILE]
+        best = Best(len(asked), k)
+        for b in range(0, len(ids), BLOCK):
+            places = np.arange(b, min(b + BLOCK, len(ids)))
+            best.compare(np.arange(len(asked)), asked, places, vectors[b : b + BLOCK])
+        tables.append(best.table(question_ids[at : at + TILE], ids))
     return pa.concat_tables(tables)
 
 
-def _tile(
-    question_ids: np.ndarray, questions: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> pa.Table:
-    """One block of scores; ``ids`` ascend, so among equal scores the leftmost ones win."""
-    scores = np.round(questions @ vectors.T, DIGITS)
+def _chosen(scores: np.ndarray, k: int) -> np.ndarray:
+    """Which ``k`` of a row of scores are its best; among equal ones the leftmost."""
+    scores = np.round(scores, DIGITS)
     scores[np.isnan(scores)] = -np.inf
     keep = min(k, scores.shape[1])
     limit = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1 : keep]
     above = scores > limit
     tied = scores == limit
     room = keep - above.sum(axis=1, keepdims=True)
-    chosen = (above | (tied & (np.cumsum(tied, axis=1) <= room))) & np.isfinite(scores)
-    row, column = np.nonzero(chosen)
-    return pa.table(
-        {
-            "question_id": question_ids[row],
-            "chunk_id": ids[column],
-            "similarity": scores[row, column],
-        }
-    )
+    return (above | (tied & (np.cumsum(tied, axis=1) <= room))) & np.isfinite(scores)
 
 
 def _keep_best(found: list[pa.Table], k: int) -> pa.Table:
@@ -110,7 +160,7 @@ def nearest_chunks(
     chunk id may be a number or a string.
     ``within`` names an integer column of chunks; each of its values is searched separately.
     Questions of checked size go to every task and the chunks are not shuffled. More questions
-    than that are cut into groups of that size, with one pass over the chunks each.
+    than that meet the chunks in a grid of parts, nothing of which goes through the driver.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -127,7 +177,7 @@ def nearest_chunks(
     if size["n"] <= group_rows:
         found = _by_broadcast(questions, chunks, k, space)
     else:
-        found = _by_passes(questions, chunks, k, space, -(-size["n"] // group_rows))
+        found = _by_grid(questions, chunks, k, space, size["n"])
     best = ranked(found, k, space)
     return best if within else best.drop("_all")
 
@@ -161,19 +211,76 @@ def _by_broadcast(questions: DataFrame, chunks: DataFrame, k: int, space: str) -
     return chunks.mapInArrow(search, found_schema(chunks, space))
 
 
-def _by_passes(
-    questions: DataFrame, chunks: DataFrame, k: int, space: str, groups: int
+def _by_grid(questions: DataFrame, chunks: DataFrame, k: int, space: str, n: int) -> DataFrame:
+    """Every part of the questions is compared with every part of the chunks, in a task of its own."""
+    chunks = staged(chunks, "chunks")  # counted and dealt, but made only once
+    parts = parts_of(chunks.count())
+
+    def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        question_ids, vectors = np.asarray(asked["question_id"]), matrix(asked["embedding"])
+        spaces, ids = np.asarray(stored[space]), np.asarray(stored["chunk_id"])
+        rows = matrix(stored["embedding"])
+        tables = []
+        for value in np.unique(spaces):
+            here = spaces == value
+            best = best_of(question_ids, vectors, ids[here], rows[here], k)
+            marks = pa.array([value] * len(best), pa.int32())
+            tables.append(best.append_column(space, marks))
+        return pa.concat_tables(tables)
+
+    return met_in_parts(
+        questions.select("question_id", "embedding").withColumn("_part", every_part(parts)),
+        chunks.withColumn("_part", dealt("chunk_id", parts)),
+        groups_of(questions, n, parts),
+        parts,
+        search,
+        found_schema(chunks, space),
+    )
+
+
+def parts_of(n: int, most: int = PART_ROWS) -> int:
+    return max(1, -(-n // most))
+
+
+def groups_of(questions: DataFrame, n: int, parts: int) -> int:
+    """Parts of ``n`` questions: of bounded size, and enough to keep all cores busy."""
+    cores = questions.sparkSession.sparkContext.defaultParallelism
+    busy = min(-(-2 * cores // parts), parts_of(n, LEAST_ROWS))
+    return max(parts_of(n), busy)
+
+
+def dealt(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def every_part(parts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+
+def met_in_parts(
+    asked: DataFrame,
+    stored: DataFrame,
+    groups: int,
+    parts: int,
+    search: Callable[[pa.Table, pa.Table], pa.Table],
+    schema: str,
 ) -> DataFrame:
-    """One pass over the chunks per group of questions; neither side is copied or shuffled.
+    """What ``search`` finds for every pair of a part of the questions and a part of the chunks.
 
-    Every pass stores the few rows it has found, so only one group is on the driver at a time.
+    ``_part`` names the part of a chunk, and the part of the chunks that a row of ``asked`` is meant
+    for. Questions are dealt to ``groups`` parts; each of them gets the chunks once.
     """
-    group = F.pmod(F.xxhash64("question_id"), F.lit(groups))
-    out = None
-    for g in range(groups):
-        found = staged(_by_broadcast(questions.filter(group == g), chunks, k, space), "pass")
-        out = found if out is None else out.unionByName(found)
-    return out
+    keys = ["_group", "_part"]
+    pairs = min(MOST_PAIRS, groups * parts)
+    left = asked.withColumn("_group", dealt("question_id", groups)).repartition(pairs, *keys)
+    right = stored.withColumn("_group", every_part(groups)).repartition(pairs, *keys)
+    target = asked.sparkSession.createDataFrame([], schema).schema
+    empty = to_arrow_schema(target).empty_table()
+
+    def found(one: pa.Table, other: pa.Table) -> pa.Table:
+        return search(one, other) if len(one) and len(other) else empty
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(found, target)
 
 
 def above_threshold(found: DataFrame, threshold: float) -> DataFrame:

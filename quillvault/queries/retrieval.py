@@ -94,7 +94,7 @@ def topk_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same search in passes, as for more questions than fit in memory."""
+    """The same search as a grid of parts, as for more questions than go to every task."""
     return _rounded(
         nearest_chunks(
             _questions(spark, sf_dir),
