@@ -33,6 +33,11 @@ class Codebooks(NamedTuple):
             codes[:, p] = _nearest(rest[:, a:b], self.entries[p])
         return codes
 
+    def decoded(self, codes: np.ndarray) -> np.ndarray:
+        """The rests that codes stand for, in single precision."""
+        parts = [e.astype(np.float32)[codes[:, p]] for p, e in enumerate(self.entries)]
+        return np.concatenate(parts, axis=1)
+
     def products(self, questions: np.ndarray) -> list[np.ndarray]:
         """Tables ``[question, entry]``, one a part."""
         spans = zip(self.edges, self.edges[1:], strict=False)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillvault.operators import cells, retrieval
 from quillvault.operators.cells import CellIndex, nearest_by_cells
 from quillvault.operators.codebooks import estimates, learned
 from quillvault.operators.evaluation import (
@@ -15,6 +16,7 @@ from quillvault.operators.evaluation import (
     truth_questions,
 )
 from quillvault.operators.retrieval import (
+    Best,
     above_threshold,
     allowed_sources,
     nearest_chunks,
@@ -77,6 +79,32 @@ def test_nearest_by_passes(spark):
     assert rows(found) == brute(qs, cs, 4)
 
 
+def test_many_questions_stay_off_the_driver(spark, monkeypatch):
+    """Questions that do not fit are dealt to tasks; several parts on both sides give the same rows."""
+    monkeypatch.setattr(retrieval, "parts_of", lambda n, most=0: 3)
+    monkeypatch.setattr(type(spark.range(1)), "toArrow", None)
+    for string_ids in (False, True):
+        q, c, qs, cs, key = frames(spark, string_ids=string_ids)
+        found = nearest_chunks(q, c, 4, broadcast_bytes=8 * 8 * 7)
+        assert rows(found) == brute(qs, cs, 4, key)
+
+
+def test_running_best_of_a_table():
+    """Blocks in any order give the best places, the lowest ones among equals."""
+    rng = np.random.default_rng(3)
+    questions, vectors = rng.integers(-2, 3, (40, 3)) * 1.0, rng.integers(-2, 3, (300, 3)) * 1.0
+    scores = questions @ vectors.T
+    for k in (1, 4, 400):
+        best = Best(40, k)
+        for at in (200, 0, 100):
+            best.compare(np.arange(40), questions, np.arange(at, at + 100), vectors[at : at + 100])
+        want = np.lexsort((np.broadcast_to(np.arange(300), scores.shape), -scores), axis=1)[:, :k]
+        assert (best.places[:, : want.shape[1]] == want).all()
+    least = Best(40, 4, np.full(40, 1e9))
+    least.compare(np.arange(40), questions, np.arange(300), vectors)
+    assert len(least.table(np.arange(40), np.arange(300))) == 0
+
+
 def test_more_places_than_chunks(spark):
     q, c, qs, cs, _ = frames(spark, n_chunks=3, n_questions=4)
     assert rows(nearest_chunks(q, c, 10)) == brute(qs, cs, 10)
@@ -107,6 +135,28 @@ def test_cells_complete_to_the_exact_answer(spark, options):
     assert rows(nearest_by_cells(q, c, 4, **options)) == want
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_cells_return_few_rows(spark, monkeypatch, exact):
+    """A part of the index returns k rows of a question, whatever number of its cells are visited."""
+    seen = []
+
+    def counted(found, k, *by):
+        seen.append(found.count())
+        return ranked(found, k, *by)
+
+    monkeypatch.setattr(cells, "ranked", counted)
+    q, c, *_ = frames(spark, n_chunks=600)
+    nearest_by_cells(q, c, 4, cells=40, exact=exact).count()
+    assert seen and max(seen) <= 2 * 4 * 30  # what the probes have found and what is found beyond
+
+
+def test_cells_are_packed_into_parts():
+    sizes = [(0, 5), (2, 4), (3, 25), (4, 3), (5, 7), (6, 1)]
+    assert cells.packed_cells(sizes, 10) == [
+        (0, 0, 1), (2, 0, 1), (3, 1, 3), (4, 4, 1), (5, 4, 1), (6, 5, 1),
+    ]
+
+
 def test_stored_index_answers_again(spark, tmp_path):
     q, c, qs, cs, _ = frames(spark)
     CellIndex.build(c, str(tmp_path / "index"))
