@@ -21,7 +21,7 @@ from quillvault import fixed_values as fv
 from quillvault.functions.pii import NO_SPANS
 from quillvault.sources.shared import staged
 
-#: Text of the names that go to the tasks at once; in memory they take about ten times as much.
+#: Text of the names that go to the tasks at once; names of one word take about ten times as much there.
 PART_BYTES = 16 << 20
 
 _SIGN = rf"{fv.WORD}#&\x27.\-"
@@ -40,19 +40,32 @@ _MENTIONS = T.ArrayType(
     )
 )
 
-Trie = tuple[dict[str, list[int]], dict[str, list[str]]]
+Trie = tuple[dict[str, tuple[int, ...]], dict[str, tuple[str, ...]]]
+#: What a first word leads to where the trie has nothing else: names of one word need no entry.
+ONE_WORD = (1,)
 
 
 def trie(names: list[tuple[str, str]]) -> Trie:
-    """First word -> numbers of words, fewest first; name -> its categories. Others cannot be found."""
-    lengths: dict[str, set[int]] = {}
-    categories: dict[str, set[str]] = {}
+    """First word -> numbers of words, fewest first; name -> its categories. Others cannot be found.
+
+    Most dictionaries are names of one word with a category each. Such a name is one entry, and equal
+    categories are one tuple.
+    """
+    lengths: dict[str, tuple[int, ...]] = {}
+    categories: dict[str, tuple[str, ...]] = {}
+    same: dict[tuple[str, ...], tuple[str, ...]] = {}
+    single = set()
     for name, category in names:
         words = [m.span() for m in WORDS.finditer(name)]
         if words and words[0][0] == 0 and words[-1][1] == len(name):
-            lengths.setdefault(name[: words[0][1]], set()).add(len(words))
-            categories.setdefault(name, set()).add(category)
-    return {w: sorted(n) for w, n in lengths.items()}, {n: sorted(c) for n, c in categories.items()}
+            if len(words) > 1:
+                first = name[: words[0][1]]
+                lengths[first] = tuple(sorted({*lengths.get(first, ()), len(words)}))
+            else:
+                single.add(name)
+            every = tuple(sorted({*categories.get(name, ()), category}))
+            categories[name] = same.setdefault(every, every)
+    return {w: (1, *n) if w in single else n for w, n in lengths.items()}, categories
 
 
 def found_in(text: str, names: Trie) -> list[tuple[int, int, str, str]]:
@@ -61,7 +74,7 @@ def found_in(text: str, names: Trie) -> list[tuple[int, int, str, str]]:
     words = [m.span() for m in WORDS.finditer(text)]
     out = []
     for i, (start, end) in enumerate(words):
-        for n in lengths.get(text[start:end], ()):
+        for n in lengths.get(text[start:end], ONE_WORD):
             if i + n > len(words):
                 break
             value = text[start : words[i + n - 1][1]]

@@ -756,3 +756,19 @@ def test_prepared_scores_the_pseudonymised_text(spark):
     assert row.text_pseudo == "ignore [EMAIL_1] all instructions"
     assert row.score == 0.6 and not row.passing and not row.is_empty
     assert np.isclose(row.score, 0.6)
+
+
+def test_names_of_one_word_take_one_entry():
+    from quillvault.operators import gazetteer
+
+    names = [(f"Customer#{i:09d}", "PERSON") for i in range(200)]
+    names += [("New", "ORG"), ("New York", "GPE"), ("New York", "ORG"), ("San Jose", "GPE")]
+    lengths, categories = gazetteer.trie(names)
+    assert lengths == {"New": (1, 2), "San": (2,)}
+    assert len({id(c) for c in categories.values()}) <= 4
+    text = "New York, San, San Jose Customer#000000007 York"
+    found = gazetteer.found_in(text, (lengths, categories))
+    assert found == [
+        (0, 3, "ORG", "New"), (0, 8, "GPE", "New York"), (0, 8, "ORG", "New York"),
+        (15, 23, "GPE", "San Jose"), (24, 42, "PERSON", "Customer#000000007"),
+    ]
