@@ -7,9 +7,9 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quillvault.sources.shared import staged
+from quillvault.sources.shared import session_for_texts, staged
 
-__all__ = ["read", "map_rows", "staged"]
+__all__ = ["read", "map_rows", "session_for_texts", "staged"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,21 +57,6 @@ def map_rows(
     return df.mapInArrow(run, target)
 
 
-#: Rows of an Arrow batch where whole texts go through Python: a few megabytes at a time.
-TEXT_ROWS = "1000"
-
-
-def session_for_texts(spark: SparkSession) -> SparkSession:
-    """Set the session's Arrow batches to ``TEXT_ROWS`` rows, unless its user chose a size.
-
-    For queries and the pipeline, not for operators: these leave settings alone.
-    """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":  # Spark's default
-        spark.conf.set(key, TEXT_ROWS)
-    return spark
-
-
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores after it as it takes to be no column of ``df``."""
     while name.lower() in {c.lower() for c in df.columns}:

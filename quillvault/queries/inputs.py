@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillvault.sources.shared import spread
+from quillvault.sources.shared import session_for_texts, spread
 
 ZERO_WIDTH = chr(0x200B)
 
@@ -44,7 +44,7 @@ EVENT_NAMES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return session_for_texts(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
