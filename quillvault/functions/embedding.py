@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,11 @@ from quillvault import fixed_values as fv
 Embedder = Callable[[Column], Column]
 
 
+#: Words whose dimension a worker remembers: a small batch shares most of its words with those before.
+KNOWN_WORDS = 1 << 17
+
+
+@lru_cache(KNOWN_WORDS)
 def _bucket(word: str, dim: int) -> int:
     return int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % dim
 

@@ -16,6 +16,7 @@ _HINTS = {
     "template_tokens": ("<|", "inst]", "sys>>"),
     "ignore_instructions": ("ignore", "disregard", "forget", "override", "bypass"),
     "reveal_prompt": ("prompt", "instructions", "rules"),
+    "role_reassignment": ("system", "assistant", "user"),
     "new_identity": ("now", "act", "pretend", "persona"),
     "jailbreak_known": ("anything", "mode"),
     "exfiltration_hint": ("send", "post", "upload", "exfiltrate", "transmit"),

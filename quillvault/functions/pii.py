@@ -105,38 +105,49 @@ def _free(layers: list[int], starts: list[int], ends: list[int]) -> list[int]:
     return kept
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def numbered_tokens(categories: pa.Array, keys: pa.Array) -> pa.Array:
+def _numbered(categories: list[str], keys: list[str]) -> list[str]:
     """``[CATEGORY_n]``: n is the place of the key among first appearances in its category."""
+    known: dict[str, dict[str, int]] = {}
+    tokens = []
+    for category, key in zip(categories, keys, strict=True):
+        numbers = known.setdefault(category, {})
+        tokens.append(f"[{category}_{numbers.setdefault(key, len(numbers) + 1)}]")
+    return tokens
+
+
+def _spliced(text: str, starts: list[int], ends: list[int], tokens: list[str]) -> str:
+    parts, at = [], 0
+    for start, end, token in zip(starts, ends, tokens, strict=True):
+        parts += [text[at:start], token]
+        at = end
+    return "".join([*parts, text[at:]])
+
+
+@F.arrow_udf(T.StringType())
+def with_numbered_tokens(
+    texts: pa.Array, starts: pa.Array, ends: pa.Array, categories: pa.Array, keys: pa.Array
+) -> pa.Array:
+    """Texts with their sorted, non-overlapping spans replaced by numbered tokens."""
     out = []
-    for row, names in zip(categories.to_pylist(), keys.to_pylist(), strict=True):
-        if row is None:
+    for i, text in enumerate(texts):
+        if not text.is_valid:
             out.append(None)
             continue
-        known: dict[str, dict[str, int]] = {}
-        tokens = []
-        for category, key in zip(row, names, strict=True):
-            numbers = known.setdefault(category, {})
-            tokens.append(f"[{category}_{numbers.setdefault(key, len(numbers) + 1)}]")
-        out.append(tokens)
-    return pa.array(out, pa.list_(pa.string()))
+        tokens = _numbered(categories[i].as_py(), keys[i].as_py())
+        out.append(_spliced(text.as_py(), starts[i].as_py(), ends[i].as_py(), tokens))
+    return pa.array(out, pa.string())
 
 
 @F.arrow_udf(T.StringType())
 def spliced(texts: pa.Array, starts: pa.Array, ends: pa.Array, tokens: pa.Array) -> pa.Array:
     """Texts with their sorted, non-overlapping spans replaced by tokens."""
     out = []
-    for i, text in enumerate(texts.to_pylist()):
-        if text is None:
+    for i, text in enumerate(texts):
+        if not text.is_valid:
             out.append(None)
             continue
-        parts, at = [], 0
-        for start, end, token in zip(
-            starts[i].as_py(), ends[i].as_py(), tokens[i].as_py(), strict=True
-        ):
-            parts += [text[at:start], token]
-            at = end
-        out.append("".join([*parts, text[at:]]))
+        spans = (part[i].as_py() for part in (starts, ends, tokens))
+        out.append(_spliced(text.as_py(), *spans))
     return pa.array(out, pa.string())
 
 
@@ -262,16 +273,16 @@ def pseudonymise(
     """Replace personal data by numbered tokens and count occurrences; not reversible."""
     given = [f"`{c}`" for c in df.columns]
     df = with_pii_spans(df, text, "_spans", categories, entities)
-    categories_found = F.expr("CASE WHEN size(_spans) > 0 THEN _spans.category END")
-    df = df.withColumn("_tokens", numbered_tokens(categories_found, F.expr(_KEYS)))
-    df = _add(
-        df,
-        {
-            "_edits": """CASE WHEN size(_spans) > 0 THEN zip_with(_spans, _tokens, (s, t) ->
-                named_struct('start', s.start, 'end', s.end, 'token', t)) END"""
-        },
+
+    def part(sql: str) -> Column:
+        return F.expr(f"CASE WHEN size(_spans) > 0 THEN {sql} END")
+
+    made = with_numbered_tokens(
+        part(text), part("_spans.start"), part("_spans.end"), part("_spans.category"), F.expr(_KEYS)
+    )
+    df = df.withColumn("_made", made).withColumn(
+        out, F.when(F.expr("size(_spans) > 0"), F.col("_made")).otherwise(F.col(text))
     )
-    df = with_edits_made(settled(df, "_edits"), text, "_edits", out)
     df = df.selectExpr(*given, out, f"{category_counts_sql('_spans')} AS {stats}")
     return settled(df, out, stats)
 

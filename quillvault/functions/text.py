@@ -41,7 +41,7 @@ def _stable_ranges() -> list[tuple[int, int]]:
 
 
 _STABLE = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _stable_ranges() if b > 0x7F)
-NEEDS_NFKC = rf"[^\x00-\x7F](?<![\x00-\x7F{_STABLE}])"
+NEEDS_NFKC = rf"(?![\x00-\x7F])[^{_STABLE}]"
 
 # Whitespace runs that are not already exactly one blank.
 _FOLDABLE = rf"(?![!-~])[{fv.WS}](?:(?<! )|(?=[{fv.WS}]))[{fv.WS}]*"
@@ -65,6 +65,11 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^[{fv.WS}]+|[{fv.WS}]+\z", "")
 
 
+def is_blank(text: Column) -> Column:
+    """Whether nothing is left after ``strip``; looks no further than the first other character."""
+    return ~text.rlike(rf"[^{fv.WS}]")
+
+
 def fold_whitespace(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _FOLDABLE, " "))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillvault import fixed_values as fv
 from quillvault.functions.injection import with_injection_score
 from quillvault.functions.pii import pseudonymise
-from quillvault.functions.text import strip, with_content_hash
+from quillvault.functions.text import is_blank, with_content_hash
 from quillvault.operators.bits import bit_maps, key_filter, marked, may_be_in
 from quillvault.plans.joins import BROADCAST_ROWS, HOT_ROWS, attach, fits
 from quillvault.sources.shared import staged
@@ -31,7 +31,7 @@ def prepared(
     df = with_content_hash(df, text)
     df = pseudonymise(df, text, categories=categories, entities=entities)
     df = with_injection_score(df, "text_pseudo")
-    return df.withColumn("is_empty", strip(F.col("text_pseudo")) == "").withColumn(
+    return df.withColumn("is_empty", is_blank(F.col("text_pseudo"))).withColumn(
         "passing", (F.col("score") < threshold) & ~F.col("is_empty")
     )
 

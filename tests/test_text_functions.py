@@ -308,3 +308,61 @@ def test_time_is_linear_in_the_spans(spark, run):
     seconds(10)
     small = min(seconds(1000) for _ in range(2))
     assert seconds(10_000) < 15 * max(small, 0.5)
+
+
+def test_queries_bound_the_rows_of_arrow_batches(spark, sf_dir):
+    """Whole texts go to Python a few megabytes at a time; a size that the user chose stays."""
+    from quillvault.queries.inputs import documents
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("10000", "1000"), ("77", "77")):
+            spark.conf.set(key, given)
+            documents(spark, sf_dir)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_preparation_needs_few_python_workers(spark):
+    """Hash, match starts, free spans, tokens with their places, score: one worker of a task each."""
+    from quillvault.operators.routing import prepared
+
+    df = spark.range(3).selectExpr("id", "concat('mail a@b.org, ', id) AS text")
+    plan = prepared(df, "text", 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 5
+
+
+def test_blank_texts(spark):
+    from quillvault.functions.text import is_blank, strip
+
+    texts = [None, "", " ", "\u2003\n\t\x1f\u3000", " a ", "\u200b", "\n\n.", "\U0001d7ce"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(is_blank(F.col("t")), strip(F.col("t")) == "").collect()]
+    assert all(a == b for a, b in got) and [a for a, _ in got][:5] == [None, True, True, True, False]
+
+
+def test_role_lines_are_found_whatever_their_letters(spark):
+    from quillvault import fixed_values as fv
+    from quillvault.functions.injection import with_injection_score
+
+    pattern = {name: p for name, _, p in fv.INJECTION_PATTERNS}["role_reassignment"]
+    texts = ["SYSTEM : x", "a\n\tUser:", "\u017fystem:", "ass\u0131stant:", "AsS\u0130stant:", "a system:",
+             "x\nassistant\u00a0:", "use r:", "none"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    scored = with_injection_score(df, "t").select("t", F.array_contains("reasons", "role_reassignment"))
+    plain = {r[0]: r[1] for r in df.select("t", F.col("t").rlike(pattern)).collect()}
+    plain["\u017fystem:"] = True  # NFKC makes it a plain letter first
+    assert dict(tuple(r) for r in scored.collect()) == plain
+
+
+def test_known_words_are_hashed_once():
+    from quillvault.functions import embedding
+
+    embedding._bucket.cache_clear()
+    assert [embedding._bucket(w, 64) for w in ("a", "b", "a")] == [
+        embedding._bucket.__wrapped__(w, 64) for w in ("a", "b", "a")
+    ]
+    assert embedding._bucket.cache_info().misses == 2
+    assert embedding._bucket.cache_info().maxsize == embedding.KNOWN_WORDS
