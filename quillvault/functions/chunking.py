@@ -19,18 +19,19 @@ def char_windows(text: Column, size: int, overlap: int) -> Column:
     step = size - overlap
     # One pass cuts the text into pieces of ``step`` characters; a window is its piece and as much
     # of the next ones as it needs. Counting from the start for every window would be quadratic.
+    # The pieces go through an array of one element: written out, they would be cut at every mention.
     pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
-    shifted = [
-        F.slice(pieces, 1 + j, F.greatest(F.lit(0), F.size(pieces) - j)).alias(f"p{j}")
-        for j in range(-(-size // step))
-    ]
+    needed = -(-size // step)
 
-    def window(row: Column) -> Column:
-        parts = [F.coalesce(row[f"p{j}"], F.lit("")) for j in range(len(shifted))]
-        return F.substr(F.concat(*parts), F.lit(1), F.lit(size))
+    def joined(pieces: Column) -> Column:
+        def window(piece: Column, i: Column) -> Column:
+            more = [F.coalesce(F.get(pieces, i + j), F.lit("")) for j in range(1, needed)]
+            return F.substr(F.concat(piece, *more), F.lit(1), F.lit(size))
+
+        return F.transform(pieces, window)
 
     last = F.greatest(F.lit(1), F.ceil((F.length(text) - overlap) / F.lit(step)).cast("int"))
-    windows = F.slice(F.transform(F.arrays_zip(*shifted), window), F.lit(1), last)
+    windows = F.slice(F.transform(F.array(pieces), joined)[0], F.lit(1), last)
     return F.when(F.length(text) > 0, windows).otherwise(F.array().cast("array<string>"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,10 @@ def hashing_embedder(dim: int) -> Embedder:
             pc.fill_null(pc.utf8_lower(texts), ""), r"[^\p{L}\p{N}]+"
         )
         coded = pc.dictionary_encode(words.flatten())
-        vocabulary = coded.dictionary.to_pylist()
-        buckets = np.array([_bucket(w, dim) if w else -1 for w in vocabulary], dtype=np.int64)
-        column = buckets[np.asarray(coded.indices)] if vocabulary else np.empty(0, np.int64)
+        vocabulary = coded.dictionary.to_numpy(zero_copy_only=False)
+        buckets = np.fromiter(map(_bucket, vocabulary, repeat(dim)), np.int64, len(vocabulary))
+        buckets[vocabulary == ""] = -1
+        column = buckets[np.asarray(coded.indices)] if len(vocabulary) else np.empty(0, np.int64)
         row = np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(words)))
         real = column >= 0
         counts = np.bincount(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quillvault import fixed_values as fv
+from quillvault.functions.barrier import settled
 from quillvault.functions.pii import text_urls
 from quillvault.functions.text import neutralise_frames, strip
 from quillvault.sources.shared import staged
@@ -167,12 +168,14 @@ def nearest_chunks(
     size = questions.agg(
         F.count("*").alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("dim")
     ).first()
+    # Settled, so that a vector which a model makes on the way is made once, not again for the filter.
+    questions = settled(questions.select("question_id", "embedding"), "embedding")
     questions = questions.filter(usable_vector("embedding"))
-    chunks = chunks.filter(usable_vector("embedding"))
     space = within or "_all"
     if not within:
         chunks = chunks.withColumn("_all", F.lit(0))
     chunks = chunks.select(F.col(space).cast("int").alias(space), "chunk_id", "embedding")
+    chunks = settled(chunks, "embedding").filter(usable_vector("embedding"))
     group_rows = max(1, broadcast_bytes // max(1, 8 * size["dim"]))
     if size["n"] <= group_rows:
         found = _by_broadcast(questions, chunks, k, space)

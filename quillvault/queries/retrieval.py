@@ -210,16 +210,20 @@ def integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity_report(tampered, KEYS.seal, KEYS.cipher)
 
 
-def _text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _text_chunks(docs: DataFrame) -> DataFrame:
     windows = char_windows(F.col("text"), SETTINGS.chunk_size, OVERLAP)
-    chunks = exploded(documents(spark, sf_dir), windows, ("chunk_index", "content"), "doc_id")
+    chunks = exploded(docs, windows, ("chunk_index", "content"), "doc_id")
     return chunks.withColumn("chunk_id", _window_key(F.col("doc_id"), F.col("chunk_index")))
 
 
+def _document_key(doc_id: Column) -> Column:
+    return F.lpad(doc_id.cast("string"), 19, "0")
+
+
 def _window_key(doc_id: Column, chunk_index: Column) -> Column:
     """Identity of a window as text that sorts by document, then place."""
     place = F.lpad(chunk_index.cast("string"), 10, "0")
-    return F.concat(F.lpad(doc_id.cast("string"), 19, "0"), F.lit(":"), place)
+    return F.concat(_document_key(doc_id), F.lit(":"), place)
 
 
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,9 +234,8 @@ def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _context(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The benchmark items as questions, and the document windows found for them."""
-    chunks = _text_chunks(spark, sf_dir)
     questions = _asked(spark, sf_dir)
-    vectors = chunks.select(
+    vectors = _text_chunks(documents(spark, sf_dir)).select(
         "chunk_id", embed_documents(F.col("content"), MODEL, 64).alias("embedding")
     )
     asked = questions.select(
@@ -240,8 +243,13 @@ def _context(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
     found = above_threshold(nearest_chunks(asked, vectors, K), THRESHOLD)
     found = staged(found, "found")
-    found = F.broadcast(found) if fits(found) else found
-    context = chunks.join(found, "chunk_id").withColumn(
+    few = fits(found)
+    found = F.broadcast(found) if few else found
+    # Only documents of which a window was found are cut once more.
+    named = found.select(F.substring_index("chunk_id", ":", 1).alias("_key")).distinct()
+    docs = table(spark, sf_dir, "documents").withColumn("_key", _document_key(F.col("doc_id")))
+    docs = docs.join(F.broadcast(named) if few else named, "_key", "left_semi")
+    context = _text_chunks(docs).join(found, "chunk_id").withColumn(
         "source_ref", source_ref(F.col("doc_id"))
     )
     return questions, context

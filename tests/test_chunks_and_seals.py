@@ -208,3 +208,12 @@ def test_the_equivalent_sql_of_the_recursive_splitter(size, overlap):
         (i, j, c) for i, t in enumerate(texts) for j, c in enumerate(split_recursively(t, size, overlap))
     ]
     assert sorted(got) == want
+
+
+def test_windows_cut_a_text_once(spark):
+    df = spark.createDataFrame([("ab" * 40,), ("",), (None,)], "t string")
+    windows = df.select(char_windows(F.col("t"), 10, 7).alias("w"))
+    assert windows._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    text = "ab" * 40
+    want = [text[i : i + 10] for i in range(0, len(text) - 7, 3)]
+    assert [r.w for r in windows.collect()] == [want, [], []]

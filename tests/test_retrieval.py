@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillvault.functions.embedding import embed_documents, embed_questions, hashing_embedder
 from quillvault.operators import cells, retrieval
 from quillvault.operators.cells import CellIndex, nearest_by_cells
 from quillvault.operators.codebooks import estimates, learned
@@ -328,3 +329,30 @@ def test_paired_answers(spark):
     b = spark.createDataFrame([(1, "n1"), (2, "n2")], "question_id bigint, answer string")
     got = {r.question_id: (r.sources, r.answer_without) for r in paired_answers(a, b).collect()}
     assert got == {1: ("s1, s2", "n1"), 2: ("—", "n2")}
+
+
+def test_vectors_made_on_the_way_are_made_once(spark):
+    rows = [(i, f"word{i} other{i % 3}") for i in range(12)]
+    df = spark.createDataFrame([*rows, (12, None), (13, "")], "id bigint, t string")
+    model = hashing_embedder(16)
+    chunks = df.select(F.col("id").alias("chunk_id"), embed_documents(F.col("t"), model, 16).alias("embedding"))
+    asked = df.select(F.col("id").alias("question_id"), embed_questions(F.col("t"), model, 16).alias("embedding"))
+    found = nearest_chunks(asked, chunks, 2)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    stored = chunks.localCheckpoint()
+    assert found.collect() and set(found.collect()) == set(nearest_chunks(asked.localCheckpoint(), stored, 2).collect())
+
+
+def test_only_documents_with_a_window_found_are_cut_again(spark, tmp_path):
+    from quillvault.queries import retrieval as queries
+
+    texts = [(1, "alpha beta gamma"), (1, "alpha beta gamma"), (2, "x" * 2000 + " alpha beta"), (-3, "alpha beta"),
+             (4, None), (5, ""), (6, "nothing of it " * 9)]
+    docs = spark.createDataFrame([(i, t, "en", len(t or "")) for i, t in texts], "doc_id bigint, text string, lang string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "alpha beta"), (1, "zzz")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    _, context = queries._context(spark, str(tmp_path))
+    got = sorted((r.question_id, r.doc_id, r.chunk_index, r.content) for r in context.collect())
+    assert [g[:3] for g in got if g[0] == 0] == [(0, -3, 0), *[(0, 1, 0)] * 4, (0, 2, 2)]
+    plan = context._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("Generate") < plan.index("LeftSemi")  # cut after it
