@@ -35,14 +35,18 @@ _PATTERNS = {
     "IP": fv.IP,
     "PHONE": fv.PHONE,
 }
-# What a text must hold before a pattern can match: spares the regex on most texts.
-_HAS_DIGIT = r"(?![ A-Za-z])\p{Nd}"
+# What a text must hold before a pattern can match: spares the regex on most texts. A plain class at the
+# head is much faster to search for than a look-ahead.
+_PHONE_PART = (
+    r"[+(\p{Nd}](?:(?<=[+(])\p{Nd}|(?<=\p{Nd})[.\-]\p{Nd}"
+    rf"|(?<=0)0\p{{Nd}}(?:[{fv.WS}.\-()]{{0,2}}\p{{Nd}}){{7}})"
+)
 _REQUIRED = {
     "URL": "contains({0}, '://')",
     "EMAIL": "contains({0}, '@')",
-    "IBAN": f"rlike({{0}}, r'{_HAS_DIGIT.replace('{', '{{').replace('}', '}}')}')",
-    "IP": f"rlike({{0}}, r'{_HAS_DIGIT.replace('{', '{{').replace('}', '}}')}')",
-    "PHONE": f"rlike({{0}}, r'{_HAS_DIGIT.replace('{', '{{').replace('}', '}}')}')",
+    "IBAN": r"rlike({0}, r'[A-Z][A-Z]\p{{Nd}}\p{{Nd}}')",
+    "IP": r"rlike({0}, r'\p{{Nd}}\.\p{{Nd}}')",
+    "PHONE": f"rlike({{0}}, r'{_PHONE_PART.replace('{', '{{').replace('}', '}}')}')",
 }
 # What a match must satisfy beyond its pattern.
 _PLAUSIBLE = {

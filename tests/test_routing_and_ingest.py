@@ -772,3 +772,62 @@ def test_names_of_one_word_take_one_entry():
         (0, 3, "ORG", "New"), (0, 8, "GPE", "New York"), (0, 8, "ORG", "New York"),
         (15, 23, "GPE", "San Jose"), (24, 42, "PERSON", "Customer#000000007"),
     ]
+
+
+def test_names_that_occur_nowhere_cost_no_pass(spark, monkeypatch):
+    """Of a dictionary of many parts only names whose first word occurs are looked for, in one pass."""
+    from quillvault.operators import gazetteer
+
+    stored = []
+    monkeypatch.setattr(gazetteer, "staged", lambda df, name: stored.append(name) or staged(df, name))
+    names = NAMES + [(f"Customer#{i:09d}", "PERSON") for i in range(500)] + [(None, "ORG"), ("...", "ORG")]
+    table = spark.createDataFrame(names, "name string, category string")
+    texts = [*TEXTS, None, "«Customer#000000007» wrote. Customer#0000000071 and -Paris did not"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: [s.value for s in r.entities] for r in with_entities(docs, "i", "text", table, part_bytes=100).collect()}
+    assert got == {
+        0: ["Paris", "New York", "New York Times"], 1: ["O'Neil-Smith"], 2: [], 3: [], 4: [],
+        5: ["Customer#000000007"],
+    }
+    assert "named" not in stored  # the texts are not stored between the parts of the dictionary
+    many = with_entities(docs, "i", "text", table, part_bytes=12)  # those that occur have parts of their own
+    assert {r.i: [s.value for s in r.entities] for r in many.collect()} == got and "named" in stored
+    nobody = spark.createDataFrame([(0, "nobody")], "i int, text string")
+    assert with_entities(nobody, "i", "text", table, part_bytes=100).first().entities == []
+
+
+@pytest.mark.parametrize("limits", [(16, 32), (10**9, 0), (-1, 32)])
+def test_names_found_by_search_equal_those_found_word_by_word(monkeypatch, limits):
+    from quillvault.operators import gazetteer
+
+    monkeypatch.setattr(gazetteer, "SOUGHT_WORDS", limits[0])
+    monkeypatch.setattr(gazetteer, "BREAKS", limits[1])
+    rng = random.Random(3)
+    sign = r"[\w#&'.\-]"
+    for _ in range(400):
+        text = "".join(rng.choice("ab.-#' ,é&1_\n中«\u2028\x1c\xa0") for _ in range(rng.randint(0, 50)))
+        spots = [m.span() for m in re.finditer(rf"(?<!{sign}){sign}*\w", text)]
+        runs = [text[a:d] for i, (a, _) in enumerate(spots) for _, d in spots[i : i + 3]]
+        names = [(rng.choice(runs), "A") for _ in range(4) if runs] + [("a", "B"), ("a b", "C"), ("1", "D")]
+        wanted = [
+            (a, d, c, text[a:d])
+            for i, (a, _) in enumerate(spots)
+            for _, d in spots[i:]
+            for c in sorted({c for n, c in names if n == text[a:d]})
+        ]
+        assert gazetteer.found_in(text, gazetteer.trie(names)) == wanted
+
+
+def test_only_words_that_begin_a_name_are_looked_for(monkeypatch):
+    from quillvault.operators import gazetteer
+
+    gone_through = []
+
+    class Words:
+        finditer = staticmethod(lambda text, *at: gone_through.append(text) or gazetteer.regex.finditer(known, text))
+
+    known = gazetteer.WORDS.pattern
+    names = gazetteer.trie([("Paris", "GPE")])
+    monkeypatch.setattr(gazetteer, "WORDS", Words)
+    assert gazetteer.found_in("the the Paris, " * 3, names)[-1] == (38, 43, "GPE", "Paris")
+    assert not gone_through
