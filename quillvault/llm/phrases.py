@@ -29,6 +29,7 @@ from quillvault.llm.quotient import (
     buckets,
     counted,
     merged,
+    merged_ranges,
     packed,
     permuted,
     shape_for,
@@ -46,6 +47,8 @@ SLICE_BYTES = 1 << 20
 #: Entries a task gathers before it emits its filters, and those expected in a merged bucket.
 TASK_ENTRIES = 2_000_000
 BUCKET_ENTRIES = 1 << 20
+#: Words of a chunk whose phrases are made and sorted at once.
+SLICE_WORDS = 1 << 17
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 TO_DOT = bytes.maketrans(BREAKS, b"." * len(BREAKS))
@@ -154,9 +157,10 @@ def _numbered(df: DataFrame, name: str) -> DataFrame:
 def _filters(chunks: DataFrame, shape: Shape) -> DataFrame:
     """``bucket, n, filter``: the phrases of the chunks of a task (``tokens, places, ids``)."""
 
-    def phrases(tokens: np.ndarray) -> Entries:
-        one, two = tokens[:-1], tokens[1:]
-        three = np.append(two[1:], np.uint64(0))[: len(two)]
+    def phrases(tokens: np.ndarray, most: int) -> Entries:
+        """Those that begin in the first ``most`` words."""
+        one, two = tokens[:-1][:most], tokens[1:][:most]
+        three = np.append(tokens[2:], np.uint64(0))[: len(two)]
         pair = (one > 0) & (two > 0)
         triple = pair & (three > 0)
         none = np.zeros(int(pair.sum()), np.uint64)
@@ -168,16 +172,24 @@ def _filters(chunks: DataFrame, shape: Shape) -> DataFrame:
         )
         return counted(high, low, np.ones(len(high), np.int64), shape)
 
-    def emitted(parts: list[Entries]) -> pa.RecordBatch:
-        found = buckets(merged(parts, shape), shape)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([b for b, _ in found], pa.int64()),
-                pa.array([len(e.high) for _, e in found], pa.int64()),
-                pa.array([packed(e, shape) for _, e in found], pa.binary()),
-            ],
-            ["bucket", "n", "filter"],
-        )
+    def of_chunk(local: np.ndarray, numbers: np.ndarray) -> Entries:
+        # Slices overlap by two words, so that each phrase begins in exactly one.
+        slices = []
+        for a in range(0, max(len(local) - 1, 1), SLICE_WORDS):
+            slices.append(phrases(numbers[local[a : a + SLICE_WORDS + 2]], SLICE_WORDS))
+        return merged(slices, shape)
+
+    def emitted(parts: list[Entries]) -> Iterator[pa.RecordBatch]:
+        for entries in merged_ranges(parts, shape):
+            found = buckets(entries, shape)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([b for b, _ in found], pa.int64()),
+                    pa.array([len(e.high) for _, e in found], pa.int64()),
+                    pa.array([packed(e, shape) for _, e in found], pa.binary()),
+                ],
+                ["bucket", "n", "filter"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[Entries] = []
@@ -188,13 +200,13 @@ def _filters(chunks: DataFrame, shape: Shape) -> DataFrame:
                 numbers = np.zeros(int(local.max(initial=0)) + 1, np.uint64)
                 places = found.values.field(0).to_numpy(zero_copy_only=False)
                 numbers[places] = found.values.field(1).to_numpy(zero_copy_only=False)
-                parts.append(phrases(numbers[local]))
+                parts.append(of_chunk(local, numbers))
                 held += len(parts[-1].high)
                 if held >= TASK_ENTRIES:
-                    yield emitted(parts)
+                    yield from emitted(parts)
                     parts, held = [], 0
         if held:
-            yield emitted(parts)
+            yield from emitted(parts)
 
     return chunks.mapInArrow(run, "bucket bigint, n bigint, filter binary")
 
@@ -207,11 +219,13 @@ def _merged_counts(filters: DataFrame, shape: Shape, least: int) -> DataFrame:
             unpacked(raw.as_py(), n.as_py(), b.as_py(), shape)
             for b, n, raw in zip(*(table.column(c) for c in ("bucket", "n", "filter")), strict=True)
         ]
-        total = merged(parts, shape)
-        keep = total.count >= least
-        words = words_of(total.high[keep], total.low[keep], shape)
-        lanes = [w.astype(np.int64) for w in words] + [total.count[keep]]
-        return pa.table([pa.array(x, pa.int64()) for x in lanes], ["i1", "i2", "i3", "f"])
+        tables = []
+        for total in merged_ranges(parts, shape, table.column("bucket")[0].as_py()):
+            keep = total.count >= least
+            words = words_of(total.high[keep], total.low[keep], shape)
+            lanes = [w.astype(np.int64) for w in words] + [total.count[keep]]
+            tables.append(pa.table([pa.array(x, pa.int64()) for x in lanes], ["i1", "i2", "i3", "f"]))
+        return pa.concat_tables(tables)
 
     return filters.groupBy("bucket").applyInArrow(
         merge, "i1 bigint, i2 bigint, i3 bigint, f bigint"

@@ -11,6 +11,7 @@ Keys are two lanes of half the bits each, so that word numbers of up to 42 bits
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -58,12 +59,12 @@ def permuted(first, second, third, shape: Shape) -> tuple[np.ndarray, np.ndarray
     """Lanes of the packed and mixed keys; a missing third word is 0."""
     quarter = np.uint64(shape.width // 2)
     width = np.uint64(shape.width)
-    first, second, third = (np.asarray(x).astype(np.uint64) for x in (first, second, third))
+    first, second, third = (np.asarray(x).astype(np.uint64, copy=False) for x in (first, second, third))
     high = (first << quarter) | (second >> quarter)
     low = ((second & np.uint64((1 << (shape.width // 2)) - 1)) << width) | third
     for i in range(0, len(ROUNDS), 2):
-        high = high ^ _mixed(low, ROUNDS[i], shape.half)
-        low = low ^ _mixed(high, ROUNDS[i + 1], shape.half)
+        high ^= _mixed(low, ROUNDS[i], shape.half)
+        low ^= _mixed(high, ROUNDS[i + 1], shape.half)
     return high, low
 
 
@@ -78,8 +79,39 @@ def words_of(high, low, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return high >> quarter, second, low & np.uint64((1 << shape.width) - 1)
 
 
+#: Entries that are merged at once: what sorting them takes besides does not grow with the filters.
+RANGE_ENTRIES = 1 << 18
+
+
 def merged(parts: list[Entries], shape: Shape) -> Entries:
-    """One sorted filter of several; counts of equal keys add up. The sort merges sorted runs."""
+    """One sorted filter of several; counts of equal keys add up."""
+    found = list(merged_ranges(parts, shape))
+    if len(found) == 1:
+        return found[0]
+    return Entries(*(np.concatenate(lane) for lane in zip(*found, strict=True)))
+
+
+def merged_ranges(parts: list[Entries], shape: Shape, bucket: int | None = None) -> Iterator[Entries]:
+    """One sorted filter of several, range after range of keys, each about ``RANGE_ENTRIES`` long.
+
+    The permutation fills all ranges equally. Ranges end between buckets; those of the parts of one
+    ``bucket`` end within it.
+    """
+    held = sum(len(p.high) for p in parts)
+    room, most, first = shape.half, shape.bucket, 0
+    if bucket is not None:
+        room, most, first = room - shape.bucket, room - shape.bucket, bucket << (room - shape.bucket)
+    bits = min((held // RANGE_ENTRIES).bit_length(), most) if held > RANGE_ENTRIES else 0
+    cuts = np.uint64(first) + (np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(room - bits))
+    edges = [[0, *np.searchsorted(p.high, cuts).tolist(), len(p.high)] for p in parts]
+    for r in range(1 << bits):
+        yield _merged_at_once(
+            [Entries(*(lane[e[r] : e[r + 1]] for lane in p)) for p, e in zip(parts, edges, strict=True)], shape
+        )
+
+
+def _merged_at_once(parts: list[Entries], shape: Shape) -> Entries:
+    """The sort merges sorted runs."""
     high = np.concatenate([p.high for p in parts])
     low = np.concatenate([p.low for p in parts])
     count = np.concatenate([p.count for p in parts])

@@ -156,3 +156,41 @@ def test_filters_are_compact_and_even():
 def test_too_many_words_are_refused():
     with pytest.raises(ValueError):
         shape_for(1 << 42, 1, 1)
+
+
+@pytest.mark.parametrize("shape", [Shape(16, 5), Shape(20, 0), Shape(42, 9)])
+def test_filters_are_merged_range_by_range(shape, monkeypatch):
+    """What merging takes beside the filters is bounded by a range, and nothing of them is lost."""
+    from quillvault.llm import quotient
+
+    rng = np.random.default_rng(5)
+    parts = []
+    for _ in range(6):
+        high, low = permuted(*(rng.integers(1, 1 << 12, 5000) for _ in range(3)), shape)
+        parts.append(counted(high, low, np.ones(5000, np.int64), shape))
+    whole = merged(parts, shape)
+    pieces = buckets(whole, shape)
+    sizes = []
+    plain = quotient.counted
+    monkeypatch.setattr(quotient, "RANGE_ENTRIES", 500)
+    monkeypatch.setattr(quotient, "counted", lambda *a: sizes.append(len(a[0])) or plain(*a))
+    ranges = list(quotient.merged_ranges(parts, shape))
+    found = [x for entries in ranges for x in buckets(entries, shape)]
+    assert [b for b, _ in found] == [b for b, _ in pieces]  # no bucket is cut
+    for a, b in zip(whole, (np.concatenate(x) for x in zip(*ranges, strict=True)), strict=True):
+        assert np.array_equal(a, b)
+    assert max(sizes) < 2 * max(500, 30_000 >> shape.bucket)
+    for number, entries in pieces:
+        del sizes[:]
+        halves = [Entries(*(lane[i::2] for lane in entries)) for i in (0, 1)]
+        within = list(quotient.merged_ranges(halves, shape, number))
+        for a, b in zip(entries, (np.concatenate(x) for x in zip(*within, strict=True)), strict=True):
+            assert np.array_equal(a, b)
+        assert max(sizes) < 1000
+
+
+def test_phrases_of_slices_as_of_the_whole(table, rows_of, monkeypatch):
+    from quillvault.llm import phrases
+
+    monkeypatch.setattr(phrases, "SLICE_WORDS", 3)
+    test_as_plain_python(table, rows_of, 2, 50, 1000)
