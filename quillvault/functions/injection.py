@@ -43,7 +43,7 @@ def with_injection_score(
     given = [f"`{c}`" for c in df.columns]
     df = df.withColumn("_folded", nfkc(F.col(text))).selectExpr(
         "*",
-        f"CASE WHEN rlike({text}, r'{fv.INVISIBLE}') "
+        f"CASE WHEN octet_length({text}) > length({text}) AND rlike({text}, r'{fv.INVISIBLE}') "
         f"THEN regexp_count({text}, r'{fv.INVISIBLE}') ELSE 0 END AS _invisible",
     )
     df = df.selectExpr(

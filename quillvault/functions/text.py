@@ -41,7 +41,8 @@ def _stable_ranges() -> list[tuple[int, int]]:
 
 
 _STABLE = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _stable_ranges() if b > 0x7F)
-NEEDS_NFKC = rf"(?![\x00-\x7F])[^{_STABLE}]"
+# An intersection is one step for most characters; a look-ahead is several for each.
+NEEDS_NFKC = rf"[[^\x00-\x7F]&&[^{_STABLE}]]"
 
 # Whitespace runs that are not already exactly one blank.
 _FOLDABLE = rf"(?![!-~])[{fv.WS}](?:(?<! )|(?=[{fv.WS}]))[{fv.WS}]*"
@@ -55,9 +56,15 @@ def _nfkc(texts: pa.Array) -> pa.Array:
     )
 
 
+def beyond_ascii(text: Column) -> Column:
+    """Whether a text holds a character beyond ASCII; only counts bytes."""
+    return F.octet_length(text) > F.length(text)
+
+
 def nfkc(text: Column) -> Column:
     """NFKC form. Only texts holding a character that NFKC may alter visit a Python worker."""
-    return F.coalesce(_nfkc(F.when(text.rlike(NEEDS_NFKC), text)), text)
+    altered = beyond_ascii(text) & text.rlike(NEEDS_NFKC)
+    return F.coalesce(_nfkc(F.when(altered, text)), text)
 
 
 def strip(text: Column) -> Column:

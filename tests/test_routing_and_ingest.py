@@ -796,6 +796,25 @@ def test_names_that_occur_nowhere_cost_no_pass(spark, monkeypatch):
     assert with_entities(nobody, "i", "text", table, part_bytes=100).first().entities == []
 
 
+def test_an_ingest_with_a_large_dictionary_stores_texts_once(spark, monkeypatch):
+    from functools import partial
+
+    from quillvault.plans import ingest as plan
+
+    stored = []
+    monkeypatch.setattr(plan, "staged", lambda df, name: stored.append(name) or staged(df, name))
+    monkeypatch.setattr(plan, "with_entities", partial(with_entities, part_bytes=200))
+    names = [("Paris", "GPE")] + [(f"Customer#{i:09d}", "PERSON") for i in range(300)]
+    table = spark.createDataFrame(names, "name string, category string")
+    texts = ["Customer#000000007 wrote to Paris", "Customer#0000000071 did not"]
+    rows = spark.createDataFrame([(i, f"s{i}", t) for i, t in enumerate(texts)], "ord long, source_ref string, context string")
+    store = Store(spark, fresh_path(spark, "store"))
+    ingest(rows, store, KEYS, MODEL, "one", SETTINGS, names=table)
+    stats = {r.source_ref: r.pii_stats for r in store.read("documents").collect()}
+    assert stats == {"s0": {"PERSON": 1, "GPE": 1}, "s1": {}}
+    assert "ready" in stored and "named" not in stored
+
+
 @pytest.mark.parametrize("limits", [(16, 32), (10**9, 0), (-1, 32)])
 def test_names_found_by_search_equal_those_found_word_by_word(monkeypatch, limits):
     from quillvault.operators import gazetteer
