@@ -806,7 +806,7 @@ def test_an_ingest_with_a_large_dictionary_stores_texts_once(spark, monkeypatch)
     monkeypatch.setattr(plan, "with_entities", partial(with_entities, part_bytes=200))
     names = [("Paris", "GPE")] + [(f"Customer#{i:09d}", "PERSON") for i in range(300)]
     table = spark.createDataFrame(names, "name string, category string")
-    texts = ["Customer#000000007 wrote to Paris", "Customer#0000000071 did not"]
+    texts = ["Customer#000000007 wrote to Paris", "Customer#000000007x did not"]
     rows = spark.createDataFrame([(i, f"s{i}", t) for i, t in enumerate(texts)], "ord long, source_ref string, context string")
     store = Store(spark, fresh_path(spark, "store"))
     ingest(rows, store, KEYS, MODEL, "one", SETTINGS, names=table)
